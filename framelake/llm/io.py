@@ -52,6 +52,11 @@ def stored_bytes(df: DataFrame) -> int:
 BROADCAST_BYTES = 16 << 20
 
 
-def join_small(left: DataFrame, right: DataFrame, on, how: str, limit: int = BROADCAST_BYTES) -> DataFrame:
+def size_hint(df: DataFrame, limit: int = BROADCAST_BYTES) -> str:
+    """Join strategy for a stored table, by its measured size."""
+    return "broadcast" if stored_bytes(df) <= limit else "merge"
+
+
+def join_small(left: DataFrame, right: DataFrame, on, how: str) -> DataFrame:
     """Joins a stored table: broadcast if its measured size allows, else a sort-merge join."""
-    return left.join(right.hint("broadcast" if stored_bytes(right) <= limit else "merge"), on, how)
+    return left.join(right.hint(size_hint(right)), on, how)
