@@ -1,12 +1,13 @@
 """Queries of the training-data operators over whole tables, and their SQL where it can express them."""
 
-from . import htmltext, mixing, pii, quality, sharding, warc
+from . import htmltext, mixing, pii, quality, sharding, simhash, warc
 
 QUERIES = {
     "op1_mixing": mixing.query,
     "op2_sharding": sharding.query,
     "op3_pii": pii.query,
     "op4_html": htmltext.query,
+    "op7_simhash": simhash.query,
     "op9_quality": quality.query,
     "op10_warc": warc.query,
 }
