@@ -1,6 +1,6 @@
 """Queries of the training-data operators over whole tables, and their SQL where it can express them."""
 
-from . import htmltext, mixing, pii, quality, sharding, simhash, warc
+from . import htmltext, mixing, pii, quality, sharding, simhash, substring, warc
 
 QUERIES = {
     "op1_mixing": mixing.query,
@@ -8,6 +8,7 @@ QUERIES = {
     "op3_pii": pii.query,
     "op4_html": htmltext.query,
     "op7_simhash": simhash.query,
+    "op8_substring": substring.query,
     "op9_quality": quality.query,
     "op10_warc": warc.query,
 }
