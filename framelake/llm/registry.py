@@ -1,12 +1,14 @@
 """Queries of the training-data operators over whole tables, and their SQL where it can express them."""
 
-from . import htmltext, mixing, pii, quality, sharding, simhash, substring, warc
+from . import decontaminate, htmltext, langid, mixing, pii, quality, sharding, simhash, substring, warc
 
 QUERIES = {
     "op1_mixing": mixing.query,
     "op2_sharding": sharding.query,
     "op3_pii": pii.query,
     "op4_html": htmltext.query,
+    "op5_langid": langid.query,
+    "op6_decontaminate": decontaminate.query,
     "op7_simhash": simhash.query,
     "op8_substring": substring.query,
     "op9_quality": quality.query,
