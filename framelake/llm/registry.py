@@ -1,8 +1,11 @@
 """Queries of the training-data operators over whole tables, and their SQL where it can express them."""
 
+import corpus_pipeline
+
 from . import decontaminate, htmltext, langid, mixing, pii, quality, sharding, simhash, substring, warc
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op1_mixing": mixing.query,
     "op2_sharding": sharding.query,
     "op3_pii": pii.query,

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .graph import components
 from .io import stored, table
+from .words import Words, chunks, encoded, gram_hashes, mix, white_space
 
 #: 64 bits in this many blocks; fingerprints within MAX_BITS share at least BLOCKS - MAX_BITS whole blocks.
 BLOCKS, MAX_BITS = 7, 4
@@ -150,5 +151,135 @@ def near_duplicates(docs: DataFrame, words: int = 4, blocks: int = BLOCKS, bits:
     return prints.join(by_print.hint("merge"), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+#: Wide fingerprints: BLOCK_COUNT blocks of 24 bits. At a shingle similarity of 0.8 about 15 % of the bits differ.
+BLOCK_COUNT, BLOCK_BYTES = 128, 3
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+
+
+def wide_bits(similarity: float) -> int:
+    """Differing bits expected at this Jaccard similarity (the angle between two sets of equal size), and half a deviation."""
+    share = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+    total = BLOCK_COUNT * BLOCK_BYTES * 8
+    return int(total * share + 0.5 * (total * share * (1 - share)) ** 0.5)
+
+
+def wide_fingerprint(hashes: np.ndarray) -> bytes:
+    """SimHash of BLOCK_COUNT * 24 bits over a set of shingle hashes."""
+    words = BLOCK_COUNT * BLOCK_BYTES // 8
+    total = np.zeros(words * 64, np.int64)
+    for at in range(0, len(hashes), 255):  # sums of up to 255 bits fit in a byte
+        with np.errstate(over="ignore"):
+            each = mix(hashes[at : at + 255, None] + np.arange(words, dtype=np.uint64) * _STEP)
+        total += np.add.reduce(np.unpackbits(each.view(np.uint8), axis=1, bitorder="little"), axis=0, dtype=np.uint8)
+    return np.packbits(total * 2 > len(hashes), bitorder="little").tobytes()
+
+
+def wide_fingerprints(docs: DataFrame, words: int = 5) -> DataFrame:
+    """doc_id, fp (binary) of every row, from the set of its shingles; A-Z are lower-cased."""
+
+    def rows(batches):
+        import pandas as pd
+
+        for batch in batches:
+            texts = [encoded(t).lower() for t in batch["text"]]
+            out = []
+            for a, b in chunks(texts):
+                found = Words(texts[a:b], white_space())
+                for i in range(b - a):
+                    own = found.hashes[found.first[i] : found.first[i + 1]]
+                    out.append(wide_fingerprint(np.unique(gram_hashes(own, max(1, min(words, len(own)))))))
+            yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy(), "fp": out})
+
+    return docs.select("doc_id", "text").mapInPandas(rows, "doc_id long, fp binary")
+
+
+def _wide_buckets(batches) -> Iterator:
+    import pandas as pd
+
+    for batch in batches:
+        for at in range(0, len(batch), 2000):
+            part = batch.iloc[at : at + 2000]
+            blocks = np.frombuffer(b"".join(part["fp"]), np.uint8).reshape(-1, BLOCK_COUNT, BLOCK_BYTES).astype(np.int64)
+            key = (np.arange(BLOCK_COUNT) << 24) | (blocks[:, :, 0] << 16) | (blocks[:, :, 1] << 8) | blocks[:, :, 2]
+            yield pd.DataFrame({"bucket": key.ravel(), "id": np.repeat(part["id"].to_numpy(), BLOCK_COUNT)})
+
+
+def _wide_links(bits: int):
+    """For batches sorted by bucket and tiles: spanning links between the ids within ``bits``."""
+
+    def forest(ids: np.ndarray, fps: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
+        while len(ids) > 1:
+            queue, ids, fps = [(ids[0], fps[0])], ids[1:], fps[1:]
+            while queue and len(ids):
+                x, f = queue.pop()
+                hit = np.bitwise_count(fps ^ f).sum(axis=1) <= bits
+                if hit.any():
+                    yield ids[hit], x
+                    queue.extend(zip(ids[hit], fps[hit]))
+                    ids, fps = ids[~hit], fps[~hit]
+
+    def rows(batches) -> Iterator:
+        import pandas as pd
+
+        def links(frame) -> pd.DataFrame:
+            a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            for _, x in frame.groupby(["bucket", "lo", "hi"], sort=False):
+                if len(x) > 1:
+                    fps = np.frombuffer(b"".join(x["fp"]), np.uint64).reshape(len(x), -1)
+                    for members, other in forest(x["id"].to_numpy(), fps):
+                        a.append(members)
+                        b.append(np.full(len(members), other))
+            return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)}).drop_duplicates()
+
+        held = None
+        for batch in batches:
+            frame = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            ids = frame[["bucket", "lo", "hi"]].to_numpy()
+            same = (ids == ids[-1]).all(axis=1)
+            cut = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
+            held = frame.iloc[cut:]
+            if cut:
+                yield links(frame.iloc[:cut])
+        if held is not None and len(held):
+            yield links(held)
+
+    return rows
+
+
+def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, tile: int = 1024) -> DataFrame:
+    """doc_id, component_id of every row: groups of texts whose shingle sets have this similarity, by wide SimHash.
+
+    64 bits tell 0.8 from 0.5 poorly, so the fingerprint has 3072. Texts that agree in one of 128 blocks are compared by
+    Hamming distance. A pair at 0.8 agrees in some block with probability 0.92, at 0.85 with 0.99. Equal fingerprints meet once;
+    links, tiles and nulls are treated as in ``near_duplicates``.
+    """
+    nothing = F.lit(-(1 << 62))
+    prints = stored(wide_fingerprints(docs, words), "simhash-wide")
+    nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.coalesce(F.min("doc_id"), nothing).alias("id")), "simhash-nodes")
+    bucket = Window.partitionBy("bucket")
+    keyed = nodes.select("id", "fp").mapInPandas(_wide_buckets, "bucket long, id long")
+    shared = keyed.withColumn("n", F.count(F.lit(1)).over(bucket)).where("n > 1")
+    half = tile // 2
+    small = shared.where(F.col("n") <= tile).select("bucket", F.lit(0).alias("lo"), F.lit(0).alias("hi"), "id")
+    own = shared.where(F.col("n") > tile).withColumn("tile", F.floor((F.row_number().over(bucket.orderBy("id")) - 1) / half).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), (F.ceil(F.col("n") / half) - 1).cast("int")))
+    large = own.withColumn("other", other).select("bucket", F.least("tile", "other").alias("lo"), F.greatest("tile", "other").alias("hi"), "id")
+    order = ["bucket", "lo", "hi"]
+    met = small.union(large).join(nodes.select("id", "fp").hint("merge"), "id")
+    met = met.repartition(*[F.col(c) for c in order]).sortWithinPartitions(*order).select(*order, "id", "fp")
+    roots = components(met.mapInPandas(_wide_links(wide_bits(similarity)), "a long, b long").distinct())
+    rooted = nodes.join(roots.hint("merge"), nodes["id"] == roots["u"], "left").select("fp", "least", F.coalesce("root", "id").alias("root"))
+    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    by_print = stored(rooted.join(named.hint("merge"), "root").select("fp", "component_id"), "simhash-rooted")
+    return prints.join(by_print.hint("merge"), "fp").select("doc_id", "component_id")
+
+
+def one_of_each_group(docs: DataFrame, **options) -> DataFrame:
+    """One row of every group of near copies: the one whose doc_id names it (of equal doc_ids any one)."""
+    named = similar_groups(docs, **options).select(F.col("component_id").alias("_id")).distinct()
+    stay = docs.join(named.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    return stay.dropDuplicates(["doc_id"]).select(*docs.columns)
+
+
 def query(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
