@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .io import stored, table
+from .io import NO_ID, stored, table
 from .words import Words, chunks, encoded, gram_hashes, not_alphanumeric
 
 #: Words of a seed. Items with fewer words have no seed and are never reported.
@@ -138,7 +138,7 @@ def contaminated(docs: DataFrame, items: DataFrame, n: int = SEED_WORDS, margin:
     known = stored(item_seeds(items, n), "benchmark-items")
     grams = known.select(F.explode("grams").alias("gram")).distinct()
     parts = max(1, -(-grams.count() // at_once))
-    keyed = docs.select(F.coalesce("doc_id", F.lit(-(1 << 62))).alias("did"), F.xxhash64("text").alias("tk"), "text")
+    keyed = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("did"), F.xxhash64("text").alias("tk"), "text")
     found = None
     for part in range(parts):  # one, unless the benchmark is very large
         own = grams.where(F.pmod(F.xxhash64("gram"), F.lit(parts)) == part).toPandas()["gram"].to_numpy(np.int64)
@@ -160,14 +160,14 @@ def contaminated(docs: DataFrame, items: DataFrame, n: int = SEED_WORDS, margin:
     )
     best = F.max(F.struct("score", "equal_words", -F.col("first_word"), "first_word", "end_word", "item_words")).alias("b")
     return scored.groupBy("did", "item_id").agg(best).select(
-        F.when(F.col("did") != -(1 << 62), F.col("did")).alias("doc_id"), "item_id", "b.first_word", "b.end_word", "b.score", "b.equal_words", "b.item_words"
+        F.when(F.col("did") != NO_ID, F.col("did")).alias("doc_id"), "item_id", "b.first_word", "b.end_word", "b.score", "b.equal_words", "b.item_words"
     )
 
 
 def without_benchmark(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` in which no item is found."""
     leaks = stored(contaminated(docs, items, **options).select(F.col("doc_id").alias("_id")).distinct(), "benchmark-leaks")
-    return docs.join(leaks.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    return docs.join(leaks.hint("merge"), docs["doc_id"].eqNullSafe(leaks["_id"]), "left_anti")
 
 
 def query(spark, sf_dir):

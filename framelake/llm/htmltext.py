@@ -7,7 +7,7 @@ import re
 
 from pyspark.sql import DataFrame
 
-from .io import table
+from .io import null_ids, table, with_ids
 
 #: Common function words of the supported languages.
 STOP_WORDS = frozenset(
@@ -168,14 +168,16 @@ def main_text(page: str | None) -> str:
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """One row per page: page_id, url, text, n_chars. Whole pages; repeated rows are kept; other columns are left out."""
+    """One row per page: page_id, url, text, n_chars. Whole pages; null html gives an empty text; repeated rows are kept; other columns
+    are left out; an empty table gives no rows."""
 
     def rows(batches):
         for batch in batches:
             texts = [main_text(p) for p in batch["html"]]
             yield batch[["page_id", "url"]].assign(text=texts, n_chars=[len(t) for t in texts])
 
-    return pages.select("page_id", "url", "html").mapInPandas(rows, "page_id long, url string, text string, n_chars long")
+    out = with_ids(pages, "page_id", "url", "html").mapInPandas(rows, "page_id long, url string, text string, n_chars long")
+    return null_ids(out, "page_id")
 
 
 def query(spark, sf_dir):

@@ -6,12 +6,27 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Stands for a null id while rows are in Python, where nulls would turn whole columns into floats.
+NO_ID = -(1 << 62)
+
+
+def with_ids(df: DataFrame, name: str, *columns) -> DataFrame:
+    """The id column without nulls, and the given columns; all others stay behind."""
+    return df.select(F.coalesce(df[name].cast("long"), F.lit(NO_ID)).alias(name), *columns)
+
+
+def null_ids(df: DataFrame, name: str) -> DataFrame:
+    """Puts back the nulls of ``with_ids``."""
+    return df.withColumn(name, F.when(F.col(name) != NO_ID, F.col(name)))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder; a temporary one only in local mode, where nothing is set."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .io import table
+from .io import null_ids, table, with_ids
 
 #: Hashed n-grams of 1 to 3 characters; letters folded to lower case, runs of anything else to one space.
 ORDERS, BUCKETS = (1, 2, 3), 1 << 15
@@ -217,11 +217,13 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
             names = np.array(model.languages, object)[p.argmax(axis=1)]
             yield batch[["doc_id"]].assign(lang_pred=np.where(letters, names, "und"), score=np.where(letters, p.max(axis=1), 0.0))
 
-    return docs.select("doc_id", "text").mapInPandas(rows, "doc_id long, lang_pred string, score double")
+    return null_ids(with_ids(docs, "doc_id", "text").mapInPandas(rows, "doc_id long, lang_pred string, score double"), "doc_id")
 
 
 def identify(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> DataFrame:
-    """doc_id, held_out, lang_pred, score: trains on the labelled part of ``docs`` and predicts every row."""
+    """doc_id, held_out, lang_pred, score: trains on the labelled part of ``docs`` and predicts every row.
+
+    Null doc_ids count as not held out; repeated rows get equal predictions; without labelled texts all are ``und``."""
     out = predict(docs, train(docs, per_language))
     return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
@@ -229,7 +231,7 @@ def identify(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> DataFr
 def in_known_language(docs: DataFrame, least: float = 0.5, **options) -> DataFrame:
     """Rows whose text has a predicted language with at least this probability; the columns stay as they are."""
     said = identify(docs, **options).where((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(said.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    return docs.join(said.hint("merge"), docs["doc_id"].eqNullSafe(said["_id"]), "left_semi")
 
 
 def query(spark, sf_dir):

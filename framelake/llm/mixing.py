@@ -118,8 +118,9 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     plan = mix_sources(docs, **options).where("times > 0").select(
         F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), F.col("times").alias("_times")
     ).dropDuplicates(["_id", "_source", "_size"])
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (word_count(F.col("text")) == F.col("_size"))
-    return docs.join(plan.hint("merge"), same).withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_times")))).select(*docs.columns)
+    same = docs["doc_id"].eqNullSafe(plan["_id"]) & docs["source"].eqNullSafe(plan["_source"]) & (word_count(docs["text"]) == plan["_size"])
+    copies = F.explode(F.array_repeat(F.lit(0), plan["_times"])).alias("copy")
+    return docs.join(plan.hint("merge"), same).select(copies, F.struct(*[docs[c] for c in docs.columns]).alias("row")).select("row.*")
 
 
 def query(spark, sf_dir):

@@ -7,9 +7,8 @@ import re
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from .io import table
+from .io import null_ids, table, with_ids
 
 #: Base kinds in output order, then the kinds that checksums and context add.
 BASE = ("email", "ip", "card", "phone")
@@ -109,7 +108,8 @@ SPANS = "array<struct<kind:string,start:int,end:int,score:double,checksum:boolea
 
 
 def detect(docs: DataFrame, text: str = "text") -> DataFrame:
-    """doc_id, spans and redacted text of every row, in no other column's company."""
+    """doc_id, spans (found) and redacted text of every row. Null text has no spans and stays null; rows are handled one by one, so
+    repeated ones give equal rows; an empty table gives none; other columns are left out."""
 
     def rows(batches):
         import pandas as pd
@@ -119,7 +119,7 @@ def detect(docs: DataFrame, text: str = "text") -> DataFrame:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "found": [[dict(zip(("kind", "start", "end", "score", "checksum"), s)) for s in x] for x in spans],
                                 "redacted": [None if t is None else redacted(t, x) for t, x in zip(batch["t"], spans)]})
 
-    return docs.select("doc_id", F.col(text).alias("t")).mapInPandas(rows, f"doc_id long, found {SPANS}, redacted string")
+    return null_ids(with_ids(docs, "doc_id", docs[text].alias("t")).mapInPandas(rows, f"doc_id long, found {SPANS}, redacted string"), "doc_id")
 
 
 def digests(docs: DataFrame) -> DataFrame:
@@ -139,7 +139,8 @@ def digests(docs: DataFrame) -> DataFrame:
             frame.insert(0, "doc_id", batch["doc_id"].values)
             yield frame
 
-    return docs.select("doc_id", "text").mapInPandas(rows, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+    schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
+    return null_ids(with_ids(docs, "doc_id", "text").mapInPandas(rows, schema), "doc_id")
 
 
 def query(spark, sf_dir):

@@ -17,4 +17,4 @@ QUERIES = {
     "op9_quality": quality.query,
     "op10_warc": warc.query,
 }
-ORACLES = {"op1_mixing": mixing.ORACLE, "op9_quality": quality.ORACLE, "op10_warc": warc.ORACLE}
+ORACLES = {"op1_mixing": mixing.ORACLE, "op8_substring": substring.ORACLE, "op9_quality": quality.ORACLE, "op10_warc": warc.ORACLE}

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .graph import components
-from .io import stored, table
+from .io import null_ids, stored, table, with_ids
 from .words import Words, chunks, encoded, gram_hashes, mix, white_space
 
 #: 64 bits in this many blocks; fingerprints within MAX_BITS share at least BLOCKS - MAX_BITS whole blocks.
@@ -47,7 +47,7 @@ def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
             values = np.array([fingerprint(t, words) for t in batch["text"]], np.uint64)
             yield batch[["doc_id"]].assign(fp=values.view(np.int64))
 
-    return docs.select("doc_id", "text").mapInPandas(rows, "doc_id long, fp long")
+    return null_ids(with_ids(docs, "doc_id", "text").mapInPandas(rows, "doc_id long, fp long"), "doc_id")
 
 
 def block_masks(blocks: int = BLOCKS, bits: int = MAX_BITS) -> list[int]:
@@ -190,7 +190,7 @@ def wide_fingerprints(docs: DataFrame, words: int = 5) -> DataFrame:
                     out.append(wide_fingerprint(np.unique(gram_hashes(own, max(1, min(words, len(own)))))))
             yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy(), "fp": out})
 
-    return docs.select("doc_id", "text").mapInPandas(rows, "doc_id long, fp binary")
+    return null_ids(with_ids(docs, "doc_id", "text").mapInPandas(rows, "doc_id long, fp binary"), "doc_id")
 
 
 def _wide_buckets(batches) -> Iterator:
@@ -277,8 +277,8 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, til
 def one_of_each_group(docs: DataFrame, **options) -> DataFrame:
     """One row of every group of near copies: the one whose doc_id names it (of equal doc_ids any one)."""
     named = similar_groups(docs, **options).select(F.col("component_id").alias("_id")).distinct()
-    stay = docs.join(named.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    return stay.dropDuplicates(["doc_id"]).select(*docs.columns)
+    stay = docs.join(named.hint("merge"), docs["doc_id"].eqNullSafe(named["_id"]), "left_semi")
+    return stay.dropDuplicates(["doc_id"])
 
 
 def query(spark, sf_dir):

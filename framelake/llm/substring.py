@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .fmindex import repeated_windows
-from .io import discard, stored, table
+from .io import NO_ID, discard, null_ids, stored, table
 from .words import SECOND, Words, chunks, encoded, gram_hashes, minimizer_runs, white_space
 
 WINDOW = 35
@@ -184,13 +184,25 @@ def without_repeats(docs: DataFrame, **options) -> DataFrame:
     A word goes if a window of 35 words that covers it occurs at another place, in the same text or another. Null text has
     no words; texts under 35 words stay whole; equal rows are copies of each other; an empty table gives no rows.
     """
-    keyed = docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(-(1 << 62))).alias("did"), F.xxhash64("text").alias("tk"))
+    keyed = docs.select("text", F.coalesce("doc_id", F.lit(NO_ID)).alias("did"), F.xxhash64("text").alias("tk"))
     spans = repeated(keyed.select("did", "tk", "text"), **options).distinct()
     spans = stored(spans.groupBy("did", "tk").agg(F.collect_list(F.struct("start", "mask")).alias("found")), "substring-spans")
-    merged = keyed.join(spans.hint("merge"), ["did", "tk"], "left").select("doc_id", "text", "found")
-    return merged.mapInPandas(_cleaned(options.get("window", WINDOW)), "doc_id long, n_words long, n_removed long, kept string")
+    merged = keyed.join(spans.hint("merge"), ["did", "tk"], "left").select(F.col("did").alias("doc_id"), "text", "found")
+    return null_ids(merged.mapInPandas(_cleaned(options.get("window", WINDOW)), "doc_id long, n_words long, n_removed long, kept string"), "doc_id")
 
 
 def query(spark, sf_dir):
     out = without_repeats(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE = r"""
+WITH w AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+p AS (SELECT rid, i, array_to_string(ws[i:i + 34], ' ') AS win FROM (SELECT rid, ws, unnest(range(1, len(ws) - 33)) AS i FROM w WHERE len(ws) >= 35)),
+r AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY win) AS n FROM p) WHERE n > 1),
+c AS (SELECT DISTINCT rid, i + k AS i FROM r, (SELECT unnest(range(0, 35)) AS k)),
+e AS (SELECT rid, doc_id, len(ws) AS n, ws, unnest(CASE WHEN len(ws) = 0 THEN [0] ELSE range(1, len(ws) + 1) END) AS i FROM w),
+k AS (SELECT e.rid, e.doc_id, e.n, count(c.i) AS removed, coalesce(string_agg(CASE WHEN c.i IS NULL AND e.i > 0 THEN ws[e.i] END, ' ' ORDER BY e.i), '') AS kept
+      FROM e LEFT JOIN c ON c.rid = e.rid AND c.i = e.i GROUP BY e.rid, e.doc_id, e.n)
+SELECT doc_id, n::BIGINT AS n_words, removed::BIGINT AS n_removed, sha256(kept) AS kept_sha256 FROM k
+"""
