@@ -46,33 +46,36 @@ def chunk_ranges(texts: list[str]) -> Iterator[tuple[int, int]]:
 
 
 def grams_of(texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
-    """Per n-gram order: buckets of all n-grams of all texts, and the first one of each text; and which texts have letters."""
+    """Per n-gram order: buckets of all n-grams, and (start, end) of each text's own; and which texts have letters.
+
+    Every text stands between spaces of its own, and no n-gram reaches beyond them, so neighbours never matter.
+    """
     folded = fold_table()[np.frombuffer(" \n".join(["", *texts, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)]
-    offsets = np.cumsum([2, *[len(t) + 2 for t in texts]]) - 1  # each text with the space that precedes it
+    offsets = np.cumsum([2, *[len(t) + 2 for t in texts]]) - 1  # the space before each text
     keep = np.concatenate([[True], (folded[1:] != SPACE) | (folded[:-1] != SPACE)])
-    keep[offsets] = True  # every text starts with a space of its own
+    keep[offsets] = True
     place = np.concatenate([[0], np.cumsum(keep)])[offsets]
     codes = folded[keep].astype(np.uint64)
     letters = np.add.reduceat((folded != SPACE).astype(np.int64), offsets[:-1]) > 0 if len(texts) else np.empty(0, bool)
-    buckets, firsts = [], []
+    buckets, spans = [], []
     with np.errstate(over="ignore"):
         for n in ORDERS:
-            m = len(codes) - n + 1
-            h = np.full(max(m, 0), n, np.uint64)
+            m = max(len(codes) - n + 1, 0)
+            h = np.full(m, n, np.uint64)
             for j in range(n):
                 h = (h + codes[j : j + m]) * np.uint64(0x9E3779B97F4A7C15)
                 h ^= h >> np.uint64(29)
             buckets.append((h & np.uint64(BUCKETS - 1)).astype(np.int64))
-            firsts.append(np.minimum(place, max(m, 0)))
-    return buckets, firsts, letters
+            spans.append(np.stack([place[:-1], np.maximum(place[1:] - n + 1, place[:-1])], axis=1))
+    return buckets, spans, letters
 
 
 def _per_text(texts: list[str]) -> Iterator[tuple[np.ndarray, bool]]:
     """Bucket counts of each text, and whether it has a letter."""
     for a, b in chunk_ranges(texts):
-        buckets, firsts, letters = grams_of(texts[a:b])
+        buckets, spans, letters = grams_of(texts[a:b])
         for i in range(b - a):
-            own = np.concatenate([x[f[i] : f[i + 1]] for x, f in zip(buckets, firsts)])
+            own = np.concatenate([x[f[i, 0] : f[i, 1]] for x, f in zip(buckets, spans)])
             yield np.bincount(own, minlength=BUCKETS), bool(letters[i])
 
 
@@ -189,14 +192,15 @@ def probabilities(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarra
     """(probability per language, has a letter) of every text."""
     out, letters = [], []
     for a, b in chunk_ranges(texts):
-        buckets, firsts, own = grams_of(texts[a:b])
+        buckets, spans, own = grams_of(texts[a:b])
         sums, count = np.zeros((b - a, len(model.languages))), np.zeros(b - a)
-        for x, f in zip(buckets, firsts):
-            some = np.flatnonzero(f[1:] > f[:-1])
+        for x, f in zip(buckets, spans):
+            some = np.flatnonzero(f[:, 1] > f[:, 0])
             if len(some):
-                count[some] += np.diff(f)[some]
+                count[some] += (f[:, 1] - f[:, 0])[some]
                 for k in range(len(model.languages)):
-                    sums[some, k] += np.add.reduceat(model.weights[:, k][x[: f[-1]]], f[:-1][some], dtype=np.float64)
+                    values = np.append(model.weights[:, k][x], np.float32(0))
+                    sums[some, k] += np.add.reduceat(values, f[some].ravel(), dtype=np.float64)[::2]
         out.append(softmax((sums / np.maximum(count, 1)[:, None] + model.bias) / model.temperature))
         letters.append(own)
     return np.concatenate(out), np.concatenate(letters)
