@@ -15,6 +15,11 @@ def box(x1, y1, x2, y2) -> Column:
     return F.struct(*[(F.col(c) if isinstance(c, str) else c).cast("double").alias(n) for n, c in named])
 
 
+def let(value: Column, f) -> Column:
+    """f(value) with the value computed once, however often f uses it; keeps nested box expressions from growing."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def width(b: Column) -> Column:
     return b["x2"] - b["x1"]
 
@@ -125,8 +130,8 @@ def is_sane(b: Column, slack: float = 0.0) -> Column:
 def stored_box(b: Column, w, h) -> tuple[Column, Column]:
     """(pixel box, skip reason) of a stored normalized box: missing, degenerate, or empty once clipped."""
     whole = reduce(lambda p, q: p & q, [b[k].isNotNull() for k in ("x1", "y1", "x2", "y2")])
-    px = clip(scaled(b, w, h), w, h)
-    reason = F.when(~whole, "missing_box").when(~is_valid(b), "degenerate_box").when(~is_valid(px), "outside_image")
+    px = let(scaled(b, w, h), lambda s: clip(s, w, h))
+    reason = F.when(~whole, "missing_box").when(~is_valid(b), "degenerate_box").when(~let(px, is_valid), "outside_image")
     return F.when(reason.isNull(), px), reason
 
 
@@ -138,16 +143,16 @@ def declared_box(raw: Column, fmt: Column, norm: Column, space: Column, w, h, or
     """
     four = (F.size(raw) == 4) & ~F.exists(raw, lambda v: v.isNull())
     b = F.when(fmt == "xyxy", from_xyxy(raw)).when(fmt == "xywh", from_xywh(raw)).when(fmt == "cxcywh", from_cxcywh(raw))
-    sized = F.when(~norm, b).when(space == "frame", scaled(b, frame["w"], frame["h"])).otherwise(scaled(b, w, h))
-    placed = F.when(space == "frame", frame_to_crop(sized, origin["x"], origin["y"])).otherwise(sized)
-    out = clip(placed, w, h)
+    sized = let(b, lambda x: F.when(~norm, x).when(space == "frame", scaled(x, frame["w"], frame["h"])).otherwise(scaled(x, w, h)))
+    placed = let(sized, lambda x: F.when(space == "frame", frame_to_crop(x, origin["x"], origin["y"])).otherwise(x))
+    out = let(placed, lambda x: clip(x, w, h))
     reason = (
         F.when(~F.coalesce(four, F.lit(False)), "bad_bbox")
         .when(~F.coalesce(fmt.isin("xyxy", "xywh", "cxcywh"), F.lit(False)), "unknown_format")
         .when(~F.coalesce(space.isin("image", "frame"), F.lit(False)), "unknown_space")
         .when((space == "frame") & origin["x"].isNull(), "no_crop_origin")
         .when((space == "frame") & norm & frame["w"].isNull(), "no_frame_size")
-        .when(~is_valid(out), "empty_box")
+        .when(~let(out, is_valid), "empty_box")
     )
     return F.when(reason.isNull(), out), reason
 
@@ -155,14 +160,16 @@ def declared_box(raw: Column, fmt: Column, norm: Column, space: Column, w, h, or
 def coco_box(xywh: Column, w: Column, h: Column) -> Column:
     """Pixel xywh to a clipped normalized box; null when sizes are not positive or nothing is left."""
     ok = (w > 0) & (h > 0) & (F.size(xywh) == 4) & (F.get(xywh, 2) > 0) & (F.get(xywh, 3) > 0)
-    b = clip(normalized(from_xywh(xywh), w, h), 1, 1)
-    return F.when(ok & is_valid(b), b)
+    b = let(let(from_xywh(xywh), lambda x: normalized(x, w, h)), lambda x: clip(x, 1, 1))
+    return F.when(ok, let(b, lambda x: F.when(is_valid(x), x)))
 
 
 def clamped_model_box(b: Column) -> Column:
     """Clipped to the unit square, at least 1e-4 wide; null if degenerate."""
-    c = clip(b, 1, 1)
-    return F.when(is_valid(c), box(c["x1"], c["y1"], F.when(width(c) < 1e-4, c["x1"] + 1e-4).otherwise(c["x2"]), c["y2"]))
+    def widened(c: Column) -> Column:
+        return F.when(is_valid(c), box(c["x1"], c["y1"], F.when(width(c) < 1e-4, c["x1"] + 1e-4).otherwise(c["x2"]), c["y2"]))
+
+    return let(let(b, lambda x: clip(x, 1, 1)), widened)
 
 
 def mask_area(runs: Column) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .boxes import let
+
 #: Synonyms of the canonical labels.
 SYNONYMS: dict[str, tuple[str, ...]] = {
     "person": ("person", "people", "human", "man", "woman", "pedestrian"),
@@ -85,14 +87,18 @@ def json_text(content: Column) -> Column:
     fence = F.regexp_extract_all(content, F.lit(r"(?s)```(?:json)?\s*(.*?)```"), F.lit(1))
     body = F.coalesce(F.try_element_at(F.filter(fence, lambda x: F.length(F.trim(x)) > 0), F.lit(-1)), content)
 
-    def cut(opening: str, closing: str) -> Column:
-        start = F.instr(body, opening)
-        end = F.length(body) - F.instr(F.reverse(body), closing) + 1
-        return F.when((start > 0) & (F.instr(body, closing) > 0) & (end > start), F.substring(body, start, end - start + 1))
+    def cut(text: Column, opening: str, closing: str) -> Column:
+        start = F.instr(text, opening)
+        end = F.length(text) - F.instr(F.reverse(text), closing) + 1
+        return F.when((start > 0) & (F.instr(text, closing) > 0) & (end > start), F.substring(text, start, end - start + 1))
+
+    def part(text: Column) -> Column:
+        brace, bracket = F.instr(text, "{"), F.instr(text, "[")
+        listed = (bracket > 0) & ((brace == 0) | (bracket < brace))
+        objects, lists = cut(text, "{", "}"), cut(text, "[", "]")
+        return F.when(listed, F.coalesce(lists, objects)).otherwise(F.coalesce(objects, lists))
 
-    brace, bracket = F.instr(body, "{"), F.instr(body, "[")
-    listed = (bracket > 0) & ((brace == 0) | (bracket < brace))
-    return F.when(listed, F.coalesce(cut("[", "]"), cut("{", "}"))).otherwise(F.coalesce(cut("{", "}"), cut("[", "]")))
+    return let(body, part)
 
 
 def tolerant_json(text: Column) -> Column:

@@ -89,7 +89,7 @@ def small_recall(truths: DataFrame, matches: DataFrame, keys=("candidate",), mos
 def evaluate(predictions: DataFrame, truths: DataFrame, thresholds=THRESHOLDS, keys=("candidate",), scope: str = "image_id", recall_base: str = "matched") -> DataFrame:
     """Overall metrics per key: map50, map50_95 (means over classes with truths), precision, recall, f1, fp_rate, totals."""
     thresholds = tuple(thresholds) if 0.5 in thresholds else (0.5, *thresholds)
-    found = match(predictions, truths, thresholds, keys, scope)
+    found = match(predictions, truths, thresholds, keys, scope).persist()  # read three times below; recomputed if lost
     ap = average_precision(found, truths, keys, recall_base)
     means = ap.groupBy(*keys).agg(F.avg(F.when(F.col("threshold") == 0.5, F.col("ap"))).alias("map50"), F.avg("ap").alias("map50_95"))
     totals = class_metrics(predictions, truths, found, keys).groupBy(*keys).agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp"), F.sum("n_truths").alias("n_truths"))

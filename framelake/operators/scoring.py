@@ -11,7 +11,6 @@ from pyspark.sql.types import StructType
 
 from ..functions import boxes, labels
 
-OBJECT = "struct<label:string,confidence:double,bbox:array<double>>"
 NUMBER = r"(BIGINT|DOUBLE|DECIMAL\(\d+,\d+\)|INT|SMALLINT|TINYINT|FLOAT)"
 
 
@@ -22,44 +21,48 @@ def parse_detections(responses: DataFrame, content: str = "content", allowed: li
     non-blank allowed label and a box that is not degenerate once clipped. One bad item rejects the response; a null response
     is a transport failure.
     """
-    v = F.try_parse_json(labels.json_text(F.col(content)))
-    kind = F.schema_of_variant(v)
-    items = F.when(kind.startswith("ARRAY"), F.try_variant_get(v, "$", "array<variant>")).otherwise(F.try_variant_get(v, "$.objects", "array<variant>"))
-    keys = F.map_keys(F.try_variant_get(v, "$", "map<string,variant>"))
-    shaped = F.when(kind.startswith("ARRAY"), F.lit(True)).otherwise(F.coalesce((F.size(keys) == 1) & F.array_contains(keys, "objects"), F.lit(False)))
-    out = responses.withColumns({"_items": items, "_shape": shaped & items.isNotNull()})
+    # each step is a column of its own, so that a text is parsed once and an item taken apart once
+    out = responses.withColumn("_text", labels.json_text(F.col(content))).withColumn("_v", F.try_parse_json("_text"))
+    out = out.withColumns({"_kind": F.schema_of_variant("_v"), "_keys": F.map_keys(F.try_variant_get("_v", "$", "map<string,variant>"))})
+    listed = F.col("_kind").startswith("ARRAY")
+    alone = F.coalesce((F.size("_keys") == 1) & F.array_contains("_keys", "objects"), F.lit(False))
+    items = F.when(listed, F.try_variant_get("_v", "$", "array<variant>")).when(alone, F.try_variant_get("_v", "$.objects", "array<variant>"))
+
+    def taken_apart(x: Column) -> Column:
+        return F.struct(
+            F.schema_of_variant(x).alias("kind"), F.trim(F.try_variant_get(x, "$.label", "string")).alias("label"),
+            F.try_variant_get(x, "$.confidence", "double").alias("confidence"), F.try_variant_get(x, "$.bbox", "array<double>").alias("bbox"),
+        )
+
+    def boxed(x: Column) -> Column:
+        return F.struct(x["kind"].alias("kind"), x["label"].alias("label"), x["confidence"].alias("confidence"), F.size(x["bbox"]).alias("n"), boxes.clamped_model_box(boxes.from_xyxy(x["bbox"])).alias("box"))
 
     def good(x: Column) -> Column:
-        keys = F.size(F.map_keys(F.try_variant_get(x, "$", "map<string,variant>"))) == 3
-        types = F.schema_of_variant(x).rlike(rf"^OBJECT<bbox: ARRAY<{NUMBER}>, confidence: {NUMBER}, label: STRING>$")
-        conf = F.try_variant_get(x, "$.confidence", "double")
-        bbox = F.try_variant_get(x, "$.bbox", "array<double>")
-        label = F.trim(F.try_variant_get(x, "$.label", "string"))
-        known = F.lit(True) if allowed is None else label.isin(allowed)
-        sound = boxes.clamped_model_box(boxes.from_xyxy(bbox)).isNotNull()
-        return F.coalesce(keys & types & conf.between(0, 1) & (F.size(bbox) == 4) & (F.length(label) > 0) & known & sound, F.lit(False))
+        # the exact shape also rules out further keys
+        shape = x["kind"].rlike(rf"^OBJECT<bbox: ARRAY<{NUMBER}>, confidence: {NUMBER}, label: STRING>$")
+        known = F.length(x["label"]) > 0 if allowed is None else x["label"].isin(allowed) & (F.length(x["label"]) > 0)
+        return F.coalesce(shape & x["confidence"].between(0, 1) & (x["n"] == 4) & known & x["box"].isNotNull(), F.lit(False))
 
-    def item(x: Column) -> Column:
-        b = boxes.clamped_model_box(boxes.from_xyxy(F.try_variant_get(x, "$.bbox", "array<double>")))
-        return F.struct(F.trim(F.try_variant_get(x, "$.label", "string")).alias("label"), F.try_variant_get(x, "$.confidence", "double").alias("confidence"), *[b[k].alias(k) for k in ("x1", "y1", "x2", "y2")])
-
-    reason = F.when(F.col(content).isNull(), "transport").when(~F.coalesce("_shape", F.lit(False)), "no_objects").when(~F.forall("_items", good), "bad_object")
-    status = F.when(reason.isNull(), "ok").when(reason == "transport", "transport").otherwise("rejected")
-    return out.withColumns({"status": status, "reason": reason, "objects": F.when(reason.isNull(), F.transform("_items", item))}).drop("_items", "_shape")
+    out = out.withColumn("_items", F.transform(items, taken_apart)).withColumn("_items", F.transform("_items", boxed))
+    reason = F.when(F.col(content).isNull(), "transport").when(F.col("_items").isNull(), "no_objects").when(~F.forall("_items", good), "bad_object")
+    out = out.withColumn("reason", reason)
+    status = F.when(F.col("reason").isNull(), "ok").when(F.col("reason") == "transport", "transport").otherwise("rejected")
+    kept = F.transform("_items", lambda x: F.struct(x["label"].alias("label"), x["confidence"].alias("confidence"), *[x["box"][k].alias(k) for k in ("x1", "y1", "x2", "y2")]))
+    return out.withColumns({"status": status, "objects": F.when(F.col("reason").isNull(), kept)}).drop("_text", "_v", "_kind", "_keys", "_items")
 
 
 def parse_verdicts(responses: DataFrame, content: str = "content") -> DataFrame:
     """Adds covers, vlm_label and vlm_error from a JSON object with a boolean bbox_covers_object and a string class_label."""
-    v = F.try_parse_json(labels.json_text(F.col(content)))
-    covers, name = F.try_variant_get(v, "$.bbox_covers_object", "variant"), F.try_variant_get(v, "$.class_label", "variant")
-    ok = F.coalesce((F.schema_of_variant(covers) == "BOOLEAN") & (F.schema_of_variant(name) == "STRING"), F.lit(False))
-    return responses.withColumns(
+    out = responses.withColumn("_v", F.try_parse_json(labels.json_text(F.col(content))))
+    covers, name = F.try_variant_get("_v", "$.bbox_covers_object", "variant"), F.try_variant_get("_v", "$.class_label", "variant")
+    out = out.withColumn("_ok", F.coalesce((F.schema_of_variant(covers) == "BOOLEAN") & (F.schema_of_variant(name) == "STRING"), F.lit(False)))
+    return out.withColumns(
         {
-            "covers": F.when(ok, F.try_variant_get(v, "$.bbox_covers_object", "boolean")),
-            "vlm_label": F.when(ok, F.trim(F.try_variant_get(v, "$.class_label", "string"))),
-            "vlm_error": F.when(F.col(content).isNull(), "transport").when(~ok, "malformed"),
+            "covers": F.when(F.col("_ok"), F.try_variant_get("_v", "$.bbox_covers_object", "boolean")),
+            "vlm_label": F.when(F.col("_ok"), F.trim(F.try_variant_get("_v", "$.class_label", "string"))),
+            "vlm_error": F.when(F.col(content).isNull(), "transport").when(~F.col("_ok"), "malformed"),
         }
-    )
+    ).drop("_v", "_ok")
 
 
 def check_segments(responses: DataFrame) -> DataFrame:

@@ -79,7 +79,7 @@ def parse_labels(lines: DataFrame, classes: int) -> DataFrame:
 
 
 def read_labels(spark: SparkSession, path: str, classes: int) -> DataFrame:
-    whole = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", "\n")).alias("line_no", "value"))
+    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", "\n")).alias("line_no", "value"))
     return parse_labels(whole, classes)
 
 
@@ -103,14 +103,14 @@ def append_manifest(existing_rows: DataFrame, rows: DataFrame, allow_overwrite:
 
 def read_class_names(spark: SparkSession, path: str) -> DataFrame:
     """(class_id, label) from ``id: name`` lines of a dataset file, or from plain lines by number."""
-    lines = spark.read.option("wholetext", True).text(path).select(F.posexplode(F.split(F.rtrim("value"), "\n")).alias("n", "value")).where("length(trim(value)) > 0")
+    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split(F.rtrim("value"), "\n")).alias("n", "value")).where("length(trim(value)) > 0")
     keyed = lines.select(F.regexp_extract("value", r"^\s*(\d+):\s*['\"]?(.*?)['\"]?\s*$", 1).try_cast("int").alias("class_id"), F.regexp_extract("value", r"^\s*(\d+):\s*['\"]?(.*?)['\"]?\s*$", 2).alias("label")).where("class_id is not null")
     return keyed if path.endswith((".yaml", ".yml")) else lines.select(F.col("n").alias("class_id"), F.trim("value").alias("label"))
 
 
 def read_decisions(spark: SparkSession, path: str) -> DataFrame:
     """Decision files, one JSON object each; unreadable ones are skipped. extra holds the source's other fields."""
-    raw = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("file"), F.try_parse_json("value").alias("v")).where("v is not null and schema_of_variant(v) like 'OBJECT%'")
+    raw = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.try_parse_json("value").alias("v")).where("v is not null and schema_of_variant(v) like 'OBJECT%'")
     get = lambda p, t="string": F.try_variant_get("v", p, t)
     fixed = ["sample_id", "class_name", "class_id", "image_path", "bbox"]
     extra = F.map_filter(get("$.provenance.source", "map<string,string>"), lambda k, _: ~k.isin(fixed))
@@ -122,7 +122,7 @@ def read_decisions(spark: SparkSession, path: str) -> DataFrame:
 
 def read_provenance(spark: SparkSession, path: str) -> DataFrame:
     """One record per lookup key: sample_id, and source.sample_id where no record has that key itself; the first line wins."""
-    raw = spark.read.option("wholetext", True).text(path).select(F.posexplode(F.split("value", "\n")).alias("line", "value"))
+    raw = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("line", "value"))
     rows = raw.select("line", F.try_parse_json("value").alias("record")).where("record is not null")
     key = lambda p, n: rows.select(F.try_variant_get("record", p, "string").alias("key"), F.lit(n).alias("priority"), "line", F.to_json("record").alias("record"))
     both = key("$.sample_id", 0).union(key("$.source.sample_id", 1)).where("key is not null")

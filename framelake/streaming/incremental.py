@@ -15,8 +15,8 @@ def collect_events(spark: SparkSession, stream: DataFrame, target: str, checkpoi
     fresh = stream.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["id"])
 
     def store(batch: DataFrame, number: int) -> None:
-        known = _table(spark, target, batch.schema)
-        new = batch.join(known.select("id"), "id", "left_anti").select(*batch.columns).withColumn("_batch", F.lit(number))
+        known = _table(spark, target, "id string")
+        new = batch.join(known, "id", "left_anti").select(*batch.columns).withColumn("_batch", F.lit(number))
         # a batch that is run again replaces its own rows
         new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(target)
 
@@ -33,7 +33,7 @@ def motion_windows(stream: DataFrame, threshold: float, gap: int = 60, delay: st
 def store_motion_windows(spark: SparkSession, windows: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
     def store(batch: DataFrame, number: int) -> None:
         found = batch.withColumn("covered", F.lit(False))
-        known = _table(spark, target, batch.schema)
+        known = _table(spark, target, "camera string, start double")
         new = sessions.store_windows(known, found).drop("covered").withColumn("_batch", F.lit(number))
         new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(target)
 
@@ -45,8 +45,9 @@ def audit_objects(spark: SparkSession, stream: DataFrame, segments: DataFrame, v
     keys = ["object_id", "sample_hash", "sam_key", "vlm_key", "pipeline_version"]
 
     def store(batch: DataFrame, number: int) -> None:
-        done = _table(spark, target, None)
-        todo = batch if done is None else batch.join(done.where(F.col("status").isin("KEEP", "DROP") & (F.col("_batch") != number)).select(*keys), keys, "left_anti")
+        done = _table(spark, target, ", ".join(f"{k} string" for k in keys) + ", status string, _batch long")
+        final = done.where(F.col("status").isin("KEEP", "DROP") & (F.col("_batch") != number))
+        todo = batch.join(final.select(*keys), keys, "left_anti")
         decided = reconcile.decide(todo.dropDuplicates(keys), segments, verdicts, **options)
         out = decided.select(*keys, "feed_label", "status", "reason", "failing_conditions", "training_label").withColumn("_batch", F.lit(number))
         out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(target)
@@ -54,11 +55,9 @@ def audit_objects(spark: SparkSession, stream: DataFrame, segments: DataFrame, v
     return stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def _table(spark: SparkSession, path: str, schema) -> DataFrame | None:
-    """The table at a path, or an empty one before the first batch."""
+def _table(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The named columns of the table at a path, none before the first batch."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     if where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
-        return spark.read.parquet(path)
-    return spark.createDataFrame([], schema) if schema is not None else None
-
-
+        return spark.read.schema(schema).parquet(path)
+    return spark.createDataFrame([], schema)
