@@ -47,10 +47,16 @@ def average_precision(matches: DataFrame, truths: DataFrame, keys=("candidate",)
     match get 0; classes without truths have no row.
     """
     group = [*keys, "label", "threshold"]
-    order = Window.partitionBy(*group).orderBy(F.desc("confidence"), "prediction_id")
-    run = order.rowsBetween(Window.unboundedPreceding, 0)
-    hit = F.col("truth_id").isNotNull().cast("int")
-    curve = matches.withColumns({"tp": F.sum(hit).over(run), "k": F.count(F.lit(1)).over(run), "all": F.sum(hit).over(Window.partitionBy(*group))})
+    hit = F.col("truth_id").isNotNull().cast("long")
+    # running counts in two steps: within bands of confidence, and over the at most 1001 bands before, so that a
+    # class with most of the predictions is not one task's work
+    banded = matches.select(*group, "confidence", "prediction_id", hit.alias("hit"), F.floor(F.col("confidence") * 1000).alias("band"))
+    sums = banded.groupBy(*group, "band").agg(F.sum("hit").alias("band_tp"), F.count(F.lit(1)).alias("band_n"))
+    before = Window.partitionBy(*group).orderBy(F.desc("band")).rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(*group, "band", F.coalesce(F.sum("band_tp").over(before), F.lit(0)).alias("tp0"), F.coalesce(F.sum("band_n").over(before), F.lit(0)).alias("k0"), F.sum("band_tp").over(Window.partitionBy(*group)).alias("all"))
+    run = Window.partitionBy(*group, "band").orderBy(F.desc("confidence"), "prediction_id").rowsBetween(Window.unboundedPreceding, 0)
+    curve = banded.withColumns({"tp": F.sum("hit").over(run), "k": F.count(F.lit(1)).over(run)}).join(sums, [*group, "band"])
+    curve = curve.withColumns({"tp": F.col("tp") + F.col("tp0"), "k": F.col("k") + F.col("k0")})
     counts = truths.groupBy(*keys, "label").agg(F.count(F.lit(1)).alias("n_truths"))
     base = F.col("all") if recall_base == "matched" else F.col("n_truths")
     curve = curve.join(counts, [*keys, "label"]).where(F.col("all") > 0).withColumn("last", F.least(F.lit(100), F.floor(F.col("tp") * 100 / base + 1e-9)).cast("int"))

@@ -6,20 +6,27 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def motion_windows(motion: DataFrame, threshold: float, gap: float | None = 60.0) -> DataFrame:
+def _islands(spans: DataFrame, keys: list[str], gap: float) -> DataFrame:
+    """Merges spans (start, end, peak_motion, buckets) whose start lies within ``gap`` of the latest end before."""
+    order = Window.partitionBy(*keys).orderBy("start")
+    before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    numbered = spans.withColumn("_new", F.when(F.col("start") - before > gap, 1).otherwise(0))
+    numbered = numbered.withColumn("_w", F.sum("_new").over(order.rangeBetween(Window.unboundedPreceding, 0)))
+    return numbered.groupBy(*keys, "_w").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.max("peak_motion").alias("peak_motion"), F.sum("buckets").alias("buckets")).drop("_w")
+
+
+def motion_windows(motion: DataFrame, threshold: float, gap: float | None = 60.0, chunk: float = 86400.0) -> DataFrame:
     """Windows of motion per camera: buckets at or above the threshold, merged while the next starts within ``gap``
-    of the last one's end (a bucket lasts a second). Returns camera, start, end, peak_motion, buckets."""
+    of the last one's end (a bucket lasts a second). Returns camera, start, end, peak_motion, buckets.
+
+    Buckets are merged within chunks of time first, so a camera with most of the rows is spread over its days; only the
+    chunks' windows meet by camera.
+    """
     gap = gap or 60.0
-    by_camera = Window.partitionBy("camera").orderBy("start_time")
+    start = F.col("start_time").cast("double")
     loud = motion.where((F.col("motion") >= threshold) & F.col("start_time").isNotNull())
-    # the running maximum is the previous start, as starts are sorted
-    far = F.col("start_time") - (F.lag("start_time").over(by_camera) + 1.0) > gap
-    numbered = loud.withColumn("_new", F.when(far, 1).otherwise(0)).withColumn(
-        "_w", F.sum("_new").over(by_camera.rangeBetween(Window.unboundedPreceding, 0))
-    )
-    return numbered.groupBy("camera", "_w").agg(
-        F.min("start_time").cast("double").alias("start"), (F.max("start_time") + 1.0).alias("end"), F.max("motion").alias("peak_motion"), F.count(F.lit(1)).alias("buckets")
-    ).drop("_w")
+    spans = loud.select("camera", F.floor(start / chunk).alias("_chunk"), start.alias("start"), (start + 1.0).alias("end"), F.col("motion").alias("peak_motion"), F.lit(1).cast("long").alias("buckets"))
+    return _islands(_islands(spans, ["camera", "_chunk"], gap).drop("_chunk"), ["camera"], gap)
 
 
 def mark_covered(windows: DataFrame, samples: DataFrame, bin_seconds: float = 3600.0) -> DataFrame:
