@@ -97,7 +97,8 @@ def event_ids(reviews: DataFrame, detections: str | Column = "data") -> DataFram
     kind = dict(reviews.dtypes)[detections] if isinstance(detections, str) else "array<string>"
     ids = F.col(detections) if isinstance(detections, str) else detections
     if kind == "variant":
-        items = F.coalesce(F.nullif(F.try_variant_get(ids, "$.detections", "array<variant>"), F.array().cast("array<variant>")) if False else F.try_variant_get(ids, "$.detections", "array<variant>"), F.try_variant_get(ids, "$.objects", "array<variant>"))
+        first, second = (F.try_variant_get(ids, p, "array<variant>") for p in ("$.detections", "$.objects"))
+        items = F.when(F.size(first) > 0, first).otherwise(second)
         ids = F.transform(items, lambda v: F.coalesce(F.try_variant_get(v, "$.id", "string"), F.when(~F.schema_of_variant(v).startswith("OBJECT"), F.try_variant_get(v, "$", "string"))))
     found = reviews.select(F.col("start_time"), F.col("id").alias("review_id"), F.posexplode(ids).alias("pos", "event_id")).where("event_id is not null and event_id <> ''")
     return found.groupBy("event_id").agg(F.min(F.struct((-F.col("start_time")).alias("t"), "review_id", "pos")).alias("first"))
