@@ -19,10 +19,13 @@ STOP_WORDS = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr b bdi bdo cite code del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 RAW = frozenset("script style noscript template textarea title svg math iframe object select".split())
-DROPPED = frozenset("head nav footer aside form button menu dialog script style noscript template textarea title svg math iframe object select figure canvas".split())
+DROPPED = frozenset("head nav footer aside form button menu dialog script style noscript template textarea title svg math iframe object select canvas".split())
 PRIORITY = frozenset(("article", "main"))
 #: Parts of class and id values that mark boilerplate.
-MARKED = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|cookies?|consent|disqus|footer|header|menu|nav|navbar|navigation|newsletter|notice|popup|promo\w*|related|replies|respond|share|sharing|sidebar|social|sponsor\w*|subscribe|widget)(?:[\s_-]|$)", re.I)
+MARKED = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|cookies?|consent|disqus|footer|menu|nav|navbar|navigation|newsletter|notice|popup|promo\w*|related|replies|respond|share|sharing|sidebar|social|sponsor\w*|subscribe|widget)(?:[\s_-]|$)", re.I)
+#: The page's headers go, an article's own header stays.
+HEADER = re.compile(r"(?:^|[\s_-])header(?:[\s_-]|$)", re.I)
+HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 ROLES = re.compile(r"^(?:navigation|banner|contentinfo|complementary|search|dialog|alert|menu)$", re.I)
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)|[^<]+|<", re.S)
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
@@ -30,10 +33,10 @@ SHORT, LONG, STOP_LOW, STOP_HIGH, LINK_HIGH = 70, 200, 0.20, 0.30, 0.3
 
 
 class Block:
-    __slots__ = ("parts", "linked", "inside", "dropped", "label")
+    __slots__ = ("parts", "linked", "inside", "dropped", "heading", "label")
 
-    def __init__(self, inside: bool, dropped: bool):
-        self.parts, self.linked, self.inside, self.dropped, self.label = [], 0, inside, dropped, ""
+    def __init__(self, inside: bool, dropped: bool, heading: bool):
+        self.parts, self.linked, self.inside, self.dropped, self.heading, self.label = [], 0, inside, dropped, heading, ""
 
     def text(self) -> str:
         return " ".join("".join(self.parts).split())
@@ -48,7 +51,7 @@ def _boilerplate(tag: str, attributes: str, inside: bool) -> bool:
         name, value = name.lower(), a or b or c
         if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "role" and ROLES.match(value)):
             return True
-        if name in ("class", "id") and tag not in PRIORITY and MARKED.search(value):
+        if name in ("class", "id") and tag not in PRIORITY and (MARKED.search(value) or (not inside and HEADER.search(value))):
             return True
     return False
 
@@ -57,7 +60,7 @@ def blocks_of(page: str) -> list[Block]:
     """Text blocks in page order. Open elements are kept on a stack; missing end tags end with their parent."""
     stack: list[tuple[str, bool, bool]] = []  # tag, dropped, inside article or main
     done: list[Block] = []
-    now = Block(False, False)
+    now = Block(False, False, False)
     links = 0
     raw = None
 
@@ -65,7 +68,7 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal now
         if now.parts:
             done.append(now)
-        now = Block(stack[-1][2], stack[-1][1]) if stack else Block(False, False)
+        now = Block(stack[-1][2], stack[-1][1], stack[-1][0] in HEADINGS) if stack else Block(False, False, False)
 
     for m in TOKEN.finditer(page):
         tag = m[2]
@@ -161,7 +164,8 @@ def main_text(page: str | None) -> str:
     after.reverse()
     for b, left, right in zip(blocks, before, after):
         if b.label == "short":
-            b.label = "good" if left == right == "good" else "bad"
+            # a heading belongs to what follows it
+            b.label = "good" if right == "good" and (b.heading or left == "good") else "bad"
         elif b.label == "near":
             b.label = "bad" if left == right == "bad" and any(decided) and "good" in decided else "good"
     return "\n".join(b.text() for b in blocks if b.label == "good")

@@ -16,6 +16,13 @@ def test_two_passes_without_a_marked_article():
     assert htmltext.main_text(page) == "\n".join([f"{STORY} {STORY}", "A short one", f"{STORY} {STORY}"])
 
 
+def test_headings_captions_and_headers():
+    page = f'<body><header><h1>Site</h1></header><div class="page-header">Name</div><h2>Title</h2><p>{STORY} {STORY}</p><h3>Comments</h3><div class="comments"><p>{STORY}</p></div></body>'
+    assert htmltext.main_text(page) == f"Title\n{STORY} {STORY}"
+    page = f'<main><div class="post-header"><h1>T</h1></div><figure><img><figcaption>cap</figcaption></figure><p>{STORY}</p><p class="notice">n</p></main>'
+    assert htmltext.main_text(page) == f"T\ncap\n{STORY}"
+
+
 def test_broken_markup():
     assert htmltext.main_text(None) == htmltext.main_text("") == htmltext.main_text("<") == ""
     assert htmltext.main_text("<article><p>open <b>end") == "open end"
