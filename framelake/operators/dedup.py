@@ -58,18 +58,18 @@ def suppress_duplicates(frames: DataFrame, pairs: DataFrame, store=None) -> Data
     store = store or _checkpointed
     place = F.struct("ts", "event_id", "frame_index", "id")
     order = frames.select("id", place.alias("p"))
-    earlier = pairs.join(order.select(F.col("id").alias("a"), F.col("p").alias("pa")), "a").join(order.select(F.col("id").alias("b"), F.col("p").alias("pb")), "b")
+    earlier = pairs.join(order.select(F.col("id").alias("a"), F.col("p").alias("pa")).hint("merge"), "a").join(order.select(F.col("id").alias("b"), F.col("p").alias("pb")).hint("merge"), "b")
     edges = store(earlier.select(F.when(F.col("pa") < F.col("pb"), F.col("b")).otherwise(F.col("a")).alias("later"), F.when(F.col("pa") < F.col("pb"), F.col("a")).otherwise(F.col("b")).alias("sooner")).distinct())
     state = store(edges.select(F.col("later").alias("id")).distinct().withColumn("kept", F.lit(None).cast("boolean")))
     while state.where("kept is null").take(1):
         # frames that are never the later one of a pair are kept from the start
-        seen = edges.join(state.select(F.col("id").alias("sooner"), F.col("kept").alias("k"), F.lit(True).alias("in_state")), "sooner", "left")
+        seen = edges.join(state.select(F.col("id").alias("sooner"), F.col("kept").alias("k"), F.lit(True).alias("in_state")).hint("merge"), "sooner", "left")
         fact = seen.withColumn("k", F.when(F.col("in_state").isNull(), F.lit(True)).otherwise(F.col("k"))).groupBy(F.col("later").alias("id")).agg(
             F.bool_or(F.coalesce("k", F.lit(False))).alias("hit"), F.bool_or(F.col("k").isNull()).alias("open")
         )
         decided = F.when(F.col("kept").isNotNull(), F.col("kept")).when(F.col("hit"), False).when(~F.col("open"), True)
-        state = store(state.join(fact, "id").select("id", decided.alias("kept")))
-    return frames.join(state, "id", "left").withColumn("kept", F.coalesce("kept", F.lit(True)))
+        state = store(state.join(fact.hint("merge"), "id").select("id", decided.alias("kept")))
+    return frames.join(state.hint("merge"), "id", "left").withColumn("kept", F.coalesce("kept", F.lit(True)))
 
 
 def _checkpointed(df: DataFrame) -> DataFrame:

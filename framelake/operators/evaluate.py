@@ -55,18 +55,18 @@ def average_precision(matches: DataFrame, truths: DataFrame, keys=("candidate",)
     before = Window.partitionBy(*group).orderBy(F.desc("band")).rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select(*group, "band", F.coalesce(F.sum("band_tp").over(before), F.lit(0)).alias("tp0"), F.coalesce(F.sum("band_n").over(before), F.lit(0)).alias("k0"), F.sum("band_tp").over(Window.partitionBy(*group)).alias("all"))
     run = Window.partitionBy(*group, "band").orderBy(F.desc("confidence"), "prediction_id").rowsBetween(Window.unboundedPreceding, 0)
-    curve = banded.withColumns({"tp": F.sum("hit").over(run), "k": F.count(F.lit(1)).over(run)}).join(sums, [*group, "band"])
+    curve = banded.withColumns({"tp": F.sum("hit").over(run), "k": F.count(F.lit(1)).over(run)}).join(sums.hint("merge"), [*group, "band"])
     curve = curve.withColumns({"tp": F.col("tp") + F.col("tp0"), "k": F.col("k") + F.col("k0")})
     counts = truths.groupBy(*keys, "label").agg(F.count(F.lit(1)).alias("n_truths"))
     base = F.col("all") if recall_base == "matched" else F.col("n_truths")
-    curve = curve.join(counts, [*keys, "label"]).where(F.col("all") > 0).withColumn("last", F.least(F.lit(100), F.floor(F.col("tp") * 100 / base + 1e-9)).cast("int"))
+    curve = curve.join(counts.hint("merge"), [*keys, "label"]).where(F.col("all") > 0).withColumn("last", F.least(F.lit(100), F.floor(F.col("tp") * 100 / base + 1e-9)).cast("int"))
     # the best precision at or after each recall level: one maximum per level, then a running maximum over at most 101 rows
     levels = curve.groupBy(*group, "last").agg(F.max(F.col("tp") / F.col("k")).alias("p"))
     grid = levels.groupBy(*group).agg(F.map_from_entries(F.collect_list(F.struct("last", "p"))).alias("m"))
     best = F.transform(F.sequence(F.lit(0), F.lit(100)), lambda r: F.coalesce(F.array_max(F.map_values(F.map_filter("m", lambda k, v: k >= r))), F.lit(0.0)))
     ap = grid.select(*group, (F.aggregate(best, F.lit(0.0), lambda a, x: a + x) / 101).alias("ap"))
     every = counts.crossJoin(F.broadcast(matches.select("threshold").distinct()))  # at most a few thresholds
-    return every.join(ap, group, "left").select(*group, "n_truths", F.coalesce("ap", F.lit(0.0)).alias("ap"))
+    return every.join(ap.hint("merge"), group, "left").select(*group, "n_truths", F.coalesce("ap", F.lit(0.0)).alias("ap"))
 
 
 def class_metrics(predictions: DataFrame, truths: DataFrame, matches: DataFrame, keys=("candidate",), ap50: DataFrame | None = None) -> DataFrame:
@@ -74,7 +74,7 @@ def class_metrics(predictions: DataFrame, truths: DataFrame, matches: DataFrame,
     predictions count as no false positives."""
     own = matches.where("threshold = 0.5").groupBy(*keys, "label").agg(F.count("truth_id").alias("tp"), F.count(F.lit(1)).alias("n_predictions"))
     counts = truths.groupBy(*keys, "label").agg(F.count(F.lit(1)).alias("n_truths"))
-    out = own.join(counts, [*keys, "label"], "full").fillna(0, ["tp", "n_predictions", "n_truths"])
+    out = own.join(counts.hint("merge"), [*keys, "label"], "full").fillna(0, ["tp", "n_predictions", "n_truths"])
     out = out.withColumns({"tp": F.when(F.col("n_truths") > 0, F.col("tp")).otherwise(0), "fp": F.when(F.col("n_truths") > 0, F.col("n_predictions") - F.col("tp")).otherwise(0)})
     p, r = boxes.ratio(F.col("tp"), F.col("tp") + F.col("fp")), boxes.ratio(F.col("tp"), F.col("n_truths"))
     out = out.withColumns({"precision": p, "recall": r})
@@ -88,7 +88,7 @@ def small_recall(truths: DataFrame, matches: DataFrame, keys=("candidate",), mos
     """Share of truths below an area that some prediction takes at IoU 0.5."""
     taken = matches.where("threshold = 0.5 and truth_id is not null").select(*keys, "truth_id").distinct().withColumn("_hit", F.lit(1))
     small = truths.where(boxes.area(boxes.box("x1", "y1", "x2", "y2")) < most)
-    joined = small.join(taken, [*keys, "truth_id"], "left")
+    joined = small.join(taken.hint("merge"), [*keys, "truth_id"], "left")
     return joined.groupBy(*keys).agg(F.count(F.lit(1)).alias("small_truths"), F.count("_hit").alias("small_found")).withColumn("small_recall", F.col("small_found") / F.col("small_truths"))
 
 

@@ -35,8 +35,8 @@ def mark_covered(windows: DataFrame, samples: DataFrame, bin_seconds: float = 36
     bins = F.sequence(F.floor(F.col("start") / bin_seconds), F.floor(F.col("end") / bin_seconds))
     spread = windows.select("camera", "start", "end", F.explode(bins).alias("_bin"))
     points = samples.where("ts is not null").select("camera", F.col("ts").alias("_ts"), F.floor(F.col("ts") / bin_seconds).alias("_bin")).distinct()
-    hit = spread.join(points, ["camera", "_bin"]).where("_ts between start and end").select("camera", "start", F.lit(True).alias("covered")).distinct()
-    return windows.join(hit, ["camera", "start"], "left").withColumn("covered", F.coalesce("covered", F.lit(False)))
+    hit = spread.join(points.hint("merge"), ["camera", "_bin"]).where("_ts between start and end").select("camera", "start", F.lit(True).alias("covered")).distinct()
+    return windows.join(hit.hint("merge"), ["camera", "start"], "left").withColumn("covered", F.coalesce("covered", F.lit(False)))
 
 
 def uncovered(windows: DataFrame) -> DataFrame:

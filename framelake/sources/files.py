@@ -20,16 +20,17 @@ def import_coco(files: DataFrame, classes: list[str], class_map: dict[str, str]
     names = files.select(F.explode("categories").alias("c")).select(F.col("c.id").alias("category_id"), F.col("c.name").alias("name"))
     renamed = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in class_map.items() for x in kv]), F.col("name")), F.col("name")) if class_map else F.col("name")
     names = names.select("category_id", F.when(renamed.isin(classes), renamed).alias("label"))
-    objects = found.join(names, "category_id", "left").join(images, "image_id").withColumn("box", boxes.coco_box(F.col("bbox"), F.col("w"), F.col("h")))
+    # the categories are a class table, small by nature
+    objects = found.join(F.broadcast(names), "category_id", "left").join(images.hint("merge"), "image_id").withColumn("box", boxes.coco_box(F.col("bbox"), F.col("w"), F.col("h")))
     mapped = objects.where("label is not null and box is not null")
     here = images.join(present.select("file_name"), "file_name", "left_semi") if present is not None else images
     first = mapped.groupBy("image_id").agg(F.min_by("label", "pos").alias("feed_label"))
-    samples = here.join(first, "image_id").select(F.concat(F.lit(f"{source}-"), F.col("image_id").cast("string")).alias("id"), F.col("file_name").alias("image_path"), "feed_label", F.lit(0).alias("verified"))
-    kept = mapped.join(samples.select(F.col("image_path").alias("file_name")), "file_name", "left_semi")
+    samples = here.join(first.hint("merge"), "image_id").select(F.concat(F.lit(f"{source}-"), F.col("image_id").cast("string")).alias("id"), F.col("file_name").alias("image_path"), "feed_label", F.lit(0).alias("verified"))
+    kept = mapped.join(samples.select(F.col("image_path").alias("file_name")).hint("merge"), "file_name", "left_semi")
     annotations = kept.select(F.concat(F.lit(f"{source}-a"), F.col("ann_id").cast("string")).alias("id"), F.concat(F.lit(f"{source}-"), F.col("image_id").cast("string")).alias("sample_id"), F.lit(source).alias("source"), "label", "box.*", "confidence", F.lit(1).alias("verified"))
     count = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
     summary = count(images, "images").crossJoin(count(found, "objects")).crossJoin(count(objects.where("label is null or box is null"), "skipped_unmapped")).crossJoin(count(samples, "written"))
-    missing = count(images.join(here.select("image_id"), "image_id", "left_anti"), "skipped_missing")
+    missing = count(images.join(here.select("image_id").hint("merge"), "image_id", "left_anti"), "skipped_missing")
     return samples, annotations, summary.crossJoin(missing)  # one row each
 
 
