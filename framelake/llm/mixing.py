@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .io import stored
+from .io import discard, stored
 
 #: Words are runs of characters other than space and U+0009 to U+000D.
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -78,6 +78,7 @@ def mix_sources(
     within = Window.partitionBy("skey", "cell").orderBy("turn", "size")
     queued = thin.withColumn("within", F.sum("size").over(within)).join(offsets.hint("merge"), ["skey", "cell"])
     queued = stored(queued.withColumn("place", F.col("offset") + F.col("within")).drop("offset", "within", "cell"), "mix-queue")
+    discard(thin)
 
     def finish(epoch) -> Column:
         return (F.col("place") + F.col("source_size") * epoch) / F.col("weight")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .graph import components
-from .io import null_ids, stored, table, with_ids
+from .io import discard, null_ids, stored, table, with_ids
 from .words import Words, chunks, encoded, gram_hashes, mix, white_space
 
 #: 64 bits in this many blocks; fingerprints within MAX_BITS share at least BLOCKS - MAX_BITS whole blocks.
@@ -145,6 +145,7 @@ def near_duplicates(docs: DataFrame, words: int = 4, blocks: int = BLOCKS, bits:
     roots = components(near_links(nodes, blocks, bits, tile))
     rooted = nodes.join(roots.hint("merge"), nodes["fp"] == roots["u"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     rooted = stored(rooted, "simhash-rooted")
+    discard(nodes)
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     by_print = rooted.join(named.hint("merge"), "root").select("fp", "component_id")
     # a hot fingerprint is a skewed side of this sort-merge join, which adaptive execution splits
@@ -271,6 +272,7 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, til
     rooted = nodes.join(roots.hint("merge"), nodes["id"] == roots["u"], "left").select("fp", "least", F.coalesce("root", "id").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     by_print = stored(rooted.join(named.hint("merge"), "root").select("fp", "component_id"), "simhash-rooted")
+    discard(nodes)
     return prints.join(by_print.hint("merge"), "fp").select("doc_id", "component_id")
 
 

@@ -151,8 +151,8 @@ def _cleaned(window: int):
     return rows
 
 
-def repeated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_words: int = SHARD_WORDS, hot_key: int = HOT_KEY) -> DataFrame:
-    """(did, tk, start, mask): windows that occur at more than one place, as bits from word ``start`` of a text.
+def repeated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_words: int = SHARD_WORDS, hot_key: int = HOT_KEY) -> tuple[DataFrame, list[DataFrame]]:
+    """(did, tk, start, mask) with the stored tables that it reads: windows that occur at more than one place, as bits from word ``start`` of a text.
 
     1. Every text is cut into runs of windows with the same smallest gram hash, the key. Equal windows have equal keys,
        so only keys that occur twice can hold repeated windows. Keys are counted over all documents.
@@ -168,6 +168,7 @@ def repeated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_word
     # rows that are equal in doc_id and text stay apart here, so that each is an occurrence of its own
     parts = stored(picked.mapInPandas(_segments(window, gram), "did long, tk long, key long, hot boolean, start int, body binary"), "substring-segments")
     discard(found)
+    discard(twice)
     cold = parts.where(~F.col("hot")).select("did", "tk", "key", "start", "body").repartition("key").sortWithinPartitions("key")
     cold = cold.mapInPandas(_index_shards(window, shard_words), "did long, tk long, start int, mask long")
     hot = parts.where("hot").withColumn("sd", F.md5("body"))
@@ -175,7 +176,7 @@ def repeated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_word
     windows = kinds.mapInPandas(_window_digests(window), "sd string, at int, w1 long, w2 long, n long")
     again = windows.groupBy("w1", "w2").agg(F.sum("n").alias("times")).where("times > 1")
     masks = windows.join(again.hint("merge"), ["w1", "w2"], "left_semi").groupBy("sd").agg(F.expr("bit_or(shiftleft(1L, at))").alias("mask"))
-    return cold.union(hot.join(masks.hint("merge"), "sd").select("did", "tk", "start", "mask"))
+    return cold.union(hot.join(masks.hint("merge"), "sd").select("did", "tk", "start", "mask")), [parts]
 
 
 def without_repeats(docs: DataFrame, **options) -> DataFrame:
@@ -185,8 +186,10 @@ def without_repeats(docs: DataFrame, **options) -> DataFrame:
     no words; texts under 35 words stay whole; equal rows are copies of each other; an empty table gives no rows.
     """
     keyed = docs.select("text", F.coalesce("doc_id", F.lit(NO_ID)).alias("did"), F.xxhash64("text").alias("tk"))
-    spans = repeated(keyed.select("did", "tk", "text"), **options).distinct()
-    spans = stored(spans.groupBy("did", "tk").agg(F.collect_list(F.struct("start", "mask")).alias("found")), "substring-spans")
+    spans, used = repeated(keyed.select("did", "tk", "text"), **options)
+    spans = stored(spans.distinct().groupBy("did", "tk").agg(F.collect_list(F.struct("start", "mask")).alias("found")), "substring-spans")
+    for part in used:
+        discard(part)
     merged = keyed.join(spans.hint("merge"), ["did", "tk"], "left").select(F.col("did").alias("doc_id"), "text", "found")
     return null_ids(merged.mapInPandas(_cleaned(options.get("window", WINDOW)), "doc_id long, n_words long, n_removed long, kept string"), "doc_id")
 
