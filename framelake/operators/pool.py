@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from ..functions import times
 
 VERDICTS = ("useful", "bad", "duplicate", "ignore")
-DAY = 86400.0
 
 
 def _all(conditions: list[Column]) -> Column:

@@ -15,7 +15,6 @@ from .views import duck_sql, spark_view
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 CLASSES = ["person", "car", "dog"]
-BOX = "concat_ws(' ', {0})"
 
 
 class Tables:
