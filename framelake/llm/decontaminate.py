@@ -1,80 +1,81 @@
-"""Benchmark decontamination: rare n-gram seeds join passages to test items, local alignment scores them."""
+"""Benchmark decontamination: pairs of words seed stretches of a document, local alignment scores them."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .io import NO_ID, stored, table
+from .io import NO_ID, discard, stored, table
 from .words import Words, chunks, encoded, gram_hashes, not_alphanumeric
 
-#: Words of a seed. Items with fewer words have no seed and are never reported.
-SEED_WORDS = 4
-#: Words kept around the seeds of a passage; seeds further apart than this begin a new passage.
-MARGIN = 80
-#: A seed is rare if it occurs in at most this many times as many documents as the median seed of its item.
-COMMON = 4
+#: Words of a seed.
+SEED_WORDS = 2
+#: Items with fewer words are never reported.
+LEAST_ITEM = 4
 #: Alignment scores: equal words, different words, one word more or less.
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Reported: this share of the best possible score of the item, or a run of this many equal words.
 LEAST_SHARE, LEAST_WORDS = 0.6, 13
+#: An alignment with LEAST_WORDS equal words is also reported at this share of the best score of its own stretch.
+DENSE = 0.8
 #: Seeds of the benchmark that a task holds at once; a larger benchmark is taken in parts, with a scan for each.
 SEEDS_AT_ONCE = 4_000_000
+#: (seed, item) pairs that a task expands at once, beyond a single document.
+PAIRS_AT_ONCE = 2_000_000
 
 
 def _lowered(text: str | None) -> bytes:
     return encoded(text.lower()) if text else b""
 
 
-def item_seeds(items: DataFrame, n: int = SEED_WORDS) -> DataFrame:
-    """(item_id, gram, offset) of all n-grams, and the items' words as hashes."""
+def item_words(items: DataFrame) -> DataFrame:
+    """(item_id, item, n): the items' words as hashes, and their number."""
 
     def rows(batches) -> Iterator:
         import pandas as pd
 
         for batch in batches:
-            out = []
-            for item, text in zip(batch["item_id"], batch["text"]):
-                hashes = Words([_lowered(text)], not_alphanumeric()).hashes
-                out.append((item, gram_hashes(hashes, n).view(np.int64), hashes.view(np.int64).tobytes()))
-            yield pd.DataFrame(out, columns=["item_id", "grams", "item"])
+            hashes = [Words([_lowered(text)], not_alphanumeric()).hashes for text in batch["text"]]
+            yield pd.DataFrame({"item_id": batch["item_id"], "item": [h.tobytes() for h in hashes], "n": [len(h) for h in hashes]})
 
-    return items.select("item_id", "text").mapInPandas(rows, "item_id long, grams array<long>, item binary")
+    return items.select(F.coalesce("item_id", F.lit(NO_ID)).alias("item_id"), "text").mapInPandas(rows, "item_id long, item binary, n int")
 
 
-def _passages(seeds, n: int, margin: int):
-    """Stretches around known seeds: (did, tk, start, words as hashes, seeds, their places)."""
+def bounds(m: int, share: float, least: int) -> tuple[int, int, float]:
+    """What every reported alignment with an item of m words has: seeds, passage words at most, equal words + seeds + 1.
 
-    def rows(batches) -> Iterator:
-        import pandas as pd
+    M equal words and E others score 2M - E and lie in at most E + 1 runs, so they hold at least M - E - 1 seeds and
+    score at most M + seeds + 1. At a share s of 2m that leaves (2s - 1)m - 1 seeds in at most (3 - 2s)m words; a dense
+    stretch of ``least`` equal words has E <= 0.4M.
+    """
+    dense = math.ceil((2 * DENSE - 1) * least - 1 - 1e-9)
+    seeds = max(1, min(math.ceil((2 * share - 1) * m - 1 - 1e-9), dense))
+    return seeds, math.ceil((3 - 2 * share) * m) + 1, min(MATCH * share * m - 1e-9, least + dense + 1)
 
-        known = seeds.value
-        for batch in batches:
-            texts = [_lowered(t) for t in batch["text"]]
-            out = []
-            for a, b in chunks(texts):
-                words = Words(texts[a:b], not_alphanumeric())
-                grams = gram_hashes(words.hashes, n)
-                if not len(grams) or not len(known):
-                    continue
-                where = np.minimum(np.searchsorted(known, grams), len(known) - 1)
-                at = np.flatnonzero(known[where] == grams)
-                row = np.searchsorted(words.first, at, side="right") - 1
-                inside = at + n <= words.first[row + 1]
-                at, row = at[inside], row[inside]
-                if not len(at):
-                    continue
-                new = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (at[1:] - at[:-1] > margin)]))
-                for i, j in zip(new.tolist(), np.append(new[1:], len(at)).tolist()):
-                    r = row[i]
-                    lo, hi = max(words.first[r], at[i] - margin), min(words.first[r + 1], at[j - 1] + n + margin)
-                    out.append((batch["did"].iat[a + r], batch["tk"].iat[a + r], int(lo - words.first[r]), words.hashes[lo:hi].tobytes(), grams[at[i:j]].view(np.int64), (at[i:j] - lo).astype(np.int32)))
-            yield pd.DataFrame(out, columns=["did", "tk", "start", "words", "grams", "places"])
 
-    return rows
+def _index(ids: np.ndarray, items: list[np.ndarray], share: float, least: int) -> dict:
+    """Seeds of these items, sorted, with the items of each.
+
+    An item that needs t seeds may do without its t // 2 commonest ones: t - t // 2 of the others are there all the same.
+    """
+    grams = [gram_hashes(x, SEED_WORDS) for x in items]
+    kinds, times = np.unique(np.concatenate([np.unique(g) for g in grams]), return_counts=True)
+    limits = [bounds(len(x), share, least) for x in items]
+    kept = []
+    for g, (seeds, _, _) in zip(grams, limits):
+        order = np.argsort(times[np.searchsorted(kinds, g)], kind="stable")
+        kept.append(np.unique(g[order[: len(g) - seeds // 2]]))
+    gram, owner = np.concatenate(kept), np.repeat(np.arange(len(kept), dtype=np.int32), [len(k) for k in kept])
+    order = np.argsort(gram, kind="stable")
+    known, first = np.unique(gram[order], return_index=True)
+    return {
+        "ids": ids, "items": items, "known": known, "first": np.append(first, len(gram)), "owner": owner[order],
+        "hits": np.array([s - s // 2 for s, _, _ in limits]), "span": np.array([w for _, w, _ in limits]), "need": [x for _, _, x in limits],
+    }
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int, int]:
@@ -101,66 +102,122 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int, int]:
     return best, int(j), end, equal
 
 
-def _scored(share: float, least: int):
+def _stretches(words: Words, grams: np.ndarray, index: dict) -> Iterator[tuple[int, int, int, int]]:
+    """(text, item, first word, end word) of all stretches that hold the seeds an item needs, close enough together."""
+    known, first = index["known"], index["first"]
+    where = np.minimum(np.searchsorted(known, grams), len(known) - 1)
+    at = np.flatnonzero(known[where] == grams)
+    row = np.searchsorted(words.first, at, side="right") - 1
+    inside = at + SEED_WORDS <= words.first[row + 1]
+    at, row = at[inside], row[inside]
+    if not len(at):
+        return
+    begin = first[where[at]]
+    count = first[where[at] + 1] - begin
+    texts = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+    bucket = (np.cumsum(count) - count)[texts] // PAIRS_AT_ONCE
+    cuts = texts[np.concatenate([[True], bucket[1:] != bucket[:-1]])]
+    for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(at)]):
+        n = count[a:b]
+        item = index["owner"][np.repeat(begin[a:b] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))]
+        order = np.argsort(item, kind="stable")  # places stay in order within an item
+        item, pos, text = item[order], np.repeat(at[a:b], n)[order], np.repeat(row[a:b], n)[order]
+        last = np.arange(len(item)) + index["hits"][item] - 1
+        fits = np.flatnonzero(last < len(item))
+        last, span = last[fits], index["span"][item[fits]]
+        near = (item[last] == item[fits]) & (text[last] == text[fits]) & (pos[last] + SEED_WORDS - pos[fits] <= span)
+        item, text, lo, hi = item[fits][near], text[fits][near], (pos[last] + SEED_WORDS - span)[near], (pos[fits] + span)[near]
+        if not len(item):
+            continue
+        lo, hi = np.maximum(lo, words.first[text]), np.minimum(hi, words.first[text + 1])
+        new = np.flatnonzero(np.concatenate([[True], (item[1:] != item[:-1]) | (text[1:] != text[:-1]) | (lo[1:] > hi[:-1])]))
+        yield from zip(text[new].tolist(), item[new].tolist(), lo[new].tolist(), hi[np.append(new[1:], len(item)) - 1].tolist())
+
+
+def _among(values: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+    """Running count of the values that are among these sorted kinds."""
+    hit = kinds[np.minimum(np.searchsorted(kinds, values), len(kinds) - 1)] == values
+    return np.concatenate([[0], np.cumsum(hit)])
+
+
+def _found(item: np.ndarray, passage: np.ndarray, share: float, least: int) -> tuple[float, int, int, int] | None:
+    """(score, first word, end word, equal words) of the best alignment, if it is a leak."""
+    score, a, b, equal = align(item, passage)
+    whole = MATCH * len(item)
+    if score / whole >= share or (equal >= least and score >= DENSE * MATCH * (b - a)):
+        return score / whole, a, b, equal
+    return None
+
+
+def _leaks(index, share: float, least: int):
+    """For batches of did, tk, text: the leaks of every text."""
+
     def rows(batches) -> Iterator:
         import pandas as pd
 
+        known = index.value
+        kinds = {}
         for batch in batches:
+            texts = [_lowered(t) for t in batch["text"]]
             out = []
-            for did, item_id, start, words, item, diagonals in zip(batch["did"], batch["item_id"], batch["start"], batch["words"], batch["item"], batch["diagonals"]):
-                item, words = np.frombuffer(item, np.uint64), np.frombuffer(words, np.uint64)
-                best = (0, 0, 0, 0)
-                done = -1
-                for d in sorted(diagonals):  # stretches of the passage where the item may lie
-                    lo, hi = max(0, d - len(item) // 2, done), min(len(words), d + 2 * len(item))
-                    if hi <= done or hi <= lo:
-                        continue
-                    score, a, b, equal = align(item, words[lo:hi])
-                    best = max(best, (score, lo + a, lo + b, equal))
-                    done = max(done, hi - len(item) - len(item) // 2)
-                score, a, b, equal = best
-                whole = score / (MATCH * len(item))
-                if whole >= share or (equal >= least and score >= 0.8 * MATCH * (b - a)):
-                    out.append((did, item_id, int(start + a), int(start + b), float(whole), equal, len(item)))
-            yield pd.DataFrame(out, columns=["did", "item_id", "first_word", "end_word", "score", "equal_words", "item_words"])
+            for a, b in chunks(texts):
+                words = Words(texts[a:b], not_alphanumeric())
+                grams = gram_hashes(words.hashes, SEED_WORDS)
+                for r, k, lo, hi in _stretches(words, grams, known) if len(grams) else ():
+                    item, span = known["items"][k], int(known["span"][k])
+                    if k not in kinds:
+                        kinds[k] = np.unique(item), np.unique(gram_hashes(item, SEED_WORDS))
+                    equal, seeds = _among(words.hashes[lo:hi], kinds[k][0]), _among(grams[lo : hi - SEED_WORDS + 1], kinds[k][1])
+                    wide, pairs = min(span, hi - lo), min(span, hi - lo) - SEED_WORDS + 1
+                    most = np.minimum(equal[wide:] - equal[:-wide], len(item)) + seeds[pairs:] - seeds[:-pairs] + 1
+                    at = np.flatnonzero(most >= known["need"][k])
+                    done = -1
+                    for x in at.tolist():  # tiles of two spans: every alignment lies in one of them
+                        if x < done:
+                            continue
+                        start, end = lo + x, min(hi, lo + x + 2 * span)
+                        done = x + span
+                        if found := _found(item, words.hashes[start:end], share, least):
+                            score, f, e, same = found
+                            start -= words.first[r]
+                            out.append((batch["did"].iat[a + r], batch["tk"].iat[a + r], known["ids"][k], int(start + f), int(start + e), float(score), same, len(item)))
+            yield pd.DataFrame(out, columns=["did", "tk", "item_id", "first_word", "end_word", "score", "equal_words", "item_words"])
 
     return rows
 
 
-def contaminated(docs: DataFrame, items: DataFrame, n: int = SEED_WORDS, margin: int = MARGIN, share: float = LEAST_SHARE, least: int = LEAST_WORDS, at_once: int = SEEDS_AT_ONCE) -> DataFrame:
-    """doc_id, item_id, first_word, end_word, score, equal_words, item_words of every document and item found in it.
-
-    Words are lower-cased runs of letters and digits. One row per document and item, that of the best score; clean
-    documents have none. Null and empty texts, and items of fewer than ``n`` words, never match. Rows that share a doc_id
-    are reported together; a null doc_id is kept.
-    """
+def _leaking(docs: DataFrame, items: DataFrame, share: float, least: int, at_once: int) -> DataFrame:
+    """All leaks found, with did (doc_id, or NO_ID) and tk (hash of the text). The benchmark's words are sent to the tasks, at most
+    ``at_once`` at a time, and every document is aligned where it is read: nothing is dealt by seed, so no seed or item is hot."""
     spark = docs.sparkSession
-    known = stored(item_seeds(items, n), "benchmark-items")
-    grams = known.select(F.explode("grams").alias("gram")).distinct()
-    parts = max(1, -(-grams.count() // at_once))
+    known = stored(item_words(items).where(F.col("n") >= LEAST_ITEM), "benchmark-items")
+    parts = max(1, -(-(known.agg(F.sum("n")).first()[0] or 0) // at_once))
     keyed = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("did"), F.xxhash64("text").alias("tk"), "text")
+    schema = "did long, tk long, item_id long, first_word int, end_word int, score double, equal_words int, item_words int"
     found = None
     for part in range(parts):  # one, unless the benchmark is very large
-        own = grams.where(F.pmod(F.xxhash64("gram"), F.lit(parts)) == part).toPandas()["gram"].to_numpy(np.int64)
-        seeds = spark.sparkContext.broadcast(np.sort(own.view(np.uint64)))
-        some = keyed.mapInPandas(_passages(seeds, n, margin), "did long, tk long, start int, words binary, grams array<long>, places array<int>")
+        own = known.where(F.pmod(F.xxhash64("item_id", "item"), F.lit(parts)) == part).toPandas()
+        if not len(own):
+            continue
+        index = spark.sparkContext.broadcast(_index(own["item_id"].to_numpy(np.int64), [np.frombuffer(x, np.uint64) for x in own["item"]], share, least))
+        some = keyed.mapInPandas(_leaks(index, share, least), schema)
         found = some if found is None else found.union(some)
-    passages = stored(found.withColumn("pid", F.monotonically_increasing_id()), "benchmark-passages")
-
-    hits = passages.select("pid", "did", "tk", F.explode(F.arrays_zip("grams", "places")).alias("x")).select("pid", "did", "tk", "x.grams", "x.places")
-    spread = hits.select("grams", "did", "tk").distinct().groupBy("grams").agg(F.count(F.lit(1)).alias("documents"))
-    offsets = known.select("item_id", F.posexplode("grams").alias("offset", "grams"))
-    seeds = offsets.join(spread.hint("merge"), "grams")
-    usual = seeds.groupBy("item_id").agg(F.expr("percentile(documents, 0.5)").alias("usual"))
-    rare = stored(seeds.join(usual.hint("merge"), "item_id").where(F.col("documents") <= COMMON * F.col("usual")).select("grams", "item_id", "offset"), "benchmark-seeds")
-    pairs = hits.join(rare.hint("merge"), "grams").groupBy("pid", "item_id").agg(F.collect_set((F.floor((F.col("places") - F.col("offset")) / 16) * 16).cast("int")).alias("diagonals"))
-    pairs = pairs.join(known.select("item_id", "item").hint("merge"), "item_id")
-    scored = passages.select("pid", "did", "start", "words").join(pairs.hint("merge"), "pid").mapInPandas(
-        _scored(share, least), "did long, item_id long, first_word int, end_word int, score double, equal_words int, item_words int"
-    )
+    discard(known)
+    return spark.createDataFrame([], schema) if found is None else found
+
+
+def contaminated(docs: DataFrame, items: DataFrame, share: float = LEAST_SHARE, least: int = LEAST_WORDS, at_once: int = SEEDS_AT_ONCE) -> DataFrame:
+    """doc_id, item_id, first_word, end_word, score, equal_words, item_words of every document and item found in it.
+
+    Words are lower-cased runs of letters and digits. One row per document and item, that of the best score; clean
+    documents have none. Null and empty texts, and items of fewer than LEAST_ITEM words, never match. Rows that share a doc_id
+    are reported together; a null doc_id is kept. A document is found if its best alignment with an item reaches ``share``, or is
+    dense with ``least`` equal words; seeds only leave out stretches that cannot. (Exempt are items of four or five words with
+    new words between all of theirs, and a ``share`` near 0.5 or below: their alignments may hold no two neighbouring words.)
+    """
     best = F.max(F.struct("score", "equal_words", -F.col("first_word"), "first_word", "end_word", "item_words")).alias("b")
-    return scored.groupBy("did", "item_id").agg(best).select(
-        F.when(F.col("did") != NO_ID, F.col("did")).alias("doc_id"), "item_id", "b.first_word", "b.end_word", "b.score", "b.equal_words", "b.item_words"
+    return _leaking(docs, items, share, least, at_once).groupBy("did", "item_id").agg(best).select(
+        F.when(F.col("did") != NO_ID, F.col("did")).alias("doc_id"), F.when(F.col("item_id") != NO_ID, F.col("item_id")).alias("item_id"), "b.first_word", "b.end_word", "b.score", "b.equal_words", "b.item_words"
     )
 
 

@@ -72,3 +72,21 @@ def test_messy_rows(spark, messy, strange, empty):
     none = spark.createDataFrame([], ITEMS)
     assert dc.contaminated(messy, none).count() == 0 and dc.contaminated(empty, items).count() == 0
     assert dc.without_benchmark(messy, none).count() == messy.count()
+
+
+DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def invented(rng, n):
+    return ["".join(rng.choice("abcdefghij") for _ in range(7)) for _ in range(n)]
+
+
+def test_a_large_group_of_edited_copies_is_found(spark):
+    """Seeds of the edited copy are in 300 documents, the item's others in three."""
+    rng = random.Random(11)
+    item = invented(rng, 59)
+    edited = [f"other{k}" if k % 5 == 2 else w for k, w in enumerate(item)]
+    rows = [(i, " ".join([*invented(rng, 20), *(item if i < 3 else edited), *invented(rng, 20)]), "en", "s", 0) for i in range(303)]
+    rows += [(1000 + i, " ".join(invented(rng, 80)), "en", "s", 0) for i in range(20)]
+    docs, items = spark.createDataFrame(rows, DOCUMENTS), spark.createDataFrame([(1, " ".join(item))], ITEMS)
+    assert {r["doc_id"] for r in dc.contaminated(docs, items).collect()} == set(range(303))
