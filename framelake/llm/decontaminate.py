@@ -140,13 +140,24 @@ def _among(values: np.ndarray, kinds: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(hit)])
 
 
+def longest_run(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
+    """(words, end word in the passage) of the longest run of equal words."""
+    now, best, end = np.zeros(len(passage) + 1, np.int32), 0, 0
+    for word in item:
+        now[1:] = np.where(passage == word, now[:-1] + 1, 0)
+        if (top := int(now.max())) > best:
+            best, end = top, int(now.argmax())
+    return best, end
+
+
 def _found(item: np.ndarray, passage: np.ndarray, share: float, least: int) -> tuple[float, int, int, int] | None:
-    """(score, first word, end word, equal words) of the best alignment, if it is a leak."""
+    """(score, first word, end word, equal words) of the best alignment, or else of the longest run, if it is a leak."""
     score, a, b, equal = align(item, passage)
     whole = MATCH * len(item)
     if score / whole >= share or (equal >= least and score >= DENSE * MATCH * (b - a)):
         return score / whole, a, b, equal
-    return None
+    run, end = longest_run(item, passage)
+    return (MATCH * run / whole, end - run, end, run) if run >= least else None
 
 
 def _leaks(index, share: float, least: int):
@@ -211,8 +222,8 @@ def contaminated(docs: DataFrame, items: DataFrame, share: float = LEAST_SHARE,
 
     Words are lower-cased runs of letters and digits. One row per document and item, that of the best score; clean
     documents have none. Null and empty texts, and items of fewer than LEAST_ITEM words, never match. Rows that share a doc_id
-    are reported together; a null doc_id is kept. A document is found if its best alignment with an item reaches ``share``, or is
-    dense with ``least`` equal words; seeds only leave out stretches that cannot. (Exempt are items of four or five words with
+    are reported together; a null doc_id is kept. A document is found if its best alignment with an item reaches ``share``, or if
+    it holds a run of ``least`` equal words; seeds only leave out stretches that cannot. (Exempt are items of four or five words with
     new words between all of theirs, and a ``share`` near 0.5 or below: their alignments may hold no two neighbouring words.)
     """
     best = F.max(F.struct("score", "equal_words", -F.col("first_word"), "first_word", "end_word", "item_words")).alias("b")

@@ -90,3 +90,41 @@ def test_a_large_group_of_edited_copies_is_found(spark):
     rows += [(1000 + i, " ".join(invented(rng, 80)), "en", "s", 0) for i in range(20)]
     docs, items = spark.createDataFrame(rows, DOCUMENTS), spark.createDataFrame([(1, " ".join(item))], ITEMS)
     assert {r["doc_id"] for r in dc.contaminated(docs, items).collect()} == set(range(303))
+
+
+def test_every_run_and_every_share_is_found(spark):
+    rng = random.Random(12)
+    item = invented(rng, 59)
+    around = lambda words: " ".join([*invented(rng, 100), *words, *invented(rng, 100)])
+    tail = [f"new{k}" if k % 3 == 0 else w for k, w in enumerate(item[15:35])]
+    fourth = [f"new{k}" if k % 4 == 3 else w for k, w in enumerate(item)]
+    between = [x for k, w in enumerate(item) for x in ([w, f"new{k}"] if k % 2 else [w])]
+    few = [f"new{k}" if k % 3 == 2 else w for k, w in enumerate(item)]  # share 0.5, runs of two words
+    texts = {1: around(item[:15] + tail), 2: around(fourth), 3: around(between), 4: around(item[20:33]), 5: around(item[20:32]), 6: around(few), 7: around(fourth * 40)}
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in texts.items()], DOCUMENTS)
+    got = {r["doc_id"]: r for r in dc.contaminated(docs, spark.createDataFrame([(1, " ".join(item))], ITEMS)).collect()}
+    assert set(got) == {1, 2, 3, 4, 7}
+    assert (got[1]["first_word"], got[1]["end_word"], got[1]["equal_words"]) == (100, 115, 15)
+
+
+def test_seeds_leave_out_no_alignment():
+    """Random edits of every strength: what brute force reports has the seeds and words that are asked for."""
+    rng = random.Random(13)
+    reported = 0
+    for _ in range(300):
+        item = np.array(rng.sample(range(1000), rng.randint(6, 40)), np.uint64)
+        kinds = np.array(rng.choices([0, 0, 0, 1, 2, 3], k=len(item)))
+        kinds = kinds if rng.random() < 0.5 else kinds * (np.arange(len(item)) % 2)
+        words = [rng.randrange(2000, 9000) for _ in range(30)]
+        for w, kind in zip(item.tolist(), kinds.tolist()):
+            words += {0: [w], 1: [rng.randrange(2000, 9000)], 2: [], 3: [rng.randrange(2000, 9000), w]}[kind]
+        words += [rng.randrange(2000, 9000) for _ in range(30)]
+        found = dc._found(item, np.array(words, np.uint64), 0.6, 13)
+        if found:
+            _, a, b, _ = found
+            seeds, span, need = dc.bounds(len(item), 0.6, 13)
+            pairs = {tuple(p) for p in zip(item.tolist(), item[1:].tolist())}
+            hits = sum(p in pairs for p in zip(words[a:b], words[a + 1 : b]))
+            assert b - a <= span and hits >= seeds and len({*words[a:b]} & {*item.tolist()}) + hits + 1 >= need
+            reported += 1
+    assert reported > 60
