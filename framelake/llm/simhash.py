@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .graph import components
-from .io import discard, null_ids, stored, table, with_ids
+from .io import NO_ID, discard, join_small, null_ids, stored, table, with_ids
 from .words import Words, chunks, encoded, gram_hashes, mix, white_space
 
 #: 64 bits in this many blocks; fingerprints within MAX_BITS share at least BLOCKS - MAX_BITS whole blocks.
@@ -152,16 +152,17 @@ def near_duplicates(docs: DataFrame, words: int = 4, blocks: int = BLOCKS, bits:
     return prints.join(by_print.hint("merge"), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: Wide fingerprints: BLOCK_COUNT blocks of 24 bits. At a shingle similarity of 0.8 about 15 % of the bits differ.
-BLOCK_COUNT, BLOCK_BYTES = 128, 3
+#: Wide fingerprints: BLOCK_COUNT blocks of 24 bits, of which 22 are a bucket's key. At a shingle similarity of 0.8 about 15 % of the bits differ.
+BLOCK_COUNT, BLOCK_BYTES, SPARE_BITS = 128, 3, 2
+#: Two texts alone in a bucket are first compared by the spare bits of this many blocks.
+SKETCH_BLOCKS = 16
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-def wide_bits(similarity: float) -> int:
-    """Differing bits expected at this Jaccard similarity (the angle between two sets of equal size), and half a deviation."""
+def wide_bits(similarity: float, total: int = BLOCK_COUNT * BLOCK_BYTES * 8) -> int:
+    """Differing bits at this Jaccard similarity at most: those expected (the angle between two sets of equal size), and four deviations."""
     share = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-    total = BLOCK_COUNT * BLOCK_BYTES * 8
-    return int(total * share + 0.5 * (total * share * (1 - share)) ** 0.5)
+    return int(np.ceil(total * share + 4 * (total * share * (1 - share)) ** 0.5))
 
 
 def wide_fingerprint(hashes: np.ndarray) -> bytes:
@@ -175,23 +176,24 @@ def wide_fingerprint(hashes: np.ndarray) -> bytes:
     return np.packbits(total * 2 > len(hashes), bitorder="little").tobytes()
 
 
+def _shingles(texts: list, words: int) -> Iterator[np.ndarray]:
+    """The sorted set of every text's shingle hashes; A-Z are lower-cased."""
+    texts = [encoded(t).lower() for t in texts]
+    for a, b in chunks(texts):
+        found = Words(texts[a:b], white_space())
+        for i in range(b - a):
+            own = found.hashes[found.first[i] : found.first[i + 1]]
+            yield np.unique(gram_hashes(own, max(1, min(words, len(own)))))
+
+
 def wide_fingerprints(docs: DataFrame, words: int = 5) -> DataFrame:
-    """doc_id, fp (binary) of every row, from the set of its shingles; A-Z are lower-cased."""
+    """doc_id, tk (hash of the text), fp (binary) of every row, from the set of its shingles."""
 
     def rows(batches):
-        import pandas as pd
-
         for batch in batches:
-            texts = [encoded(t).lower() for t in batch["text"]]
-            out = []
-            for a, b in chunks(texts):
-                found = Words(texts[a:b], white_space())
-                for i in range(b - a):
-                    own = found.hashes[found.first[i] : found.first[i + 1]]
-                    out.append(wide_fingerprint(np.unique(gram_hashes(own, max(1, min(words, len(own)))))))
-            yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy(), "fp": out})
+            yield batch[["doc_id", "tk"]].assign(fp=[wide_fingerprint(s) for s in _shingles(batch["text"], words)])
 
-    return null_ids(with_ids(docs, "doc_id", "text").mapInPandas(rows, "doc_id long, fp binary"), "doc_id")
+    return null_ids(with_ids(docs, "doc_id", F.xxhash64("text").alias("tk"), "text").mapInPandas(rows, "doc_id long, tk long, fp binary"), "doc_id")
 
 
 def _wide_buckets(batches) -> Iterator:
@@ -202,64 +204,123 @@ def _wide_buckets(batches) -> Iterator:
             part = batch.iloc[at : at + 2000]
             blocks = np.frombuffer(b"".join(part["fp"]), np.uint8).reshape(-1, BLOCK_COUNT, BLOCK_BYTES).astype(np.int64)
             key = (np.arange(BLOCK_COUNT) << 24) | (blocks[:, :, 0] << 16) | (blocks[:, :, 1] << 8) | blocks[:, :, 2]
-            yield pd.DataFrame({"bucket": key.ravel(), "id": np.repeat(part["id"].to_numpy(), BLOCK_COUNT)})
+            spare = blocks[:, :SKETCH_BLOCKS, 2] & ((1 << SPARE_BITS) - 1)
+            sketch = (spare << (SPARE_BITS * np.arange(SKETCH_BLOCKS))).sum(axis=1)
+            yield pd.DataFrame({"bucket": (key >> SPARE_BITS).ravel(), "id": np.repeat(part["id"].to_numpy(), BLOCK_COUNT), "sketch": np.repeat(sketch, BLOCK_COUNT)})
+
 
+def _connected(ids: np.ndarray, near) -> Iterator[tuple[np.ndarray, int]]:
+    """(members, a linked member), breadth first; ``near(x, rest)`` tells which of the places ``rest`` link to place x."""
+    rest = np.arange(len(ids))
+    while len(rest) > 1:
+        queue, rest = [rest[0]], rest[1:]
+        while queue and len(rest):
+            x = queue.pop()
+            hit = near(x, rest)
+            if hit.any():
+                yield rest[hit], x
+                queue.extend(rest[hit])
+                rest = rest[~hit]
 
-def _wide_links(bits: int):
-    """For batches sorted by bucket and tiles: spanning links between the ids within ``bits``."""
 
-    def forest(ids: np.ndarray, fps: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
-        while len(ids) > 1:
-            queue, ids, fps = [(ids[0], fps[0])], ids[1:], fps[1:]
-            while queue and len(ids):
-                x, f = queue.pop()
-                hit = np.bitwise_count(fps ^ f).sum(axis=1) <= bits
-                if hit.any():
-                    yield ids[hit], x
-                    queue.extend(zip(ids[hit], fps[hit]))
-                    ids, fps = ids[~hit], fps[~hit]
+def _by_key(keys: list[str], made):
+    """For batches sorted by these columns: ``made`` over frames that hold whole groups."""
 
     def rows(batches) -> Iterator:
         import pandas as pd
 
-        def links(frame) -> pd.DataFrame:
-            a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-            for _, x in frame.groupby(["bucket", "lo", "hi"], sort=False):
-                if len(x) > 1:
-                    fps = np.frombuffer(b"".join(x["fp"]), np.uint64).reshape(len(x), -1)
-                    for members, other in forest(x["id"].to_numpy(), fps):
-                        a.append(members)
-                        b.append(np.full(len(members), other))
-            return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)}).drop_duplicates()
-
         held = None
         for batch in batches:
             frame = batch if held is None else pd.concat([held, batch], ignore_index=True)
-            ids = frame[["bucket", "lo", "hi"]].to_numpy()
+            ids = frame[keys].to_numpy()
             same = (ids == ids[-1]).all(axis=1)
             cut = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
             held = frame.iloc[cut:]
             if cut:
-                yield links(frame.iloc[:cut])
+                yield made(frame.iloc[:cut])
         if held is not None and len(held):
-            yield links(held)
+            yield made(held)
 
     return rows
 
 
-def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, tile: int = 1024) -> DataFrame:
-    """doc_id, component_id of every row: groups of texts whose shingle sets have this similarity, by wide SimHash.
+def _wide_groups(bits: int):
+    """(g, id): the parts of every bucket that hold together within ``bits``; equal parts of several buckets have one g."""
+    keys = ["bucket", "lo", "hi"]
+
+    def made(frame):
+        import pandas as pd
+
+        g, member = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for _, x in frame.groupby(keys, sort=False):
+            if len(x) > 1:
+                ids, fps = x["id"].to_numpy(), np.frombuffer(b"".join(x["fp"]), np.uint64).reshape(len(x), -1)
+                part = np.arange(len(ids))
+                for members, other in _connected(ids, lambda k, rest: np.bitwise_count(fps[rest] ^ fps[k]).sum(axis=1) <= bits):  # noqa: B023
+                    part[members] = part[other]
+                for k in np.flatnonzero(np.bincount(part) > 1):
+                    own = np.sort(ids[part == k])
+                    g.append(np.full(len(own), np.uint64(xxhash.xxh64_intdigest(own.tobytes())).view(np.int64)))
+                    member.append(own)
+        return pd.DataFrame({"g": np.concatenate(g), "id": np.concatenate(member)}).drop_duplicates()
+
+    return _by_key(keys, made)
+
+
+def _shingle_sets(words: int):
+    """id and the set of shingles, as 32-bit hashes."""
 
-    64 bits tell 0.8 from 0.5 poorly, so the fingerprint has 3072. Texts that agree in one of 128 blocks are compared by
-    Hamming distance. A pair at 0.8 agrees in some block with probability 0.92, at 0.85 with 0.99. Equal fingerprints meet once;
-    links, tiles and nulls are treated as in ``near_duplicates``.
+    def rows(batches) -> Iterator:
+        for batch in batches:
+            yield batch[["id"]].assign(shingles=[np.unique(s.astype(np.uint32)).tobytes() for s in _shingles(batch["text"], words)])
+
+    return rows
+
+
+def _alike(similarity: float):
+    """For batches sorted by g: spanning links between the ids whose shingle sets have this Jaccard similarity."""
+
+    def made(frame):
+        import pandas as pd
+
+        a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for _, x in frame.groupby("g", sort=False):
+            ids, sets = x["id"].to_numpy(), [np.frombuffer(s, np.uint32) for s in x["shingles"]]
+            size = np.array([len(s) for s in sets])
+
+            def near(k, rest, sets=sets, size=size):
+                out = np.zeros(len(rest), bool)
+                fit = np.flatnonzero((np.minimum(size[rest], size[k]) >= similarity * np.maximum(size[rest], size[k])) & (size[rest] > 0))
+                if len(fit) and size[k]:
+                    some = rest[fit]
+                    every = np.concatenate([sets[i] for i in some])
+                    same = sets[k][np.minimum(np.searchsorted(sets[k], every), size[k] - 1)] == every
+                    both = np.add.reduceat(same, np.cumsum(size[some]) - size[some], dtype=np.int64)
+                    out[fit] = both >= similarity * (size[some] + size[k] - both) - 1e-9
+                return out
+
+            for members, other in _connected(ids, near):
+                a.append(ids[members])
+                b.append(np.full(len(members), ids[other]))
+        return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)}).drop_duplicates()
+
+    return _by_key(["g"], made)
+
+
+def _rooted(docs: DataFrame, words: int, similarity: float, tile: int) -> tuple[DataFrame, DataFrame]:
+    """The rows' fingerprints, and every distinct one with its root, smallest doc_id and one (did, tk) that stands for it.
+
+    A fingerprint is named by its own hash, so rows without an id and different texts under one doc_id stay apart.
     """
-    nothing = F.lit(-(1 << 62))
     prints = stored(wide_fingerprints(docs, words), "simhash-wide")
-    nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.coalesce(F.min("doc_id"), nothing).alias("id")), "simhash-nodes")
+    row = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(NO_ID)).alias("did"), "tk")
+    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min(row).alias("row"), F.min("tk").alias("tk"))
+    nodes = stored(nodes.withColumn("id", F.xxhash64("fp")), "simhash-nodes")
     bucket = Window.partitionBy("bucket")
-    keyed = nodes.select("id", "fp").mapInPandas(_wide_buckets, "bucket long, id long")
-    shared = keyed.withColumn("n", F.count(F.lit(1)).over(bucket)).where("n > 1")
+    keyed = nodes.select("id", "fp").mapInPandas(_wide_buckets, "bucket long, id long, sketch long")
+    sketch_bits = wide_bits(similarity, SKETCH_BLOCKS * SPARE_BITS)
+    shared = keyed.withColumn("n", F.count(F.lit(1)).over(bucket)).withColumn("apart", F.bit_count(F.bit_xor("sketch").over(bucket)))
+    shared = shared.where((F.col("n") > 2) | ((F.col("n") == 2) & (F.col("apart") <= sketch_bits))).select("bucket", "id", "n")
     half = tile // 2
     small = shared.where(F.col("n") <= tile).select("bucket", F.lit(0).alias("lo"), F.lit(0).alias("hi"), "id")
     own = shared.where(F.col("n") > tile).withColumn("tile", F.floor((F.row_number().over(bucket.orderBy("id")) - 1) / half).cast("int"))
@@ -268,11 +329,27 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, til
     order = ["bucket", "lo", "hi"]
     met = small.union(large).join(nodes.select("id", "fp").hint("merge"), "id")
     met = met.repartition(*[F.col(c) for c in order]).sortWithinPartitions(*order).select(*order, "id", "fp")
-    roots = components(met.mapInPandas(_wide_links(wide_bits(similarity)), "a long, b long").distinct())
-    rooted = nodes.join(roots.hint("merge"), nodes["id"] == roots["u"], "left").select("fp", "least", F.coalesce("root", "id").alias("root"))
+    groups = stored(met.mapInPandas(_wide_groups(wide_bits(similarity)), "g long, id long").distinct(), "simhash-groups")
+    wanted = stored(nodes.select("id", "tk").join(groups.select("id").distinct().hint("merge"), "id", "left_semi"), "simhash-wanted")
+    texts = join_small(docs.select(F.xxhash64("text").alias("tk"), "text"), wanted, "tk", "inner").select("id", "text").dropDuplicates(["id"])
+    sets = texts.mapInPandas(_shingle_sets(words), "id long, shingles binary")
+    pairs = groups.join(sets.hint("merge"), "id").repartition("g").sortWithinPartitions("g").select("g", "id", "shingles")
+    roots = components(pairs.mapInPandas(_alike(similarity), "a long, b long").distinct())
+    rooted = nodes.join(roots.hint("merge"), nodes["id"] == roots["u"], "left").select("fp", "least", "row", F.coalesce("root", "id").alias("root"))
+    return prints, rooted
+
+
+def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, tile: int = 1024) -> DataFrame:
+    """doc_id, component_id of every row: groups of texts whose shingle sets have this similarity, proposed by wide SimHash.
+
+    64 bits tell 0.8 from 0.5 poorly, so the fingerprint has 3072. Texts that agree in 22 bits of one of 128 blocks are compared
+    by Hamming distance with a bound of four deviations, and what that leaves by their sets of shingles, which decides. A pair at
+    0.8 agrees in some block with probability 0.97. Equal fingerprints meet once; tiles are treated as in ``near_duplicates``.
+    Groups without any doc_id are named by null.
+    """
+    prints, rooted = _rooted(docs, words, similarity, tile)
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     by_print = stored(rooted.join(named.hint("merge"), "root").select("fp", "component_id"), "simhash-rooted")
-    discard(nodes)
     return prints.join(by_print.hint("merge"), "fp").select("doc_id", "component_id")
 
 

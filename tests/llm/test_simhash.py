@@ -112,3 +112,19 @@ def test_one_document_of_each_group_stays(messy, strange, empty):
     assert out.columns == strange.columns and len(ids) == len(set(ids))
     assert 2 in ids and 3 not in ids and 60 in ids and 61 not in ids and 62 not in ids
     assert simhash.one_of_each_group(empty).count() == 0 and simhash.near_duplicates(empty).count() == 0
+
+
+def test_pairs_at_the_threshold_are_confirmed(spark):
+    """Isolated pairs just above 0.8 are found, those just below are not."""
+    rng = np.random.default_rng(21)
+    rows, above, below = [], [], []
+    for i in range(0, 600, 2):
+        words = [f"w{x}" for x in rng.integers(0, 10**9, 404)]
+        n = 9 if i % 4 else 8  # each changed word is in five of 400 shingles: similarity 0.798 or 0.818
+        changed = [f"c{i}" if k in range(20, 20 + 40 * n, 40) else w for k, w in enumerate(words)]
+        rows += [(i, " ".join(words), "en", "s", 0), (i + 1, " ".join(changed), "en", "s", 0)]
+        (above if similarity(rows[i][1], rows[i + 1][1]) >= 0.8 else below).append(i)
+    out = {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")).collect()}
+    found = lambda ks: np.mean([out[k] == out[k + 1] for k in ks])
+    assert len(below) > 100 and found(below) == 0
+    assert len(above) > 100 and found(above) > 0.93
