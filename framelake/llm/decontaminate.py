@@ -232,10 +232,12 @@ def contaminated(docs: DataFrame, items: DataFrame, share: float = LEAST_SHARE,
     )
 
 
-def without_benchmark(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` in which no item is found."""
-    leaks = stored(contaminated(docs, items, **options).select(F.col("doc_id").alias("_id")).distinct(), "benchmark-leaks")
-    return docs.join(leaks.hint("merge"), docs["doc_id"].eqNullSafe(leaks["_id"]), "left_anti")
+def without_benchmark(docs: DataFrame, items: DataFrame, share: float = LEAST_SHARE, least: int = LEAST_WORDS, at_once: int = SEEDS_AT_ONCE) -> DataFrame:
+    """The rows of ``docs`` in which no item is found; rows of one doc_id, or of none, are told apart by their text."""
+    leaks = _leaking(docs, items, share, least, at_once).select(F.col("did").alias("_did"), F.col("tk").alias("_tk")).distinct()
+    leaks = stored(leaks, "benchmark-leaks")
+    did, tk = F.coalesce(docs["doc_id"], F.lit(NO_ID)), F.xxhash64(docs["text"])
+    return docs.join(leaks.hint("merge"), (did == leaks["_did"]) & (tk == leaks["_tk"]), "left_anti")
 
 
 def query(spark, sf_dir):

@@ -353,11 +353,13 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, til
     return prints.join(by_print.hint("merge"), "fp").select("doc_id", "component_id")
 
 
-def one_of_each_group(docs: DataFrame, **options) -> DataFrame:
-    """One row of every group of near copies: the one whose doc_id names it (of equal doc_ids any one)."""
-    named = similar_groups(docs, **options).select(F.col("component_id").alias("_id")).distinct()
-    stay = docs.join(named.hint("merge"), docs["doc_id"].eqNullSafe(named["_id"]), "left_semi")
-    return stay.dropDuplicates(["doc_id"])
+def one_of_each_group(docs: DataFrame, words: int = 5, similarity: float = 0.8, tile: int = 1024) -> DataFrame:
+    """One row of every group of near copies, of smallest doc_id (null only if there is no other); of rows equal in doc_id and text any one."""
+    _, rooted = _rooted(docs, words, similarity, tile)
+    stays = stored(rooted.groupBy("root").agg(F.min("row").alias("row")).select(F.col("row.did").alias("_did"), F.col("row.tk").alias("_tk")), "simhash-stays")
+    did, tk = F.coalesce(docs["doc_id"], F.lit(NO_ID)), F.xxhash64(docs["text"])
+    stay = docs.join(stays.hint("merge"), (did == stays["_did"]) & (tk == stays["_tk"]), "left_semi")
+    return stay.dropDuplicates(["doc_id", "text"])
 
 
 def query(spark, sf_dir):

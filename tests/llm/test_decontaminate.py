@@ -128,3 +128,12 @@ def test_seeds_leave_out_no_alignment():
             assert b - a <= span and hits >= seeds and len({*words[a:b]} & {*item.tolist()}) + hits + 1 >= need
             reported += 1
     assert reported > 60
+
+
+def test_rows_without_id_leave_by_their_own_text(spark):
+    rng = random.Random(14)
+    item = invented(rng, 30)
+    clean = [" ".join(invented(rng, 60)) for _ in range(12)]
+    rows = [(None if k < 8 else 5, t, "en", "s", 0) for k, t in enumerate(clean)] + [(i, " ".join([*invented(rng, 9), *item]), "en", "s", 0) for i in (None, 5)]
+    kept = dc.without_benchmark(spark.createDataFrame(rows, DOCUMENTS), spark.createDataFrame([(1, " ".join(item))], ITEMS))
+    assert sorted(r["text"] for r in kept.collect()) == sorted(clean)

@@ -128,3 +128,15 @@ def test_pairs_at_the_threshold_are_confirmed(spark):
     found = lambda ks: np.mean([out[k] == out[k + 1] for k in ks])
     assert len(below) > 100 and found(below) == 0
     assert len(above) > 100 and found(above) > 0.93
+
+
+def test_rows_without_id_and_texts_under_one_id_stay_apart(spark):
+    rng = np.random.default_rng(22)
+    text = lambda: " ".join(f"w{x}" for x in rng.integers(0, 10**9, 60))
+    texts = [text() for _ in range(40)]
+    rows = [(None, t, "en", "s", 0) for t in texts[:20]] + [(7, t, "en", "s", 0) for t in texts[20:30]] + [(100 + k, t, "en", "s", 0) for k, t in enumerate(texts[30:])]
+    rows += [(None, texts[0] + " more", "en", "s", 0), (101, texts[5], "en", "s", 0), (102, texts[6], "en", "s", 0), rows[3], rows[22]]
+    out = simhash.one_of_each_group(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")).collect()
+    kept = [r["text"].removesuffix(" more") for r in out]
+    assert sorted(kept) == sorted(texts)
+    assert {r["doc_id"] for r in out if r["text"] in texts[5:7]} == {101, 102}
