@@ -20,70 +20,71 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 INLINE = frozenset("a abbr b bdi bdo cite code del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 RAW = frozenset("script style noscript template textarea title svg math iframe object select".split())
 DROPPED = frozenset("head nav footer aside form button menu dialog script style noscript template textarea title svg math iframe object select canvas".split())
+END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for tag in RAW}
+SELF_CLOSED = frozenset("svg math object".split())
 PRIORITY = frozenset(("article", "main"))
-#: Parts of class and id values that mark boilerplate.
-MARKED = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|cookies?|consent|disqus|footer|menu|nav|navbar|navigation|newsletter|notice|popup|promo\w*|related|replies|respond|share|sharing|sidebar|social|sponsor\w*|subscribe|widget)(?:[\s_-]|$)", re.I)
+#: Parts of class and id values that mark boilerplate; no-sidebar or has-sidebar only tell how a page is laid out.
+MARKED = re.compile(r"(?:^|[\s_-])(?<!\bno[_-])(?<!\bhas[_-])(?<!\bwith[_-])(?<!\bwithout[_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|cookies?|consent|disqus|footer|menu|nav|navbar|navigation|newsletter|notice|popup|promo\w*|related|replies|respond|share|sharing|sidebar|social|sponsor\w*|subscribe|widget)(?:[\s_-]|$)", re.I)
 #: The page's headers go, an article's own header stays.
 HEADER = re.compile(r"(?:^|[\s_-])header(?:[\s_-]|$)", re.I)
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 ROLES = re.compile(r"^(?:navigation|banner|contentinfo|complementary|search|dialog|alert|menu)$", re.I)
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)|[^<]+|<", re.S)
-ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+#: Why an element is dropped: by its class or id, for certain, or as an article within one dropped by its class.
+BY_CLASS, CERTAIN, WITHIN = 1, 2, 3
 SHORT, LONG, STOP_LOW, STOP_HIGH, LINK_HIGH = 70, 200, 0.20, 0.30, 0.3
 
 
 class Block:
     __slots__ = ("parts", "linked", "inside", "dropped", "heading", "label")
 
-    def __init__(self, inside: bool, dropped: bool, heading: bool):
+    def __init__(self, inside: bool, dropped: int, heading: bool):
         self.parts, self.linked, self.inside, self.dropped, self.heading, self.label = [], 0, inside, dropped, heading, ""
 
     def text(self) -> str:
         return " ".join("".join(self.parts).split())
 
 
-def _boilerplate(tag: str, attributes: str, inside: bool) -> bool:
+def _boilerplate(tag: str, attributes: str, inside: bool) -> int:
     if tag in DROPPED or (tag == "header" and not inside):
-        return True
+        return CERTAIN
     if tag in ("html", "body") or not attributes:
-        return False
+        return 0
+    marked = 0
     for name, a, b, c in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), a or b or c
         if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "role" and ROLES.match(value)):
-            return True
+            return CERTAIN
         if name in ("class", "id") and tag not in PRIORITY and (MARKED.search(value) or (not inside and HEADER.search(value))):
-            return True
-    return False
+            marked = BY_CLASS
+    return marked
 
 
 def blocks_of(page: str) -> list[Block]:
     """Text blocks in page order. Open elements are kept on a stack; missing end tags end with their parent."""
-    stack: list[tuple[str, bool, bool]] = []  # tag, dropped, inside article or main
+    stack: list[tuple[str, int, bool]] = []  # tag, dropped, inside article or main
     done: list[Block] = []
-    now = Block(False, False, False)
-    links = 0
-    raw = None
+    now = Block(False, 0, False)
+    links = at = 0
 
     def cut() -> None:
         nonlocal now
         if now.parts:
             done.append(now)
-        now = Block(stack[-1][2], stack[-1][1], stack[-1][0] in HEADINGS) if stack else Block(False, False, False)
+        now = Block(stack[-1][2], stack[-1][1], stack[-1][0] in HEADINGS) if stack else Block(False, 0, False)
 
-    for m in TOKEN.finditer(page):
+    while m := TOKEN.match(page, at):
+        at = m.end()
         tag = m[2]
         if tag is None:
-            if m[0].startswith(("<!", "<?")) or raw:
+            if m[0].startswith(("<!", "<?")):
                 continue
             now.parts.append(words := html.unescape(m[0]))
             if links:
                 now.linked += len("".join(words.split()))
             continue
         tag = tag.lower()
-        if raw:
-            if m[1] and tag == raw:
-                raw = None
-            continue
         if m[1]:
             if tag == "a":
                 links = max(0, links - 1)
@@ -107,17 +108,21 @@ def blocks_of(page: str) -> list[Block]:
                 links += tag == "a"
             continue
         if tag in RAW:
-            raw = tag
+            if not (tag in SELF_CLOSED and m[3].endswith("/")):  # what stands inside is not markup: straight to the end tag
+                end = END[tag].search(page, at)
+                at = end.end() if end else len(page)
             continue
-        dropped, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+        dropped, inside = (stack[-1][1], stack[-1][2]) if stack else (0, False)
         if tag in ("p", "li", "dt", "dd", "tr", "td", "th", "h1", "h2", "h3", "h4", "h5", "h6") and stack and stack[-1][0] == tag:
             stack.pop()
-            dropped, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+            dropped, inside = (stack[-1][1], stack[-1][2]) if stack else (0, False)
         if stack and stack[-1][0] == "p":
             stack.pop()
-            dropped, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+            dropped, inside = (stack[-1][1], stack[-1][2]) if stack else (0, False)
+        if dropped == BY_CLASS and tag in PRIORITY and not inside:
+            dropped = WITHIN
         inside = inside or tag in PRIORITY
-        stack.append((tag, dropped or _boilerplate(tag, m[3], inside), inside))
+        stack.append((tag, dropped if dropped in (BY_CLASS, CERTAIN) else _boilerplate(tag, m[3], inside) or dropped, inside))
         links = 0
         cut()
     cut()
@@ -150,6 +155,8 @@ def main_text(page: str | None) -> str:
     blocks = blocks_of(page)
     if any(b.inside and not b.dropped for b in blocks):  # a marked article: what stands outside it is not part of it
         return "\n".join(b.text() for b in blocks if b.inside and not b.dropped)
+    if any(b.dropped == WITHIN for b in blocks):  # the only articles stand in elements that their class marks
+        return "\n".join(b.text() for b in blocks if b.dropped == WITHIN)
     for b in blocks:
         b.label = _judge(b)
     decided = [b.label if b.label in ("good", "bad") else "" for b in blocks]

@@ -37,3 +37,13 @@ def test_query_rows(spark):
     assert len(out) == 5 and all(r["n_chars"] == len(r["text"]) for r in out)
     assert {r["page_id"]: r["n_chars"] for r in out}[4] == 5 * 50_000 - 1
     assert htmltext.extract(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_ordinary_pages_keep_their_article():
+    article = f"<article><p>{STORY}</p></article>"
+    for before in ("<script>for(i=0;i<n;i++){}</script>", "<style>a<b</style>", '<svg width="1"/>', "<object data='x'/>", "<math/>", '<script src="x"/></script>'):
+        assert htmltext.main_text(f"<body>{before}{article}</body>") == STORY
+    for attributes in ('style="overflow:hidden"', 'title="hidden role=search"', 'data-id="comments"', 'class="no-sidebar"', 'class="page has-sidebar"', 'class="sidebar"', 'id="menu-page"'):
+        assert htmltext.main_text(f"<body><div {attributes}>{article}</div></body>") == STORY
+    assert htmltext.main_text(f"<div {'title=x hidden'}>{article}</div>") == "" == htmltext.main_text(f"<nav>{article}</nav>")
+    assert htmltext.main_text(f"{article}<div id=comments><article><p>A comment.</p></article></div>") == STORY
