@@ -21,31 +21,60 @@ INLINE = frozenset("a abbr b bdi bdo cite code del dfn em font i ins kbd label m
 RAW = frozenset("script style noscript template textarea title svg math iframe object select".split())
 DROPPED = frozenset("head nav footer aside form button menu dialog script style noscript template textarea title svg math iframe object select canvas".split())
 END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for tag in RAW}
-SELF_CLOSED = frozenset("svg math object".split())
+#: Where reading goes on if such an element never ends.
+RESUME = re.compile(r"<(?=/?(?:head|body|main|article|section|header|footer|nav|aside|div|p|h[1-6]|ul|ol|table|form)(?:[\s/>]))", re.I)
 PRIORITY = frozenset(("article", "main"))
-#: Parts of class and id values that mark boilerplate; no-sidebar or has-sidebar only tell how a page is laid out.
-MARKED = re.compile(r"(?:^|[\s_-])(?<!\bno[_-])(?<!\bhas[_-])(?<!\bwith[_-])(?<!\bwithout[_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|cookies?|consent|disqus|footer|menu|nav|navbar|navigation|newsletter|notice|popup|promo\w*|related|replies|respond|share|sharing|sidebar|social|sponsor\w*|subscribe|widget)(?:[\s_-]|$)", re.I)
-#: The page's headers go, an article's own header stays.
-HEADER = re.compile(r"(?:^|[\s_-])header(?:[\s_-]|$)", re.I)
+#: Parts of class and id values that mark boilerplate anywhere in a name, and those that do so only as its first part.
+MARKED = frozenset(
+    "ads advert adverts advertisement advertising advertorial banner breadcrumb breadcrumbs comment comments cookie cookies consent disqus footer menu nav navbar "
+    "navigation newsletter popup promo promos promoted promotion replies respond sidebar sponsor sponsored sponsors subscribe".split()
+)
+MARKED_FIRST = frozenset("ad notice related share sharing social widget".split())
+#: Names with one of these parts tell how a page is laid out: no-sidebar, has-menu.
+LAYOUT = frozenset("no has with without hide show".split())
+#: Elements of running text: only a whole name marks them.
+RUNNING = frozenset("p li dt dd td th h1 h2 h3 h4 h5 h6 blockquote pre figure figcaption tr table".split())
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 ROLES = re.compile(r"^(?:navigation|banner|contentinfo|complementary|search|dialog|alert|menu)$", re.I)
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)|[^<]+|<", re.S)
-ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+#: Quotes count only after an equals sign.
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)(?:>|\Z)|[^<]+|<", re.S)
+ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+NAMES, PARTS = re.compile(r"\S+"), re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 #: Why an element is dropped: by its class or id, for certain, or as an article within one dropped by its class.
 BY_CLASS, CERTAIN, WITHIN = 1, 2, 3
-SHORT, LONG, STOP_LOW, STOP_HIGH, LINK_HIGH = 70, 200, 0.20, 0.30, 0.3
+SHORT, LONG, STOP_LOW, STOP_HIGH, LINK_HIGH, LINK_MOST = 70, 200, 0.20, 0.30, 0.3, 0.9
+#: Scripts written without spaces: there words, and so stop words, cannot be counted.
+UNSPACED = re.compile(r"[\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u9FFF\uF900-\uFAFF]")
+#: An article is not the page's main text if what stands outside it holds this many times its running text.
+OUTWEIGHED = 2
 
 
 class Block:
-    __slots__ = ("parts", "linked", "inside", "dropped", "heading", "label")
+    __slots__ = ("parts", "linked", "inside", "dropped", "heading", "first", "label")
 
     def __init__(self, inside: bool, dropped: int, heading: bool):
-        self.parts, self.linked, self.inside, self.dropped, self.heading, self.label = [], 0, inside, dropped, heading, ""
+        self.parts, self.linked, self.inside, self.dropped, self.heading, self.first, self.label = [], 0, inside, dropped, heading, "", ""
 
     def text(self) -> str:
         return " ".join("".join(self.parts).split())
 
 
+def _marks(value: str, tag: str, inside: bool) -> bool:
+    """Whether a class or id value has a name that marks boilerplate."""
+    for name in NAMES.findall(value):
+        parts = [x.lower() for x in PARTS.findall(name)]
+        if not parts or LAYOUT.intersection(parts):
+            continue
+        if tag in RUNNING:
+            marked = len(parts) == 1 and parts[0] in MARKED | MARKED_FIRST
+        else:
+            # the page's headers go, an article's own header stays
+            marked = parts[0] in MARKED_FIRST or bool(MARKED.intersection(parts)) or (not inside and "header" in parts)
+        if marked:
+            return True
+    return False
+
+
 def _boilerplate(tag: str, attributes: str, inside: bool) -> int:
     if tag in DROPPED or (tag == "header" and not inside):
         return CERTAIN
@@ -56,11 +85,21 @@ def _boilerplate(tag: str, attributes: str, inside: bool) -> int:
         name, value = name.lower(), a or b or c
         if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "role" and ROLES.match(value)):
             return CERTAIN
-        if name in ("class", "id") and tag not in PRIORITY and (MARKED.search(value) or (not inside and HEADER.search(value))):
+        if name in ("class", "id") and tag not in PRIORITY and _marks(value, tag, inside):
             marked = BY_CLASS
     return marked
 
 
+def _after_raw(page: str, tag: str, at: int) -> int:
+    """Where reading goes on after a raw element: behind its end tag, or at the next block if it never ends."""
+    end, block = END[tag].search(page, at), None
+    if tag == "title" or not end:  # a title holds no blocks
+        block = RESUME.search(page, at)
+    if end and not (block and block.start() < end.start()):
+        return end.end()
+    return block.start() if block else len(page)
+
+
 def blocks_of(page: str) -> list[Block]:
     """Text blocks in page order. Open elements are kept on a stack; missing end tags end with their parent."""
     stack: list[tuple[str, int, bool]] = []  # tag, dropped, inside article or main
@@ -108,10 +147,11 @@ def blocks_of(page: str) -> list[Block]:
                 links += tag == "a"
             continue
         if tag in RAW:
-            if not (tag in SELF_CLOSED and m[3].endswith("/")):  # what stands inside is not markup: straight to the end tag
-                end = END[tag].search(page, at)
-                at = end.end() if end else len(page)
+            if not m[3].endswith("/"):  # what stands inside is not markup
+                at = _after_raw(page, tag, at)
             continue
+        if stack and stack[-1][0] == "head":  # all that may stand in a head was read above
+            stack.pop()
         dropped, inside = (stack[-1][1], stack[-1][2]) if stack else (0, False)
         if tag in ("p", "li", "dt", "dd", "tr", "td", "th", "h1", "h2", "h3", "h4", "h5", "h6") and stack and stack[-1][0] == tag:
             stack.pop()
@@ -129,53 +169,88 @@ def blocks_of(page: str) -> list[Block]:
     return [b for b in done if b.text()]
 
 
-def _judge(block: Block) -> str:
-    """First pass: good, bad, or an open label (near, short)."""
-    if block.dropped:
-        return "bad"
-    if block.inside:
-        return "good"
+def _density(text: str) -> float | None:
+    """Share of stop words; None for text in a script without spaces."""
+    words = text.lower().split()
+    if 4 * len(UNSPACED.findall(text)) > len(text):
+        return None
+    return sum(w.strip(".,;:!?()\"'") in STOP_WORDS for w in words) / len(words)
+
+
+def _judge(block: Block, known: bool, prior: bool | None) -> str:
+    """First pass: good, bad, or an open label (near, short).
+
+    Density, length and links decide. ``known``: the page's language has stop words here. ``prior``: whether the block stands
+    in the page's article, None if the page marks none; within it less is asked for, outside it nothing is good.
+    """
     text = block.text()
     length = len(text)
-    if block.linked > LINK_HIGH * length:
+    if block.dropped in (BY_CLASS, CERTAIN) or prior is False:
         return "bad"
-    words = text.lower().split()
-    density = sum(w.strip(".,;:!?()\"'") in STOP_WORDS for w in words) / len(words)
+    links = block.linked / max(1, len("".join(text.split())))
     if length < SHORT:
-        return "short" if not block.linked else "bad"
+        return "short" if prior or not block.linked else "bad"
+    if links > (LINK_MOST if prior else LINK_HIGH):
+        return "near" if prior else "bad"
+    density = _density(text)
+    if density is None or not known or prior:
+        return "good" if length > LONG or prior else "near"
     if density >= STOP_HIGH:
         return "good" if length > LONG else "near"
     return "near" if density >= STOP_LOW else "bad"
 
 
-def main_text(page: str | None) -> str:
-    """The page's main text, one block a line; empty for null, empty and text-free pages."""
-    if not page:
-        return ""
+def _running(blocks: list[Block], known: bool) -> int:
+    """Characters that the first pass, without a prior, takes for running text."""
+    return sum(len(b.text()) for b in blocks if _judge(b, known, None) in ("good", "near"))
+
+
+def classified(page: str) -> list[Block]:
+    """The page's blocks with their final labels, good or bad, and the labels of the first pass (``first``).
+
+    Where an article stands within an element that its class marks, the mark does not count, unless there is another one.
+    """
     blocks = blocks_of(page)
-    if any(b.inside and not b.dropped for b in blocks):  # a marked article: what stands outside it is not part of it
-        return "\n".join(b.text() for b in blocks if b.inside and not b.dropped)
-    if any(b.dropped == WITHIN for b in blocks):  # the only articles stand in elements that their class marks
-        return "\n".join(b.text() for b in blocks if b.dropped == WITHIN)
+    if not any(b.inside and not b.dropped for b in blocks):
+        for b in blocks:
+            b.dropped = 0 if b.dropped == WITHIN else b.dropped
+    else:
+        for b in blocks:
+            b.dropped = BY_CLASS if b.dropped == WITHIN else b.dropped
+    free = [b for b in blocks if not b.dropped]
+    known = any((_density(b.text()) or 0) >= STOP_LOW for b in free if len(b.text()) >= SHORT)
+    inner, outer = [b for b in free if b.inside], [b for b in free if not b.inside]
+    marked = bool(inner) and _running(outer, known) <= OUTWEIGHED * sum(len(b.text()) for b in inner)
     for b in blocks:
-        b.label = _judge(b)
-    decided = [b.label if b.label in ("good", "bad") else "" for b in blocks]
-    before, after, last = [], [], "bad"
-    for x in decided:
-        before.append(last)
-        last = x or last
-    last = "bad"
-    for x in reversed(decided):
-        after.append(last)
-        last = x or last
-    after.reverse()
+        b.first = b.label = _judge(b, known, b.inside if marked else None)
+    # second pass: open blocks take after the nearest decided ones on both sides; in an article, after its own
+    good = any(b.first == "good" for b in blocks)
+    decided = [b.first if b.first in ("good", "bad") and (not marked or b.inside and not b.dropped) else "" for b in blocks]
+    before, after = _nearest(decided), _nearest(decided[::-1])[::-1]
     for b, left, right in zip(blocks, before, after):
-        if b.label == "short":
-            # a heading belongs to what follows it
+        if b.first in ("good", "bad"):
+            continue
+        if marked:  # within the article; one of short blocks alone is good as a whole
+            b.label = "good" if "good" in (left, right) or not good else "bad"
+        elif b.first == "short":  # a heading belongs to what follows it
             b.label = "good" if right == "good" and (b.heading or left == "good") else "bad"
-        elif b.label == "near":
-            b.label = "bad" if left == right == "bad" and any(decided) and "good" in decided else "good"
-    return "\n".join(b.text() for b in blocks if b.label == "good")
+        else:
+            b.label = "bad" if left == right == "bad" and good else "good"
+    return blocks
+
+
+def _nearest(decided: list[str]) -> list[str]:
+    """For every block the label of the nearest decided one before it."""
+    out, last = [], "bad"
+    for label in decided:
+        out.append(last)
+        last = label or last
+    return out
+
+
+def main_text(page: str | None) -> str:
+    """The page's main text, one block a line; empty for null, empty and text-free pages."""
+    return "\n".join(b.text() for b in classified(page) if b.label == "good") if page else ""
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -1,3 +1,7 @@
+from html.parser import HTMLParser
+
+import duckdb
+import pytest
 from framelake.llm import htmltext
 
 STORY = "The house was at the end of the road and it had been there for as long as anyone in the town could remember, with its door to the sea and the garden that was his."
@@ -47,3 +51,95 @@ def test_ordinary_pages_keep_their_article():
         assert htmltext.main_text(f"<body><div {attributes}>{article}</div></body>") == STORY
     assert htmltext.main_text(f"<div {'title=x hidden'}>{article}</div>") == "" == htmltext.main_text(f"<nav>{article}</nav>")
     assert htmltext.main_text(f"{article}<div id=comments><article><p>A comment.</p></article></div>") == STORY
+
+
+def test_layout_classes_raw_tags_and_quotes():
+    two = f"<p>{STORY} {STORY}</p><p>{STORY} {STORY}</p>"
+    text = f"{STORY} {STORY}\n{STORY} {STORY}"
+    for page in (
+        f'<div class="content has-sidebar">{two}</div>',
+        f'<div class="content has-sidebar"><article>{two}</article></div>',
+        f'<head><title>never ends<body><article>{two}</article>',
+        f"<title>never ends<article>{two}</article><svg><title>x</title></svg>",
+        f'<script>never ends<article>{two}</article>',
+        f"<p class=x title=it's>{STORY} {STORY}<p data-x=\"a'b>c\">{STORY} {STORY}",
+        f'<article><p class="market-share">{STORY} {STORY}</p><div class="sharing">Share</div><p>{STORY} {STORY}</p></article>',
+        f'<div>{two}</div><article>A teaser for another page.</article>',
+        f'<div class="siteFooter">{two}</div><div>{two}</div>',
+    ):
+        assert htmltext.main_text(page) == text
+    for icon in ('<svg class="i"/>', "<iframe src=x />", "<object/>"):
+        assert htmltext.main_text(f"<article><p>Before</p>{icon}<p>After</p></article>") == "Before\nAfter"
+
+
+def test_text_without_spaces_is_judged_by_length_and_links():
+    prose = "\u4e2d\u6587\u6bb5\u843d" * 105
+    assert htmltext.main_text(f"<div><a href=x>\u9996\u9875</a></div><div>{prose}</div>") == prose
+    russian = " ".join(["\u0434\u043e\u043c"] * 100)
+    assert htmltext.main_text(f"<ul><li><a href=x>{russian}</a></li></ul><p>{russian}</p>") == russian
+
+
+class Plain(HTMLParser):
+    """The article's blocks by the standard library's parser, for pages that mark all their boilerplate by tag or class."""
+
+    BLOCK = set("article h1 h2 h3 p ul li div section blockquote table tr td aside figure figcaption header form".split())
+    SKIP = set("nav aside form footer script style".split())
+
+    def __init__(self):
+        super().__init__()
+        self.blocks, self.now, self.inside, self.skip = [], [], False, []
+
+    def cut(self):
+        text = " ".join("".join(self.now).split())
+        self.blocks += [text] if text else []
+        self.now = []
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "article":
+            self.inside = True
+        if tag == "br":
+            self.now.append("\n")
+        if tag in self.BLOCK:
+            self.cut()
+        if self.skip or tag in self.SKIP or set((dict(attrs).get("class") or "").split()) & {"ad", "comments", "share"}:
+            if tag not in htmltext.VOID:
+                self.skip.append(tag)
+
+    def handle_endtag(self, tag):
+        if tag in self.BLOCK:
+            self.cut()
+        if self.skip and self.skip[-1] == tag:
+            self.skip.pop()
+        if tag == "article":
+            self.inside = False
+
+    def handle_data(self, data):
+        if self.inside and not self.skip:
+            self.now.append(data)
+
+
+@pytest.fixture(scope="module")
+def real_pages():
+    path = "/root/testdata/sf0.01/pages.parquet"
+    try:
+        return [r[0] for r in duckdb.sql(f"SELECT html FROM '{path}'").fetchall()]
+    except duckdb.IOException:
+        pytest.skip("no test data")
+
+
+def test_a_plain_second_implementation_agrees(real_pages):
+    for page in real_pages:
+        plain = Plain()
+        plain.feed(page)
+        plain.cut()
+        assert htmltext.main_text(page) == "\n".join(plain.blocks)
+
+
+def test_every_block_is_classified(real_pages):
+    """The first pass decides long blocks of the article, the second one the short ones."""
+    seen = set()
+    for page in real_pages:
+        for b in htmltext.classified(page):
+            assert b.label in ("good", "bad")
+            seen.add((b.inside, b.first, b.label))
+    assert {(True, "good", "good"), (True, "short", "good"), (False, "bad", "bad")} <= seen
