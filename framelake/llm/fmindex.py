@@ -75,9 +75,10 @@ class FMIndex:
 def repeated_windows(segments: list[np.ndarray], lone: np.ndarray, window: int) -> np.ndarray:
     """For every segment a mask of the windows (by start) that occur twice or more within the segments.
 
-    Backward search from a right end gives the longest repeated match that ends there; windows within it are
-    repeated, windows that contain the failed match are not, so the next right end lies before both. Segments that are
-    not ``lone`` stand for several copies: all their windows are repeated.
+    The segments are streamed through their index. Backward search from a right end gives its matching statistic, the length of
+    the longest repeated match that ends there; windows within it are repeated, windows that contain the failed match are
+    not, so the next right end whose statistic can reach ``window`` lies before both. Segments that are not ``lone`` stand
+    for several copies: all their windows are repeated.
     """
     lengths = np.array([len(s) for s in segments])
     masks = np.where(lone, 0, (1 << (lengths - window + 1)) - 1).astype(np.int64)

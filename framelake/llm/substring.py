@@ -9,16 +9,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .fmindex import repeated_windows
-from .io import NO_ID, discard, null_ids, stored, table
-from .words import SECOND, Words, chunks, encoded, gram_hashes, minimizer_runs, white_space
+from .io import NO_ID, discard, join_small, null_ids, stored, table
+from .words import Words, chunks, encoded, gram_hashes, minimizer_runs, white_space
 
 WINDOW = 35
 #: Words of the gram whose smallest hash within a window names the window's shard key.
 GRAM = 8
 #: Words of one FM-index, at most one key more.
 SHARD_WORDS = 300_000
-#: Keys that occur more often are compared window by window, spread over all tasks.
-HOT_KEY = 100_000
+#: Different segments of one key in one FM-index; a key with more is dealt out by its windows.
+KEY_SEGMENTS = 4096
 
 
 def _keys(window: int, gram: int):
@@ -54,39 +54,50 @@ def _segments(window: int, gram: int):
                 row = np.searchsorted(words.first, first, side="right") - 1
                 cut = np.searchsorted(row, np.arange(b - a + 1))
                 for i in range(b - a):
-                    wanted, hot = batch["keys"].iat[a + i], batch["hot_keys"].iat[a + i]
                     own = slice(cut[i], cut[i + 1])
-                    for j in np.flatnonzero(np.isin(key[own], wanted)) + cut[i]:
+                    for j in np.flatnonzero(np.isin(key[own], batch["keys"].iat[a + i])) + cut[i]:
                         p = int(first[j])
-                        out.append((batch["did"].iat[a + i], batch["tk"].iat[a + i], key[j], key[j] in hot, p - int(words.first[i]), words.text(p, p + int(count[j]) + window - 1)))
-            yield pd.DataFrame(out, columns=["did", "tk", "key", "hot", "start", "body"])
+                        out.append((batch["did"].iat[a + i], batch["tk"].iat[a + i], key[j], p - int(words.first[i]), words.text(p, p + int(count[j]) + window - 1)))
+            yield pd.DataFrame(out, columns=["did", "tk", "key", "start", "body"])
+
+    return rows
+
+
+def _windows(window: int):
+    """Every window of a segment as a segment of its own, whose key is the window's hash."""
+
+    def rows(batches) -> Iterator:
+        import pandas as pd
+
+        for batch in batches:
+            out = []
+            for sd, body, n in zip(batch["sd"], batch["body"], batch["n"]):
+                words = Words([body], white_space())
+                keys = gram_hashes(words.hashes, window).view(np.int64).tolist()
+                out += [(key, sd, at, n, words.text(at, at + window)) for at, key in enumerate(keys)]
+            yield pd.DataFrame(out, columns=["key", "whole", "at", "n", "body"])
 
     return rows
 
 
 def _index_shards(window: int, shard_words: int):
-    """For rows sorted by key: FM-index of the distinct segments of neighbouring keys, and each row's repeated windows."""
+    """For different segments sorted by key: an FM-index over those of neighbouring keys, through which they are streamed."""
 
     def rows(batches) -> Iterator:
         import pandas as pd
 
         def search(frame) -> pd.DataFrame:
-            code, bodies = pd.factorize(frame["body"])
-            copies = np.bincount(code)
-            lone = copies == 1
-            # a key with one distinct segment has nothing to compare it with
-            kinds = frame.assign(code=code).drop_duplicates("code")
-            alone = kinds.groupby("key")["code"].transform("size").to_numpy() == 1
-            masks = np.zeros(len(bodies), np.int64)
-            split = [x.split(b" ") for x in bodies]
+            split = [x.split(b" ") for x in frame["body"]]
             lengths = np.array([len(x) for x in split])
-            masks[~lone] = (1 << (lengths[~lone] - window + 1)) - 1
+            lone = frame["n"].to_numpy() == 1
+            masks = np.where(lone, 0, (1 << (lengths - window + 1)) - 1)
+            # a key with one segment has nothing to compare it with but the segment itself
+            alone = frame.groupby("key")["key"].transform("size").to_numpy() == 1
             used = np.flatnonzero(~alone | (lone & (lengths > window)))
             if len(used) and lone[used].any():
                 ids = pd.factorize(np.array([w for i in used for w in split[i]], object))[0].astype(np.int64) + 2
-                cuts = np.cumsum(lengths[used])[:-1]
-                masks[used] = repeated_windows(np.split(ids, cuts), lone[used], window)
-            return frame[["did", "tk", "start"]].assign(mask=masks[code]).query("mask != 0")
+                masks[used] = repeated_windows(np.split(ids, np.cumsum(lengths[used])[:-1]), lone[used], window)
+            return frame[["key", "sd"]].assign(mask=masks).query("mask != 0")
 
         held, size = [], 0
         for batch in batches:
@@ -111,22 +122,6 @@ def _index_shards(window: int, shard_words: int):
     return rows
 
 
-def _window_digests(window: int):
-    def rows(batches) -> Iterator:
-        import pandas as pd
-
-        for batch in batches:
-            out = []
-            for sd, body, n in zip(batch["sd"], batch["body"], batch["n"]):
-                hashes = Words([body], white_space()).hashes
-                one, two = gram_hashes(hashes, window), gram_hashes(hashes, window, SECOND)
-                out.append(pd.DataFrame({"sd": sd, "at": np.arange(len(one)), "w1": one.view(np.int64), "w2": two.view(np.int64), "n": n}))
-            if out:
-                yield pd.concat(out)
-
-    return rows
-
-
 def _cleaned(window: int):
     def rows(batches) -> Iterator:
         import pandas as pd
@@ -150,32 +145,45 @@ def _cleaned(window: int):
     return rows
 
 
-def repeated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_words: int = SHARD_WORDS, hot_key: int = HOT_KEY) -> tuple[DataFrame, list[DataFrame]]:
-    """(did, tk, start, mask) with the stored tables that it reads: windows that occur at more than one place, as bits from word ``start`` of a text.
+def repeated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_words: int = SHARD_WORDS, key_segments: int = KEY_SEGMENTS) -> DataFrame:
+    """(did, tk, start, mask), stored: windows that occur at more than one place, as bits from word ``start`` of a text.
 
     1. Every text is cut into runs of windows with the same smallest gram hash, the key. Equal windows have equal keys,
        so only keys that occur twice can hold repeated windows. Keys are counted over all documents.
-    2. The segments of such keys go to their key's shard. A shard's distinct segments are indexed (FM-index over a
-       wavelet matrix) and the segments streamed through it by backward search.
-    3. Segments of hot keys are first reduced to distinct ones, then their windows are counted by 128-bit digests.
+    2. The segments of such keys are reduced to different ones with their number of copies, by partial aggregation, and go to
+       their key's shard. A shard is an FM-index over a wavelet matrix, through which its segments are streamed by backward search.
+    3. A key with more different segments than an index should hold is dealt out by its windows first: each is a segment whose
+       key is its own hash; those that occur twice go through shards in the same way.
     """
+
+    def indexed(kinds: DataFrame, label: str) -> DataFrame:
+        own = kinds.select("key", "sd", "body", "n").repartition("key").sortWithinPartitions("key")
+        return stored(own.mapInPandas(_index_shards(window, shard_words), "key long, sd string, mask long"), label)
+
     found = stored(docs.mapInPandas(_keys(window, gram), "did long, tk long, key long, n int"), "substring-keys")
-    twice = stored(found.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1"), "substring-twice")
-    own = found.select("did", "tk", "key").join(twice.hint("merge"), "key")
-    own = own.groupBy("did", "tk").agg(F.collect_list("key").alias("keys"), F.collect_list(F.when(F.col("n") > hot_key, F.col("key"))).alias("hot_keys"))
-    picked = docs.join(own.hint("merge"), ["did", "tk"]).select("did", "tk", "text", "keys", "hot_keys")
+    twice = stored(found.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key"), "substring-twice")
+    own = found.select("did", "tk", "key").distinct().join(twice.hint("merge"), "key").groupBy("did", "tk").agg(F.collect_list("key").alias("keys"))
+    picked = docs.join(own.hint("merge"), ["did", "tk"]).select("did", "tk", "text", "keys")
     # rows that are equal in doc_id and text stay apart here, so that each is an occurrence of its own
-    parts = stored(picked.mapInPandas(_segments(window, gram), "did long, tk long, key long, hot boolean, start int, body binary"), "substring-segments")
-    discard(found)
-    discard(twice)
-    cold = parts.where(~F.col("hot")).select("did", "tk", "key", "start", "body").repartition("key").sortWithinPartitions("key")
-    cold = cold.mapInPandas(_index_shards(window, shard_words), "did long, tk long, start int, mask long")
-    hot = parts.where("hot").withColumn("sd", F.md5("body"))
-    kinds = hot.groupBy("sd").agg(F.first("body").alias("body"), F.count(F.lit(1)).alias("n"))
-    windows = kinds.mapInPandas(_window_digests(window), "sd string, at int, w1 long, w2 long, n long")
-    again = windows.groupBy("w1", "w2").agg(F.sum("n").alias("times")).where("times > 1")
-    masks = windows.join(again.hint("merge"), ["w1", "w2"], "left_semi").groupBy("sd").agg(F.expr("bit_or(shiftleft(1L, at))").alias("mask"))
-    return cold.union(hot.join(masks.hint("merge"), "sd").select("did", "tk", "start", "mask")), [parts]
+    parts = picked.mapInPandas(_segments(window, gram), "did long, tk long, key long, start int, body binary")
+    parts = stored(parts.withColumn("sd", F.md5("body")), "substring-segments")
+    kinds = stored(parts.groupBy("key", "sd").agg(F.first("body").alias("body"), F.count(F.lit(1)).alias("n")), "substring-kinds")
+    large = stored(kinds.groupBy("key").agg(F.count(F.lit(1)).alias("d")).where(F.col("d") > key_segments).select("key"), "substring-large")
+    masks = indexed(join_small(kinds, large, "key", "left_anti"), "substring-masks")
+    made = [found, twice, kinds, large, masks]
+    if large.take(1):
+        cut = join_small(kinds, large, "key", "left_semi").mapInPandas(_windows(window), "key long, whole string, at int, n long, body binary")
+        again = stored(cut.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key"), "substring-again")
+        cut = stored(cut.join(again.hint("merge"), "key", "left_semi").withColumn("sd", F.md5("body")), "substring-windows")
+        hits = indexed(cut.groupBy("key", "sd").agg(F.first("body").alias("body"), F.sum("n").alias("n")), "substring-hits")
+        more = cut.join(hits.select("key", "sd").hint("merge"), ["key", "sd"]).groupBy(F.col("whole").alias("sd")).agg(F.expr("bit_or(shiftleft(1L, at))").alias("mask"))
+        masks = stored(masks.select("sd", "mask").union(more), "substring-all")
+        made += [again, cut, hits, masks]
+    # a segment's words tell its key, so its digest alone names it
+    spans = stored(parts.select("did", "tk", "start", "sd").distinct().join(masks.select("sd", "mask").hint("merge"), "sd").select("did", "tk", "start", "mask"), "substring-repeated")
+    for part in [*made, parts]:
+        discard(part)
+    return spans
 
 
 def without_repeats(docs: DataFrame, **options) -> DataFrame:
@@ -185,10 +193,9 @@ def without_repeats(docs: DataFrame, **options) -> DataFrame:
     no words; texts under 35 words stay whole; equal rows are copies of each other; an empty table gives no rows.
     """
     keyed = docs.select("text", F.coalesce("doc_id", F.lit(NO_ID)).alias("did"), F.xxhash64("text").alias("tk"))
-    spans, used = repeated(keyed.select("did", "tk", "text"), **options)
-    spans = stored(spans.distinct().groupBy("did", "tk").agg(F.collect_list(F.struct("start", "mask")).alias("found")), "substring-spans")
-    for part in used:
-        discard(part)
+    found = repeated(keyed.select("did", "tk", "text"), **options)
+    spans = stored(found.groupBy("did", "tk").agg(F.collect_list(F.struct("start", "mask")).alias("found")), "substring-spans")
+    discard(found)
     merged = keyed.join(spans.hint("merge"), ["did", "tk"], "left").select(F.col("did").alias("doc_id"), "text", "found")
     return null_ids(merged.mapInPandas(_cleaned(options.get("window", WINDOW)), "doc_id long, n_words long, n_removed long, kept string"), "doc_id")
 

@@ -30,7 +30,7 @@ def test_equals_brute_force(messy, strange):
     assert any(r[2] for r in wanted)
     assert result(messy) == wanted
     assert result(strange, shard_words=50) == wanted
-    assert result(messy, hot_key=1) == wanted  # every repeated key is hot
+    assert result(messy, key_segments=0) == wanted  # every repeated key is dealt out by its windows
 
 
 def test_shared_and_periodic_passages(spark):
@@ -49,7 +49,7 @@ def test_shared_and_periodic_passages(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     wanted = brute([(r[0], r[1]) for r in rows], 35)
     assert result(df) == wanted
-    assert result(df.repartition(7), hot_key=3, shard_words=100) == wanted
+    assert result(df.repartition(7), key_segments=3, shard_words=100) == wanted
     assert result(df, window=12, gram=4) == brute([(r[0], r[1]) for r in rows], 12)
 
 
