@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,8 +28,22 @@ def null_ids(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, F.when(F.col(name) != NO_ID, F.col(name)))
 
 
+def keep_rows(df: DataFrame, column: str, test: Callable[[list], object]) -> DataFrame:
+    """Rows whose value in ``column`` passes ``test`` (values to booleans), as they stand: judged in Arrow batches where they are read, without a shuffle."""
+    place = df.columns.index(column)
+
+    def rows(batches) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            yield batch.filter(pa.array(test(batch.column(place).to_pylist()), pa.bool_()))
+
+    return df.mapInArrow(rows, df.schema)
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a temporary one only in local mode, where nothing is set."""
+    """The session's checkpoint folder, which all executors share. Where it is unset, one process in local mode (as in tests)
+    sets its own; a cluster must name it."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if found:
         return found

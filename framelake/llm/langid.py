@@ -6,15 +6,17 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .io import null_ids, table, with_ids
+from .io import keep_rows, null_ids, table, with_ids
 
 #: Hashed n-grams of 1 to 3 characters; letters folded to lower case, runs of anything else to one space.
 ORDERS, BUCKETS = (1, 2, 3), 1 << 15
-#: The classifier is fitted on at most this many labelled documents per language; IDF counts cover all of them.
+#: The classifier is fitted on about this many labelled documents per language; IDF counts cover all of them.
 SAMPLE_PER_LANGUAGE = 400
+#: Languages that can be learned: those with the most labelled documents.
+MOST_LANGUAGES = 256
 #: Characters handled at once; a longer single text is handled alone.
 CHUNK = 1 << 18
 SPACE = 32
@@ -127,14 +129,15 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model | None:
+def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, languages: int = MOST_LANGUAGES) -> Model | None:
     """Fits on the labelled documents that are not held out; None if there are none with a letter.
 
-    Document frequencies are counted over all of them; the weights come from ``per_language`` documents of every language
-    (those of the smallest hash), a quarter of which fit the temperature only. What reaches the driver is bounded: the
-    frequencies of BUCKETS buckets and the sample's sparse vectors.
+    Document frequencies are counted over all of them; the weights come from a sample: the documents whose hash lies below
+    ``per_language`` divided by the language's number of different documents, so that nothing is ranked and equal rows count
+    once. A quarter of the sample fits the temperature only. What reaches the driver is bounded: the frequencies of BUCKETS
+    buckets and the sparse vectors of about ``per_language`` documents in each of at most ``languages`` languages.
     """
-    labelled = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
+    labelled = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.xxhash64("doc_id", "text").alias("h"), "text", "lang")
 
     def frequencies(batches):
         import pandas as pd
@@ -162,24 +165,22 @@ def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model | N
 
         for batch in batches:
             out = []
-            for lang, r, (counts, letters) in zip(batch["lang"], batch["r"], _per_text(batch["text"].tolist())):
+            for lang, h, (counts, letters) in zip(batch["lang"], batch["h"], _per_text(batch["text"].tolist())):
                 at = np.flatnonzero(counts)
                 if letters:
-                    out.append((lang, r, at.astype(np.int32).tobytes(), (counts[at] / counts.sum()).astype(np.float32).tobytes()))
-            yield pd.DataFrame(out, columns=["lang", "r", "at", "share"])
-
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = labelled.select("doc_id", "lang").withColumn("r", F.row_number().over(first)).where(F.col("r") <= per_language)
-    picked = picked.select("doc_id", F.col("lang").alias("_lang"), "r")
-    # at most per_language rows for each language
-    sample = labelled.join(F.broadcast(picked), "doc_id").where("lang = _lang").select("lang", "r", "text")
-    rows = sample.mapInPandas(vectors, "lang string, r int, at binary, share binary").toPandas().sort_values(["lang", "r"])
+                    out.append((lang, h, at.astype(np.int32).tobytes(), (counts[at] / counts.sum()).astype(np.float32).tobytes()))
+            yield pd.DataFrame(out, columns=["lang", "h", "at", "share"])
+
+    sizes = labelled.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).orderBy(F.desc("n"), "lang").limit(languages)
+    below = F.shiftrightunsigned("h", 11) * F.col("n") < float(per_language) * (1 << 53)
+    sample = labelled.join(F.broadcast(sizes), "lang").where(below).dropDuplicates(["lang", "h"]).select("lang", "h", "text")
+    rows = sample.mapInPandas(vectors, "lang string, h long, at binary, share binary").toPandas().sort_values(["lang", "h"])
     languages = sorted(rows["lang"].unique())
     code = {x: i for i, x in enumerate(languages)}
     at = [np.frombuffer(x, np.int32) for x in rows["at"]]
     shares = [np.frombuffer(x, np.float32) for x in rows["share"]]
     data = [(np.append(a, BUCKETS), np.append(s * idf[a], 1.0), code[x]) for a, s, x in zip(at, shares, rows["lang"])]
-    part = rows["r"].to_numpy() % 4
+    part = rows.groupby("lang").cumcount().to_numpy() % 4
     fit = [d for d, p in zip(data, part) if p != 0] or data
     weights = fit_ftrl(fit, len(languages))
     rest = [d for d, p in zip(data, part) if p == 0]
@@ -206,20 +207,29 @@ def probabilities(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarra
     return np.concatenate(out), np.concatenate(letters)
 
 
+def _sent(docs: DataFrame, model: Model | None):
+    """The model as a broadcast of plain values."""
+    return docs.sparkSession.sparkContext.broadcast(model and (model.languages, model.weights, model.bias, model.temperature))
+
+
+def _said(sent, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(language, probability) of every text."""
+    if sent.value is None or not texts:
+        return np.full(len(texts), "und", object), np.zeros(len(texts))
+    model = Model(*sent.value)
+    p, letters = probabilities(model, [t or "" for t in texts])
+    names = np.array(model.languages, object)[p.argmax(axis=1)]
+    return np.where(letters, names, "und"), np.where(letters, p.max(axis=1), 0.0)
+
+
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """doc_id, lang_pred, score of every row from its text alone; ``und`` with score 0 for null and letterless texts."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    sent = _sent(docs, model)
 
     def rows(batches):
-        model = shared.value
         for batch in batches:
-            texts = [t or "" for t in batch["text"]]
-            if model is None or not texts:
-                yield batch[["doc_id"]].assign(lang_pred="und", score=0.0)
-                continue
-            p, letters = probabilities(model, texts)
-            names = np.array(model.languages, object)[p.argmax(axis=1)]
-            yield batch[["doc_id"]].assign(lang_pred=np.where(letters, names, "und"), score=np.where(letters, p.max(axis=1), 0.0))
+            names, scores = _said(sent, batch["text"].tolist())
+            yield batch[["doc_id"]].assign(lang_pred=names, score=scores)
 
     return null_ids(with_ids(docs, "doc_id", "text").mapInPandas(rows, "doc_id long, lang_pred string, score double"), "doc_id")
 
@@ -227,15 +237,24 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
 def identify(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> DataFrame:
     """doc_id, held_out, lang_pred, score: trains on the labelled part of ``docs`` and predicts every row.
 
-    Null doc_ids count as not held out; repeated rows get equal predictions; without labelled texts all are ``und``."""
+    Null doc_ids count as not held out; repeated rows get equal predictions; very long texts are read whole; without labelled
+    texts all are ``und``; an empty table gives no rows; other columns are left out."""
     out = predict(docs, train(docs, per_language))
     return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
 def in_known_language(docs: DataFrame, least: float = 0.5, **options) -> DataFrame:
-    """Rows whose text has a predicted language with at least this probability; the columns stay as they are."""
-    said = identify(docs, **options).where((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(said.hint("merge"), docs["doc_id"].eqNullSafe(said["_id"]), "left_semi")
+    """Rows whose text has a predicted language with at least this probability; the columns stay as they are.
+
+    Every row is judged by its own text where it is read, so rows of one doc_id, or of none, never decide for each other.
+    Null, empty and letterless texts go; repeated rows stay or go together; an empty table gives no rows."""
+    sent = _sent(docs, train(docs, **options))
+
+    def known(texts: list[str | None]) -> np.ndarray:
+        names, scores = _said(sent, texts)
+        return (names != "und") & (scores >= least)
+
+    return keep_rows(docs, "text", known)
 
 
 def query(spark, sf_dir):
