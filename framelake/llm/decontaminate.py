@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .io import NO_ID, discard, stored, table
+from .io import NO_ID, discard, keep_rows, null_ids, stored, table, with_ids
 from .words import Words, chunks, encoded, gram_hashes, not_alphanumeric
 
 #: Words of a seed.
@@ -78,28 +78,28 @@ def _index(ids: np.ndarray, items: list[np.ndarray], share: float, least: int) -
     }
 
 
+#: A cell holds score, equal words and start in one number, so that a maximum compares them in this order.
+_SCORE, _EQUAL = 42, 21
+
+
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int, int]:
-    """Smith-Waterman over words: (score, first word, end word, equal words) of the best local alignment."""
-    m, n = len(item), len(passage)
-    table_ = np.zeros((m + 1, n + 1), np.int32)
-    ramp = -GAP * np.arange(n + 1, dtype=np.int32)
-    for i in range(1, m + 1):
-        row = np.zeros(n + 1, np.int32)
-        same = np.where(passage == item[i - 1], MATCH, MISMATCH)
-        row[1:] = np.maximum(np.maximum(table_[i - 1, :-1] + same, table_[i - 1, 1:] + GAP), 0)
-        table_[i] = np.maximum.accumulate(row + ramp) - ramp
-    i, j = np.unravel_index(int(table_.argmax()), table_.shape)
-    best, end, equal = int(table_[i, j]), int(j), 0
-    while i and j and table_[i, j] > 0:
-        hit = passage[j - 1] == item[i - 1]
-        if table_[i, j] == table_[i - 1, j - 1] + (MATCH if hit else MISMATCH):
-            equal += bool(hit)
-            i, j = i - 1, j - 1
-        elif table_[i, j] == table_[i - 1, j] + GAP:
-            i -= 1
-        else:
-            j -= 1
-    return best, int(j), end, equal
+    """Smith-Waterman over words: (score, first word, end word, equal words) of the best local alignment.
+
+    Of equal scores that with more equal words, then the later start. Only one row of the table is held: every cell
+    carries the start and the equal words of its alignment, so memory grows with the passage alone.
+    """
+    places = np.arange(len(passage) + 1, dtype=np.int64)  # an empty alignment that starts here
+    ramp, hit = (-GAP * places) << _SCORE, (MATCH << _SCORE) + (1 << _EQUAL)
+    row, best, end = places, 0, 0
+    for word in item:
+        diagonal = row[:-1] + np.where(passage == word, hit, MISMATCH << _SCORE)
+        row = np.maximum.accumulate(np.append(0, np.maximum(diagonal, row[1:] + (GAP << _SCORE))) + ramp) - ramp
+        row = np.where(row < 1 << _SCORE, places, row)
+        if (top := int(row.max())) > best:
+            best, end = top, int(row.argmax())
+    if best < 1 << _SCORE:
+        return 0, 0, 0, 0
+    return best >> _SCORE, best & ((1 << _EQUAL) - 1), end, (best >> _EQUAL) & ((1 << _EQUAL) - 1)
 
 
 def _stretches(words: Words, grams: np.ndarray, index: dict) -> Iterator[tuple[int, int, int, int]]:
@@ -160,61 +160,42 @@ def _found(item: np.ndarray, passage: np.ndarray, share: float, least: int) -> t
     return (MATCH * run / whole, end - run, end, run) if run >= least else None
 
 
-def _leaks(index, share: float, least: int):
-    """For batches of did, tk, text: the leaks of every text."""
-
-    def rows(batches) -> Iterator:
-        import pandas as pd
-
-        known = index.value
-        kinds = {}
-        for batch in batches:
-            texts = [_lowered(t) for t in batch["text"]]
-            out = []
-            for a, b in chunks(texts):
-                words = Words(texts[a:b], not_alphanumeric())
-                grams = gram_hashes(words.hashes, SEED_WORDS)
-                for r, k, lo, hi in _stretches(words, grams, known) if len(grams) else ():
-                    item, span = known["items"][k], int(known["span"][k])
-                    if k not in kinds:
-                        kinds[k] = np.unique(item), np.unique(gram_hashes(item, SEED_WORDS))
-                    equal, seeds = _among(words.hashes[lo:hi], kinds[k][0]), _among(grams[lo : hi - SEED_WORDS + 1], kinds[k][1])
-                    wide, pairs = min(span, hi - lo), min(span, hi - lo) - SEED_WORDS + 1
-                    most = np.minimum(equal[wide:] - equal[:-wide], len(item)) + seeds[pairs:] - seeds[:-pairs] + 1
-                    at = np.flatnonzero(most >= known["need"][k])
-                    done = -1
-                    for x in at.tolist():  # tiles of two spans: every alignment lies in one of them
-                        if x < done:
-                            continue
-                        start, end = lo + x, min(hi, lo + x + 2 * span)
-                        done = x + span
-                        if found := _found(item, words.hashes[start:end], share, least):
-                            score, f, e, same = found
-                            start -= words.first[r]
-                            out.append((batch["did"].iat[a + r], batch["tk"].iat[a + r], known["ids"][k], int(start + f), int(start + e), float(score), same, len(item)))
-            yield pd.DataFrame(out, columns=["did", "tk", "item_id", "first_word", "end_word", "score", "equal_words", "item_words"])
-
-    return rows
-
-
-def _leaking(docs: DataFrame, items: DataFrame, share: float, least: int, at_once: int) -> DataFrame:
-    """All leaks found, with did (doc_id, or NO_ID) and tk (hash of the text). The benchmark's words are sent to the tasks, at most
-    ``at_once`` at a time, and every document is aligned where it is read: nothing is dealt by seed, so no seed or item is hot."""
-    spark = docs.sparkSession
+def _text_leaks(texts: list[str | None], known: dict, share: float, least: int) -> Iterator[tuple]:
+    """(text, item, first word, end word, score, equal words, item words) of all leaks; ``kinds`` of ``known`` keeps what was prepared."""
+    texts, kinds = [_lowered(t) for t in texts], known["kinds"]
+    for a, b in chunks(texts):
+        words = Words(texts[a:b], not_alphanumeric())
+        grams = gram_hashes(words.hashes, SEED_WORDS)
+        for r, k, lo, hi in _stretches(words, grams, known) if len(grams) else ():
+            item, span = known["items"][k], int(known["span"][k])
+            if k not in kinds:
+                kinds[k] = np.unique(item), np.unique(gram_hashes(item, SEED_WORDS))
+            equal, seeds = _among(words.hashes[lo:hi], kinds[k][0]), _among(grams[lo : hi - SEED_WORDS + 1], kinds[k][1])
+            wide, pairs = min(span, hi - lo), min(span, hi - lo) - SEED_WORDS + 1
+            most = np.minimum(equal[wide:] - equal[:-wide], len(item)) + seeds[pairs:] - seeds[:-pairs] + 1
+            done = -1
+            for x in np.flatnonzero(most >= known["need"][k]).tolist():  # tiles of two spans: every alignment lies in one of them
+                if x < done:
+                    continue
+                start, end = lo + x, min(hi, lo + x + 2 * span)
+                done = x + span
+                if found := _found(item, words.hashes[start:end], share, least):
+                    score, f, e, same = found
+                    start -= words.first[r]
+                    yield a + r, known["ids"][k], int(start + f), int(start + e), float(score), same, len(item)
+
+
+def _indexes(items: DataFrame, share: float, least: int, at_once: int) -> Iterator:
+    """Broadcast indexes of the benchmark's seeds, of about ``at_once`` words each: one, unless the benchmark is very large."""
+    spark = items.sparkSession
     known = stored(item_words(items).where(F.col("n") >= LEAST_ITEM), "benchmark-items")
     parts = max(1, -(-(known.agg(F.sum("n")).first()[0] or 0) // at_once))
-    keyed = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("did"), F.xxhash64("text").alias("tk"), "text")
-    schema = "did long, tk long, item_id long, first_word int, end_word int, score double, equal_words int, item_words int"
-    found = None
-    for part in range(parts):  # one, unless the benchmark is very large
+    for part in range(parts):
         own = known.where(F.pmod(F.xxhash64("item_id", "item"), F.lit(parts)) == part).toPandas()
-        if not len(own):
-            continue
-        index = spark.sparkContext.broadcast(_index(own["item_id"].to_numpy(np.int64), [np.frombuffer(x, np.uint64) for x in own["item"]], share, least))
-        some = keyed.mapInPandas(_leaks(index, share, least), schema)
-        found = some if found is None else found.union(some)
+        if len(own):
+            index = _index(own["item_id"].to_numpy(np.int64), [np.frombuffer(x, np.uint64) for x in own["item"]], share, least)
+            yield spark.sparkContext.broadcast({**index, "kinds": {}})
     discard(known)
-    return spark.createDataFrame([], schema) if found is None else found
 
 
 def contaminated(docs: DataFrame, items: DataFrame, share: float = LEAST_SHARE, least: int = LEAST_WORDS, at_once: int = SEEDS_AT_ONCE) -> DataFrame:
@@ -226,18 +207,44 @@ def contaminated(docs: DataFrame, items: DataFrame, share: float = LEAST_SHARE,
     it holds a run of ``least`` equal words; seeds only leave out stretches that cannot. (Exempt are items of four or five words with
     new words between all of theirs, and a ``share`` near 0.5 or below: their alignments may hold no two neighbouring words.)
     """
+    def leaks(index):
+        def rows(batches) -> Iterator:
+            import pandas as pd
+
+            for batch in batches:
+                found = list(_text_leaks(batch["text"].tolist(), index.value, share, least))
+                out = pd.DataFrame(found, columns=["doc_id", "item_id", "first_word", "end_word", "score", "equal_words", "item_words"])
+                yield out.assign(doc_id=batch["doc_id"].to_numpy()[out["doc_id"].to_numpy(np.int64)])
+
+        return rows
+
+    schema = "doc_id long, item_id long, first_word int, end_word int, score double, equal_words int, item_words int"
+    found = docs.sparkSession.createDataFrame([], schema)
+    for index in _indexes(items, share, least, at_once):
+        found = found.union(with_ids(docs, "doc_id", "text").mapInPandas(leaks(index), schema))
     best = F.max(F.struct("score", "equal_words", -F.col("first_word"), "first_word", "end_word", "item_words")).alias("b")
-    return _leaking(docs, items, share, least, at_once).groupBy("did", "item_id").agg(best).select(
-        F.when(F.col("did") != NO_ID, F.col("did")).alias("doc_id"), F.when(F.col("item_id") != NO_ID, F.col("item_id")).alias("item_id"), "b.first_word", "b.end_word", "b.score", "b.equal_words", "b.item_words"
-    )
+    out = found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "b.first_word", "b.end_word", "b.score", "b.equal_words", "b.item_words")
+    return null_ids(null_ids(out, "doc_id"), "item_id")
 
 
 def without_benchmark(docs: DataFrame, items: DataFrame, share: float = LEAST_SHARE, least: int = LEAST_WORDS, at_once: int = SEEDS_AT_ONCE) -> DataFrame:
-    """The rows of ``docs`` in which no item is found; rows of one doc_id, or of none, are told apart by their text."""
-    leaks = _leaking(docs, items, share, least, at_once).select(F.col("did").alias("_did"), F.col("tk").alias("_tk")).distinct()
-    leaks = stored(leaks, "benchmark-leaks")
-    did, tk = F.coalesce(docs["doc_id"], F.lit(NO_ID)), F.xxhash64(docs["text"])
-    return docs.join(leaks.hint("merge"), (did == leaks["_did"]) & (tk == leaks["_tk"]), "left_anti")
+    """The rows of ``docs`` in which no item is found, as they stand.
+
+    Every row is judged by its own text where it is read, so rows of one doc_id, or of none, never decide for each other, and
+    nothing is shuffled. Null and empty texts stay; repeated rows stay or go together; an empty table gives no rows."""
+
+    def clean(index):
+        def test(texts: list[str | None]) -> np.ndarray:
+            out = np.ones(len(texts), bool)
+            for at, *_ in _text_leaks(texts, index.value, share, least):
+                out[at] = False
+            return out
+
+        return test
+
+    for index in _indexes(items, share, least, at_once):
+        docs = keep_rows(docs, "text", clean(index))
+    return docs
 
 
 def query(spark, sf_dir):
