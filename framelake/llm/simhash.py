@@ -81,7 +81,7 @@ def _links(bits: int):
 
         def links(frame) -> pd.DataFrame:
             fps = frame["fp"].to_numpy().view(np.uint64)
-            ids = frame[["k", "key", "lo", "hi"]].to_numpy()
+            ids = frame[["bucket", "lo", "hi"]].to_numpy()
             new = np.concatenate([[True], (ids[1:] != ids[:-1]).any(axis=1)])
             starts = np.flatnonzero(new)
             size = np.diff(np.append(starts, len(fps)))
@@ -99,7 +99,7 @@ def _links(bits: int):
         held = None
         for batch in batches:
             frame = batch if held is None else pd.concat([held, batch], ignore_index=True)
-            ids = frame[["k", "key", "lo", "hi"]].to_numpy()
+            ids = frame[["bucket", "lo", "hi"]].to_numpy()
             same = (ids == ids[-1]).all(axis=1)
             cut = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
             held = frame.iloc[cut:]
@@ -111,44 +111,57 @@ def _links(bits: int):
     return rows
 
 
+def tiled(members: DataFrame, bucket: str, member: str, tile: int) -> DataFrame:
+    """(bucket, lo, hi, member) for members (bucket, member, n) of buckets with n rows: every two members of a bucket meet.
+
+    Buckets above ``tile`` rows are dealt into tiles of about half that size by a hash of the member, and every two tiles are a
+    unit of work of their own, so memory stays bounded and no comparison is left out.
+    """
+    half = tile // 2
+    tiles = F.when(F.col("n") > tile, F.ceil(F.col("n") / half)).otherwise(F.lit(1)).cast("int")
+    own = members.select(bucket, member, tiles.alias("tiles")).withColumn("own", F.pmod(F.xxhash64(F.lit("tile"), member), "tiles").cast("int"))
+    met = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    return met.select(bucket, F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), member)
+
+
 def near_links(nodes: DataFrame, blocks: int = BLOCKS, bits: int = MAX_BITS, tile: int = TILE) -> DataFrame:
     """Links (a, b) between distinct fingerprints within ``bits``: as many as keep connected what is connected.
 
-    A bucket holds the fingerprints that agree under one mask. No pair table is made: a task walks its bucket and
-    emits fewer links than it has rows. Buckets above ``tile`` rows are cut into tiles of half that size, and every two
-    tiles are a task's work, so memory stays bounded and no comparison is left out.
+    A bucket holds the fingerprints that agree under one mask. Buckets are counted first, by partial aggregation, so that those
+    of one row end there; the others meet by a join on the bucket that adaptive execution can split. No pair table is made: a
+    task walks its bucket, or two tiles of a large one, and emits fewer links than it has rows.
     """
-    keys = F.array(*[F.struct(F.lit(i).alias("k"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(block_masks(blocks, bits))])
-    keyed = nodes.select("fp", F.explode(keys).alias("x")).select("x.k", "x.key", "fp")
-    bucket = Window.partitionBy("k", "key")
-    shared = keyed.withColumn("n", F.count(F.lit(1)).over(bucket)).where("n > 1")
-    small = shared.where(F.col("n") <= tile).select("k", "key", F.lit(0).alias("lo"), F.lit(0).alias("hi"), "fp")
-    half = tile // 2
-    own = shared.where(F.col("n") > tile).withColumn("tile", F.floor((F.row_number().over(bucket.orderBy("fp")) - 1) / half).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), (F.ceil(F.col("n") / half) - 1).cast("int")))
-    large = own.withColumn("other", other).select("k", "key", F.least("tile", "other").alias("lo"), F.greatest("tile", "other").alias("hi"), "fp")
-    order = ["k", "key", "lo", "hi"]
-    small = small.sortWithinPartitions("k", "key")
-    large = large.repartition(*[F.col(c) for c in order]).sortWithinPartitions(*order)
-    made = [x.mapInPandas(_links(bits), "a long, b long") for x in (small, large)]
-    return made[0].union(made[1]).distinct()
+    buckets = F.array(*[F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m))) for i, m in enumerate(block_masks(blocks, bits))])
+    keyed = nodes.select("fp", F.explode(buckets).alias("bucket"))
+    counts = stored(keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "simhash-buckets")
+    met = tiled(keyed.join(counts.hint("merge"), "bucket"), "bucket", "fp", tile)
+    order = ["bucket", "lo", "hi"]
+    met = met.repartition(*[F.col(c) for c in order]).sortWithinPartitions(*order)
+    links = stored(met.mapInPandas(_links(bits), "a long, b long").distinct(), "simhash-links")
+    discard(counts)
+    return links
 
 
 def near_duplicates(docs: DataFrame, words: int = 4, blocks: int = BLOCKS, bits: int = MAX_BITS, tile: int = TILE) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id of the group) of every row.
 
     Equal fingerprints meet once; texts without a word (null, empty, white space) have fingerprint zero and link like any
-    other. Rows with a null doc_id belong to their group but never name it. An empty table gives no rows.
+    other. Rows with a null doc_id belong to their group but never name it. Very long texts are read whole; repeated rows get
+    equal answers; other columns are left out; an empty table gives no rows.
     """
     prints = stored(fingerprints(docs, words), "simhash-docs")
     nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-nodes")
-    roots = components(near_links(nodes, blocks, bits, tile))
+    links = near_links(nodes, blocks, bits, tile)
+    roots = components(links)
     rooted = nodes.join(roots.hint("merge"), nodes["fp"] == roots["u"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     rooted = stored(rooted, "simhash-rooted")
-    discard(nodes)
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_print = rooted.join(named.hint("merge"), "root").select("fp", "component_id")
-    # a hot fingerprint is a skewed side of this sort-merge join, which adaptive execution splits
+    for done in (nodes, links, roots):
+        discard(done)
+    # aggregates are written before they are joined, so that both sides come from a shuffle and hot keys can be split
+    named = stored(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-names")
+    by_print = stored(rooted.join(named.hint("merge"), "root").select("fp", "component_id"), "simhash-named")
+    discard(rooted)
+    discard(named)
     return prints.join(by_print.hint("merge"), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
