@@ -167,10 +167,14 @@ def repeated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_word
     # rows that are equal in doc_id and text stay apart here, so that each is an occurrence of its own
     parts = picked.mapInPandas(_segments(window, gram), "did long, tk long, key long, start int, body binary")
     parts = stored(parts.withColumn("sd", F.md5("body")), "substring-segments")
+    discard(found)
+    discard(twice)
     kinds = stored(parts.groupBy("key", "sd").agg(F.first("body").alias("body"), F.count(F.lit(1)).alias("n")), "substring-kinds")
+    places = stored(parts.select("did", "tk", "start", "sd").distinct(), "substring-places")
+    discard(parts)
     large = stored(kinds.groupBy("key").agg(F.count(F.lit(1)).alias("d")).where(F.col("d") > key_segments).select("key"), "substring-large")
     masks = indexed(join_small(kinds, large, "key", "left_anti"), "substring-masks")
-    made = [found, twice, kinds, large, masks]
+    made = [kinds, large, masks, places]
     if large.take(1):
         cut = join_small(kinds, large, "key", "left_semi").mapInPandas(_windows(window), "key long, whole string, at int, n long, body binary")
         again = stored(cut.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key"), "substring-again")
@@ -180,8 +184,8 @@ def repeated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_word
         masks = stored(masks.select("sd", "mask").union(more), "substring-all")
         made += [again, cut, hits, masks]
     # a segment's words tell its key, so its digest alone names it
-    spans = stored(parts.select("did", "tk", "start", "sd").distinct().join(masks.select("sd", "mask").hint("merge"), "sd").select("did", "tk", "start", "mask"), "substring-repeated")
-    for part in [*made, parts]:
+    spans = stored(places.join(masks.select("sd", "mask").hint("merge"), "sd").select("did", "tk", "start", "mask"), "substring-repeated")
+    for part in made:
         discard(part)
     return spans
 
