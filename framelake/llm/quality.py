@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from .io import table
 
 WORDS = r"[^\x20\x09-\x0D]+"
-SPACES = r"[\x20\x09-\x0D]+"
 
 #: Rules in bit order: name, and the SQL condition under which a document fails. Append only; bits keep their meaning.
 RULES: tuple[tuple[str, str], ...] = (
@@ -40,17 +39,22 @@ def _pairs(words: Column) -> Column:
     return F.transform(starts, lambda i: F.struct(F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)).alias("h"), i.alias("i")))
 
 
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_letters", "n_lines", "n_dup_lines", "n_repeat_words")
+
+
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Adds the measurements to every row; null text has no words.
+    """Adds the measurements to every row: n_words, word_chars, n_symbols, n_letters, n_lines, n_dup_lines, n_repeat_words.
 
-    n_words, word_chars, n_symbols, n_letters, n_lines, n_dup_lines, n_repeat_words. Windows are compared by a 64-bit hash
-    within one document: they are sorted with their starts, neighbours of equal hash are repeated, and the
-    words that they cover are the sum of min(3, distance to the next repeated start).
+    Windows are compared by a 64-bit hash within one document: they are sorted with their starts, neighbours of equal hash are
+    repeated, and the words that they cover are the sum of min(3, distance to the next repeated start). Null text has no words;
+    repeated rows get equal measurements; all other columns stay, but for those named like a measurement, which it replaces.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    out = docs.withColumn("_words", F.regexp_extract_all(body, F.lit(f"({WORDS})"), F.lit(1)))
+    # the caller's columns stand apart, so that none can clash with a step's
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in MEASURES]).alias("_row")
     lines = F.filter(F.split(body, "\n", -1), lambda x: x.rlike(WORDS))
-    out = out.withColumns({"_pairs": F.array_sort(_pairs(F.col("_words"))), "_lines": lines})
+    out = docs.select(row, body.alias("_body"), F.regexp_extract_all(body, F.lit(f"({WORDS})"), F.lit(1)).alias("_words"), lines.alias("_lines"))
+    out = out.withColumn("_pairs", F.sort_array(_pairs(F.col("_words"))))
     h = lambda k: F.get(F.col("_pairs"), k)["h"]
     again = F.filter(F.col("_pairs"), lambda x, k: F.coalesce(x["h"] == h(k - 1), F.lit(False)) | F.coalesce(x["h"] == h(k + 1), F.lit(False)))
     out = out.withColumn("_starts", F.sort_array(F.transform(again, lambda x: x["i"])))
@@ -60,21 +64,15 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         lambda acc, i: F.struct(i.alias("last"), (acc["n"] + F.least(F.lit(3), i - acc["last"])).alias("n")),
         lambda acc: acc["n"],
     )
-    return out.withColumns(
-        {
-            "n_words": F.size("_words").cast("long"),
-            "word_chars": F.length(F.regexp_replace(body, SPACES, "")).cast("long"),
-            "n_symbols": F.length(F.regexp_replace(body, r"[^#*$%&|<>]+", "")).cast("long"),
-            "n_letters": F.length(F.regexp_replace(body, r"[^\p{L}]+", "")).cast("long"),
-            "n_lines": F.size("_lines").cast("long"),
-            "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-            "n_repeat_words": covered.cast("long"),
-        }
-    ).drop("_words", "_pairs", "_lines", "_starts")
+    measures = (
+        F.size("_words"), F.length(F.array_join("_words", "")), F.regexp_count("_body", F.lit(r"[#*$%&|<>]")), F.length(F.regexp_replace("_body", r"[^\p{L}]+", "")),
+        F.size("_lines"), F.size("_lines") - F.size(F.array_distinct("_lines")), covered,
+    )
+    return out.select("_row.*", *[m.cast("long").alias(n) for n, m in zip(MEASURES, measures)])
 
 
 def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Measurements and failure bits: every rule is evaluated once per document."""
+    """Measurements and failure bits (failures, which replaces a column of that name): every rule is evaluated once per document."""
     bits = [F.when(F.expr(condition), F.lit(1 << i)).otherwise(F.lit(0)) for i, (_, condition) in enumerate(RULES)]
     mask = bits[0]
     for b in bits[1:]:
