@@ -7,7 +7,7 @@ from itertools import combinations
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import components
@@ -73,44 +73,50 @@ def _forest(fps: np.ndarray, bits: int) -> list[tuple[np.ndarray, int]]:
     return out
 
 
-def _links(bits: int):
-    """For batches sorted by bucket: spanning links of every bucket. A bucket has at most 2 * TILE rows."""
+def _by_key(keys: list[str], made):
+    """For batches sorted by these columns: ``made`` over frames that hold whole groups."""
 
     def rows(batches) -> Iterator:
         import pandas as pd
 
-        def links(frame) -> pd.DataFrame:
-            fps = frame["fp"].to_numpy().view(np.uint64)
-            ids = frame[["bucket", "lo", "hi"]].to_numpy()
-            new = np.concatenate([[True], (ids[1:] != ids[:-1]).any(axis=1)])
-            starts = np.flatnonzero(new)
-            size = np.diff(np.append(starts, len(fps)))
-            a, b = [], []
-            two = starts[size == 2]  # most buckets: all at once
-            near = np.bitwise_count(fps[two] ^ fps[two + 1]) <= bits
-            a.append(fps[two][near])
-            b.append(fps[two + 1][near])
-            for s, n in zip(starts[size > 2].tolist(), size[size > 2].tolist()):
-                for members, x in _forest(fps[s : s + n], bits):
-                    a.append(members)
-                    b.append(np.full(len(members), x))
-            return pd.DataFrame({"a": np.concatenate(a).view(np.int64), "b": np.concatenate(b).view(np.int64)}).drop_duplicates()
-
         held = None
         for batch in batches:
             frame = batch if held is None else pd.concat([held, batch], ignore_index=True)
-            ids = frame[["bucket", "lo", "hi"]].to_numpy()
+            ids = frame[keys].to_numpy()
             same = (ids == ids[-1]).all(axis=1)
             cut = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
             held = frame.iloc[cut:]
             if cut:
-                yield links(frame.iloc[:cut])
+                yield made(frame.iloc[:cut])
         if held is not None and len(held):
-            yield links(held)
+            yield made(held)
 
     return rows
 
 
+def _links(bits: int):
+    """For batches sorted by bucket and tiles: spanning links of every bucket, or of two tiles of one."""
+    keys = ["bucket", "lo", "hi"]
+
+    def made(frame):
+        import pandas as pd
+
+        fps = frame["fp"].to_numpy().view(np.uint64)
+        ids = frame[keys].to_numpy()
+        starts = np.flatnonzero(np.concatenate([[True], (ids[1:] != ids[:-1]).any(axis=1)]))
+        size = np.diff(np.append(starts, len(fps)))
+        two = starts[size == 2]  # most buckets: all at once
+        near = np.bitwise_count(fps[two] ^ fps[two + 1]) <= bits
+        a, b = [fps[two][near]], [fps[two + 1][near]]
+        for s, n in zip(starts[size > 2].tolist(), size[size > 2].tolist()):
+            for members, x in _forest(fps[s : s + n], bits):
+                a.append(members)
+                b.append(np.full(len(members), x))
+        return pd.DataFrame({"a": np.concatenate(a).view(np.int64), "b": np.concatenate(b).view(np.int64)}).drop_duplicates()
+
+    return _by_key(keys, made)
+
+
 def tiled(members: DataFrame, bucket: str, member: str, tile: int) -> DataFrame:
     """(bucket, lo, hi, member) for members (bucket, member, n) of buckets with n rows: every two members of a bucket meet.
 
@@ -236,27 +242,6 @@ def _connected(ids: np.ndarray, near) -> Iterator[tuple[np.ndarray, int]]:
                 rest = rest[~hit]
 
 
-def _by_key(keys: list[str], made):
-    """For batches sorted by these columns: ``made`` over frames that hold whole groups."""
-
-    def rows(batches) -> Iterator:
-        import pandas as pd
-
-        held = None
-        for batch in batches:
-            frame = batch if held is None else pd.concat([held, batch], ignore_index=True)
-            ids = frame[keys].to_numpy()
-            same = (ids == ids[-1]).all(axis=1)
-            cut = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
-            held = frame.iloc[cut:]
-            if cut:
-                yield made(frame.iloc[:cut])
-        if held is not None and len(held):
-            yield made(held)
-
-    return rows
-
-
 def _wide_groups(bits: int):
     """(g, id): the parts of every bucket that hold together within ``bits``; equal parts of several buckets have one g."""
     keys = ["bucket", "lo", "hi"]
@@ -321,7 +306,7 @@ def _alike(similarity: float):
 
 
 def _rooted(docs: DataFrame, words: int, similarity: float, tile: int) -> tuple[DataFrame, DataFrame]:
-    """The rows' fingerprints, and every distinct one with its root, smallest doc_id and one (did, tk) that stands for it.
+    """The rows' fingerprints, and every distinct one with its root, smallest doc_id and one (did, tk) that stands for it; both stored.
 
     A fingerprint is named by its own hash, so rows without an id and different texts under one doc_id stay apart.
     """
@@ -329,26 +314,26 @@ def _rooted(docs: DataFrame, words: int, similarity: float, tile: int) -> tuple[
     row = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(NO_ID)).alias("did"), "tk")
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min(row).alias("row"), F.min("tk").alias("tk"))
     nodes = stored(nodes.withColumn("id", F.xxhash64("fp")), "simhash-nodes")
-    bucket = Window.partitionBy("bucket")
     keyed = nodes.select("id", "fp").mapInPandas(_wide_buckets, "bucket long, id long, sketch long")
-    sketch_bits = wide_bits(similarity, SKETCH_BLOCKS * SPARE_BITS)
-    shared = keyed.withColumn("n", F.count(F.lit(1)).over(bucket)).withColumn("apart", F.bit_count(F.bit_xor("sketch").over(bucket)))
-    shared = shared.where((F.col("n") > 2) | ((F.col("n") == 2) & (F.col("apart") <= sketch_bits))).select("bucket", "id", "n")
-    half = tile // 2
-    small = shared.where(F.col("n") <= tile).select("bucket", F.lit(0).alias("lo"), F.lit(0).alias("hi"), "id")
-    own = shared.where(F.col("n") > tile).withColumn("tile", F.floor((F.row_number().over(bucket.orderBy("id")) - 1) / half).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), (F.ceil(F.col("n") / half) - 1).cast("int")))
-    large = own.withColumn("other", other).select("bucket", F.least("tile", "other").alias("lo"), F.greatest("tile", "other").alias("hi"), "id")
+    # buckets are counted by partial aggregation: those of one row end here, and those of two that differ in too many spare bits
+    counts = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.bit_count(F.bit_xor("sketch")).alias("apart"))
+    near = (F.col("n") > 2) | ((F.col("n") == 2) & (F.col("apart") <= wide_bits(similarity, SKETCH_BLOCKS * SPARE_BITS)))
+    counts = stored(counts.where(near).select("bucket", "n"), "simhash-buckets")
     order = ["bucket", "lo", "hi"]
-    met = small.union(large).join(nodes.select("id", "fp").hint("merge"), "id")
-    met = met.repartition(*[F.col(c) for c in order]).sortWithinPartitions(*order).select(*order, "id", "fp")
+    met = tiled(keyed.select("bucket", "id").join(counts.hint("merge"), "bucket"), "bucket", "id", tile)
+    met = met.join(nodes.select("id", "fp").hint("merge"), "id").repartition(*[F.col(c) for c in order]).sortWithinPartitions(*order).select(*order, "id", "fp")
     groups = stored(met.mapInPandas(_wide_groups(wide_bits(similarity)), "g long, id long").distinct(), "simhash-groups")
-    wanted = stored(nodes.select("id", "tk").join(groups.select("id").distinct().hint("merge"), "id", "left_semi"), "simhash-wanted")
+    members = stored(groups.select("id").distinct(), "simhash-members")
+    wanted = stored(nodes.select("id", "tk").join(members.hint("merge"), "id", "left_semi"), "simhash-wanted")
     texts = join_small(docs.select(F.xxhash64("text").alias("tk"), "text"), wanted, "tk", "inner").select("id", "text").dropDuplicates(["id"])
-    sets = texts.mapInPandas(_shingle_sets(words), "id long, shingles binary")
+    sets = stored(texts.mapInPandas(_shingle_sets(words), "id long, shingles binary"), "simhash-sets")
     pairs = groups.join(sets.hint("merge"), "id").repartition("g").sortWithinPartitions("g").select("g", "id", "shingles")
-    roots = components(pairs.mapInPandas(_alike(similarity), "a long, b long").distinct())
+    links = stored(pairs.mapInPandas(_alike(similarity), "a long, b long").distinct(), "simhash-links")
+    roots = components(links)
     rooted = nodes.join(roots.hint("merge"), nodes["id"] == roots["u"], "left").select("fp", "least", "row", F.coalesce("root", "id").alias("root"))
+    rooted = stored(rooted, "simhash-rooted")
+    for done in (nodes, counts, groups, members, wanted, sets, links, roots):
+        discard(done)
     return prints, rooted
 
 
@@ -358,21 +343,32 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, til
     64 bits tell 0.8 from 0.5 poorly, so the fingerprint has 3072. Texts that agree in 22 bits of one of 128 blocks are compared
     by Hamming distance with a bound of four deviations, and what that leaves by their sets of shingles, which decides. A pair at
     0.8 agrees in some block with probability 0.97. Equal fingerprints meet once; tiles are treated as in ``near_duplicates``.
-    Groups without any doc_id are named by null.
+    Texts without a word (null, empty, blank) are one group. Rows with a null doc_id belong to their group but never name it; groups without any
+    doc_id are named by null. Texts under ``words`` words are one shingle; repeated rows get equal answers; an empty table gives no rows.
     """
     prints, rooted = _rooted(docs, words, similarity, tile)
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_print = stored(rooted.join(named.hint("merge"), "root").select("fp", "component_id"), "simhash-rooted")
+    named = stored(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-names")
+    by_print = stored(rooted.join(named.hint("merge"), "root").select("fp", "component_id"), "simhash-named")
+    discard(rooted)
+    discard(named)
     return prints.join(by_print.hint("merge"), "fp").select("doc_id", "component_id")
 
 
 def one_of_each_group(docs: DataFrame, words: int = 5, similarity: float = 0.8, tile: int = 1024) -> DataFrame:
-    """One row of every group of near copies, of smallest doc_id (null only if there is no other); of rows equal in doc_id and text any one."""
-    _, rooted = _rooted(docs, words, similarity, tile)
-    stays = stored(rooted.groupBy("root").agg(F.min("row").alias("row")).select(F.col("row.did").alias("_did"), F.col("row.tk").alias("_tk")), "simhash-stays")
-    did, tk = F.coalesce(docs["doc_id"], F.lit(NO_ID)), F.xxhash64(docs["text"])
-    stay = docs.join(stays.hint("merge"), (did == stays["_did"]) & (tk == stays["_tk"]), "left_semi")
-    return stay.dropDuplicates(["doc_id", "text"])
+    """One row of every group of near copies as ``similar_groups`` finds them, with the columns of ``docs``.
+
+    The row of smallest doc_id stays, null only if the group has no other; of rows equal in doc_id and text any one. Groups are told apart
+    by text, so unlike texts without an id, or under one, all stay.
+    """
+    prints, rooted = _rooted(docs, words, similarity, tile)
+    stays = rooted.groupBy("root").agg(F.min("row").alias("row")).select(F.col("row.did").alias("_did"), F.col("row.tk").alias("_tk"))
+    stays = stored(stays, "simhash-stays")
+    discard(prints)
+    discard(rooted)
+    # equal rows meet by partial aggregation, and the rows that stay in the same partitions
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("_row")
+    one = docs.select(F.coalesce(docs["doc_id"], F.lit(NO_ID)).alias("_did"), F.xxhash64(docs["text"]).alias("_tk"), row).groupBy("_did", "_tk").agg(F.first("_row").alias("_row"))
+    return one.join(stays.hint("merge"), ["_did", "_tk"], "left_semi").select("_row.*")
 
 
 def query(spark, sf_dir):
