@@ -117,6 +117,14 @@ def normalized(b: Column, w, h) -> Column:
     return F.when((w > 0) & (h > 0), box(b["x1"] / w, b["y1"] / h, b["x2"] / w, b["y2"] / h))
 
 
+def checked_normalized(b: Column, w, h) -> tuple[Column, Column]:
+    """(normalized box, reject reason) of a pixel box: all four edges must lie in the image, and both sides be positive."""
+    w, h = F.lit(w), F.lit(h)
+    inside = b["x1"].between(0, w) & b["x2"].between(0, w) & b["y1"].between(0, h) & b["y2"].between(0, h)
+    reason = F.when(~F.coalesce((w > 0) & (h > 0), F.lit(False)), "bad_size").when(~F.coalesce(inside, F.lit(False)), "out_of_range").when(~is_valid(b), "degenerate_box")
+    return F.when(reason.isNull(), normalized(b, w, h)), reason
+
+
 def frame_to_crop(b: Column, ox, oy) -> Column:
     return shifted(b, -F.lit(ox), -F.lit(oy))
 

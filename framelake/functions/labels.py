@@ -102,8 +102,10 @@ def json_text(content: Column) -> Column:
 
 
 def tolerant_json(text: Column) -> Column:
-    """VARIANT, or null for empty and bad text."""
-    return F.try_parse_json(F.when(F.length(F.trim(text)) > 0, text))
+    """VARIANT, or null for empty and bad text; an object or list must also end as one, since the parser lets text follow."""
+    own = F.trim(text)
+    ends = F.concat(F.substring(own, 1, 1), F.substring(own, -1, 1))
+    return F.try_parse_json(F.when((F.length(own) > 0) & (ends.isin("{}", "[]") | ~F.substring(ends, 1, 1).isin("{", "[")), text))
 
 
 def run_name(name: Column) -> Column:

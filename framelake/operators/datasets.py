@@ -19,15 +19,15 @@ def label_line(class_id: Column, x1: Column, y1: Column, x2: Column, y2: Column)
 def label_bodies(boxes: DataFrame, key: str = "sample_id") -> DataFrame:
     """One label text per image, lines in order of annotation id."""
     line = F.struct("id", label_line(F.col("class_id"), F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2")).alias("line"), "label")
-    grouped = boxes.groupBy(key).agg(F.array_sort(F.collect_list(line)).alias("_l"))
-    return grouped.select(key, F.array_join("_l.line", "\n").alias("body"), F.array_sort(F.array_distinct("_l.label")).alias("labels"))
+    grouped = boxes.groupBy(key).agg(F.sort_array(F.collect_list(line)).alias("_l"))
+    return grouped.select(key, F.array_join("_l.line", "\n").alias("body"), F.sort_array(F.array_distinct("_l.label")).alias("labels"))
 
 
 def build_outcomes(samples: DataFrame, annotations: DataFrame, classes: DataFrame, images: DataFrame | None = None, verified_only: bool = False, max_per_class: int | None = None, seed: str = "1", ratios=RATIOS, **selection) -> DataFrame:
     """One row per selected sample: outcome (no_box, class, cap, no_image or written), and for written ones split, label body
     and labels. The cap counts boxes of samples whose image is missing, as the image is looked for last."""
     chosen = pool.build_selection(samples, annotations, **selection)
-    own = annotations.join(chosen.select(F.col("id").alias("sample_id"), "camera", "ts"), "sample_id")
+    own = annotations.join(chosen.select(F.col("id").alias("sample_id"), "camera", "ts").hint("merge"), "sample_id")
     best = dedup.best_annotations(own, verified_only)
     usable = pool.usable_boxes(best, classes)
     capped = dedup.cap_per_class(usable, max_per_class) if max_per_class is not None else usable.withColumn("within_cap", F.lit(True))
@@ -36,7 +36,7 @@ def build_outcomes(samples: DataFrame, annotations: DataFrame, classes: DataFram
     bodies = label_bodies(capped.where("within_cap"))
     out = chosen.withColumnRenamed("id", "sample_id")
     for part in (some, fit, bodies):
-        out = out.join(part, "sample_id", "left")
+        out = out.join(part.hint("merge"), "sample_id", "left")
     has = F.lit(True)
     if images is not None:
         out = out.join(images.select("image_path").distinct().withColumn("_image", F.lit(True)), "image_path", "left")
@@ -75,8 +75,8 @@ def build_from_audit(positives: DataFrame, negatives: DataFrame, lines: DataFram
     """Samples of an audit export: bad label lines are gone from ``lines``; positives without any are left out; hard negatives
     go to train with an empty body."""
     body = F.struct("line_no", "line")
-    texts = lines.groupBy("sample_id").agg(F.array_sort(F.collect_list(body)).alias("_b")).select("sample_id", F.array_join("_b.line", "\n").alias("body"))
-    good = positives.join(texts, "sample_id").withColumn("split", hashes.assign_split(F.col("sample_id"), ratios, seed)).select("sample_id", "split", "body")
+    texts = lines.groupBy("sample_id").agg(F.sort_array(F.collect_list(body)).alias("_b")).select("sample_id", F.array_join("_b.line", "\n").alias("body"))
+    good = positives.join(texts.hint("merge"), "sample_id").withColumn("split", hashes.assign_split(F.col("sample_id"), ratios, seed)).select("sample_id", "split", "body")
     bad = negatives.select("sample_id", F.lit("train").alias("split"), F.lit("").alias("body"))
     return good.union(bad).join(records.select("sample_id", "camera", "timestamp"), "sample_id", "left")
 
@@ -85,9 +85,9 @@ def build_golden(samples: DataFrame, lines: DataFrame, present: DataFrame, class
     """Samples of one split that are not in the golden set yet and whose lines are all good and of configured classes, remapped by name."""
     fresh = samples.where(hashes.assign_split(F.col("sample_id"), ratios, seed) == split).join(present.select("sample_id"), "sample_id", "left_anti")
     named = lines.join(F.broadcast(classes.select("label", F.col("class_id").alias("new_id"))), "label", "left")
-    whole = named.groupBy("sample_id").agg(F.every(F.col("valid") & F.col("new_id").isNotNull()).alias("ok"), F.array_sort(F.collect_list(F.struct("line_no", "new_id", "rest"))).alias("_l"))
+    whole = named.groupBy("sample_id").agg(F.every(F.col("valid") & F.col("new_id").isNotNull()).alias("ok"), F.sort_array(F.collect_list(F.struct("line_no", "new_id", "rest"))).alias("_l"))
     text = F.array_join(F.transform("_l", lambda x: F.concat(x["new_id"].cast("string"), F.lit(" "), x["rest"])), "\n")
-    return fresh.join(whole.where("ok"), "sample_id").select("sample_id", text.alias("body"), F.size("_l").alias("boxes"))
+    return fresh.join(whole.where("ok").hint("merge"), "sample_id").select("sample_id", text.alias("body"), F.size("_l").alias("boxes"))
 
 
 IMAGE_TYPES = ("jpg", "jpeg", "png", "bmp", "webp")
@@ -119,6 +119,6 @@ def validate_golden(rows: DataFrame, images: DataFrame, labels: DataFrame) -> Da
 def golden_summary(lines: DataFrame, names: DataFrame, images: DataFrame) -> DataFrame:
     """Boxes per class over files whose lines are all good, and the number of images; unnamed ids read class-N."""
     whole = lines.groupBy("file").agg(F.every("valid").alias("ok"))
-    good = lines.join(whole.where("ok"), "file")
+    good = lines.join(whole.where("ok").hint("merge"), "file")
     counts = good.join(F.broadcast(names), "class_id", "left").groupBy(F.coalesce("label", F.concat(F.lit("class-"), F.col("class_id").cast("string"))).alias("label")).agg(F.count(F.lit(1)).alias("boxes"))
     return counts.crossJoin(F.broadcast(images.agg(F.count(F.lit(1)).alias("images"))))  # one row

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import boxes, hashes
+from ..lineage import written
 
 SOURCE_RANK = {"vlm": 0, "human": 1, "external": 2, "feed": 3}
 
@@ -18,12 +19,20 @@ def exact_duplicates(samples: DataFrame) -> DataFrame:
     return samples.withColumn("first_id", F.when(F.col("image_hash").isNull(), F.col("id")).otherwise(F.first("id").over(w)))
 
 
-def near_pairs(frames: DataFrame, threshold: int = 10, block: str = "camera", bits: int = 64) -> DataFrame:
-    """(camera, a, b, distance) of all pairs within ``threshold`` bits: id, hash (long) and the block column in.
+def hash_classes(frames: DataFrame, block: str = "camera") -> DataFrame:
+    """(camera, hash, n, first): the different hashes of each camera, how many frames have them, and the first of these by
+    (ts, event_id, frame_index, id). A frame belongs to the class of its own camera and hash; frames without a hash to none."""
+    place = F.struct("ts", "event_id", "frame_index", "id")
+    return frames.where("hash is not null").groupBy(block, "hash").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
+
+
+def near_hashes(left: DataFrame, right: DataFrame, threshold: int = 10, block: str = "camera", bits: int = 64) -> DataFrame:
+    """(camera, a, b, distance) of all pairs of a hash on the left and one on the right within ``threshold`` bits.
 
     Multi-index hashing: with a word for every three bits of the threshold, two hashes within it differ by at most
     two bits in some word (pigeonhole), so one side is probed with every variant of a word within that radius and meets the
-    other in an equi-join on (camera, word number, word). Each pair is kept at the first word where it meets.
+    other in an equi-join on (camera, word number, word). Each pair is kept at the first word where it meets. Both sides
+    (block, hash) are made distinct first, so equal hashes never multiply.
     """
     words = max(1, min(8, (threshold + 1 + 2) // 3))
     radius = threshold // words
@@ -31,56 +40,57 @@ def near_pairs(frames: DataFrame, threshold: int = 10, block: str = "camera", bi
     flips = {n: [sum(1 << b for b in c) for r in range(radius + 1) for c in combinations(range(n), r)] for n in {b - a for a, b in zip(edges, edges[1:])}}
 
     def word(h: Column, i: int) -> Column:
-        return F.shiftrightunsigned(h, edges[i]).bitwiseAND(F.lit((1 << (edges[i + 1] - edges[i])) - 1).cast("long"))
+        wide = edges[i + 1] - edges[i]
+        return h if wide == 64 else F.shiftrightunsigned(h, edges[i]).bitwiseAND(F.lit((1 << wide) - 1).cast("long"))
 
-    h = F.col("hash")
-    own = F.array(*[F.struct(F.lit(i).alias("w"), word(h, i).alias("v")) for i in range(words)])
-    left = frames.where("hash is not null").select(F.col(block), F.col("id").alias("a"), h.alias("ha"), F.explode(own).alias("x")).select(block, "a", "ha", "x.w", "x.v")
-
-    def probes(i: int) -> Column:
+    def probes(h: Column, i: int) -> Column:
         masks = F.array(*[F.lit(m).cast("long") for m in flips[edges[i + 1] - edges[i]]])
         return F.transform(masks, lambda m: F.struct(F.lit(i).alias("w"), word(h, i).bitwiseXOR(m).alias("v")))
 
-    variants = F.flatten(F.array(*[probes(i) for i in range(words)]))
-    right = frames.where("hash is not null").select(F.col(block), F.col("id").alias("b"), h.alias("hb"), F.explode(variants).alias("x")).select(block, "b", "hb", "x.w", "x.v")
-    met = left.join(right.hint("merge"), [block, "w", "v"]).where(F.col("a") < F.col("b")).withColumn("distance", hashes.hamming_long(F.col("ha"), F.col("hb"))).where(F.col("distance") <= threshold)
-    first = F.array_position(F.array(*[F.bit_count(word(F.col("ha"), i).bitwiseXOR(word(F.col("hb"), i))) <= radius for i in range(words)]), F.lit(True)) - 1
+    def spread(side: DataFrame, name: str, exact: bool) -> DataFrame:
+        h = F.col(name)
+        own = F.array(*[F.struct(F.lit(i).alias("w"), word(h, i).alias("v")) for i in range(words)]) if exact else F.flatten(F.array(*[probes(h, i) for i in range(words)]))
+        kinds = side.where("hash is not null").select(block, F.col("hash").alias(name)).distinct()
+        return kinds.select(block, name, F.explode(own).alias("x")).select(block, name, "x.w", "x.v")
+
+    met = spread(left, "a", True).join(spread(right, "b", False).hint("merge"), [block, "w", "v"])
+    met = met.withColumn("distance", hashes.hamming_long(F.col("a"), F.col("b"))).where(F.col("distance") <= threshold)
+    first = F.array_position(F.array(*[F.bit_count(word(F.col("a"), i).bitwiseXOR(word(F.col("b"), i))) <= radius for i in range(words)]), F.lit(True)) - 1
     return met.where(F.col("w") == first).select(block, "a", "b", "distance")
 
 
-def suppress_duplicates(frames: DataFrame, pairs: DataFrame, store=None) -> DataFrame:
-    """Adds kept: going through the frames in order, a frame stays if no kept earlier one is its duplicate.
+def near_pairs(classes: DataFrame, threshold: int = 10, block: str = "camera", bits: int = 64) -> DataFrame:
+    """(camera, a, b, distance): pairs of different hashes within ``threshold`` bits, a < b. Equal frames are one class, whose members need no pairs."""
+    return near_hashes(classes, classes, threshold, block, bits).where(F.col("a") < F.col("b"))
+
 
-    ``frames`` has id and order columns ts, event_id, frame_index; ``pairs`` has a, b (either way round). Decided by rounds: a
-    frame without undecided earlier neighbours is dropped if one of them is kept, else kept. ``store`` cuts lineage
-    after a round (the session's checkpoint by default).
+def suppress_duplicates(frames: DataFrame, threshold: int = 10, block: str = "camera", bits: int = 64, store=written) -> DataFrame:
+    """Adds kept: going through a camera's frames in order, a frame stays if no kept earlier one lies within ``threshold`` bits.
+
+    ``frames`` has id, hash, the block column, and order columns ts, event_id, frame_index. Only the first frame of a class of equal
+    hashes can stay: if another one drops it, that one drops its class. Classes are decided by rounds: one without undecided earlier
+    neighbours goes if one of them stays, else it stays. ``store`` cuts lineage after a round. Frames without a hash stay.
     """
-    store = store or _checkpointed
-    place = F.struct("ts", "event_id", "frame_index", "id")
-    order = frames.select("id", place.alias("p"))
-    earlier = pairs.join(order.select(F.col("id").alias("a"), F.col("p").alias("pa")).hint("merge"), "a").join(order.select(F.col("id").alias("b"), F.col("p").alias("pb")).hint("merge"), "b")
-    edges = store(earlier.select(F.when(F.col("pa") < F.col("pb"), F.col("b")).otherwise(F.col("a")).alias("later"), F.when(F.col("pa") < F.col("pb"), F.col("a")).otherwise(F.col("b")).alias("sooner")).distinct())
-    state = store(edges.select(F.col("later").alias("id")).distinct().withColumn("kept", F.lit(None).cast("boolean")))
+    classes = store(hash_classes(frames, block))
+    pairs = near_pairs(classes, threshold, block, bits)
+    place = lambda n: classes.select(block, F.col("hash").alias(n), F.col("first").alias(f"p{n}")).hint("merge")
+    both = pairs.join(place("a"), [block, "a"]).join(place("b"), [block, "b"])
+    earlier = F.col("pa") < F.col("pb")
+    edges = store(both.select(block, F.when(earlier, F.col("b")).otherwise(F.col("a")).alias("later"), F.when(earlier, F.col("a")).otherwise(F.col("b")).alias("sooner")))
+    # classes that are never the later one of a pair are kept from the start
+    state = store(edges.select(block, F.col("later").alias("hash")).distinct().withColumn("kept", F.lit(None).cast("boolean")))
     while state.where("kept is null").take(1):
-        # frames that are never the later one of a pair are kept from the start
-        seen = edges.join(state.select(F.col("id").alias("sooner"), F.col("kept").alias("k"), F.lit(True).alias("in_state")).hint("merge"), "sooner", "left")
-        fact = seen.withColumn("k", F.when(F.col("in_state").isNull(), F.lit(True)).otherwise(F.col("k"))).groupBy(F.col("later").alias("id")).agg(
+        known = state.select(block, F.col("hash").alias("sooner"), F.col("kept").alias("k"), F.lit(True).alias("in_state"))
+        seen = edges.join(known.hint("merge"), [block, "sooner"], "left")
+        fact = seen.withColumn("k", F.when(F.col("in_state").isNull(), F.lit(True)).otherwise(F.col("k"))).groupBy(block, F.col("later").alias("hash")).agg(
             F.bool_or(F.coalesce("k", F.lit(False))).alias("hit"), F.bool_or(F.col("k").isNull()).alias("open")
         )
         decided = F.when(F.col("kept").isNotNull(), F.col("kept")).when(F.col("hit"), False).when(~F.col("open"), True)
-        state = store(state.join(fact.hint("merge"), "id").select("id", decided.alias("kept")))
-    return frames.join(state.hint("merge"), "id", "left").withColumn("kept", F.coalesce("kept", F.lit(True)))
-
-
-def _checkpointed(df: DataFrame) -> DataFrame:
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        if not context.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        import tempfile
-
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="framelake-"))
-    return df.checkpoint()
+        state = store(state.join(fact.hint("merge"), [block, "hash"]).select(block, "hash", decided.alias("kept")))
+    firsts = classes.join(state.hint("merge"), [block, "hash"], "left").select(block, "hash", F.col("first.id").alias("_first"), F.coalesce("kept", F.lit(True)).alias("_kept"))
+    out = frames.join(firsts.hint("merge"), [block, "hash"], "left")
+    kept = F.col("hash").isNull() | (F.col("_kept") & (F.col("id") == F.col("_first")))
+    return out.withColumn("kept", F.coalesce(kept, F.lit(False))).select(*frames.columns, "kept")
 
 
 def overlap_priority(source: Column) -> Column:
@@ -95,7 +105,7 @@ def without_overlaps(annotations: DataFrame, limit: float = 0.5) -> DataFrame:
     chosen one of the same label by more than ``limit``. Boxes with missing coordinates overlap nothing."""
     columns = [c for c in annotations.columns]
     item = F.struct((-F.col("verified")).alias("o1"), overlap_priority(F.col("source")).alias("o2"), F.col("created_at").alias("o3"), F.col("id").alias("o4"), F.struct(*columns).alias("row"))
-    grouped = annotations.groupBy("sample_id", "label").agg(F.array_sort(F.collect_list(item)).alias("rows"))
+    grouped = annotations.groupBy("sample_id", "label").agg(F.sort_array(F.collect_list(item)).alias("rows"))
     rows = F.transform("rows", lambda r: r["row"])
 
     def clear(chosen: Column, r: Column) -> Column:
@@ -119,7 +129,7 @@ def cap_per_class(items: DataFrame, most: int) -> DataFrame:
     counts = items.groupBy("label", "camera").agg(F.count(F.lit(1)).alias("_c"))
     before = F.coalesce(F.sum("_c").over(Window.partitionBy("label").orderBy("camera").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     rank = F.row_number().over(Window.partitionBy("label", "camera").orderBy("ts", "sample_id", "id"))
-    ranked = items.withColumn("_r", rank).join(counts.withColumn("_b", before).drop("_c"), ["label", "camera"])
+    ranked = items.withColumn("_r", rank).join(counts.withColumn("_b", before).drop("_c").hint("merge"), ["label", "camera"])
     return ranked.withColumn("within_cap", F.col("_r") + F.col("_b") <= most).drop("_r", "_b")
 
 

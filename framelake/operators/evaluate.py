@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import boxes
+from ..lineage import written
 
 THRESHOLDS = tuple(round(0.5 + 0.05 * i, 2) for i in range(10))
 SMALL_AREA = 0.0025
@@ -15,36 +16,41 @@ def match(predictions: DataFrame, truths: DataFrame, thresholds=THRESHOLDS, keys
     """Greedy matching per class and threshold: predictions by confidence, each takes the free truth with the highest IoU
     strictly above the threshold; ties go to the smaller truth_id.
 
-    ``scope`` keeps boxes of different images apart; "pooled" lets them match across images, as small evaluations may want
-    for parity, and must not be used on large tables. Returns keys, label, threshold, prediction_id, confidence, truth_id.
+    Every pair of boxes is compared once: a prediction carries its truths above the lowest threshold, best first, and each
+    threshold's fold takes the first of them that is free. ``scope`` keeps boxes of different images apart; "pooled" lets them
+    match across images, as small evaluations may want for parity, and must not be used on large tables. Returns keys, label,
+    threshold, prediction_id, confidence, truth_id.
     """
     group = [*keys, *([] if scope == "pooled" else [scope]), "label"]
     p = F.struct((-F.col("confidence")).alias("o"), F.col("prediction_id").alias("id"), boxes.box("x1", "y1", "x2", "y2").alias("b"))
     t = F.struct(F.col("truth_id").alias("id"), boxes.box("x1", "y1", "x2", "y2").alias("b"))
-    preds = predictions.groupBy(*group).agg(F.array_sort(F.collect_list(p)).alias("ps"))
-    gts = truths.groupBy(*group).agg(F.array_sort(F.collect_list(t)).alias("ts"))
-    pairs = preds.join(gts, group, "left").withColumn("ts", F.coalesce("ts", F.array().cast(gts.schema["ts"].dataType)))
+    preds = predictions.groupBy(*group).agg(F.sort_array(F.collect_list(p)).alias("ps"))
+    gts = truths.groupBy(*group).agg(F.collect_list(t).alias("ts"))
+    least = float(min(thresholds))
+
+    def best_first(x: Column) -> Column:
+        near = F.filter(F.transform("ts", lambda y: F.struct((-boxes.iou(x["b"], y["b"])).alias("v"), y["id"].alias("id"))), lambda c: c["v"] < -least)
+        return F.struct(x["id"].alias("prediction_id"), (-x["o"]).alias("confidence"), F.sort_array(near).alias("near"))
+
+    pairs = preds.join(gts.hint("merge"), group, "left").withColumn("ts", F.coalesce("ts", F.array().cast(gts.schema["ts"].dataType)))
+    pairs = pairs.select(*group, F.transform("ps", best_first).alias("ps"))
     pairs = pairs.withColumn("threshold", F.explode(F.array(*[F.lit(float(x)) for x in thresholds])))
 
     def step(acc: Column, x: Column) -> Column:
-        free = F.filter("ts", lambda y: ~F.array_contains(acc["taken"], y["id"]) & (boxes.iou(x["b"], y["b"]) > F.col("threshold")))
-        # the largest IoU first, then the smallest id
-        best = F.get(F.array_sort(F.transform(free, lambda y: F.struct((-boxes.iou(x["b"], y["b"])).alias("v"), y["id"].alias("id")))), F.lit(0))["id"]
-        return F.struct(
-            F.when(best.isNotNull(), F.concat(acc["taken"], F.array(best))).otherwise(acc["taken"]).alias("taken"),
-            F.concat(acc["out"], F.array(F.struct(x["id"].alias("prediction_id"), (-x["o"]).alias("confidence"), best.alias("truth_id")))).alias("out"),
-        )
+        free = F.get(F.filter(x["near"], lambda c: (c["v"] < -F.col("threshold")) & ~F.array_contains(acc["taken"], c["id"])), F.lit(0))["id"]
+        row = F.struct(x["prediction_id"].alias("prediction_id"), x["confidence"].alias("confidence"), free.alias("truth_id"))
+        return F.struct(F.concat(acc["taken"], F.array_compact(F.array(free))).alias("taken"), F.concat(acc["out"], F.array(row)).alias("out"))
 
     start = F.struct(F.array().cast("array<string>").alias("taken"), F.array().cast("array<struct<prediction_id:string,confidence:double,truth_id:string>>").alias("out"))
     folded = F.aggregate("ps", start, step, lambda acc: acc["out"])
     return pairs.select(*group, "threshold", F.inline(folded))
 
 
-def average_precision(matches: DataFrame, truths: DataFrame, keys=("candidate",), recall_base: str = "matched") -> DataFrame:
-    """101-point interpolated AP per key, class and threshold.
+def average_precision(matches: DataFrame, truths: DataFrame, keys=("candidate",), recall_base: str = "matched", thresholds=None) -> DataFrame:
+    """101-point interpolated AP per key, class and threshold. ``matches`` is read twice: write it first (``lineage.written``).
 
     ``recall_base``: "matched" divides recall by the matched predictions, "truths" by all truths. Classes with truths and no
-    match get 0; classes without truths have no row.
+    match get 0; classes without truths have no row. ``thresholds`` names those of the matches, else they are looked up.
     """
     group = [*keys, "label", "threshold"]
     hit = F.col("truth_id").isNotNull().cast("long")
@@ -58,14 +64,17 @@ def average_precision(matches: DataFrame, truths: DataFrame, keys=("candidate",)
     curve = banded.withColumns({"tp": F.sum("hit").over(run), "k": F.count(F.lit(1)).over(run)}).join(sums.hint("merge"), [*group, "band"])
     curve = curve.withColumns({"tp": F.col("tp") + F.col("tp0"), "k": F.col("k") + F.col("k0")})
     counts = truths.groupBy(*keys, "label").agg(F.count(F.lit(1)).alias("n_truths"))
+    # the best precision of every number of true positives: recall levels are theirs
+    tops = curve.where(F.col("all") > 0).groupBy(*group, "all", "tp").agg(F.max(F.col("tp") / F.col("k")).alias("p")).join(counts.hint("merge"), [*keys, "label"])
     base = F.col("all") if recall_base == "matched" else F.col("n_truths")
-    curve = curve.join(counts.hint("merge"), [*keys, "label"]).where(F.col("all") > 0).withColumn("last", F.least(F.lit(100), F.floor(F.col("tp") * 100 / base + 1e-9)).cast("int"))
-    # the best precision at or after each recall level: one maximum per level, then a running maximum over at most 101 rows
-    levels = curve.groupBy(*group, "last").agg(F.max(F.col("tp") / F.col("k")).alias("p"))
+    levels = tops.withColumn("last", F.least(F.lit(100), F.floor(F.col("tp") * 100 / base + 1e-9)).cast("int")).groupBy(*group, "last").agg(F.max("p").alias("p"))
+    # the best precision at or after each level: a running maximum over at most 101 rows
     grid = levels.groupBy(*group).agg(F.map_from_entries(F.collect_list(F.struct("last", "p"))).alias("m"))
     best = F.transform(F.sequence(F.lit(0), F.lit(100)), lambda r: F.coalesce(F.array_max(F.map_values(F.map_filter("m", lambda k, v: k >= r))), F.lit(0.0)))
     ap = grid.select(*group, (F.aggregate(best, F.lit(0.0), lambda a, x: a + x) / 101).alias("ap"))
-    every = counts.crossJoin(F.broadcast(matches.select("threshold").distinct()))  # at most a few thresholds
+    if thresholds is None:  # one row per threshold
+        thresholds = sorted(r[0] for r in matches.select("threshold").distinct().collect())
+    every = counts.withColumn("threshold", F.explode(F.array(*[F.lit(float(x)) for x in thresholds]) if thresholds else F.array().cast("array<double>")))
     return every.join(ap.hint("merge"), group, "left").select(*group, "n_truths", F.coalesce("ap", F.lit(0.0)).alias("ap"))
 
 
@@ -80,7 +89,7 @@ def class_metrics(predictions: DataFrame, truths: DataFrame, matches: DataFrame,
     out = out.withColumns({"precision": p, "recall": r})
     out = out.withColumn("f1", boxes.ratio(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")))
     if ap50 is not None:
-        out = out.join(ap50.where("threshold = 0.5").select(*keys, "label", F.col("ap").alias("ap50")), [*keys, "label"], "left").fillna(0.0, ["ap50"])
+        out = out.join(ap50.where("threshold = 0.5").select(*keys, "label", F.col("ap").alias("ap50")).hint("merge"), [*keys, "label"], "left").fillna(0.0, ["ap50"])
     return out.drop("n_predictions")
 
 
@@ -95,22 +104,22 @@ def small_recall(truths: DataFrame, matches: DataFrame, keys=("candidate",), mos
 def evaluate(predictions: DataFrame, truths: DataFrame, thresholds=THRESHOLDS, keys=("candidate",), scope: str = "image_id", recall_base: str = "matched") -> DataFrame:
     """Overall metrics per key: map50, map50_95 (means over classes with truths), precision, recall, f1, fp_rate, totals."""
     thresholds = tuple(thresholds) if 0.5 in thresholds else (0.5, *thresholds)
-    found = match(predictions, truths, thresholds, keys, scope).persist()  # read three times below; recomputed if lost
-    ap = average_precision(found, truths, keys, recall_base)
+    found = written(match(predictions, truths, thresholds, keys, scope))  # read four times below
+    ap = average_precision(found, truths, keys, recall_base, thresholds)
     means = ap.groupBy(*keys).agg(F.avg(F.when(F.col("threshold") == 0.5, F.col("ap"))).alias("map50"), F.avg("ap").alias("map50_95"))
     totals = class_metrics(predictions, truths, found, keys).groupBy(*keys).agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp"), F.sum("n_truths").alias("n_truths"))
     p, r = boxes.ratio(F.col("tp"), F.col("tp") + F.col("fp")), boxes.ratio(F.col("tp"), F.col("n_truths"))
-    out = totals.join(means, list(keys), "left").fillna(0.0, ["map50", "map50_95"]).withColumns({"precision": p, "recall": r})
+    out = totals.join(means.hint("merge"), list(keys), "left").fillna(0.0, ["map50", "map50_95"]).withColumns({"precision": p, "recall": r})
     f1 = boxes.ratio(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall"))
-    return out.withColumns({"f1": f1, "fp_rate": F.when(F.col("tp") + F.col("fp") > 0, 1 - F.col("precision")).otherwise(0.0)}).join(small_recall(truths, found, keys), list(keys), "left")
+    return out.withColumns({"f1": f1, "fp_rate": F.when(F.col("tp") + F.col("fp") > 0, 1 - F.col("precision")).otherwise(0.0)}).join(small_recall(truths, found, keys).hint("merge"), list(keys), "left")
 
 
 def golden_examples(images: DataFrame, boxes_: DataFrame, classes: DataFrame, limit: int | None = None) -> DataFrame:
     """Images with their labelled boxes; an optional number of images in order of id."""
     own = images.orderBy("image_id").limit(limit) if limit is not None else images
-    named = boxes_.join(F.broadcast(classes), "class_id")
-    nested = named.groupBy("image_id").agg(F.array_sort(F.collect_list(F.struct("label", "x1", "y1", "x2", "y2"))).alias("boxes"))
-    return own.join(nested, "image_id", "left")
+    named = boxes_.join(F.broadcast(classes), "class_id")  # a class table
+    nested = named.groupBy("image_id").agg(F.sort_array(F.collect_list(F.struct("label", "x1", "y1", "x2", "y2"))).alias("boxes"))
+    return own.join(nested.hint("merge"), "image_id", "left")
 
 
 def latency_summary(timings: DataFrame, keys=("candidate",)) -> DataFrame:
@@ -121,33 +130,91 @@ def latency_summary(timings: DataFrame, keys=("candidate",)) -> DataFrame:
 
 def benchmark(predictions: DataFrame, truths: DataFrame, timings: DataFrame, **options) -> DataFrame:
     """Metrics and latency of all candidates in one job."""
-    return evaluate(predictions, truths, **options).join(latency_summary(timings), "candidate", "left")
+    return evaluate(predictions, truths, **options).join(latency_summary(timings).hint("merge"), "candidate", "left")
 
 
-def dominated(candidates: DataFrame) -> DataFrame:
-    """(name, by): candidates that another one beats on no worse map50, recall and latency, one of them strictly.
+def _measures(frame):
+    """(names, map50, recall, latency) of a pandas frame; latency null or 0 counts as infinite."""
+    import numpy as np
 
-    Latency null or 0 counts as infinite; rows of the same name do not compare. A model table of a few hundred rows: its
-    size is bounded by the models trained, not by data, and it is compared with itself.
-    """
-    slow = F.when(F.col("latency_ms").isNull() | (F.col("latency_ms") == 0), float("inf")).otherwise(F.col("latency_ms"))
-    a = candidates.select(F.col("name").alias("name"), F.col("map50").alias("m"), F.col("recall").alias("r"), slow.alias("l"))
-    b = candidates.select(F.col("name").alias("by"), F.col("map50").alias("m2"), F.col("recall").alias("r2"), slow.alias("l2"))
-    worse = (F.col("name") != F.col("by")) & (F.col("m2") >= F.col("m")) & (F.col("r2") >= F.col("r")) & (F.col("l2") <= F.col("l"))
-    strict = (F.col("m2") > F.col("m")) | (F.col("r2") > F.col("r")) | (F.col("l2") < F.col("l"))
-    return a.join(b, worse & strict).select("name", "by")
+    slow = frame["latency_ms"].fillna(0.0).to_numpy(float)
+    return frame["name"].to_numpy(object), frame["map50"].to_numpy(float), frame["recall"].to_numpy(float), np.where(slow == 0, np.inf, slow)
+
+
+def _dominators(row, names, m, r, s):
+    """Which of these rows dominate ``row`` = (name, map50, recall, latency): no worse in all, better in one, of another name."""
+    name, m1, r1, s1 = row
+    return (names != name) & (m >= m1) & (r >= r1) & (s <= s1) & ((m > m1) | (r > r1) | (s < s1))
+
+
+def _outer(batches):
+    """Rows that are dominated under fewer than two names. What a dropped row dominates, two names that stay dominate as well."""
+    import pandas as pd
+
+    held = None
+    for batch in batches:
+        held = batch if held is None else pd.concat([held, batch], ignore_index=True)
+        names, m, r, s = _measures(held)
+        held = held[[len(set(names[_dominators(row, names, m, r, s)])) < 2 for row in zip(names, m, r, s)]]
+    if held is not None:
+        yield held
+
+
+def _front(batches):
+    import pandas as pd
+
+    whole = [b for b in batches]
+    if whole:
+        frame = pd.concat(whole, ignore_index=True)
+        names, m, r, s = _measures(frame)
+        yield frame[[not _dominators(row, names, m, r, s).any() for row in zip(names, m, r, s)]]
 
 
 def pareto_frontier(candidates: DataFrame) -> DataFrame:
-    """Candidates that no other dominates, by map50, then latency with null as 0."""
-    front = candidates.join(dominated(candidates).select("name").distinct(), "name", "left_anti")
-    return front.orderBy(F.desc("map50"), F.coalesce("latency_ms", F.lit(0.0)), "name")
+    """Candidates that no other dominates on map50, recall and latency, by map50, then latency with null as 0.
 
+    Latency null or 0 counts as infinite; rows of the same name do not compare; null measures compare with nothing. Every partition
+    keeps its own outer rows, and one task compares those that are left: few, of any number of candidates, unless the measures agree
+    on no order.
+    """
+    outer = candidates.mapInPandas(_outer, candidates.schema).repartition(1).mapInPandas(_outer, candidates.schema)
+    return outer.mapInPandas(_front, candidates.schema).orderBy(F.desc("map50"), F.coalesce("latency_ms", F.lit(0.0)), "name")
+
+
+#: Frontier rows that a task compares its candidates with at once.
+FRONTIER_BLOCK = 100_000
 
-def dominators(candidates: DataFrame) -> DataFrame:
-    """Every candidate with the sorted names that dominate it."""
-    lists = dominated(candidates).groupBy("name").agg(F.array_sort(F.collect_set("by")).alias("dominated_by"))
-    return candidates.join(lists, "name", "left").withColumn("dominated_by", F.coalesce("dominated_by", F.array().cast("array<string>")))
+
+def dominators(candidates: DataFrame, block: int = FRONTIER_BLOCK) -> DataFrame:
+    """Every candidate with the sorted names on the frontier that dominate it: none for the frontier itself.
+
+    (A dominated candidate is dominated from the frontier, or by a row of another name that only its own namesakes dominate.) The
+    frontier is sent to the tasks in blocks; candidates are compared where they are read, and no pair table is made.
+    """
+    front = written(pareto_frontier(candidates).select("name", "map50", "recall", "latency_ms"))
+    parts = max(1, -(-front.count() // block))
+    out = candidates.withColumn("dominated_by", F.array().cast("array<string>"))
+    schema = out.schema
+    for part in range(parts):
+        own = front.where(F.pmod(F.xxhash64("name"), F.lit(parts)) == part).toPandas()
+        sent = candidates.sparkSession.sparkContext.broadcast(_measures(own))
+
+        def rows(batches, sent=sent):
+            for batch in batches:
+                names, m, r, s = sent.value
+                found = [names[_dominators(row, names, m, r, s)] for row in zip(*_measures(batch))]
+                yield batch.assign(dominated_by=[sorted({*old, *new}) for old, new in zip(batch["dominated_by"], found)])
+
+        out = out.mapInPandas(rows, schema)
+    return out
+
+
+def benchmark_view(results: DataFrame, baseline: str | None = None, limit: int | None = None) -> DataFrame:
+    """Benchmark results by map50 with on_frontier and is_baseline; an optional number of them."""
+    front = pareto_frontier(results).select("name").distinct().withColumn("on_frontier", F.lit(True))
+    out = results.join(front.hint("merge"), "name", "left").withColumns({"on_frontier": F.coalesce("on_frontier", F.lit(False)), "is_baseline": F.coalesce(F.col("name") == baseline, F.lit(False))})
+    out = out.orderBy(F.desc("map50"), "name")
+    return out.limit(limit) if limit is not None else out
 
 
 def with_baseline(candidates: DataFrame, baseline: str) -> DataFrame:
@@ -157,24 +224,24 @@ def with_baseline(candidates: DataFrame, baseline: str) -> DataFrame:
 
 
 def gate(candidates: DataFrame, baseline: str, max_latency_ms=20.0, max_cpu=80.0, min_recall_delta=-0.02, min_map50_delta=-0.02, max_fp_delta=0.05) -> DataFrame:
-    """Adds passed and the ordered reasons. Unmeasured latency and cpu pass; without a baseline deltas are skipped."""
+    """Adds passed and the ordered reasons (check, value, bound, passed), one for every check made. Latency that was not measured
+    passes with a null value, an unmeasured processor load is not checked, and without a baseline there are no deltas."""
     c = with_baseline(candidates, baseline)
-    lat, cpu = F.col("latency_ms"), F.col("cpu_percent")
-    dr, dm, df = F.col("recall") - F.col("base_recall"), F.col("map50") - F.col("base_map50"), F.col("fp_rate") - F.col("base_fp_rate")
-    none = F.col("base_recall").isNull()
-    text = F.format_string
-    reasons = F.array_compact(
-        F.array(
-            F.when(lat.isNull(), "latency not measured (skipped)").when(lat <= max_latency_ms, text(f"latency %.1fms <= {max_latency_ms:.1f}ms", lat)).otherwise(text(f"latency %.1fms > limit {max_latency_ms:.1f}ms", lat)),
-            F.when(cpu <= max_cpu, text(f"cpu %.0f%% <= {max_cpu:.0f}%%", cpu)).when(cpu > max_cpu, text(f"cpu %.0f%% > limit {max_cpu:.0f}%%", cpu)),
-            F.when(none, "no baseline: metric deltas skipped"),
-            F.when(dr >= min_recall_delta, text("recall %.3f vs %.3f (delta %+.3f)", "recall", "base_recall", dr)).when(dr < min_recall_delta, text(f"recall regressed %+.3f below floor {min_recall_delta:+.3f}", dr)),
-            F.when(dm >= min_map50_delta, text("mAP50 %.3f vs %.3f (delta %+.3f)", "map50", "base_map50", dm)).when(dm < min_map50_delta, text(f"mAP50 regressed %+.3f below floor {min_map50_delta:+.3f}", dm)),
-            F.when(df <= max_fp_delta, text("fp rate %.3f vs %.3f (delta %+.3f)", "fp_rate", "base_fp_rate", df)).when(df > max_fp_delta, text(f"fp rate regressed %+.3f above floor +{max_fp_delta:.3f}", df)),
-        )
+
+    def check(name: str, value: Column, bound: float, ok: Column) -> Column:
+        return F.struct(F.lit(name).alias("check"), value.cast("double").alias("value"), F.lit(float(bound)).alias("bound"), F.coalesce(ok, F.lit(True)).alias("passed"))
+
+    delta = lambda m: F.col(m) - F.col(f"base_{m}")
+    measured = F.col("base_recall").isNotNull()
+    checks = F.array(
+        check("latency_ms", F.col("latency_ms"), max_latency_ms, F.col("latency_ms") <= max_latency_ms),
+        F.when(F.col("cpu_percent").isNotNull(), check("cpu_percent", F.col("cpu_percent"), max_cpu, F.col("cpu_percent") <= max_cpu)),
+        F.when(measured, check("recall_delta", delta("recall"), min_recall_delta, delta("recall") >= min_recall_delta)),
+        F.when(measured, check("map50_delta", delta("map50"), min_map50_delta, delta("map50") >= min_map50_delta)),
+        F.when(measured, check("fp_rate_delta", delta("fp_rate"), max_fp_delta, delta("fp_rate") <= max_fp_delta)),
     )
-    ok = (lat.isNull() | (lat <= max_latency_ms)) & (cpu.isNull() | (cpu <= max_cpu)) & (none | ((dr >= min_recall_delta) & (dm >= min_map50_delta) & (df <= max_fp_delta)))
-    return c.withColumns({"passed": ok, "reasons": reasons})
+    out = c.withColumn("reasons", F.array_compact(checks))
+    return out.withColumn("passed", F.forall("reasons", lambda x: x["passed"]))
 
 
 def latest_deployment(ledger: DataFrame, per_model: bool = True) -> DataFrame:

@@ -67,7 +67,7 @@ def sample_view(samples: DataFrame, annotations: DataFrame) -> DataFrame:
     whole = _all([F.col(c).isNotNull() for c in ("x1", "y1", "x2", "y2")])
     box = F.when(whole, F.struct("x1", "y1", "x2", "y2"))
     item = F.struct("created_at", "id", "source", "label", "confidence", "verified", box.alias("box"))
-    nested = annotations.groupBy(F.col("sample_id").alias("_sid")).agg(F.array_sort(F.collect_list(item)).alias("annotations"))
+    nested = annotations.groupBy(F.col("sample_id").alias("_sid")).agg(F.sort_array(F.collect_list(item)).alias("annotations"))
     return samples.join(nested, F.col("id") == F.col("_sid"), "left").drop("_sid").withColumn("annotations", F.coalesce("annotations", F.array().cast(nested.schema["annotations"].dataType)))
 
 
@@ -81,7 +81,7 @@ def report_records(samples: DataFrame, annotations: DataFrame, cameras=None, sin
 
 def report_groups(records: DataFrame) -> DataFrame:
     """Camera, UTC day, the day's frames in time order, and the camera's frames in all."""
-    days = records.groupBy("camera", times.day_key(F.col("ts")).alias("day")).agg(F.array_sort(F.collect_list(F.struct("ts", "id"))).alias("_f"))
+    days = records.groupBy("camera", times.day_key(F.col("ts")).alias("day")).agg(F.sort_array(F.collect_list(F.struct("ts", "id"))).alias("_f"))
     return days.select("camera", "day", F.col("_f.id").alias("frames"), F.size("_f").alias("n"), F.sum(F.size("_f")).over(Window.partitionBy("camera")).alias("camera_frames"))
 
 
@@ -164,7 +164,7 @@ def quality_counts(samples: DataFrame, annotations: DataFrame) -> DataFrame:
 
 def overview(samples: DataFrame, annotations: DataFrame) -> DataFrame:
     """The quality summary with the sorted distinct cameras."""
-    cameras = samples.select("camera").where("camera is not null").distinct().agg(F.array_sort(F.collect_list("camera")).alias("cameras"))
+    cameras = samples.select("camera").where("camera is not null").distinct().agg(F.sort_array(F.collect_list("camera")).alias("cameras"))
     return quality_counts(samples, annotations).crossJoin(F.broadcast(cameras))
 
 
@@ -206,8 +206,8 @@ def curve_cells(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns({c: F.when(~F.isnan(v) & (F.abs(v) != float("inf")), v) for c, v in number.items()})
 
 
-def training_index(curves: DataFrame) -> DataFrame:
-    """Per run: last and best value ignoring nulls, the best epoch and the number of epochs."""
+def training_index(curves: DataFrame, weights: DataFrame | None = None) -> DataFrame:
+    """Per run: last and best value ignoring nulls, the best epoch, the number of epochs, and has_weights: whether ``weights`` (run) lists it."""
     from ..functions.labels import run_name
 
     known = F.col("map50").isNotNull()
@@ -217,7 +217,11 @@ def training_index(curves: DataFrame) -> DataFrame:
         F.min(F.when(known, F.struct((-F.col("map50")).alias("v"), "epoch")))["epoch"].alias("best_epoch"),
         F.countDistinct("epoch").alias("epochs"),
     )
-    return out.withColumns({"model": run_name(F.col("run"))["model"], "tag": run_name(F.col("run"))["tag"]})
+    has = F.lit(None).cast("boolean")
+    if weights is not None:
+        out = out.join(weights.select("run").distinct().withColumn("_weights", F.lit(True)).hint("merge"), "run", "left")
+        has = F.coalesce("_weights", F.lit(False))
+    return out.withColumns({"model": run_name(F.col("run"))["model"], "tag": run_name(F.col("run"))["tag"], "has_weights": has}).drop("_weights")
 
 
 def before_after(before: DataFrame, after: DataFrame, measures=("map50", "recall", "latency_ms")) -> DataFrame:
@@ -243,6 +247,14 @@ def dataset_listing(versions: DataFrame, summaries: DataFrame) -> DataFrame:
     return joined.withColumn("error", F.when(F.col("built_at").isNull(), "missing or unreadable build summary")).orderBy(F.desc("version"))
 
 
+def collect_summary(reviews: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """One row for a collection run: reviews, events, new, duplicate, merged, failed, skipped, annotations. ``outcomes`` has a row per
+    event with its outcome and the number of annotations that it added."""
+    named = [F.count_if(F.col("outcome") == n).alias(n) for n in ("new", "duplicate", "merged", "failed", "skipped")]
+    sums = outcomes.agg(F.count(F.lit(1)).alias("events"), *named, F.coalesce(F.sum("annotations"), F.lit(0)).alias("annotations"))
+    return reviews.agg(F.count(F.lit(1)).alias("reviews")).crossJoin(F.broadcast(sums))  # one row each
+
+
 def outcome_counts(outcomes: DataFrame, names: list[str], column: str = "outcome") -> DataFrame:
     """One row with the number of rows of each outcome, zeros kept (collect, verify, build and import summaries)."""
     return outcomes.agg(F.count(F.lit(1)).alias("total"), *[F.count_if(F.col(column) == n).alias(n) for n in names])

@@ -128,7 +128,20 @@ def decision_details(decisions: DataFrame) -> DataFrame:
 
 def index_labels(decisions: DataFrame) -> DataFrame:
     """Labels and the newest update, for the decision index."""
-    return decisions.agg(F.array_sort(F.collect_set("feed_label")).alias("labels"), F.max("updated_at").alias("updated_at"))
+    return decisions.agg(F.sort_array(F.collect_set("feed_label")).alias("labels"), F.max("updated_at").alias("updated_at"))
+
+
+def audit_index(decisions: DataFrame, status=None, label=None, limit: int = 100, offset: int = 0) -> DataFrame:
+    """The decision index as one row: the page of matching decisions by object_id, their total, the statistics of all decisions, the
+    labels and the newest update. The page holds ``limit`` decisions; statistics have a row per label."""
+    found = decision_index(decisions, status, label)
+    page = found.orderBy("object_id").offset(offset).limit(limit).agg(F.sort_array(F.collect_list(F.struct("object_id", "feed_label", "status", "reason"))).alias("page"))
+    statistics = audit_statistics(decisions)
+    nested = statistics.agg(F.sort_array(F.collect_list(F.struct(*statistics.columns))).alias("statistics"))
+    parts = [found.agg(F.count(F.lit(1)).alias("total")), nested, index_labels(decisions)]
+    for part in parts:  # one row each
+        page = page.crossJoin(F.broadcast(part))
+    return page
 
 
 def unresolved(objects: DataFrame, cached: DataFrame, teacher_available: bool = True) -> DataFrame:
@@ -153,9 +166,12 @@ def reuse_results(objects: DataFrame, cache: DataFrame, key: str) -> tuple[DataF
     return objects.join(cache, on), objects.join(cache.select(*on), on, "left_anti")
 
 
-def objects_to_audit(objects: DataFrame, classes=None, cached: DataFrame | None = None, limit: int | None = None) -> DataFrame:
-    """Objects of the classes, less the cached ones; the limit counts the rest only."""
+def objects_to_audit(objects: DataFrame, classes=None, cached: DataFrame | None = None, limit: int | None = None, images: DataFrame | None = None) -> DataFrame:
+    """Objects of the classes, less the cached ones and those whose image ``images`` (image_path, decodable) does not list as
+    decodable; the limit counts the rest only."""
     out = objects.where(F.col("feed_label").isin(classes)) if classes else objects
+    if images is not None:
+        out = out.join(images.where("decodable").select("image_path"), "image_path", "left_semi").select(*objects.columns)
     if cached is not None:
         out = out.join(cached.select("object_id"), "object_id", "left_anti")
     return out.orderBy("object_id").limit(limit) if limit is not None else out
@@ -174,8 +190,8 @@ def background_boxes(objects: DataFrame, per_object: int, size: float = 0.2, tri
         return F.shiftrightunsigned(h, 11).cast("double") / top * (1 - size)
 
     numbered = objects.withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(per_object - 1))))
-    square = lambda a: boxes.box(draw(F.col("n"), a, 0), draw(F.col("n"), a, 1), draw(F.col("n"), a, 0) + size, draw(F.col("n"), a, 1) + size)
-    drawn = F.transform(F.sequence(F.lit(0), F.lit(tries - 1)), square)
+    corners = F.transform(F.sequence(F.lit(0), F.lit(tries - 1)), lambda a: F.struct(draw(F.col("n"), a, 0).alias("x"), draw(F.col("n"), a, 1).alias("y")))
+    drawn = F.transform(corners, lambda c: boxes.box(c["x"], c["y"], c["x"] + size, c["y"] + size))
     own = boxes.box("x1", "y1", "x2", "y2")
     free = F.filter(drawn, lambda b: boxes.iou(b, own) <= most_iou)
     return numbered.withColumn("box", F.get(free, F.lit(0))).where("box is not null")
@@ -184,7 +200,7 @@ def background_boxes(objects: DataFrame, per_object: int, size: float = 0.2, tri
 def frame_export(decisions: DataFrame) -> DataFrame:
     """Accepted objects by frame: one label body and the ids of its objects."""
     line = F.struct("object_id", "label_line")
-    grouped = decisions.where("status = 'KEEP'").groupBy("frame_key").agg(F.array_sort(F.collect_list(line)).alias("_l"))
+    grouped = decisions.where("status = 'KEEP'").groupBy("frame_key").agg(F.sort_array(F.collect_list(line)).alias("_l"))
     return grouped.select("frame_key", F.array_join("_l.label_line", "\n").alias("body"), F.col("_l.object_id").alias("object_ids"))
 
 

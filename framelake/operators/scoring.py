@@ -15,11 +15,11 @@ NUMBER = r"(BIGINT|DOUBLE|DECIMAL\(\d+,\d+\)|INT|SMALLINT|TINYINT|FLOAT)"
 
 
 def parse_detections(responses: DataFrame, content: str = "content", allowed: list[str] | None = None) -> DataFrame:
-    """Adds status (ok, rejected, transport), reason and objects (label, confidence, x1, y1, x2, y2).
+    """Adds status (ok, rejected, transport), reason, messages and objects (label, confidence, x1, y1, x2, y2).
 
     An object or a bare list; every item has exactly label, confidence and bbox of the right types, a confidence within 0 to 1, a
     non-blank allowed label and a box that is not degenerate once clipped. One bad item rejects the response; a null response
-    is a transport failure.
+    is a transport failure. The messages, five at most, are (item, problem): keys_or_types, label, confidence, bbox.
     """
     # each step is a column of its own, so that a text is parsed once and an item taken apart once
     out = responses.withColumn("_text", labels.json_text(F.col(content))).withColumn("_v", F.try_parse_json("_text"))
@@ -37,15 +37,19 @@ def parse_detections(responses: DataFrame, content: str = "content", allowed: li
     def boxed(x: Column) -> Column:
         return F.struct(x["kind"].alias("kind"), x["label"].alias("label"), x["confidence"].alias("confidence"), F.size(x["bbox"]).alias("n"), boxes.clamped_model_box(boxes.from_xyxy(x["bbox"])).alias("box"))
 
-    def good(x: Column) -> Column:
-        # the exact shape also rules out further keys
-        shape = x["kind"].rlike(rf"^OBJECT<bbox: ARRAY<{NUMBER}>, confidence: {NUMBER}, label: STRING>$")
+    def problems(x: Column, i: Column) -> Column:
+        # the exact shape also rules out further keys; of an item of another shape nothing else is said
+        shape = F.coalesce(x["kind"].rlike(rf"^OBJECT<bbox: ARRAY<{NUMBER}>, confidence: {NUMBER}, label: STRING>$"), F.lit(False))
         known = F.length(x["label"]) > 0 if allowed is None else x["label"].isin(allowed) & (F.length(x["label"]) > 0)
-        return F.coalesce(shape & x["confidence"].between(0, 1) & (x["n"] == 4) & known & x["box"].isNotNull(), F.lit(False))
+        checks = (("label", known), ("confidence", x["confidence"].between(0, 1)), ("bbox", (x["n"] == 4) & x["box"].isNotNull()))
+        found = F.array_compact(F.array(*[F.when(~F.coalesce(ok, F.lit(False)), name) for name, ok in checks]))
+        found = F.when(~shape, F.array(F.lit("keys_or_types"))).otherwise(found)
+        return F.transform(found, lambda p: F.struct(i.alias("item"), p.alias("problem")))
 
     out = out.withColumn("_items", F.transform(items, taken_apart)).withColumn("_items", F.transform("_items", boxed))
-    reason = F.when(F.col(content).isNull(), "transport").when(F.col("_items").isNull(), "no_objects").when(~F.forall("_items", good), "bad_object")
-    out = out.withColumn("reason", reason)
+    out = out.withColumn("messages", F.slice(F.flatten(F.transform("_items", problems)), 1, 5))
+    reason = F.when(F.col(content).isNull(), "transport").when(F.col("_items").isNull(), "no_objects").when(F.size("messages") > 0, "bad_object")
+    out = out.withColumns({"reason": reason, "messages": F.coalesce("messages", F.array().cast("array<struct<item:int,problem:string>>"))})
     status = F.when(F.col("reason").isNull(), "ok").when(F.col("reason") == "transport", "transport").otherwise("rejected")
     kept = F.transform("_items", lambda x: F.struct(x["label"].alias("label"), x["confidence"].alias("confidence"), *[x["box"][k].alias(k) for k in ("x1", "y1", "x2", "y2")]))
     return out.withColumns({"status": status, "objects": F.when(F.col("reason").isNull(), kept)}).drop("_text", "_v", "_kind", "_keys", "_items")

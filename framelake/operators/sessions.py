@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -56,11 +56,32 @@ def store_windows(stored: DataFrame, found: DataFrame) -> DataFrame:
     return fresh.join(stored.select("camera", "start"), ["camera", "start"], "left_anti").withColumn("notes", note)
 
 
-def until_failure_streak(responses: DataFrame, run: str, order: list[str], failed: str, streak: int) -> DataFrame:
-    """Rows of each run up to and with its ``streak``-th failure in a row; later ones are left untouched."""
-    w = Window.partitionBy(run).orderBy(*order)
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    out = responses.withColumn("_bad", F.col(failed).cast("int")).withColumn("_g", F.sum(1 - F.col("_bad")).over(upto)).withColumn("_n", F.row_number().over(w))
-    out = out.withColumn("_s", F.sum("_bad").over(Window.partitionBy(run, "_g").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
-    stop = F.min(F.when(F.col("_s") >= streak, F.col("_n"))).over(Window.partitionBy(run))
-    return out.withColumn("_stop", stop).where(F.col("_stop").isNull() | (F.col("_n") <= F.col("_stop"))).drop("_bad", "_g", "_n", "_s", "_stop")
+def until_failure_streak(responses: DataFrame, run: str, order: list[str], failed: str, streak: int, chunk: Column | None = None) -> DataFrame:
+    """Rows of each run up to and with its ``streak``-th failure in a row; later ones are left untouched.
+
+    ``chunk`` is an expression that never falls along ``order`` (a part of the time, say). Streaks are counted within its values, so a
+    run with most of the rows is spread over its chunks; only the chunks' totals meet by run, with the streak that each one inherits.
+    """
+    out = responses.withColumns({"_bad": F.coalesce(F.col(failed).cast("int"), F.lit(0)), "_chunk": F.lit(0) if chunk is None else chunk})
+    own = Window.partitionBy(run, "_chunk").orderBy(*order)
+    upto = own.rowsBetween(Window.unboundedPreceding, 0)
+    out = out.withColumns({"_n": F.row_number().over(own), "_g": F.sum(1 - F.col("_bad")).over(upto)})
+    out = out.withColumn("_s", F.sum("_bad").over(Window.partitionBy(run, "_chunk", "_g").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
+    # of every chunk: its rows, failures before the first success, failures after the last one, and where a streak of its own ends
+    sums = out.groupBy(run, "_chunk").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("_g") == 0).alias("lead"), F.max(F.struct("_n", F.when(F.col("_bad") == 1, F.col("_s")).otherwise(0).alias("s")))["s"].alias("tail"),
+        F.min(F.when((F.col("_s") >= streak) & (F.col("_bad") == 1), F.col("_n"))).alias("stop"),
+    )
+    # a chunk of failures only passes its streak on
+    chunks = Window.partitionBy(run).orderBy("_chunk")
+    before = chunks.rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumn("block", F.coalesce(F.sum((F.col("lead") < F.col("rows")).cast("int")).over(before), F.lit(0)))
+    last = F.coalesce(F.max(F.when(F.col("lead") < F.col("rows"), F.struct("_chunk", "tail"))).over(before)["tail"], F.lit(0))
+    full = F.coalesce(F.sum("lead").over(Window.partitionBy(run, "block").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sums = sums.withColumn("carried", last + full)
+    early = F.when((F.col("carried") > 0) & (F.col("carried") + F.col("lead") >= streak), streak - F.col("carried"))
+    sums = sums.withColumn("stop", F.least(early, F.col("stop")))
+    first = F.min(F.when(F.col("stop").isNotNull(), F.struct("_chunk", "stop"))).over(Window.partitionBy(run))
+    sums = sums.withColumn("_end", first).select(run, "_chunk", "_end")
+    kept = F.col("_end").isNull() | (F.col("_chunk") < F.col("_end._chunk")) | ((F.col("_chunk") == F.col("_end._chunk")) & (F.col("_n") <= F.col("_end.stop")))
+    return out.join(sums.hint("merge"), [run, "_chunk"]).where(kept).select(*responses.columns)

@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..functions import boxes, hashes, labels, times
 from ..operators import datasets, dedup, evaluate, ledger, pool, reconcile, scoring, sessions
+from ..lineage import written
 from ..sources import feeds
 from .views import duck_sql, spark_view
 
@@ -255,7 +257,7 @@ stop AS (SELECT batch, min(n) FILTER (streak >= 3) AS last FROM s GROUP BY batch
 SELECT s.batch, count(*) AS handled, sum(bad)::BIGINT AS failures FROM s JOIN stop USING (batch) WHERE last IS NULL OR n <= last GROUP BY s.batch""")
 def w10_failure_streak(t):
     r = t.responses.withColumn("failed", F.col("content").isNull())
-    kept = sessions.until_failure_streak(r, "batch", ["run_order", "id"], "failed", 3)
+    kept = sessions.until_failure_streak(r, "batch", ["run_order", "id"], "failed", 3, F.floor(F.col("run_order") / 1000))
     return kept.groupBy("batch").agg(F.count(F.lit(1)).alias("handled"), F.sum(F.col("failed").cast("long")).alias("failures"))
 
 
@@ -275,14 +277,15 @@ def j07_merge_events(t):
 
 
 def _frames(t: Tables) -> DataFrame:
-    grid = F.slice("embedding", 1, 56)
-    h = hashes.bits_to_long(hashes.difference_hash(grid, 7))
+    grid = F.concat("embedding", F.slice("embedding", 1, 8))  # 64 values as eight rows of nine
+    h = hashes.bits_to_long(hashes.difference_hash(grid, 8))
     return t.embeddings.select(F.concat(F.lit("f"), F.col("vec_id").cast("string")).alias("id"), F.concat(F.lit("cam"), (F.col("label") % 4).cast("string")).alias("camera"), h.alias("hash"), F.col("vec_id").cast("double").alias("ts"), F.lit("e").alias("event_id"), F.lit(0).alias("frame_index"))
 
 
-DHASH = """h AS (SELECT concat('f', vec_id::VARCHAR) AS id, concat('cam', (label % 4)::VARCHAR) AS camera,
- list_transform(range(0, 49), lambda p: CASE WHEN embedding[(p // 7) * 8 + p % 7 + 1] >= embedding[(p // 7) * 8 + p % 7 + 2] THEN 1 ELSE 0 END) AS bits FROM embeddings),
-g AS (SELECT id, camera, list_sum(list_transform(range(0, 49), lambda p: bits[p + 1]::BIGINT * (1::BIGINT << (48 - p)))) ::BIGINT AS hash FROM h)"""
+DHASH = """h AS (SELECT vec_id, concat('f', vec_id::VARCHAR) AS id, concat('cam', (label % 4)::VARCHAR) AS camera,
+ list_transform(range(0, 64), lambda p: CASE WHEN list_concat(embedding, embedding[1:8])[(p // 8) * 9 + p % 8 + 1] >= list_concat(embedding, embedding[1:8])[(p // 8) * 9 + p % 8 + 2] THEN 1 ELSE 0 END) AS bits FROM embeddings),
+u AS (SELECT vec_id, id, camera, list_sum(list_transform(range(0, 64), lambda p: bits[p + 1]::HUGEINT * (1::HUGEINT << (63 - p)::INT)))::HUGEINT AS v FROM h),
+g AS (SELECT vec_id, id, camera, (CASE WHEN v >= 9223372036854775808 THEN v - 18446744073709551616 ELSE v END)::BIGINT AS hash FROM u)"""
 
 
 @query(f"""WITH {DHASH} SELECT id, camera, hash FROM g""")
@@ -290,19 +293,32 @@ def h01_difference_hash(t):
     return _frames(t).select("id", "camera", "hash")
 
 
-@query(f"""WITH {DHASH} SELECT l.camera, l.id AS a, r.id AS b, bit_count(xor(l.hash, r.hash))::INT AS distance FROM g l JOIN g r ON l.camera = r.camera AND l.id < r.id
-WHERE bit_count(xor(l.hash, r.hash)) <= 10""")
+@query(f"""WITH {DHASH}, k AS (SELECT camera, hash, count(*) AS n FROM g GROUP BY ALL)
+SELECT l.camera, l.hash AS a, r.hash AS b, bit_count(xor(l.hash, r.hash))::INT AS distance, l.n AS n_a, r.n AS n_b FROM k l JOIN k r ON l.camera = r.camera AND l.hash < r.hash WHERE bit_count(xor(l.hash, r.hash)) <= 10""")
 def j06_near_pairs(t):
-    return dedup.near_pairs(_frames(t), 10, bits=49)
+    classes = dedup.hash_classes(_frames(t))
+    pairs, of = dedup.near_pairs(classes, 10), lambda n: classes.select("camera", F.col("hash").alias(n), F.col("n").alias(f"n_{n}")).hint("merge")
+    return pairs.join(of("a"), ["camera", "a"]).join(of("b"), ["camera", "b"]).select("camera", "a", "b", "distance", "n_a", "n_b")
 
 
-@query()
-def w02_suppress_duplicates(t):
+@query(f"""WITH {DHASH} SELECT DISTINCT l.camera, l.hash AS a, r.hash AS b, bit_count(xor(l.hash, r.hash))::INT AS distance FROM g l JOIN g r ON l.camera = r.camera
+WHERE l.vec_id % 100 = 0 AND bit_count(xor(l.hash, r.hash)) <= 12""")
+def h03_near_lookup(t):
     frames = _frames(t)
-    return dedup.suppress_duplicates(frames, dedup.near_pairs(frames, 12, bits=49)).select("id", "camera", "kept")
+    return dedup.near_hashes(frames.where("cast(ts as long) % 100 = 0"), frames, 12)
+
+
+@query(f"""WITH {DHASH}, k AS (SELECT camera, hash, min(vec_id) AS first FROM g GROUP BY ALL),
+o AS (SELECT camera, list(hash ORDER BY first) AS hs FROM k GROUP BY camera),
+r AS (SELECT camera, list_reduce(list_transform(hs, lambda h: [h]), lambda acc, x: CASE WHEN len(list_filter(acc, lambda q: bit_count(xor(q, x[1])) <= 14)) > 0 THEN acc ELSE list_concat(acc, x) END) AS stay FROM o)
+SELECT g.id, g.camera, list_contains(r.stay, g.hash) AND g.vec_id = k.first AS kept FROM g JOIN k ON k.camera = g.camera AND k.hash = g.hash JOIN r ON r.camera = g.camera""")
+def w02_suppress_duplicates(t):
+    return dedup.suppress_duplicates(_frames(t), 14).select("id", "camera", "kept")
 
 
-@query()
+@query(f"""WITH o AS (SELECT sample_id, label, list(a ORDER BY -verified, CASE source WHEN 'vlm' THEN 0 WHEN 'human' THEN 1 WHEN 'external' THEN 2 ELSE 3 END, created_at, id) AS boxes FROM {{annotations}} a GROUP BY ALL),
+r AS (SELECT list_reduce(list_transform(boxes, lambda b: [b]), lambda acc, x: CASE WHEN len(list_filter(acc, lambda k: coalesce({IOU.format(a="k", b="(x[1])")}, 0) > 0.5)) > 0 THEN acc ELSE list_concat(acc, x) END) AS kept FROM o)
+SELECT k.id, k.sample_id, k.label, k.source FROM (SELECT unnest(kept) AS k FROM r)""")
 def w03_without_overlaps(t):
     return dedup.without_overlaps(t.annotations).select("id", "sample_id", "label", "source")
 
@@ -323,9 +339,11 @@ def w06_best_detection(t):
     return dedup.best_across_prompts(d).select("object_id", "prompt", "idx")
 
 
-@query(f"""SELECT id FROM {{annotations}} WHERE {PROPER} AND confidence >= 0.95 AND id LIKE '%1' AND least(x2, 0.5) > least(x1, 0.5) AND least(y2, 0.9) > least(y1, 0.9)""")
+@query(f"""SELECT id FROM {{annotations}} WHERE {PROPER} AND confidence >= 0.95 AND least(x2, 0.5) > least(x1, 0.5) AND least(y2, 0.9) > least(y1, 0.9)
+ AND floor((x2 - x1) * (y2 - y1) * 1000) > 0""")
 def w07_clean_detections(t):
-    d = t.annotations.select("id", boxes.box("x1", "y1", "x2", "y2").alias("box"), F.col("confidence").alias("score"), F.when(F.col("id").endswith("1"), 5).otherwise(0).alias("mask_area"))
+    area = F.floor((F.col("x2") - F.col("x1")) * (F.col("y2") - F.col("y1")) * 1000)
+    d = t.annotations.select("id", boxes.box("x1", "y1", "x2", "y2").alias("box"), F.col("confidence").alias("score"), area.alias("mask_area"))
     return dedup.clean_detections(d, 0.95, 0.5, 0.9).select("id")
 
 
@@ -380,41 +398,38 @@ def b06_validate_golden(t):
     return datasets.validate_golden(rows, rows.where("image not like '%9.jpg'"), t.annotations)
 
 
-# --- evaluation: one truth per image and label, which SQL can match greedily
+# --- evaluation
 
-ONE = f"""t1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY candidate, image_id, label ORDER BY truth_id) AS n FROM {{truths}}) WHERE n = 1),
-th AS (SELECT unnest([0.5::DOUBLE, 0.75::DOUBLE]) AS threshold),
-j AS (SELECT p.*, th.threshold, t1.truth_id AS cand_truth, CASE WHEN {IOU.format(a="p", b="t1")} > th.threshold THEN 1 ELSE 0 END AS hit
-      FROM {{predictions}} p CROSS JOIN th LEFT JOIN t1 ON t1.candidate = p.candidate AND t1.image_id = p.image_id AND t1.label = p.label),
-m AS (SELECT candidate, image_id, label, threshold, prediction_id, confidence,
-        CASE WHEN hit = 1 AND row_number() OVER (PARTITION BY candidate, image_id, label, threshold, hit ORDER BY confidence DESC, prediction_id) = 1 THEN cand_truth END AS truth_id FROM j)"""
-
-
-def _one_truth(t: Tables) -> DataFrame:
-    first = Window.partitionBy("candidate", "image_id", "label").orderBy("truth_id")
-    return t.truths.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
+MATCHED = f"""th AS (SELECT unnest([0.5::DOUBLE, 0.75::DOUBLE]) AS threshold),
+j AS (SELECT p.candidate, p.image_id, p.label, p.prediction_id, p.confidence, t.truth_id, {IOU.format(a="p", b="t")} AS iou
+      FROM {{predictions}} p LEFT JOIN {{truths}} t ON t.candidate = p.candidate AND t.image_id = p.image_id AND t.label = p.label),
+cands AS (SELECT candidate, image_id, label, threshold, prediction_id, confidence, coalesce(list(truth_id ORDER BY iou DESC, truth_id) FILTER (iou > threshold), []) AS near FROM j, th GROUP BY ALL),
+f AS (SELECT candidate, image_id, label, threshold, list({{{{'pid': prediction_id, 'conf': confidence, 'tid': NULL::VARCHAR, 'near': near}}}} ORDER BY confidence DESC, prediction_id) AS ps FROM cands GROUP BY ALL),
+z AS (SELECT candidate, image_id, label, threshold, list_reduce(list_concat([[{{{{'pid': '', 'conf': 0::DOUBLE, 'tid': NULL::VARCHAR, 'near': []::VARCHAR[]}}}}]], list_transform(ps, lambda x: [x])),
+      lambda acc, x: list_concat(acc, [{{{{'pid': x[1].pid, 'conf': x[1].conf, 'tid': list_filter(x[1].near, lambda t: NOT list_contains(list_transform(acc, lambda a: coalesce(a.tid, '')), t))[1], 'near': []::VARCHAR[]}}}}])) AS out FROM f),
+m AS (SELECT candidate, image_id, label, threshold, o.pid AS prediction_id, o.conf AS confidence, o.tid AS truth_id FROM (SELECT * EXCLUDE (out), unnest(out[2:]) AS o FROM z))"""
 
 
 def _matches(t: Tables) -> DataFrame:
-    return evaluate.match(t.predictions, _one_truth(t), (0.5, 0.75))
+    return evaluate.match(t.predictions, t.truths, (0.5, 0.75))
 
 
-@query(f"""WITH {ONE} SELECT candidate, label, threshold, prediction_id, truth_id FROM m""")
+@query(f"""WITH {MATCHED} SELECT candidate, label, threshold, prediction_id, truth_id FROM m""")
 def e01_greedy_match(t):
     return _matches(t).select("candidate", "label", "threshold", "prediction_id", "truth_id")
 
 
-AP = ONE + """, r AS (SELECT *, sum(CASE WHEN truth_id IS NULL THEN 0 ELSE 1 END) OVER w AS tp, count(*) OVER w AS k, sum(CASE WHEN truth_id IS NULL THEN 0 ELSE 1 END) OVER (PARTITION BY candidate, label, threshold) AS total FROM m
+AP = MATCHED + """, r AS (SELECT *, sum(CASE WHEN truth_id IS NULL THEN 0 ELSE 1 END) OVER w AS tp, count(*) OVER w AS k, sum(CASE WHEN truth_id IS NULL THEN 0 ELSE 1 END) OVER (PARTITION BY candidate, label, threshold) AS total FROM m
  WINDOW w AS (PARTITION BY candidate, label, threshold ORDER BY confidence DESC, prediction_id ROWS UNBOUNDED PRECEDING)),
 x AS (SELECT candidate, label, threshold, least(100, floor(tp * 100 / total::DOUBLE + 1e-9)) AS lvl, tp / k::DOUBLE AS prec FROM r WHERE total > 0),
 g AS (SELECT candidate, label, threshold, i, max(prec) AS prec FROM x JOIN (SELECT unnest(range(0, 101)) AS i) q ON x.lvl >= q.i GROUP BY ALL),
-n AS (SELECT candidate, label, count(*) AS n_truths FROM t1 GROUP BY ALL),
+n AS (SELECT candidate, label, count(*) AS n_truths FROM {truths} GROUP BY ALL),
 ap AS (SELECT n.candidate, n.label, th.threshold, n.n_truths, coalesce((SELECT sum(prec) FROM g WHERE g.candidate = n.candidate AND g.label = n.label AND g.threshold = th.threshold), 0) / 101 AS ap FROM n, th)"""
 
 
 @query(f"""WITH {AP} SELECT candidate, label, threshold, n_truths, round(ap * 1000000)::BIGINT AS ap_millionths FROM ap""")
 def e02_average_precision(t):
-    ap = evaluate.average_precision(_matches(t), _one_truth(t))
+    ap = evaluate.average_precision(written(_matches(t)), t.truths, thresholds=(0.5, 0.75))
     return ap.select("candidate", "label", "threshold", "n_truths", F.round(F.col("ap") * 1000000).cast("long").alias("ap_millionths"))
 
 
@@ -422,30 +437,36 @@ def e02_average_precision(t):
 SELECT coalesce(c.candidate, n.candidate) AS candidate, coalesce(c.label, n.label) AS label, CASE WHEN n_truths > 0 THEN coalesce(tp, 0) ELSE 0 END AS tp,
  CASE WHEN n_truths > 0 THEN coalesce(np - tp, 0) ELSE 0 END AS fp, coalesce(n_truths, 0) AS n_truths FROM c FULL JOIN n ON c.candidate = n.candidate AND c.label = n.label""")
 def e03_class_metrics(t):
-    return evaluate.class_metrics(t.predictions, _one_truth(t), _matches(t)).select("candidate", "label", "tp", "fp", "n_truths")
+    return evaluate.class_metrics(t.predictions, t.truths, _matches(t)).select("candidate", "label", "tp", "fp", "n_truths")
 
 
 @query(f"""WITH {AP}, c AS (SELECT m.candidate, count(m.truth_id) AS tp, count(*) AS np FROM m JOIN n ON n.candidate = m.candidate AND n.label = m.label WHERE threshold = 0.5 GROUP BY ALL),
-s AS (SELECT candidate, count(*) AS n_truths FROM t1 GROUP BY ALL)
+s AS (SELECT candidate, count(*) AS n_truths FROM {{truths}} GROUP BY ALL)
 SELECT s.candidate, coalesce(tp, 0) AS tp, coalesce(np - tp, 0) AS fp, s.n_truths, coalesce(tp / np::DOUBLE, 0) AS precision, coalesce(tp, 0) / s.n_truths::DOUBLE AS recall,
  round((SELECT avg(ap) FROM ap WHERE ap.candidate = s.candidate AND threshold = 0.5) * 1000000)::BIGINT AS map50_millionths
 FROM s LEFT JOIN c USING (candidate)""")
 def e04_evaluate(t):
-    out = evaluate.evaluate(t.predictions, _one_truth(t), (0.5, 0.75))
+    out = evaluate.evaluate(t.predictions, t.truths, (0.5, 0.75))
     return out.select("candidate", "tp", "fp", "n_truths", "precision", "recall", F.round(F.col("map50") * 1000000).cast("long").alias("map50_millionths"))
 
 
-@query(f"""WITH {ONE} SELECT t1.candidate, count(*) AS small_truths, count(h.truth_id) AS small_found FROM t1
+@query(f"""WITH {MATCHED} SELECT t1.candidate, count(*) AS small_truths, count(h.truth_id) AS small_found FROM {{truths}} t1
 LEFT JOIN (SELECT DISTINCT candidate, truth_id FROM m WHERE threshold = 0.5 AND truth_id IS NOT NULL) h ON h.candidate = t1.candidate AND h.truth_id = t1.truth_id
 WHERE (x2 - x1) * (y2 - y1) < 0.0025 GROUP BY t1.candidate""")
 def e05_small_recall(t):
-    return evaluate.small_recall(_one_truth(t), _matches(t)).select("candidate", "small_truths", "small_found")
+    return evaluate.small_recall(t.truths, _matches(t)).select("candidate", "small_truths", "small_found")
 
 
-@query()
+@query(f"""WITH {AP}, c AS (SELECT m.candidate, count(m.truth_id) AS tp, count(*) AS np FROM m JOIN n ON n.candidate = m.candidate AND n.label = m.label WHERE threshold = 0.5 GROUP BY ALL),
+s AS (SELECT candidate, count(*) AS n_truths FROM {{truths}} GROUP BY ALL), l AS (SELECT length(name) % 4 AS k, avg(coalesce(latency_ms, 1)) AS latency_ms FROM {{candidates}} GROUP BY k)
+SELECT s.candidate, coalesce(tp, 0) AS tp, coalesce(np - tp, 0) AS fp, s.n_truths, coalesce(tp / np::DOUBLE, 0) AS precision, coalesce(tp, 0) / s.n_truths::DOUBLE AS recall,
+ CASE WHEN coalesce(np, 0) > 0 THEN 1 - tp / np::DOUBLE ELSE 0 END AS fp_rate, round((SELECT avg(ap) FROM ap WHERE ap.candidate = s.candidate AND threshold = 0.5) * 1000000)::BIGINT AS map50_millionths,
+ round((SELECT avg(ap) FROM ap WHERE ap.candidate = s.candidate) * 1000000)::BIGINT AS map_all_millionths, round(l.latency_ms * 1000)::BIGINT AS latency_us
+FROM s LEFT JOIN c USING (candidate) LEFT JOIN l ON l.k = s.candidate::INT""")
 def e08_benchmark(t):
     timings = t.candidates.select((F.length("name") % 4).cast("string").alias("candidate"), F.coalesce("latency_ms", F.lit(1.0)).alias("latency_ms"), F.lit(False).alias("warmup"))
-    return evaluate.benchmark(t.predictions, t.truths, timings, thresholds=(0.5, 0.75))
+    out = evaluate.benchmark(t.predictions, t.truths, timings, thresholds=(0.5, 0.75))
+    return out.select("candidate", "tp", "fp", "n_truths", "precision", "recall", "fp_rate", *[F.round(F.col(c) * 1000000).cast("long").alias(f"{n}_millionths") for c, n in (("map50", "map50"), ("map50_95", "map_all"))], F.round(F.col("latency_ms") * 1000).cast("long").alias("latency_us"))
 
 
 DOMINATED = """i AS (SELECT *, CASE WHEN latency_ms IS NULL OR latency_ms = 0 THEN 'inf'::DOUBLE ELSE latency_ms END AS l FROM {candidates}),
@@ -457,23 +478,40 @@ def e09_pareto_frontier(t):
     return evaluate.pareto_frontier(t.candidates).select("name", "map50", "recall", "latency_ms")
 
 
-@query(f"""WITH {DOMINATED} SELECT c.name, count(other) AS n, coalesce(string_agg(other, ',' ORDER BY other), '') AS dominated_by FROM {{candidates}} c LEFT JOIN d ON d.name = c.name GROUP BY c.name""")
+@query(f"""WITH {DOMINATED} SELECT c.name, count(other) AS n, coalesce(string_agg(other, ',' ORDER BY other), '') AS dominated_by FROM {{candidates}} c
+LEFT JOIN (SELECT * FROM d WHERE other NOT IN (SELECT name FROM d)) d ON d.name = c.name GROUP BY c.name""")
 def j10_dominators(t):
     return evaluate.dominators(t.candidates).select("name", F.size("dominated_by").cast("long").alias("n"), F.array_join("dominated_by", ",").alias("dominated_by"))
 
 
+@query(f"""WITH {DOMINATED} SELECT name, map50, name NOT IN (SELECT name FROM d) AS on_frontier, name = (SELECT min(name) FROM {{candidates}}) AS is_baseline FROM {{candidates}}""")
+def e12_benchmark_view(t):
+    first = t.candidates.agg(F.min("name")).first()[0]
+    return evaluate.benchmark_view(t.candidates, first).select("name", "map50", "on_frontier", "is_baseline")
+
+
 @query("""WITH b AS (SELECT recall AS br, map50 AS bm, fp_rate AS bf FROM {candidates} ORDER BY name LIMIT 1), n AS (SELECT min(name) AS name FROM {candidates}),
-c AS (SELECT c.*, CASE WHEN c.name <> n.name THEN br END AS br, CASE WHEN c.name <> n.name THEN bm END AS bm, CASE WHEN c.name <> n.name THEN bf END AS bf FROM {candidates} c, b, n)
-SELECT name, (latency_ms IS NULL OR latency_ms <= 20) AND (cpu_percent IS NULL OR cpu_percent <= 80) AND (br IS NULL OR (recall - br >= -0.02::DOUBLE AND map50 - bm >= -0.02::DOUBLE AND fp_rate - bf <= 0.05::DOUBLE)) AS passed,
- 1 + (cpu_percent IS NOT NULL)::INT + CASE WHEN br IS NULL THEN 1 ELSE 3 END AS n_reasons FROM c""")
+c AS (SELECT c.*, CASE WHEN c.name <> n.name THEN recall - br END AS dr, CASE WHEN c.name <> n.name THEN map50 - bm END AS dm, CASE WHEN c.name <> n.name THEN fp_rate - bf END AS df FROM {candidates} c, b, n),
+r AS (SELECT name, 1 AS k, 'latency_ms' AS "check", latency_ms AS value, 20.0 AS bound, latency_ms IS NULL OR latency_ms <= 20 AS ok FROM c
+ UNION ALL SELECT name, 2, 'cpu_percent', cpu_percent, 80, cpu_percent <= 80 FROM c WHERE cpu_percent IS NOT NULL
+ UNION ALL SELECT name, 3, 'recall_delta', dr, -0.02, dr >= -0.02::DOUBLE FROM c WHERE dr IS NOT NULL UNION ALL SELECT name, 4, 'map50_delta', dm, -0.02, dm >= -0.02::DOUBLE FROM c WHERE dm IS NOT NULL
+ UNION ALL SELECT name, 5, 'fp_rate_delta', df, 0.05, df <= 0.05::DOUBLE FROM c WHERE df IS NOT NULL)
+SELECT name, k AS place, "check", value, bound::DOUBLE AS bound, ok, bool_and(ok) OVER (PARTITION BY name) AS passed FROM r""")
 def e10_gate(t):
     first = t.candidates.agg(F.min("name")).first()[0]
-    return evaluate.gate(t.candidates, first).select("name", "passed", F.size("reasons").alias("n_reasons"))
+    names = F.array(*[F.lit(n) for n in ("latency_ms", "cpu_percent", "recall_delta", "map50_delta", "fp_rate_delta")])
+    out = evaluate.gate(t.candidates, first).select("name", "passed", F.explode("reasons").alias("r"))
+    return out.select("name", F.array_position(names, F.col("r.check")).alias("place"), "r.check", "r.value", "r.bound", F.col("r.passed").alias("ok"), "passed")
 
 
-@query("""SELECT a.name, a.map50 AS before_map50, b.map50 AS after_map50 FROM {candidates} a JOIN {candidates} b ON a.name = b.name""")
+@query("""WITH b AS (SELECT name, recall AS map50, map50 AS recall, CASE WHEN latency_ms > 20 THEN 'nan'::DOUBLE ELSE latency_ms * 2 END AS latency_ms FROM {candidates} WHERE cpu_percent IS NULL)
+SELECT coalesce(a.name, b.name) AS name, a.map50 AS before_map50, b.map50 AS after_map50, round((b.map50 - a.map50) * 10000)::BIGINT AS delta, a.latency_ms AS before_ms, CASE WHEN isfinite(b.latency_ms) THEN b.latency_ms END AS after_ms
+FROM {candidates} a FULL JOIN b ON a.name = b.name""")
 def e11_before_after(t):
-    return pool.before_after(t.candidates, t.candidates).select("name", "before_map50", "after_map50")
+    later = F.when(F.col("latency_ms") > 20, F.lit(float("nan"))).otherwise(F.col("latency_ms") * 2)
+    after = t.candidates.where("cpu_percent is null").select("name", F.col("recall").alias("map50"), F.col("map50").alias("recall"), later.alias("latency_ms"))
+    out = pool.before_after(t.candidates, after)
+    return out.select("name", "before_map50", "after_map50", F.round((F.col("after_map50") - F.col("before_map50")) * 10000).cast("long").alias("delta"), F.col("before_latency_ms").alias("before_ms"), F.col("after_latency_ms").alias("after_ms"))
 
 
 @query("""SELECT model_name, version FROM (SELECT p_brand AS model_name, p_name AS version, row_number() OVER (PARTITION BY p_brand ORDER BY p_size DESC, p_partkey DESC) AS n FROM {part}) WHERE n = 1""")
@@ -549,12 +587,6 @@ def x10_hard_negatives(t):
     return reconcile.hard_negatives(_decisions(t)).select("object_id")
 
 
-@query()
-def x11_background_boxes(t):
-    own = t.annotations.where("x2 > x1 and y2 > y1").select(F.col("id").alias("object_id"), "x1", "y1", "x2", "y2")
-    return reconcile.background_boxes(own, 2).select("object_id", "n", "box.*")
-
-
 @query(f"""WITH {DECIDED} SELECT sample_id AS frame_key, string_agg(object_id, ',' ORDER BY object_id) AS ids FROM (SELECT d.object_id, sample_id FROM d JOIN {{segments}} USING (object_id) WHERE status = 'KEEP') GROUP BY sample_id""")
 def x12_frame_export(t):
     keyed = _decisions(t).join(t.segments.select("object_id", F.col("sample_id").alias("frame_key")), "object_id").withColumn("label_line", F.col("feed_label"))
@@ -580,12 +612,26 @@ def p02_box_pair_metrics(t):
     return a.join(b, "sample_id").where("a < b").select("a", "b", boxes.iou(F.col("p"), F.col("q")).alias("iou")).where("iou > 0")
 
 
-@query("""SELECT id, CASE WHEN x1 IS NULL OR y1 IS NULL OR x2 IS NULL OR y2 IS NULL THEN 'bad_bbox' WHEN (x2 - x1) <= 0 OR least(x1 + (x2 - x1), 1) <= x1 OR least(y1 + (y2 - y1), 1) <= y1 THEN 'empty_box' END AS reason FROM {annotations}""")
+@query("""WITH d AS (SELECT id, x1, y1, x2, y2, ascii(substr(source, 1, 1)) % 3 AS f, verified = 1 AS norm, length(id) % 2 = 0 AS whole FROM {annotations}),
+p AS (SELECT *, CASE WHEN x1 IS NULL OR y1 IS NULL OR x2 IS NULL OR y2 IS NULL THEN 'bad_bbox' END AS bad, CASE WHEN norm THEN CASE WHEN whole THEN 1000 ELSE 2000 END ELSE 1000 END AS sx, CASE WHEN norm THEN CASE WHEN whole THEN 500 ELSE 1000 END ELSE 500 END AS sy,
+ CASE WHEN whole THEN 0 ELSE 100 END AS ox FROM d),
+b AS (SELECT id, bad, greatest(0, least(1000, x1 * sx - ox)) AS a1, greatest(0, least(500, y1 * sy - ox)) AS b1, greatest(0, least(1000, x2 * sx - ox)) AS a2, greatest(0, least(500, y2 * sy - ox)) AS b2 FROM p),
+o AS (SELECT *, bad IS NULL AND a2 > a1 AND b2 > b1 AS ok FROM b)
+SELECT id, CASE WHEN bad IS NOT NULL THEN bad WHEN NOT ok THEN 'empty_box' END AS reason, CASE WHEN ok THEN round(a1 * 1000)::BIGINT END AS x1, CASE WHEN ok THEN round(b1 * 1000)::BIGINT END AS y1,
+ CASE WHEN ok THEN round(a2 * 1000)::BIGINT END AS x2, CASE WHEN ok THEN round(b2 * 1000)::BIGINT END AS y2 FROM o""")
 def p01_normalize_boxes(t):
-    raw = F.array(F.col("x1"), F.col("y1"), F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))
-    nothing = F.lit(None).cast("struct<x:double,y:double>")
-    _, reason = boxes.declared_box(raw, F.lit("xywh"), F.lit(False), F.lit("image"), 1.0, 1.0, nothing, F.lit(None).cast("struct<w:double,h:double>"))
-    return t.annotations.select("id", reason.alias("reason"))
+    norm, kind = F.col("verified") == 1, F.ascii("source") % 3
+    unit = boxes.box("x1", "y1", "x2", "y2")
+    px = boxes.box(F.col("x1") * 1000, F.col("y1") * 500, F.col("x2") * 1000, F.col("y2") * 500)
+    b = F.when(norm, unit).otherwise(px)
+    raw = F.when(kind == 0, F.array(*[b[k] for k in ("x1", "y1", "x2", "y2")])).when(kind == 1, boxes.to_xywh(b)).otherwise(boxes.to_cxcywh(b))
+    space = F.when(F.length("id") % 2 == 0, "image").otherwise("frame")
+    fmt = F.when(kind == 0, "xyxy").when(kind == 1, "xywh").otherwise("cxcywh")
+    origin, frame = F.struct(F.lit(100.0).alias("x"), F.lit(100.0).alias("y")), F.struct(F.lit(2000.0).alias("w"), F.lit(1000.0).alias("h"))
+    d = t.annotations.select("id", raw.alias("raw"), fmt.alias("fmt"), norm.alias("norm"), space.alias("space"))
+    out, reason = boxes.declared_box(F.col("raw"), F.col("fmt"), F.col("norm"), F.col("space"), 1000.0, 500.0, origin, frame)
+    d = d.select("id", out.alias("box"), reason.alias("reason"))
+    return d.select("id", "reason", *[F.round(F.col("box")[k] * 1000).cast("long").alias(k) for k in ("x1", "y1", "x2", "y2")])
 
 
 @query("""SELECT object_id, (100 * (30 + k % 7))::BIGINT AS mask_area, x1 * 100 AS fx, 10.0::DOUBLE AS tx1, (40 + k % 7)::DOUBLE AS tx2 FROM (SELECT object_id, k, x1 FROM {segments})""")
@@ -596,12 +642,11 @@ def p03_object_geometry(t):
     return d.select("object_id", boxes.mask_area(F.col("runs")).alias("mask_area"), (F.col("x1") * 100).alias("fx"), box["x1"].alias("tx1"), box["x2"].alias("tx2"))
 
 
-@query("""SELECT name, count(*) AS n FROM (SELECT CASE WHEN word IN ('person', 'people', 'human', 'man', 'woman', 'pedestrian') THEN 'person' WHEN word IN ('car', 'sedan', 'automobile', 'suv', 'pickup') THEN 'car' ELSE '' END AS name
-FROM (SELECT lower(trim(CASE l_suppkey % 6 WHEN 0 THEN ' Person' WHEN 1 THEN 'SUV' WHEN 2 THEN 'human ' WHEN 3 THEN 'truck' WHEN 4 THEN '' ELSE 'Sedan' END)) AS word FROM {lineitem})) GROUP BY name""")
+@query("""SELECT id, label, CASE WHEN word IN ('person', 'people', 'human', 'man', 'woman', 'pedestrian') THEN 'person' WHEN word IN ('car', 'sedan', 'automobile', 'suv', 'pickup') THEN 'car' ELSE '' END AS name
+FROM (SELECT id, label, lower(trim(label)) AS word FROM (SELECT id, CASE source WHEN 'vlm' THEN concat(' ', upper(label)) WHEN 'human' THEN replace(label, 'person', 'Human ') WHEN 'external' THEN replace(label, 'car', 'Suv') ELSE label END AS label FROM {annotations}))""")
 def p04_canonicalize_labels(t):
-    words = F.array(*[F.lit(w) for w in (" Person", "SUV", "human ", "truck", "", "Sedan")])
-    word = F.get(words, (F.col("l_suppkey") % 6).cast("int"))
-    return t.lineitem.groupBy(labels.canonical_label(word, ["person", "car"]).alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    said = F.when(F.col("source") == "vlm", F.concat(F.lit(" "), F.upper("label"))).when(F.col("source") == "human", F.replace("label", F.lit("person"), F.lit("Human "))).when(F.col("source") == "external", F.replace("label", F.lit("car"), F.lit("Suv"))).otherwise(F.col("label"))
+    return t.annotations.select("id", said.alias("label")).select("id", "label", labels.canonical_label(F.col("label"), ["person", "car"]).alias("name"))
 
 
 @query("""SELECT label, row_number() OVER (ORDER BY f, label) - 1 AS class_id FROM (SELECT label, min(id) AS f FROM {annotations} WHERE label <> '' GROUP BY label)""")
@@ -656,10 +701,10 @@ def s05_list_events(t):
 # --- ledgers
 
 
-@query("""SELECT quality, count(*) AS n FROM (SELECT CASE WHEN camera = 'cam5' THEN 'useful' ELSE quality END AS quality FROM {samples}) GROUP BY quality""")
+@query("""SELECT id, camera, CASE WHEN camera = 'cam5' THEN 'useful' ELSE quality END AS quality FROM {samples}""")
 def m01_set_quality(t):
     out, _ = ledger.set_quality(t.samples, pool.triage_batch(t.samples, t.annotations, cameras=["cam5"]), "useful")
-    return out.groupBy("quality").agg(F.count(F.lit(1)).alias("n"))
+    return out.select("id", "camera", "quality")
 
 
 @query("""SELECT (SELECT count(*) FROM {annotations} WHERE NOT event_id LIKE '%7') AS annotations, (SELECT count(*) FROM {samples} WHERE NOT event_id LIKE '%7') AS samples""")
@@ -675,14 +720,27 @@ def m08_upsert_overrides(t):
     return ledger.upsert_overrides(old, changes)[0].select("object_id", "status")
 
 
-@query("""SELECT count(*) AS processed, count(*) FILTER (content IS NULL) AS failed FROM {responses}""")
+STATUS = """CASE WHEN content IS NULL THEN 'transport' WHEN content NOT LIKE '%{{%' THEN 'rejected' WHEN content LIKE '%"name"%' OR content LIKE '%"confidence": 7%' THEN 'rejected'
+ WHEN regexp_extract(content, '0\\.2, ([0-9.]+)', 1)::DOUBLE <= regexp_extract(content, 'bbox": \\[([0-9.]+)', 1)::DOUBLE THEN 'rejected' ELSE 'ok' END"""
+
+
+@query(f"""WITH s AS (SELECT {STATUS} AS status FROM {{responses}}) SELECT count(*) AS processed, count(*) FILTER (status = 'ok') AS annotated, 0 AS skipped, count(*) FILTER (status = 'transport') AS failed,
+ count(*) FILTER (status = 'rejected') AS dropped, count(*) FILTER (status = 'ok') AS objects FROM s""")
 def a12_verify_summary(t):
-    return ledger.verify_summary(scoring.parse_detections(t.responses).withColumn("sample_id", F.col("id"))).select("processed", "failed")
+    return ledger.verify_summary(scoring.parse_detections(t.responses).withColumn("sample_id", F.col("id")))
 
 
 # --- more rows of the inventory
 
 
+def _coco(t: Tables) -> DataFrame:
+    """Orders as images and line items as objects, in the layout of COCO files."""
+    o = t.orders.select(F.array(F.struct(F.col("o_orderkey").alias("id"), F.col("o_orderkey").cast("string").alias("file_name"), F.lit(100).alias("width"), F.lit(100).alias("height"))).alias("images"))
+    a = t.lineitem.select(F.array(F.struct(F.monotonically_increasing_id().alias("id"), F.col("l_orderkey").alias("image_id"), F.ascii("l_returnflag").cast("long").alias("category_id"), F.array(F.lit(1.0), F.lit(1.0), F.lit(9.0), F.lit(9.0)).alias("bbox"), F.lit(0.5).alias("score"))).alias("annotations"))
+    c = t.spark.sql("SELECT array(struct(65L AS id, 'human' AS name), struct(78L AS id, 'car' AS name), struct(82L AS id, 'tree' AS name)) AS categories")
+    return o.unionByName(a, allowMissingColumns=True).unionByName(c, allowMissingColumns=True)
+
+
 @query("""SELECT id, camera, severity, floor(start_time) AS start_time, '' AS thumb_path FROM {reviews}""")
 def s01_review_feed(t):
     raw = t.reviews.select(F.concat(F.lit('{"id": "'), "id", F.lit('", "camera": "'), "camera", F.lit('", "start_time": '), F.col("start_time").cast("long").cast("string"), F.when(F.col("severity") == "alert", ', "severity": "alert"').otherwise(""), F.lit("}")).alias("j"))
@@ -708,10 +766,7 @@ def s03_motion_feed(t):
 def s07_coco_import(t):
     from ..sources import files
 
-    o = t.orders.select(F.array(F.struct(F.col("o_orderkey").alias("id"), F.col("o_orderkey").cast("string").alias("file_name"), F.lit(100).alias("width"), F.lit(100).alias("height"))).alias("images"))
-    a = t.lineitem.select(F.array(F.struct(F.monotonically_increasing_id().alias("id"), F.col("l_orderkey").alias("image_id"), F.ascii("l_returnflag").cast("long").alias("category_id"), F.array(F.lit(1.0), F.lit(1.0), F.lit(9.0), F.lit(9.0)).alias("bbox"), F.lit(0.5).alias("score"))).alias("annotations"))
-    c = t.spark.sql("SELECT array(struct(65L AS id, 'human' AS name), struct(78L AS id, 'car' AS name), struct(82L AS id, 'tree' AS name)) AS categories")
-    samples, annotations, _ = files.import_coco(o.unionByName(a, allowMissingColumns=True).unionByName(c, allowMissingColumns=True), ["person", "car"], {"human": "person"})
+    samples, annotations, _ = files.import_coco(_coco(t), ["person", "car"], {"human": "person"})
     return samples.agg(F.count(F.lit(1)).alias("written")).crossJoin(annotations.agg(F.count(F.lit(1)).alias("annotations")))
 
 
@@ -883,8 +938,293 @@ def e07_latency_summary(t):
     return evaluate.latency_summary(timings)
 
 
-@query("""SELECT s.id AS image_id, count(*) AS n FROM (SELECT id FROM {samples} ORDER BY id LIMIT 100) s JOIN {annotations} a ON a.sample_id = s.id WHERE label IN ('person', 'car') GROUP BY s.id""")
+@query("""SELECT s.id AS image_id, count(*) AS n FROM {samples} s JOIN {annotations} a ON a.sample_id = s.id WHERE label IN ('person', 'car') GROUP BY s.id""")
 def e06_golden_examples(t):
     own = t.annotations.select(F.col("sample_id").alias("image_id"), F.when(F.col("label") == "person", 0).when(F.col("label") == "car", 1).alias("class_id"), "x1", "y1", "x2", "y2")
-    out = evaluate.golden_examples(t.samples.select(F.col("id").alias("image_id")), own, labels.class_table(t.spark, ["person", "car"]), 100)
+    out = evaluate.golden_examples(t.samples.select(F.col("id").alias("image_id")), own, labels.class_table(t.spark, ["person", "car"]))
     return out.where("boxes is not null").select("image_id", F.size("boxes").cast("long").alias("n"))
+
+
+# --- box functions as table jobs
+
+MASKS = "SELECT *, 10 + k % 7 AS ma, 40 + k % 7 AS mb FROM {segments}"
+
+
+def _masked(t: Tables) -> DataFrame:
+    """Segments with their feed box and segment box in a 100 x 100 image, and a mask of runs."""
+    runs = F.transform(F.sequence(F.lit(0), F.lit(99)), lambda y: F.struct(y.alias("y"), (F.lit(10) + F.col("k") % 7).cast("int").alias("x0"), (F.lit(40) + F.col("k") % 7).cast("int").alias("x1")))
+    feed = boxes.box(F.col("x1") * 100, F.col("y1") * 100, F.col("x2") * 100, F.col("y2") * 100)
+    seg = boxes.box(F.lit(10) + F.col("k") % 7, F.lit(0), F.lit(40) + F.col("k") % 7, F.lit(100))
+    return t.segments.select("object_id", "k", feed.alias("feed"), seg.alias("seg"), runs.alias("runs"))
+
+
+OVERLAP = "greatest(0, least(x2 * 100, mb) - greatest(x1 * 100, ma)) * greatest(0, least(y2 * 100, 100) - greatest(y1 * 100, 0))"
+
+
+@query(f"""SELECT object_id, round(1e6 * {OVERLAP} / ((x2 - x1) * (y2 - y1) * 10000))::BIGINT AS share FROM ({MASKS})""")
+def g04_containment(t):
+    return _masked(t).select("object_id", F.round(1e6 * boxes.containment(F.col("feed"), F.col("seg"))).cast("long").alias("share"))
+
+
+@query(f"""SELECT object_id, ma - x1 * 100 AS dx1, 0 - y1 * 100 AS dy1, mb - x2 * 100 AS dx2, 100 - y2 * 100 AS dy2 FROM ({MASKS})""")
+def g05_edge_deltas(t):
+    d = boxes.edge_deltas(F.col("feed"), F.col("seg"))
+    return _masked(t).select("object_id", *[d[k].alias(f"d{k}") for k in ("x1", "y1", "x2", "y2")])
+
+
+@query("""SELECT id, CASE WHEN w > 0 THEN x1 * w END AS px1, CASE WHEN w > 0 THEN y2 * 50 END AS py2, CASE WHEN w > 0 THEN x1 / w END AS nx1, CASE WHEN w > 0 THEN y2 / 50 END AS ny2, (x1 + x2) / 2 AS cx, y2 - y1 AS h
+FROM (SELECT *, CASE WHEN verified = 1 THEN 100 ELSE 0 END AS w FROM {annotations})""")
+def g09_pixel_boxes(t):
+    b, w = boxes.box("x1", "y1", "x2", "y2"), F.when(F.col("verified") == 1, 100).otherwise(0)
+    px, unit, centre = boxes.scaled(b, w, 50), boxes.normalized(b, w, 50), boxes.to_cxcywh(b)
+    return t.annotations.select("id", px["x1"].alias("px1"), px["y2"].alias("py2"), unit["x1"].alias("nx1"), unit["y2"].alias("ny2"), F.get(centre, 0).alias("cx"), F.get(centre, 3).alias("h"))
+
+
+@query("""SELECT object_id, x1 - k AS x1, y1 - 2 AS y1, x2 - k AS x2, y2 - 2 AS y2 FROM {segments}""")
+def g10_crop_boxes(t):
+    return t.segments.select("object_id", boxes.frame_to_crop(boxes.box("x1", "y1", "x2", "y2"), F.col("k"), 2).alias("b")).select("object_id", "b.*")
+
+
+@query("""WITH s AS (SELECT id, x1 * 100 AS x1, y1 * 100 AS y1, x2 * 100 AS x2, y2 * 100 AS y2, CASE verified WHEN 1 THEN 90 ELSE CASE source WHEN 'vlm' THEN 0 ELSE 100 END END AS w FROM {annotations}),
+r AS (SELECT *, CASE WHEN w <= 0 THEN 'bad_size' WHEN NOT coalesce(x1 BETWEEN 0 AND w AND x2 BETWEEN 0 AND w AND y1 BETWEEN 0 AND 100 AND y2 BETWEEN 0 AND 100, false) THEN 'out_of_range' WHEN x2 <= x1 OR y2 <= y1 THEN 'degenerate_box' END AS reason FROM s)
+SELECT id, reason, CASE WHEN reason IS NULL THEN x1 / w END AS x1, CASE WHEN reason IS NULL THEN y2 / 100 END AS y2 FROM r""")
+def g15_checked_boxes(t):
+    w = F.when(F.col("verified") == 1, 90).when(F.col("source") == "vlm", 0).otherwise(100)
+    px = boxes.box(F.col("x1") * 100, F.col("y1") * 100, F.col("x2") * 100, F.col("y2") * 100)
+    b, reason = boxes.checked_normalized(px, w, 100)
+    return t.annotations.select("id", reason.alias("reason"), b["x1"].alias("x1"), b["y2"].alias("y2"))
+
+
+@query(f"""SELECT object_id, round(1e6 * 3000 / ((x2 - x1) * (y2 - y1) * 10000))::BIGINT AS ratio FROM ({MASKS})""")
+def g19_mask_box_ratio(t):
+    return _masked(t).select("object_id", F.round(1e6 * boxes.mask_box_ratio(F.col("runs"), F.col("feed"))).cast("long").alias("ratio"))
+
+
+INSIDE = "greatest(0, least(mb, ceil(x2 * 100)) - greatest(ma, ceil(x1 * 100))) * greatest(0, least(100, ceil(y2 * 100)) - greatest(0, ceil(y1 * 100))) / 3000"
+
+
+@query(f"""SELECT object_id, {INSIDE} AS share FROM ({MASKS})""")
+def g20_mask_containment(t):
+    return _masked(t).select("object_id", boxes.mask_containment(F.col("runs"), F.col("feed")).alias("share"))
+
+
+@query(f"""SELECT object_id, 3000 AS mask_area, round(1e3 * (x2 - x1) * (y2 - y1) * 10000)::BIGINT AS feed_area, round(1e6 * {OVERLAP} / ((x2 - x1) * (y2 - y1) * 10000 + 3000 - {OVERLAP}))::BIGINT AS iou,
+ round(1e6 * {OVERLAP} / 3000)::BIGINT AS segment_in_feed, round(1e6 * {INSIDE})::BIGINT AS mask_in_feed, 1000000 AS mask_in_box FROM ({MASKS})""")
+def g21_object_geometry(t):
+    g = _masked(t).select("object_id", boxes.object_geometry(F.col("feed"), F.col("seg"), F.col("runs")).alias("g"))
+    return g.select(
+        "object_id", "g.mask_area", F.round(1e3 * F.col("g.feed_area")).cast("long").alias("feed_area"), F.round(1e6 * F.col("g.bbox_iou")).cast("long").alias("iou"),
+        F.round(1e6 * F.col("g.segment_feed_containment")).cast("long").alias("segment_in_feed"), F.round(1e6 * F.col("g.mask_feed_containment")).cast("long").alias("mask_in_feed"), F.round(1e6 * F.col("g.mask_bbox_ratio")).cast("long").alias("mask_in_box"),
+    )
+
+
+# --- response checks
+
+
+@query("""SELECT object_id, CASE WHEN k % 4 = 0 AND covers IS NOT NULL THEN covers END AS covers, CASE WHEN k % 4 = 0 AND covers IS NOT NULL THEN trim(vlm_label) END AS vlm_label,
+ CASE WHEN k % 4 = 3 THEN 'transport' WHEN k % 4 = 0 AND covers IS NOT NULL THEN NULL ELSE 'malformed' END AS vlm_error FROM {verdicts} JOIN {segments} USING (object_id)""")
+def l09_parse_verdicts(t):
+    d = t.verdicts.join(t.segments.select("object_id", "k"), "object_id")
+    # whole, with the flag as text, cut short, and missing
+    good = F.concat(F.lit('Fine: {"bbox_covers_object": '), F.coalesce(F.col("covers").cast("string"), F.lit("null")), F.lit(', "class_label": "'), F.coalesce("vlm_label", F.lit("")), F.lit(' "}'))
+    said = F.when(F.col("k") % 4 == 0, good).when(F.col("k") % 4 == 1, F.regexp_replace(good, "(true|false|null)", '"$1"')).when(F.col("k") % 4 == 2, F.substring(good, 1, 30))
+    return scoring.parse_verdicts(d.select("object_id", said.alias("content"))).select("object_id", "covers", "vlm_label", "vlm_error")
+
+
+@query("""SELECT object_id, CASE WHEN trim(coalesce(seg_class, '')) = '' THEN 'no_class' WHEN k % 11 = 0 THEN 'bad_bbox' WHEN seg_area = 0 THEN 'no_mask' WHEN k % 3 = 0 THEN 'mask_size' WHEN k % 5 = 0 THEN 'bad_confidence' END AS reason FROM {segments}""")
+def l10_check_segments(t):
+    four = F.array("x1", "y1", "x2", "y2")
+    d = t.segments.select(
+        "object_id", F.col("seg_class").alias("class_name"), F.when(F.col("k") % 11 == 0, F.slice(four, 1, 3)).otherwise(four).alias("bbox"), F.when(F.col("seg_area") > 0, F.array(F.struct(F.lit(0).alias("y"), F.lit(0).alias("x0"), F.lit(9).alias("x1")))).alias("mask"),
+        F.lit(64).alias("mask_w"), F.lit(64).alias("mask_h"), F.when(F.col("k") % 3 == 0, 63).otherwise(64).alias("crop_w"), F.lit(64).alias("crop_h"), F.when(F.col("k") % 5 == 0, float("nan")).otherwise(0.5).alias("confidence"),
+    )
+    return scoring.check_segments(d).select("object_id", "reason")
+
+
+@query("""SELECT event_id, json_extract(props, '$.k')::BIGINT AS k, event_type <> 'click' AND event_type <> 'view' AS parsed FROM {events}""")
+def l11_tolerant_json(t):
+    text = F.when(F.col("event_type") == "click", F.concat("props", F.lit("{"))).when(F.col("event_type") == "view", F.lit("  ")).otherwise(F.col("props"))
+    d = t.events.select("event_id", labels.tolerant_json(text).alias("v"), labels.tolerant_json(F.col("props")).alias("p"))
+    return d.select("event_id", F.try_variant_get("p", "$.k", "long").alias("k"), F.col("v").isNotNull().alias("parsed"))
+
+
+@query("""WITH r AS (SELECT id, content FROM {responses})
+SELECT id, CASE WHEN content LIKE '%"name"%' THEN 'keys_or_types' WHEN content LIKE '%"confidence": 7%' THEN
+ CASE WHEN regexp_extract(content, '0\\.2, ([0-9.]+)', 1)::DOUBLE <= regexp_extract(content, 'bbox": \\[([0-9.]+)', 1)::DOUBLE THEN 'confidence,bbox' ELSE 'confidence' END
+ WHEN regexp_extract(content, '0\\.2, ([0-9.]+)', 1)::DOUBLE <= regexp_extract(content, 'bbox": \\[([0-9.]+)', 1)::DOUBLE THEN 'bbox' ELSE '' END AS messages FROM r WHERE content LIKE '%{{%'""")
+def l08_rejection_messages(t):
+    return scoring.parse_detections(t.responses.where(F.col("content").contains("{"))).select("id", F.array_join("messages.problem", ",").alias("messages"))
+
+
+# --- file formats over derived texts
+
+
+@query("""SELECT concat('doc/', doc_id) AS path, octet_length(encode(text)) AS length, sha256(text) AS content_hash FROM {documents} WHERE text IS NOT NULL""")
+def s10_image_hashes(t):
+    from ..sources import files
+
+    content = F.to_binary("text", F.lit("utf-8"))
+    return files.image_hashes(t.documents.where("text is not null").select(F.concat(F.lit("doc/"), "doc_id").alias("path"), F.length(content).cast("long").alias("length"), content.alias("content")))
+
+
+@query("""SELECT concat('hash-', sha256(concat('pixels ', image_path))) AS content_hash, count(*) AS n FROM {samples} GROUP BY content_hash""")
+def h06_content_hash(t):
+    return t.samples.groupBy(F.concat(F.lit("hash-"), hashes.content_hash(F.to_binary(F.concat(F.lit("pixels "), "image_path"), F.lit("utf-8")))).alias("content_hash")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""WITH o AS (SELECT o_orderkey AS file, l_linenumber AS ln, row_number() OVER (PARTITION BY l_orderkey ORDER BY n) - 1 AS pos, concat('s', l_orderkey, '-', n) AS id, l_returnflag AS cls, l_partkey % 9 = 0 AS no_class, l_suppkey % 13 = 0 AS no_image, (l_partkey % 50) / 100.0::DOUBLE AS x
+  FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate) AS n FROM {lineitem}) JOIN {orders} ON o_orderkey = l_orderkey)
+SELECT id AS object_id, pos::INT AS manifest_index, CASE WHEN no_class THEN 'missing_class' WHEN no_image THEN 'missing_image' ELSE 'ok' END AS reason, CASE WHEN no_class OR no_image THEN NULL ELSE round(x * 200 * 1000)::BIGINT END AS x1 FROM o""")
+def s08_audit_manifest(t):
+    from ..sources import files
+
+    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"]
+    x = (F.col("l_partkey") % 50) / 100
+    lines = t.lineitem.join(t.orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey").withColumn("n", F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*order)))
+    item = F.struct(
+        "n", F.concat(F.lit("s"), "l_orderkey", F.lit("-"), "n").alias("id"), F.when(F.col("l_suppkey") % 13 != 0, F.lit("i.jpg")).alias("image"), F.when(F.col("l_partkey") % 9 != 0, F.col("l_returnflag")).alias("class_name"),
+        F.array(x, F.lit(0.1), F.lit(0.4), F.lit(0.5)).alias("bbox"),
+    )
+    texts = lines.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(item)).alias("objects")).select(
+        F.to_json(F.struct(F.lit("/img").alias("image_root"), F.lit("xywh").alias("bbox_format"), F.lit(True).alias("normalized"), F.array(F.lit(200.0), F.lit(100.0)).alias("frame_size"), F.map_from_arrays(F.array(F.lit("A"), F.lit("N"), F.lit("R")), F.array(F.lit(0), F.lit(1), F.lit(2))).alias("class_map"), "objects")).alias("j")
+    )
+    good, bad = files.parse_audit_manifest(texts.select(F.from_json("j", schemas.AUDIT_MANIFEST).alias("m")).select("m.*"), 200, 100)
+    return good.select("object_id", "manifest_index", F.lit("ok").alias("reason"), F.round(F.col("box.x1") * 1000).cast("long").alias("x1")).union(bad.select("object_id", "manifest_index", "reason", F.lit(None).cast("long")))
+
+
+@query("""SELECT row_number() OVER (ORDER BY p_brand) - 1 AS class_id, p_brand AS label FROM (SELECT DISTINCT p_brand FROM {part})""")
+def s14_class_names(t):
+    from ..sources import files
+
+    lines = t.part.select("p_brand").distinct().agg(F.sort_array(F.collect_set("p_brand")).alias("b"))
+    text = F.array_join(F.transform("b", lambda x, i: F.concat(F.lit("  "), i.cast("string"), F.lit(": '"), x, F.lit("'"))), "\n")
+    return files.parse_class_names(lines.select(F.concat(F.lit("path: x\nnames:\n"), text).alias("value")), True)
+
+
+@query(f"""WITH {DECIDED} SELECT object_id, CASE WHEN length(object_id) % 2 = 0 THEN feed_label ELSE NULL END AS feed_label, status, reason, CASE WHEN length(object_id) % 2 = 0 THEN 'z' || feed_label END AS zone FROM d WHERE object_id NOT LIKE '%-1'""")
+def s15_decision_files(t):
+    from ..sources import files
+
+    own = F.length("object_id") % 2 == 0
+    source = F.when(own, F.struct(F.col("feed_label").alias("class_name"), F.concat(F.lit("z"), "feed_label").alias("zone")))
+    whole = F.to_json(F.struct(F.struct("status", "reason").alias("decision"), F.struct(source.alias("source")).alias("provenance")))
+    texts = _decisions(t).select(F.concat(F.lit("/run/"), "object_id", F.lit("/decision.json")).alias("file"), F.when(F.col("object_id").like("%-1"), "{broken").otherwise(whole).alias("value"))
+    return files.parse_decisions(texts).select("object_id", "feed_label", "status", "reason", F.element_at("extra", "zone").alias("zone"))
+
+
+@query("""WITH k AS (SELECT concat('s', o_orderkey) AS key, 0 AS p, o_orderkey AS line, o_custkey AS n FROM {orders} UNION ALL SELECT concat('s', o_custkey), 1, o_orderkey, o_custkey FROM {orders})
+SELECT key, n FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY p, line) AS r FROM k) WHERE r = 1""")
+def s16_provenance_keys(t):
+    from ..sources import files
+
+    line = F.to_json(F.struct(F.concat(F.lit("s"), "o_orderkey").alias("sample_id"), F.struct(F.concat(F.lit("s"), "o_custkey").alias("sample_id")).alias("source"), F.col("o_custkey").alias("n")))
+    out = files.parse_provenance(t.orders.select(F.col("o_orderkey").alias("line"), line.alias("value")))
+    return out.select("key", F.get_json_object("record", "$.n").cast("long").alias("n"))
+
+
+@query("""SELECT name, version, map50, recall, fp_rate, latency_ms, cpu_percent FROM {candidates}""")
+def s18_benchmark_file(t):
+    from ..sources import files
+
+    return files.parse_benchmark(files.benchmark_text(t.candidates)).select("name", "version", "map50", "recall", "fp_rate", "latency_ms", "cpu_percent")
+
+
+@query(f"""SELECT split, id AS sample_id, row_number() OVER (PARTITION BY split ORDER BY id) - 1 AS place FROM (SELECT id, {SPLIT} AS split FROM (SELECT id, {POINT.format("id")} AS p FROM {{samples}}))""")
+def s19_dataset_lists(t):
+    """Writes a dataset version and reads its split lists back in order of their files."""
+    from ..sources import files
+
+    lists = files.dataset_lists(datasets.split_lists(t.samples.select("id")).withColumnRenamed("id", "sample_id"))
+    return lists.select("split", "sample_id", "place")
+
+
+# --- summaries, indexes and ledgers
+
+
+@query("""WITH v AS (SELECT DISTINCT o_custkey % 100 AS k, concat('v', lpad((o_custkey % 100)::VARCHAR, 3, '0')) AS version FROM {orders})
+SELECT version, CASE WHEN k % 3 = 0 THEN NULL ELSE k END AS written, CASE WHEN k % 3 = 0 THEN 'missing or unreadable build summary' END AS error FROM v""")
+def a08_dataset_listing(t):
+    v = t.orders.select((F.col("o_custkey") % 100).alias("k")).distinct().select("k", F.concat(F.lit("v"), F.lpad(F.col("k").cast("string"), 3, "0")).alias("version"))
+    summaries = v.where("k % 3 <> 0").select("version", F.lit("2024").alias("built_at"), F.col("k").alias("written"))
+    return pool.dataset_listing(v.select("version"), summaries).select("version", "written", "error")
+
+
+@query("""SELECT (SELECT count(*) FROM {reviews}) AS reviews, count(*) AS events, count(*) FILTER (o = 'new') AS "new", count(*) FILTER (o = 'duplicate') AS duplicate, count(*) FILTER (o = 'merged') AS merged, count(*) FILTER (o = 'failed') AS failed,
+ count(*) FILTER (o = 'skipped') AS skipped, (sum(CASE WHEN o IN ('new', 'merged') THEN 1 ELSE 0 END))::BIGINT AS annotations
+FROM (SELECT CASE WHEN end_time IS NULL THEN 'failed' ELSE CASE o_custkey % 4 WHEN 0 THEN 'new' WHEN 1 THEN 'duplicate' WHEN 2 THEN 'merged' ELSE 'skipped' END END AS o FROM {event_feed} JOIN {orders} ON id = concat('e', o_orderkey))""")
+def a11_collect_summary(t):
+    outcome = F.when(F.col("end_time").isNull(), "failed").otherwise(F.element_at(F.array(*[F.lit(n) for n in ("new", "duplicate", "merged", "skipped")]), (F.col("o_custkey") % 4 + 1).cast("int")))
+    d = t.event_feed.join(t.orders.select(F.concat(F.lit("e"), "o_orderkey").alias("id"), "o_custkey"), "id").select(outcome.alias("outcome"))
+    return pool.collect_summary(t.reviews, d.withColumn("annotations", F.col("outcome").isin("new", "merged").cast("long")))
+
+
+@query("""SELECT (SELECT count(*) FROM {orders}) AS images, (SELECT count(*) FROM {lineitem}) AS objects, (SELECT count(*) FROM {lineitem} WHERE l_returnflag = 'R') AS skipped_unmapped,
+ (SELECT count(*) FROM {orders} WHERE o_orderkey % 5 = 0) AS skipped_missing, (SELECT count(DISTINCT l_orderkey) FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey WHERE l_returnflag IN ('A', 'N') AND o_orderkey % 5 <> 0) AS written""")
+def a16_import_summary(t):
+    from ..sources import files
+
+    present = t.orders.where("o_orderkey % 5 <> 0").select(F.col("o_orderkey").cast("string").alias("file_name"))
+    return files.import_coco(_coco(t), ["person", "car"], {"human": "person"}, present)[2].select("images", "objects", "skipped_unmapped", "skipped_missing", "written")
+
+
+@query("""SELECT name AS id, map50, row_number() OVER (ORDER BY version DESC, name) AS place, CASE WHEN length(name) % 2 = 1 THEN recall END AS recall FROM {candidates}""")
+def k03_deployments(t):
+    d = t.candidates.select(F.col("name").alias("id"), F.col("version").alias("created_at"), F.to_json(F.struct("map50")).alias("metrics_json"), F.when(F.length("name") % 2 == 1, F.to_json(F.struct("recall"))).otherwise("{").alias("reasons_json"))
+    out = pool.deployments_newest(d)
+    place = F.row_number().over(Window.orderBy(F.desc("created_at"), "id"))  # a ledger of models
+    return out.select("id", F.try_variant_get("metrics", "$.map50", "double").alias("map50"), place.alias("place"), F.try_variant_get("reasons", "$.recall", "double").alias("recall"))
+
+
+@query(f"""WITH {DECIDED}, q AS (SELECT object_id, feed_label, {OVERLAP} AS inter, (x2 - x1) * (y2 - y1) * 10000 AS area, {INSIDE} AS inside FROM ({MASKS})),
+g2 AS (SELECT object_id, concat_ws(',', CASE WHEN inter / (area + 3000 - inter) < 0.05 THEN 'geometry:bbox_iou' END, CASE WHEN inside < 0.1 THEN 'geometry:mask_feed_containment' END) AS broken FROM q)
+SELECT d.object_id, CASE WHEN d.status = 'KEEP' AND broken <> '' THEN 'DROP' ELSE d.status END AS status, CASE WHEN d.status = 'KEEP' AND broken <> '' THEN 'sam_geometry' ELSE reason END AS reason FROM d JOIN g2 USING (object_id)""")
+def x03_geometry_gates(t):
+    shaped = _masked(t).select("object_id", boxes.object_geometry(F.col("feed"), F.col("seg"), F.col("runs")).alias("g"))
+    segments = t.segments.withColumn("seg_box", boxes.box("x1", "y1", "x2", "y2")).join(shaped.hint("merge"), "object_id")
+    gates = reconcile.Gates(min_bbox_iou=0.05, min_containment=0.1)
+    out = reconcile.decide(t.segments.select("object_id", "feed_label"), segments, t.verdicts, ["person", "car", "dog", "cat"], gates, "g")
+    return out.select("object_id", "status", "reason")
+
+
+@query(f"""WITH {DECIDED} SELECT (SELECT string_agg(object_id, ',' ORDER BY object_id) FROM (SELECT object_id FROM d WHERE status = 'KEEP' AND feed_label = 'car' ORDER BY object_id LIMIT 50 OFFSET 10)) AS page,
+ (SELECT count(*) FROM d WHERE status = 'KEEP' AND feed_label = 'car') AS total, (SELECT string_agg(DISTINCT feed_label, ',' ORDER BY feed_label) FROM d) AS labels, (SELECT max(object_id) FROM d) AS newest,
+ (SELECT count(*) FROM d) AS processed, (SELECT count(DISTINCT feed_label) + 1 FROM d) AS n_statistics""")
+def x13_audit_index(t):
+    out = reconcile.audit_index(_decisions(t).withColumn("updated_at", F.col("object_id")), "KEEP", "car", 50, 10)
+    overall = F.get(F.filter("statistics", lambda s: s["overall"] == 1), F.lit(0))["processed"]
+    return out.select(F.array_join("page.object_id", ",").alias("page"), "total", F.array_join("labels", ",").alias("labels"), F.col("updated_at").alias("newest"), overall.alias("processed"), F.size("statistics").cast("long").alias("n_statistics"))
+
+
+@query("""SELECT sample_id, reason, CASE WHEN reason IS NULL THEN CASE WHEN h < 5 THEN 'night' WHEN h < 9 THEN 'dawn' WHEN h < 17 THEN 'day' WHEN h < 21 THEN 'dusk' ELSE 'night' END END AS time_bucket FROM
+ (SELECT id AS sample_id, (ts // 3600) % 24 AS h, CASE WHEN length(camera) = 5 THEN 'image_type' WHEN quality = 'bad' THEN 'duplicate_id' END AS reason FROM {samples})""")
+def b05_append_golden(t):
+    image = F.concat(F.col("id"), F.when(F.length("camera") == 5, F.lit(".txt")).otherwise(F.lit(".JPG")))
+    images = t.samples.select(F.col("id").alias("sample_id"), image.alias("image"), F.col("ts").alias("timestamp"), F.lit(None).cast("string").alias("time_bucket"))
+    known = t.samples.where("quality = 'bad'").select(F.col("id").alias("sample_id"))
+    good, bad = datasets.append_golden(known, images)
+    return good.select("sample_id", F.lit(None).cast("string").alias("reason"), "time_bucket").union(bad.select("sample_id", "reason", F.lit(None).cast("string")))
+
+
+@query("""SELECT id, CASE WHEN y2 IS NULL THEN 'rejected' WHEN x2 <= x1 THEN 'transport' ELSE 'ok' END AS status, CASE WHEN y2 IS NOT NULL AND x2 > x1 THEN (x2 - x1) * (y2 - y1) END AS area FROM {annotations}""")
+def r04_score_table(t):
+    def make_model():
+        def area(row):
+            if row["y2"] is None or row["y2"] != row["y2"]:
+                raise ValueError("no bottom edge")
+            if row["x2"] <= row["x1"]:
+                raise RuntimeError("empty box")
+            return {"area": (row["x2"] - row["x1"]) * (row["y2"] - row["y1"])}
+
+        return area
+
+    return scoring.score_table(t.annotations, make_model, ["id", "x1", "y1", "x2", "y2"], "area double").select("id", "status", "area")
+
+
+@query("""SELECT 'a' AS part, object_id, b.n, b.hit FROM (SELECT object_id FROM {segments}) s, (SELECT unnest([0, 1]) AS n, true AS hit) b""")
+def x11_background_boxes(t):
+    """Every box is a free square of the fixed size: the draws are seeded hashes, which SQL here cannot repeat."""
+    own = t.segments.select("object_id", "x1", "y1", "x2", "y2")
+    found = reconcile.background_boxes(own, 2, size=0.05).select("object_id", "n", "box", boxes.box("x1", "y1", "x2", "y2").alias("own"))
+    b = F.col("box")
+    hit = (boxes.iou(b, F.col("own")) <= 0.2) & (F.abs(b["x2"] - b["x1"] - 0.05) < 1e-9) & (F.abs(b["y2"] - b["y1"] - 0.05) < 1e-9) & (b["x1"] >= 0) & (b["y2"] <= 1)
+    return found.select(F.lit("a").alias("part"), "object_id", "n", hit.alias("hit"))

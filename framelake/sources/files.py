@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import boxes
+from ..lineage import written
 
 
 def import_coco(files: DataFrame, classes: list[str], class_map: dict[str, str] | None = None, present: DataFrame | None = None, source: str = "external") -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -39,15 +40,18 @@ def read_coco(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_audit_manifest(spark: SparkSession, path: str, width: int = 1920, height: int = 1080) -> tuple[DataFrame, DataFrame]:
+    return parse_audit_manifest(spark.read.schema(schemas.AUDIT_MANIFEST).option("multiLine", True).json(path), width, height)
+
+
+def parse_audit_manifest(raw: DataFrame, width: int = 1920, height: int = 1080) -> tuple[DataFrame, DataFrame]:
     """(objects, rejects with reason): file-level defaults with per-object overrides, class ids from class_map or by first appearance."""
-    raw = spark.read.schema(schemas.AUDIT_MANIFEST).option("multiLine", True).json(path)
     o = raw.select("*", F.posexplode("objects").alias("manifest_index", "o"))
     pick = lambda f, d: F.coalesce(F.col(f"o.{f}"), F.col(f), F.lit(d) if d is not None else F.lit(None))
     origin = F.struct(F.get("o.crop_origin", F.lit(0)).alias("x"), F.get("o.crop_origin", F.lit(1)).alias("y"))
     size = F.coalesce("o.frame_size", "frame_size")
     frame = F.struct(F.get(size, F.lit(0)).alias("w"), F.get(size, F.lit(1)).alias("h"))
     box, bad = boxes.declared_box(F.col("o.bbox"), pick("bbox_format", "xyxy"), pick("normalized", False), pick("coordinate_space", "image"), F.coalesce("o.width", F.lit(float(width))), F.coalesce("o.height", F.lit(float(height))), origin, frame)
-    out = o.withColumns({"box": box, "bad": bad, "_copies": F.count(F.lit(1)).over(Window.partitionBy("o.id")), "_copy": F.row_number().over(Window.partitionBy("o.id").orderBy("manifest_index"))})
+    out = o.withColumns({"box": box, "bad": bad, "_copy": F.row_number().over(Window.partitionBy("o.id", F.when(F.col("o.id").isNull(), F.col("manifest_index"))).orderBy("manifest_index"))})
     reason = F.when(F.col("o.id").isNull(), "missing_id").when(F.col("o.class_name").isNull(), "missing_class").when(F.col("o.image").isNull(), "missing_image").when(F.col("_copy") > 1, "duplicate_id").otherwise(F.col("bad"))
     out = out.withColumn("reason", reason)
     first = out.where("reason is null").groupBy(F.col("o.class_name").alias("name")).agg(F.min("manifest_index").alias("_f"))
@@ -61,7 +65,11 @@ def read_audit_manifest(spark: SparkSession, path: str, width: int = 1920, heigh
 
 def list_images(spark: SparkSession, path: str) -> DataFrame:
     """path, length and the hash of each file's bytes."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return image_hashes(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path))
+
+
+def image_hashes(files: DataFrame) -> DataFrame:
+    """path, length and content hash of files (path, length, content)."""
     return files.select("path", "length", F.sha2("content", 256).alias("content_hash"))
 
 
@@ -95,8 +103,8 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 def append_manifest(existing_rows: DataFrame, rows: DataFrame, allow_overwrite: bool = False) -> tuple[DataFrame, DataFrame]:
     """(rows to append, rejects with reason): no missing, known or repeated sample_id, unless overwriting is allowed."""
-    known = rows.join(existing_rows.select("sample_id").distinct().withColumn("_known", F.lit(True)), "sample_id", "left")
-    known = known.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("sample_id")))
+    copies = rows.where("sample_id is not null").groupBy("sample_id").agg(F.count(F.lit(1)).alias("_n"))
+    known = rows.join(existing_rows.select("sample_id").distinct().withColumn("_known", F.lit(True)).hint("merge"), "sample_id", "left").join(copies.hint("merge"), "sample_id", "left")
     reason = F.when(F.col("sample_id").isNull(), "missing_id").when(F.lit(not allow_overwrite) & (F.col("_known") | (F.col("_n") > 1)), "duplicate_id")
     out = known.withColumn("reason", reason)
     return out.where("reason is null").select(*rows.columns), out.where("reason is not null").select(*rows.columns, "reason")
@@ -104,14 +112,24 @@ def append_manifest(existing_rows: DataFrame, rows: DataFrame, allow_overwrite:
 
 def read_class_names(spark: SparkSession, path: str) -> DataFrame:
     """(class_id, label) from ``id: name`` lines of a dataset file, or from plain lines by number."""
-    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split(F.rtrim("value"), "\n")).alias("n", "value")).where("length(trim(value)) > 0")
+    return parse_class_names(spark.read.text(path, wholetext=True), path.endswith((".yaml", ".yml")))
+
+
+def parse_class_names(texts: DataFrame, keyed_lines: bool) -> DataFrame:
+    """(class_id, label) from whole texts (value) with a class a line."""
+    lines = texts.select(F.posexplode(F.split(F.rtrim("value"), "\n")).alias("n", "value")).where("length(trim(value)) > 0")
     keyed = lines.select(F.regexp_extract("value", r"^\s*(\d+):\s*['\"]?(.*?)['\"]?\s*$", 1).try_cast("int").alias("class_id"), F.regexp_extract("value", r"^\s*(\d+):\s*['\"]?(.*?)['\"]?\s*$", 2).alias("label")).where("class_id is not null")
-    return keyed if path.endswith((".yaml", ".yml")) else lines.select(F.col("n").alias("class_id"), F.trim("value").alias("label"))
+    return keyed if keyed_lines else lines.select(F.col("n").alias("class_id"), F.trim("value").alias("label"))
 
 
 def read_decisions(spark: SparkSession, path: str) -> DataFrame:
     """Decision files, one JSON object each; unreadable ones are skipped. extra holds the source's other fields."""
-    raw = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.try_parse_json("value").alias("v")).where("v is not null and schema_of_variant(v) like 'OBJECT%'")
+    return parse_decisions(spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value"))
+
+
+def parse_decisions(texts: DataFrame) -> DataFrame:
+    """Decisions of texts (file, value)."""
+    raw = texts.select("file", F.try_parse_json("value").alias("v")).where("v is not null and schema_of_variant(v) like 'OBJECT%'")
     get = lambda p, t="string": F.try_variant_get("v", p, t)
     fixed = ["sample_id", "class_name", "class_id", "image_path", "bbox"]
     extra = F.map_filter(get("$.provenance.source", "map<string,string>"), lambda k, _: ~k.isin(fixed))
@@ -123,8 +141,12 @@ def read_decisions(spark: SparkSession, path: str) -> DataFrame:
 
 def read_provenance(spark: SparkSession, path: str) -> DataFrame:
     """One record per lookup key: sample_id, and source.sample_id where no record has that key itself; the first line wins."""
-    raw = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("line", "value"))
-    rows = raw.select("line", F.try_parse_json("value").alias("record")).where("record is not null")
+    return parse_provenance(spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("line", "value")))
+
+
+def parse_provenance(lines: DataFrame) -> DataFrame:
+    """Records by lookup key from numbered lines (line, value)."""
+    rows = lines.select("line", F.try_parse_json("value").alias("record")).where("record is not null")
     key = lambda p, n: rows.select(F.try_variant_get("record", p, "string").alias("key"), F.lit(n).alias("priority"), "line", F.to_json("record").alias("record"))
     both = key("$.sample_id", 0).union(key("$.source.sample_id", 1)).where("key is not null")
     w = Window.partitionBy("key").orderBy("priority", "line")
@@ -140,23 +162,49 @@ def read_curve(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_benchmark(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.BENCHMARK).option("multiLine", True).json(path).select(F.inline("results"))
+    return parse_benchmark(spark.read.text(path, wholetext=True))
+
+
+def parse_benchmark(texts: DataFrame) -> DataFrame:
+    """Results of whole texts (value); measures that are not there are null."""
+    return texts.select(F.from_json("value", schemas.BENCHMARK)["results"].alias("r")).select(F.inline("r"))
+
+
+def benchmark_text(results: DataFrame) -> DataFrame:
+    """All results as one JSON text (value). A table of models: one result is a few hundred bytes."""
+    return results.agg(F.to_json(F.struct(F.collect_list(F.struct(*results.columns)).alias("results"))).alias("value"))
 
 
 def write_benchmark(results: DataFrame, path: str) -> None:
-    """All results as one object; every measure is kept, the processor load too. A table of models is small by nature."""
-    results.agg(F.collect_list(F.struct(*results.columns)).alias("results")).coalesce(1).write.mode("overwrite").json(path)
+    """All results as one object; every measure is kept, the processor load too."""
+    benchmark_text(results).coalesce(1).write.mode("overwrite").text(path)
 
 
-def write_dataset(rows: DataFrame, summary: DataFrame, path: str, overwrite: bool = False) -> None:
-    """A dataset version: manifest by split and a one-row summary; a version that exists is refused unless overwriting."""
+def write_dataset(rows: DataFrame, summary: DataFrame, path: str, overwrite: bool = False, classes: DataFrame | None = None) -> None:
+    """A dataset version: manifest by split, sorted split lists, class vocabulary (label, class_id) and a one-row summary; a version
+    that exists is refused unless overwriting. A split's list is sorted across its files, in order of their names."""
     mode = "overwrite" if overwrite else "errorifexists"
     rows.write.mode(mode).partitionBy("split").json(f"{path}/manifest")
+    lists = rows.select("split", F.col("sample_id").alias("value")).repartitionByRange("split", "value").sortWithinPartitions("split", "value")
+    lists.write.mode(mode).partitionBy("split").text(f"{path}/lists")
+    if classes is not None:
+        classes.orderBy("class_id").select("class_id", "label").coalesce(1).write.mode(mode).json(f"{path}/classes")
     summary.coalesce(1).write.mode(mode).json(f"{path}/build")
 
 
+def dataset_lists(rows: DataFrame) -> DataFrame:
+    """(split, sample_id, place): the ids of every split in order. A split is ranked in parts, by a
+    range sort: places within a range of ids, plus the ids of the ranges before."""
+    ranged = written(rows.select("split", "sample_id").repartitionByRange("split", "sample_id").withColumn("_part", F.spark_partition_id()))
+    sums = ranged.groupBy("split", "_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy("split").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    own = F.row_number().over(Window.partitionBy("split", "_part").orderBy("sample_id")) - 1
+    out = ranged.withColumn("_own", own).join(sums.select("split", "_part", before.alias("_before")).hint("merge"), ["split", "_part"])
+    return out.select("split", "sample_id", (F.col("_own") + F.col("_before")).alias("place"))
+
+
 def export_new(objects: DataFrame, exported: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(label bodies by frame, provenance lines) of the objects not exported yet; a second run adds nothing."""
     fresh = objects.join(exported.select("object_id"), "object_id", "left_anti")
-    bodies = fresh.groupBy("frame_key").agg(F.array_join(F.array_sort(F.collect_list("label_line")), "\n").alias("body"))
+    bodies = fresh.groupBy("frame_key").agg(F.array_join(F.sort_array(F.collect_list("label_line")), "\n").alias("body"))
     return bodies, fresh.select("object_id", F.to_json(F.struct(*fresh.columns)).alias("value"))

@@ -120,7 +120,14 @@ def test_dataset_versions_and_exports(spark, tmp_path):
     files.write_dataset(rows, rows.limit(1), str(tmp_path / "v1"))
     with pytest.raises(AnalysisException):
         files.write_dataset(rows, rows.limit(1), str(tmp_path / "v1"))
-    files.write_dataset(rows, rows.limit(1), str(tmp_path / "v1"), overwrite=True)
+    names = spark.createDataFrame([("car", 1), ("person", 0)], "label string, class_id int")
+    files.write_dataset(rows, rows.limit(1), str(tmp_path / "v1"), overwrite=True, classes=names)
+    assert [r["label"] for r in spark.read.json(str(tmp_path / "v1" / "classes")).collect()] == ["person", "car"]
+    many = spark.createDataFrame([(f"{i:03d}", "train" if i % 3 else "val") for i in range(90, -1, -1)], "sample_id string, split string")
+    files.write_dataset(many, many.limit(1), str(tmp_path / "v2"))
+    for split in ("train", "val"):
+        parts = sorted((tmp_path / "v2" / "lists" / f"split={split}").glob("part-*"))
+        assert [x for p in parts for x in p.read_text().split()] == sorted(r["sample_id"] for r in many.where(F.col("split") == split).collect())
     objects = spark.createDataFrame([("o1", "f1", "0 b"), ("o2", "f1", "0 a"), ("o3", "f2", "0 c")], "object_id string, frame_key string, label_line string")
     bodies, lines = files.export_new(objects, objects.where("object_id = 'o3'"))
     assert [tuple(r) for r in bodies.collect()] == [("f1", "0 a\n0 b")] and lines.count() == 2
