@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,8 +13,10 @@ from .io import discard, stored
 WORDS = r"[^\x20\x09-\x0D]+"
 #: Parts of one source's shuffled queue; each part is ordered in a task of its own.
 CELLS = 4096
-#: Parts of the common queue up to the expected cut.
+#: Parts into which the common queue is divided to find its cut.
 STEPS = 1024
+#: Entries that one task puts in order; while the cut's part has more, it is divided again.
+SORTED_AT_ONCE = 1 << 16
 
 
 def word_count(text: Column) -> Column:
@@ -45,6 +49,74 @@ def fair_targets(totals: DataFrame, weights: tuple[int, ...], share: float, repe
     )
 
 
+def _skey(source: Column) -> Column:
+    return F.when(source.isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), source.cast("string")))
+
+
+def _turn(doc_id: Column, seed: int) -> Column:
+    """A document's place in its source's shuffled order."""
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(doc_id.cast("string"), F.lit("null"))))
+
+
+ORDER = ["finish", "skey", "epoch", "turn", "size"]
+
+
+def _cut(entries: DataFrame, budget: float, steps: int = STEPS, at_once: int = SORTED_AT_ONCE) -> Callable[[Column, Column], Column]:
+    """Which entries (ORDER, words) are taken, in order of ORDER as long as the words fit the budget: a condition on finish and epoch.
+
+    The range of finish times is divided into ``steps`` parts of known words, and the part that holds the cut again, until
+    one task can put what is left in order. Each round reads the entries once; there are log(entries) to the base ``steps``.
+    """
+    base, inside = 0, entries
+    while True:
+        s = inside.agg(F.count(F.lit(1)).alias("n"), F.sum("words").alias("words"), F.min("finish").alias("lo"), F.max("finish").alias("hi")).first()
+        if base + (s["words"] or 0) <= budget:
+            return lambda finish, epoch: F.lit(True)
+        if s["n"] <= at_once or s["lo"] == s["hi"]:
+            queue = inside.withColumn("upto", F.sum("words").over(Window.partitionBy(F.lit(0)).orderBy(*ORDER)) + base)  # at most at_once rows
+            last = queue.where(F.col("upto") <= budget).orderBy(*[F.desc(c) for c in ORDER]).first()
+            if last is None:
+                return lambda finish, epoch: finish < s["lo"]
+            end = F.struct(F.lit(last["finish"]).alias("finish"), F.lit(last["skey"]).alias("skey"), F.lit(last["epoch"]).alias("epoch"), F.lit(last["turn"]).alias("turn"), F.lit(last["size"]).cast("long").alias("size"))
+            return lambda finish, epoch: F.struct(finish.alias("finish"), F.col("skey"), epoch.alias("epoch"), F.col("turn"), F.col("size")) <= end
+        step = F.least(F.floor((F.col("finish") - s["lo"]) * (steps / (s["hi"] - s["lo"]))), F.lit(steps - 1))
+        for row in inside.groupBy(step.alias("step")).agg(F.sum("words").alias("words")).orderBy("step").collect():  # at most ``steps`` rows
+            if base + row["words"] > budget:
+                inside = inside.where(step == row["step"])
+                break
+            base += row["words"]
+
+
+def _planned(thin: DataFrame, weights: tuple[int, ...], share: float, repeats: int) -> DataFrame:
+    """(skey, turn, size, source_size, target, finish, times), stored: one row per place in a source's queue."""
+    # rows with equal keys share a place: partial aggregation brings them together
+    kinds = thin.groupBy("skey", "turn", "size").agg((F.count(F.lit(1)) * F.col("size")).alias("words"))
+    kinds = stored(kinds.withColumn("cell", F.conv(F.substring("turn", 1, 3), 16, 10).cast("int") % CELLS), "mix-kinds")
+    sums = kinds.groupBy("skey", "cell").agg(F.sum("words").alias("cell_size"))
+    targets = fair_targets(sums.groupBy("skey").agg(F.sum("cell_size").alias("source_size")), weights, share, repeats)
+    earlier = Window.partitionBy("skey").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.withColumn("offset", F.coalesce(F.sum("cell_size").over(earlier), F.lit(0)))
+    offsets = stored(offsets.join(targets.hint("merge"), "skey").drop("cell_size"), "mix-cells")
+    # a source of any size is spread over its cells
+    within = Window.partitionBy("skey", "cell").orderBy("turn", "size").rowsBetween(Window.unboundedPreceding, 0)
+    queued = kinds.withColumn("within", F.sum("words").over(within)).join(offsets.hint("merge"), ["skey", "cell"])
+    queued = stored(queued.withColumn("place", F.col("offset") + F.col("within")).drop("offset", "within", "cell"), "mix-queue")
+    discard(kinds)
+    discard(offsets)
+
+    def finish(epoch: int) -> Column:
+        return (F.col("place") + F.col("source_size") * epoch) / F.col("weight")
+
+    entries = F.array(*[F.struct(finish(e).alias("finish"), "skey", F.lit(e).alias("epoch"), "turn", "size", "words") for e in range(repeats)])
+    first = queued.select("budget").first()
+    taken = _cut(queued.where("size > 0").select(F.inline(entries)), first["budget"] if first else 0)
+    hits = sum((taken(finish(e), F.lit(e)).cast("int") for e in range(1, repeats)), taken(finish(0), F.lit(0)).cast("int"))
+    times = F.when(F.col("size") == 0, F.lit(1)).otherwise(hits).cast("int")
+    plan = stored(queued.select("skey", "turn", "size", "source_size", "target", finish(0).alias("finish"), times.alias("times")), "mix-plan")
+    discard(queued)
+    return plan
+
+
 def mix_sources(
     docs: DataFrame,
     weights: tuple[int, ...] = (5, 2, 1),
@@ -63,65 +135,18 @@ def mix_sources(
     Null text has size 0; null source is a source of its own, last. Documents of size 0 take no words. Rows with the
     same doc_id, source and size share one place in the queue and one decision. An empty table gives no rows.
     """
-    skey = F.when(F.col("source").isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col("source").cast("string")))
-    thin = docs.select("doc_id", "source", skey.alias("skey"), word_count(F.col(text)).alias("size")).withColumn(
-        "turn", F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-    )
-    thin = stored(thin.withColumn("cell", F.conv(F.substring("turn", 1, 3), 16, 10).cast("int") % CELLS), "mix-sizes")
-
-    sums = thin.groupBy("skey", "cell").agg(F.sum("size").alias("cell_size"))
-    targets = fair_targets(sums.groupBy("skey").agg(F.sum("cell_size").alias("source_size")), weights, share, repeats)
-    earlier = Window.partitionBy("skey").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.withColumn("offset", F.coalesce(F.sum("cell_size").over(earlier), F.lit(0)))
-    offsets = offsets.join(targets.hint("merge"), "skey").drop("cell_size")
-    # a source of any size is spread over its cells; peers of equal keys get the same sum
-    within = Window.partitionBy("skey", "cell").orderBy("turn", "size")
-    queued = thin.withColumn("within", F.sum("size").over(within)).join(offsets.hint("merge"), ["skey", "cell"])
-    queued = stored(queued.withColumn("place", F.col("offset") + F.col("within")).drop("offset", "within", "cell"), "mix-queue")
-    discard(thin)
-
-    def finish(epoch) -> Column:
-        return (F.col("place") + F.col("source_size") * epoch) / F.col("weight")
-
-    order = ["finish", "skey", "epoch", "turn", "size"]
-    entries = (
-        queued.where("size > 0")
-        .select("skey", "turn", "size", "place", "source_size", "weight", "budget", "level", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("epoch"))
-        .withColumn("finish", finish(F.col("epoch")))
-        .withColumn("step", F.least(F.floor(F.col("finish") * STEPS / F.col("level")), F.lit(2 * STEPS)))
-        .select(*order, "step", "budget")
-    )
-    steps = entries.groupBy("step").agg(F.sum("size").alias("words"), F.max("budget").alias("budget"))
-    steps = steps.withColumn("upto", F.sum("words").over(Window.orderBy("step")))  # at most 2 * STEPS + 1 rows
-    cut = steps.where("upto > budget").orderBy("step").first()
-    times = F.lit(repeats)
-    if cut is not None:
-        base = cut["upto"] - cut["words"]
-        inside = entries.where(F.col("step") == cut["step"]).withColumn("upto", F.sum("size").over(Window.partitionBy("step").orderBy(*order)) + base)
-        last = inside.where("upto <= budget").orderBy(*[F.desc(c) for c in order]).first()
-        full = F.lit(cut["step"])
-
-        def taken(epoch: int) -> Column:
-            step = F.least(F.floor(finish(epoch) * STEPS / F.col("level")), F.lit(2 * STEPS))
-            own = F.struct(finish(epoch).alias("finish"), F.col("skey"), F.lit(epoch).alias("epoch"), F.col("turn"), F.col("size"))
-            hit = F.lit(False) if last is None else own <= F.struct(F.lit(last["finish"]).alias("finish"), F.lit(last["skey"]).alias("skey"), F.lit(last["epoch"]).alias("epoch"), F.lit(last["turn"]).alias("turn"), F.lit(last["size"]).alias("size"))
-            return ((step < full) | ((step == full) & hit)).cast("int")
-
-        times = sum((taken(e) for e in range(1, repeats)), taken(0))
-    times = F.when(F.col("size") == 0, F.lit(1)).otherwise(times)
-    return queued.select("doc_id", "source", "size", "source_size", "target", finish(0).alias("finish"), times.cast("int").alias("times")).withColumn(
-        "taken", F.col("size") * F.col("times")
-    )
-
-
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The documents that the mix takes, each as often as it is taken, with the columns of ``docs``."""
-    plan = mix_sources(docs, **options).where("times > 0").select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), F.col("times").alias("_times")
-    ).dropDuplicates(["_id", "_source", "_size"])
-    same = docs["doc_id"].eqNullSafe(plan["_id"]) & docs["source"].eqNullSafe(plan["_source"]) & (word_count(docs["text"]) == plan["_size"])
-    copies = F.explode(F.array_repeat(F.lit(0), plan["_times"])).alias("copy")
-    return docs.join(plan.hint("merge"), same).select(copies, F.struct(*[docs[c] for c in docs.columns]).alias("row")).select("row.*")
+    thin = docs.select("doc_id", "source", _skey(F.col("source")).alias("skey"), _turn(F.col("doc_id"), seed).alias("turn"), word_count(F.col(text)).alias("size"))
+    thin = stored(thin, "mix-sizes")
+    out = thin.join(_planned(thin, weights, share, repeats).hint("merge"), ["skey", "turn", "size"])
+    return out.select("doc_id", "source", "size", "source_size", "target", "finish", "times", (F.col("size") * F.col("times")).alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, repeats: int = 2, seed: int = 17, text: str = "text") -> DataFrame:
+    """The documents that the mix takes, each as often as it is taken, with the columns of ``docs``; nulls, repeats and empties as in ``mix_sources``."""
+    keys = [_skey(docs["source"]).alias("skey"), _turn(docs["doc_id"], seed).alias("turn"), word_count(docs[text]).alias("size")]
+    plan = _planned(docs.select(*keys), weights, share, repeats).where("times > 0").select("skey", "turn", "size", "times")
+    rows = docs.select(*keys, F.struct(*[docs[c] for c in docs.columns]).alias("row")).join(plan.hint("merge"), ["skey", "turn", "size"])
+    return rows.select(F.explode(F.array_repeat("row", F.col("times"))).alias("row")).select("row.*")
 
 
 def query(spark, sf_dir):

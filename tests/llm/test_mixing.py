@@ -84,3 +84,23 @@ def test_reruns_and_partitions_do_not_matter(messy):
     a = mixing.mix_sources(messy.repartition(7)).select("doc_id", "taken").collect()
     b = mixing.mix_sources(messy.coalesce(1)).select("doc_id", "taken").collect()
     assert sorted(map(str, a)) == sorted(map(str, b))
+
+
+def test_the_cut_is_found_by_dividing(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    rng = random.Random(1)
+    rows = [(rng.randint(0, 40) / 7, f"0s{rng.randint(0, 3)}", rng.randint(0, 1), f"{i:05d}", rng.randint(1, 9)) for i in range(700)]
+    df = spark.createDataFrame([(*r, r[4]) for r in rows], "finish double, skey string, epoch int, turn string, size long, words long")
+    total = sum(r[4] for r in rows)
+    for budget in (0, 3, total // 3, total - 1, total, total + 5):
+        want, used = set(), 0
+        for r in sorted(rows):
+            used += r[4]
+            if used <= budget:
+                want.add(r[3])
+        for steps, at_once in ((1024, 1 << 16), (4, 1), (2, 50)):
+            taken = mixing._cut(df, budget, steps, at_once)
+            assert {r["turn"] for r in df.where(taken(F.col("finish"), F.col("epoch"))).collect()} == want
