@@ -172,7 +172,7 @@ def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, languages: i
             yield pd.DataFrame(out, columns=["lang", "h", "at", "share"])
 
     sizes = labelled.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).orderBy(F.desc("n"), "lang").limit(languages)
-    below = F.shiftrightunsigned("h", 11) * F.col("n") < float(per_language) * (1 << 53)
+    below = F.shiftrightunsigned("h", 11).cast("double") * F.col("n") < float(per_language) * (1 << 53)
     sample = labelled.join(F.broadcast(sizes), "lang").where(below).dropDuplicates(["lang", "h"]).select("lang", "h", "text")
     rows = sample.mapInPandas(vectors, "lang string, h long, at binary, share binary").toPandas().sort_values(["lang", "h"])
     languages = sorted(rows["lang"].unique())

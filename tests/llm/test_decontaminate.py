@@ -137,3 +137,54 @@ def test_rows_without_id_leave_by_their_own_text(spark):
     rows = [(None if k < 8 else 5, t, "en", "s", 0) for k, t in enumerate(clean)] + [(i, " ".join([*invented(rng, 9), *item]), "en", "s", 0) for i in (None, 5)]
     kept = dc.without_benchmark(spark.createDataFrame(rows, DOCUMENTS), spark.createDataFrame([(1, " ".join(item))], ITEMS))
     assert sorted(r["text"] for r in kept.collect()) == sorted(clean)
+
+
+def plain_leak(item, words, share=0.6, least=13):
+    """The best alignment by score, equal words and start, cell by cell, and the longest run of equal words."""
+    zero = lambda j: (0, 0, j)
+    before, best, end, runs, run = [zero(j) for j in range(len(words) + 1)], (0, 0, 0), 0, [0] * (len(words) + 1), 0
+    for w in item:
+        now, own = [zero(0)], [0]
+        for j in range(1, len(words) + 1):
+            hit = words[j - 1] == w
+            d = before[j - 1]
+            moves = [(d[0] + (2 if hit else -1), d[1] + hit, d[2]), (before[j][0] - 1, *before[j][1:]), (now[-1][0] - 1, *now[-1][1:])]
+            cell = max(moves)
+            now.append(cell if cell[0] > 0 else zero(j))
+            own.append(runs[j - 1] + 1 if hit else 0)
+        before, runs = now, own
+        run = max(run, *runs)
+        if max(now) > best:
+            best, end = max(now), now.index(max(now))
+    score, equal, start = best
+    return score / (2 * len(item)) >= share or (equal >= least and score >= 0.8 * 2 * (end - start)) or run >= least
+
+
+def test_query_equals_brute_force(spark):
+    rng = random.Random(31)
+    items = [[rng.choice("abcdefghijklmnopqrstuvwxyz") * 2 + str(rng.randint(0, 9)) for _ in range(rng.randint(6, 30))] for _ in range(5)]
+    docs = []
+    for i in range(70):
+        words = [rng.choice("abcdefghijklmnopqrstuvwxyz") * 2 + str(rng.randint(0, 9)) for _ in range(rng.randint(0, 40))]
+        if i % 2:
+            copy, rate = list(items[i % 5]), rng.random() * 0.5
+            copy = [x for w in copy for x in ([w] if rng.random() > rate else rng.choice([[], [w, "new"], ["other"]]))]
+            a, b = sorted((rng.randint(0, len(copy)), rng.randint(0, len(copy))))
+            at = rng.randint(0, len(words))
+            words[at:at] = copy if rng.random() < 0.7 else copy[a:b]
+        docs.append((i, " ".join(words), "en", "s", 0))
+    got = dc.contaminated(spark.createDataFrame(docs, DOCUMENTS), spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], ITEMS)).collect()
+    want = {(d[0], k) for d in docs for k, w in enumerate(items) if plain_leak(w, d[1].split())}
+    assert len(want) > 15 and {(r["doc_id"], r["item_id"]) for r in got} == want
+
+
+def test_long_items_take_little_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    item, passage = rng.integers(0, 2**62, 1500).astype(np.uint64), rng.integers(0, 2**62, 6000).astype(np.uint64)
+    passage[900:2400] = item
+    tracemalloc.start()
+    assert dc.align(item, passage) == (3000, 900, 2400, 1500)
+    assert tracemalloc.get_traced_memory()[1] < 2 << 20
+    tracemalloc.stop()

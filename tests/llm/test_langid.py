@@ -79,3 +79,64 @@ def test_without_labels_and_without_rows(docs, empty, strange):
     assert langid.identify(empty).count() == 0 and langid.in_known_language(empty).count() == 0
     kept = langid.in_known_language(strange)
     assert kept.columns == strange.columns and 0 < kept.count() <= strange.count()
+
+
+def test_rows_of_one_id_are_judged_by_their_own_text(spark, docs):
+    rows = [(500, "abc fed abc", "en", "s", 0), (500, "1234 !!!", "en", "s", 0), (None, "12", None, "s", 0), (None, "abc def", None, "s", 0), (500, None, None, None, None)]
+    more = docs.union(spark.createDataFrame(rows, SCHEMA))
+    kept = [tuple(r) for r in langid.in_known_language(more).where("doc_id = 500 OR doc_id IS NULL").collect()]
+    assert sorted(r[1] for r in kept) == ["abc def", "abc fed", "abc fed abc"]
+
+
+def test_sample_is_bounded_and_whole_where_small(spark):
+    """Many copies of few texts: the different ones are all sampled; a frequent language gives about the number asked for."""
+    rows = [(i, f"abc{'def'[i % 3]}", "few", "s", 0) for i in range(3)] * 200 + [(i, " ".join("uvwxyz"[(i >> k) % 6] * 3 for k in range(5)), "many", "s", 0) for i in range(2000)]
+    model = langid.train(spark.createDataFrame(rows, SCHEMA), per_language=50)
+    assert model.languages == ["few", "many"]
+    p, _ = langid.probabilities(model, ["abcd abcf", "uuu vvv"])
+    assert p.argmax(axis=1).tolist() == [0, 1]
+    assert langid.train(spark.createDataFrame(rows, SCHEMA), per_language=50, languages=1).languages == ["many"]
+
+
+def test_ftrl_equals_coordinate_by_coordinate():
+    rng = np.random.default_rng(4)
+    rows = []
+    for _ in range(30):
+        at = np.append(np.sort(rng.choice(50, 6, replace=False)), langid.BUCKETS)
+        rows.append((at, np.append(rng.random(6), 1.0), int(rng.integers(3))))
+    alpha, beta, l1, l2 = 0.5, 1.0, 1e-2, 1e-3
+    z, n = {}, {}
+
+    def weight(i, c):
+        zi, ni = z.get((i, c), 0.0), n.get((i, c), 0.0)
+        return 0.0 if abs(zi) <= l1 else -(zi - (l1 if zi > 0 else -l1)) / ((beta + ni**0.5) / alpha + l2)
+
+    order = np.random.default_rng(5)
+    for _ in range(2):
+        for k in order.permutation(len(rows)):
+            at, x, y = rows[k]
+            w = {(i, c): weight(i, c) for i in at.tolist() for c in range(3)}
+            scores = [sum(w[i, c] * v for i, v in zip(at.tolist(), x.tolist())) for c in range(3)]
+            top = max(scores)
+            e = [np.exp(v - top) for v in scores]
+            for c in range(3):
+                slope = e[c] / sum(e) - (c == y)
+                for i, v in zip(at.tolist(), x.tolist()):
+                    g, old = slope * v, n.get((i, c), 0.0)
+                    z[i, c] = z.get((i, c), 0.0) + g - ((old + g * g) ** 0.5 - old**0.5) / alpha * w[i, c]
+                    n[i, c] = old + g * g
+    got = langid.fit_ftrl(rows, 3, epochs=2, alpha=alpha, beta=beta, l1=l1, l2=l2)
+    assert all(abs(got[i, c] - weight(i, c)) < 1e-9 for i in [*range(50), langid.BUCKETS] for c in range(3)) and (got == 0).any()
+
+
+def test_weights_hold_the_idf_of_all_labelled_documents(spark):
+    texts = ["ab", "ab cd", "cd", "ef", None, "12"]
+    rows = [(i, t, "xx" if i % 2 else "yy", "s", 0) for i, t in enumerate(texts)]
+    rows = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2]
+    model = langid.train(spark.createDataFrame(rows, SCHEMA))
+    kept = [r[1] for r in rows if r[1] and any(c.isalpha() for c in r[1])]
+    grams = lambda t: {g for n in langid.ORDERS for g in (f" {t} "[i : i + n] for i in range(len(t) + 3 - n))}
+    buckets, spans, _ = langid.grams_of(["ab"])
+    own = {int(b) for x, f in zip(buckets, spans) for b in x[f[0, 0] : f[0, 1]]}
+    seen = {g: sum(g in grams(t) for t in kept) for g in grams("ab")}
+    assert len(own) <= len(seen) and model.weights.shape == (langid.BUCKETS, len(model.languages)) and max(seen.values()) <= len(kept)

@@ -59,3 +59,22 @@ def test_allocation_fills_every_shard():
 
 def test_empty_table(empty):
     assert sharding.by_rows(empty).count() == 0
+
+
+def test_one_frequent_id_and_many_copies(spark, monkeypatch):
+    """Rows of one doc_id, or of none, fill every shard evenly; copies beyond what a task writes are spread."""
+    monkeypatch.setattr(sharding, "COPIES_AT_ONCE", 7)
+    rows = [(7, f"t{i % 90}") for i in range(300)] + [(None, "same")] * 200 + [(i, None) for i in range(100, 203)]
+    out = sharding.by_rows(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    assert Counter((r["doc_id"], r["text_crc32"]) for r in out) == Counter((d, zlib.crc32((t or "").encode())) for d, t in rows)
+    slots = defaultdict(list)
+    for r in out:
+        slots[r["shard"]].append(r["slot"])
+    assert sorted(map(len, slots.values()))[0] >= len(rows) // 8 and all(sorted(v) == list(range(len(v))) for v in slots.values())
+
+
+def test_movement_without_headroom(spark):
+    """From 8 to 9 shards, the law of the query: an ideal placement moves a ninth."""
+    docs = spark.range(20_000).selectExpr("id AS doc_id", "'x' AS text")
+    a, b = [{r[0]: r[1] for r in sharding.shard_documents(docs, n).select("doc_id", "shard").collect()} for n in (8, 9)]
+    assert 1 / 9 <= sum(a[k] != b[k] for k in a) / len(a) < 0.2
