@@ -12,27 +12,30 @@ from framelake.llm import decontaminate, io, langid, mixing, sharding, simhash
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the labelled languages go on; those without letters or with an unsure prediction do not."""
+    """Documents in one of the labelled languages go on; those without letters (null and empty texts too) or with an unsure prediction do
+    not. Each row is judged by its own text: rows without an id, or under one, and repeated rows do not matter. Empty in, empty out."""
     return langid.in_known_language(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of copies (five-word shingles, similarity 0.8 or more) goes on."""
+    """One document of every group of copies (five-word shingles, similarity 0.8 or more) goes on: that of smallest doc_id, one
+    without an id only if the group has no other. Texts without a word are copies of each other; of equal rows one goes on."""
     return simhash.one_of_each_group(docs)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item go on."""
+    """Documents that hold no benchmark item go on, each judged by its own text; null and empty texts hold none."""
     return decontaminate.without_benchmark(docs, io.table(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents go on as often as the mix takes them: not at all, once or twice."""
+    """Documents go on as often as the mix takes them: not at all, once or twice; those without words once. A null source is a source of
+    its own; rows equal in doc_id, source and size share one decision."""
     return mixing.mixed_documents(docs)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row's shard and its place there."""
+    """Every row's shard and its place there; rows without an id, and repeated ones, are placed one by one."""
     return sharding.by_rows(docs)
 
 
@@ -48,7 +51,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = io.table(spark, sf_dir, "documents")
+    """All stages one after the other over ``documents``; a stage's table goes when the next one's is there."""
+    docs, last = io.table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = io.stored(stage(spark, docs, sf_dir), f"stage-{name.split()[0].lower()}")
+        if last is not None:
+            io.discard(last)
+        last = docs
     return docs
