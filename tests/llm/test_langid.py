@@ -90,10 +90,10 @@ def test_rows_of_one_id_are_judged_by_their_own_text(spark, docs):
 
 def test_sample_is_bounded_and_whole_where_small(spark):
     """Many copies of few texts: the different ones are all sampled; a frequent language gives about the number asked for."""
-    rows = [(i, f"abc{'def'[i % 3]}", "few", "s", 0) for i in range(3)] * 200 + [(i, " ".join("uvwxyz"[(i >> k) % 6] * 3 for k in range(5)), "many", "s", 0) for i in range(2000)]
+    rows = [(i, " ".join("abcdef"[(i * 7 + k) % 6] * 2 for k in range(i % 9 + 2)), "few", "s", 0) for i in range(40)] * 60 + [(i, " ".join("uvwxyz"[(i >> k) % 6] * 3 for k in range(5)), "many", "s", 0) for i in range(2000)]
     model = langid.train(spark.createDataFrame(rows, SCHEMA), per_language=50)
     assert model.languages == ["few", "many"]
-    p, _ = langid.probabilities(model, ["abcd abcf", "uuu vvv"])
+    p, _ = langid.probabilities(model, ["aa bb cc dd", "uuu vvv www"])
     assert p.argmax(axis=1).tolist() == [0, 1]
     assert langid.train(spark.createDataFrame(rows, SCHEMA), per_language=50, languages=1).languages == ["many"]
 
