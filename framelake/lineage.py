@@ -5,15 +5,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def written(df: DataFrame) -> DataFrame:
-    """Writes a table under spark.checkpoint.dir and reads it back: computed once, kept if executors are lost.
-
-    Where no folder is set, one process in local mode sets its own; a cluster must name one that all executors share.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The session's spark.checkpoint.dir. Where none is set, one process in local mode sets its own; a cluster must name one that all
+    executors share."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
@@ -21,6 +18,12 @@ def written(df: DataFrame) -> DataFrame:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="framelake-")
         context.setCheckpointDir(folder)
-    path = f"{folder}/table-{uuid.uuid4().hex}"
+    return folder
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Writes a table to the shared folder and reads it back: computed once, kept if executors are lost."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -10,8 +11,9 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import boxes, hashes, labels, times
 from ..operators import datasets, dedup, evaluate, ledger, pool, reconcile, scoring, sessions
-from ..lineage import written
+from ..lineage import shared_folder, written
 from ..sources import feeds
+from ..streaming import incremental
 from .views import duck_sql, spark_view
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -1228,3 +1230,49 @@ def x11_background_boxes(t):
     b = F.col("box")
     hit = (boxes.iou(b, F.col("own")) <= 0.2) & (F.abs(b["x2"] - b["x1"] - 0.05) < 1e-9) & (F.abs(b["y2"] - b["y1"] - 0.05) < 1e-9) & (b["x1"] >= 0) & (b["y2"] <= 1)
     return found.select(F.lit("a").alias("part"), "object_id", "n", hit.alias("hit"))
+
+
+# --- streams over the tables' files, run to their end
+
+
+def _stream(t: Tables, name: str) -> DataFrame:
+    return t.spark.readStream.schema(getattr(t, name).schema).parquet(f"{t.sf_dir}/{name}.parquet*")
+
+
+def _folders(t: Tables, name: str) -> tuple[str, str]:
+    base = f"{shared_folder(t.spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{base}/table", f"{base}/checkpoint"
+
+
+@query("""SELECT DISTINCT concat('e', o_custkey) AS id FROM {orders}""")
+def r01_collect_events(t):
+    """New events of a feed with repeats, collected twice: the second run adds nothing."""
+    target, checkpoint = _folders(t, "events")
+    for _ in range(2):
+        feed = _stream(t, "orders").select(F.concat(F.lit("e"), "o_custkey").alias("id"), F.col("o_orderdate").cast("timestamp").alias("ts"))
+        incremental.collect_events(t.spark, feed, target, checkpoint, "30 years").awaitTermination()
+    return t.spark.read.schema("id string").parquet(target).select("id")
+
+
+@query(f"""WITH {WINDOWS}, e AS (SELECT max(start_time) - 600 AS watermark FROM {{motion}} WHERE motion >= 0.3)
+SELECT camera, start, "end"::DOUBLE AS "end", peak_motion, buckets FROM w, e WHERE "end" + 600 <= watermark""")
+def r02_motion_windows(t):
+    """Windows that the watermark has closed; those at the end of the stream stay open."""
+    target, checkpoint = _folders(t, "windows")
+    seconds = F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', cast(ts AS timestamp_ntz))")
+    feed = _stream(t, "events").select(F.concat(F.lit("cam"), (F.col("user_id") % 40).cast("string")).alias("camera"), F.timestamp_seconds(seconds).alias("ts"), (F.col("value") / 490).alias("motion"))
+    incremental.store_motion_windows(t.spark, incremental.motion_windows(feed, 0.3, 600), target, checkpoint).awaitTermination()
+    return t.spark.read.schema("camera string, start double, end double, peak_motion double, buckets long").parquet(target).drop("_batch")
+
+
+@query(f"""WITH {DECIDED}, asked AS (SELECT concat('a', o_orderkey, '-1') AS object_id FROM {{orders}})
+SELECT object_id, coalesce(d.status, 'DROP') AS status, CASE WHEN d.object_id IS NULL THEN 'sam_failure' ELSE reason END AS reason FROM asked LEFT JOIN d USING (object_id)""")
+def r03_audit_objects(t):
+    """Objects decided as they come, twice: final decisions are not made again."""
+    target, checkpoint = _folders(t, "audit")
+    segments = t.segments.withColumn("seg_box", boxes.box("x1", "y1", "x2", "y2"))
+    keys = {"sample_hash": "h", "sam_key": "s", "vlm_key": "v", "pipeline_version": "1", "feed_label": "x"}
+    for _ in range(2):
+        feed = _stream(t, "orders").select(F.concat(F.lit("a"), "o_orderkey", F.lit("-1")).alias("object_id"), *[F.lit(v).alias(k) for k, v in keys.items()])
+        incremental.audit_objects(t.spark, feed, segments, t.verdicts, target, checkpoint, vocabulary=["person", "car", "dog", "cat"]).awaitTermination()
+    return t.spark.read.schema("object_id string, status string, reason string").parquet(target).drop("_batch")
