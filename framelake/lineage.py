@@ -27,3 +27,13 @@ def written(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+#: A written table of up to this many rows may be broadcast; beyond it both sides of the join are shuffled.
+BROADCAST_ROWS = 100_000
+
+
+def join_counted(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Joins a table that is small by nature but comes from data: it is written and counted, and broadcast only if it is small."""
+    right = written(right)
+    return left.join(right.hint("broadcast" if right.count() <= BROADCAST_ROWS else "merge"), on, how)

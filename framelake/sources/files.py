@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import boxes
-from ..lineage import written
+from ..lineage import join_counted, written
 
 
 def import_coco(files: DataFrame, classes: list[str], class_map: dict[str, str] | None = None, present: DataFrame | None = None, source: str = "external") -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -21,8 +21,7 @@ def import_coco(files: DataFrame, classes: list[str], class_map: dict[str, str]
     names = files.select(F.explode("categories").alias("c")).select(F.col("c.id").alias("category_id"), F.col("c.name").alias("name"))
     renamed = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in class_map.items() for x in kv]), F.col("name")), F.col("name")) if class_map else F.col("name")
     names = names.select("category_id", F.when(renamed.isin(classes), renamed).alias("label"))
-    # the categories are a class table, small by nature
-    objects = found.join(F.broadcast(names), "category_id", "left").join(images.hint("merge"), "image_id").withColumn("box", boxes.coco_box(F.col("bbox"), F.col("w"), F.col("h")))
+    objects = join_counted(found, names, "category_id", "left").join(images.hint("merge"), "image_id").withColumn("box", boxes.coco_box(F.col("bbox"), F.col("w"), F.col("h")))
     mapped = objects.where("label is not null and box is not null")
     here = images.join(present.select("file_name"), "file_name", "left_semi") if present is not None else images
     first = mapped.groupBy("image_id").agg(F.min_by("label", "pos").alias("feed_label"))
