@@ -14,7 +14,6 @@ from .io import null_ids, table, with_ids
 BASE = ("email", "ip", "card", "phone")
 ADDED = ("iban", "short_card", "local_phone")
 DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+")
-LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 DIGITS = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
