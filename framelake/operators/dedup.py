@@ -44,7 +44,7 @@ def near_hashes(left: DataFrame, right: DataFrame, threshold: int = 10, block: s
         return h if wide == 64 else F.shiftrightunsigned(h, edges[i]).bitwiseAND(F.lit((1 << wide) - 1).cast("long"))
 
     def probes(h: Column, i: int) -> Column:
-        masks = F.array(*[F.lit(m).cast("long") for m in flips[edges[i + 1] - edges[i]]])
+        masks = F.array(*[F.lit(m - (m >> 63 << 64)).cast("long") for m in flips[edges[i + 1] - edges[i]]])
         return F.transform(masks, lambda m: F.struct(F.lit(i).alias("w"), word(h, i).bitwiseXOR(m).alias("v")))
 
     def spread(side: DataFrame, name: str, exact: bool) -> DataFrame:
