@@ -50,13 +50,26 @@ OUTWEIGHED = 2
 
 
 class Block:
-    __slots__ = ("parts", "linked", "inside", "dropped", "heading", "first", "label")
+    __slots__ = ("parts", "linked", "inside", "dropped", "heading", "first", "label", "known_text", "known_density")
 
     def __init__(self, inside: bool, dropped: int, heading: bool):
         self.parts, self.linked, self.inside, self.dropped, self.heading, self.first, self.label = [], 0, inside, dropped, heading, "", ""
+        self.known_text = self.known_density = None
 
     def text(self) -> str:
-        return " ".join("".join(self.parts).split())
+        """Asked for once the block is complete."""
+        if self.known_text is None:
+            self.known_text = " ".join("".join(self.parts).split())
+        return self.known_text
+
+    def density(self) -> float:
+        """Share of stop words; below zero for text in a script without spaces."""
+        if self.known_density is None:
+            text = self.text()
+            words = text.lower().split()
+            stops = sum(w.strip(".,;:!?()\"'") in STOP_WORDS for w in words)
+            self.known_density = -1.0 if not text.isascii() and 4 * len(UNSPACED.findall(text)) > len(text) else stops / len(words)
+        return self.known_density
 
 
 def _marks(value: str, tag: str, inside: bool) -> bool:
@@ -169,14 +182,6 @@ def blocks_of(page: str) -> list[Block]:
     return [b for b in done if b.text()]
 
 
-def _density(text: str) -> float | None:
-    """Share of stop words; None for text in a script without spaces."""
-    words = text.lower().split()
-    if 4 * len(UNSPACED.findall(text)) > len(text):
-        return None
-    return sum(w.strip(".,;:!?()\"'") in STOP_WORDS for w in words) / len(words)
-
-
 def _judge(block: Block, known: bool, prior: bool | None) -> str:
     """First pass: good, bad, or an open label (near, short).
 
@@ -192,9 +197,11 @@ def _judge(block: Block, known: bool, prior: bool | None) -> str:
         return "short" if prior or not block.linked else "bad"
     if links > (LINK_MOST if prior else LINK_HIGH):
         return "near" if prior else "bad"
-    density = _density(text)
-    if density is None or not known or prior:
-        return "good" if length > LONG or prior else "near"
+    if prior:
+        return "good"
+    density = block.density()
+    if density < 0 or not known:
+        return "good" if length > LONG else "near"
     if density >= STOP_HIGH:
         return "good" if length > LONG else "near"
     return "near" if density >= STOP_LOW else "bad"
@@ -218,7 +225,7 @@ def classified(page: str) -> list[Block]:
         for b in blocks:
             b.dropped = BY_CLASS if b.dropped == WITHIN else b.dropped
     free = [b for b in blocks if not b.dropped]
-    known = any((_density(b.text()) or 0) >= STOP_LOW for b in free if len(b.text()) >= SHORT)
+    known = any(b.density() >= STOP_LOW for b in free if len(b.text()) >= SHORT)
     inner, outer = [b for b in free if b.inside], [b for b in free if not b.inside]
     marked = bool(inner) and _running(outer, known) <= OUTWEIGHED * sum(len(b.text()) for b in inner)
     for b in blocks:
