@@ -16,6 +16,16 @@ class Bits:
         self.before = np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(np.int32)
         self.zeros = len(bits) - int(counts.sum())
 
+    @classmethod
+    def packed(cls, words: np.ndarray, length: int) -> Bits:
+        """From the stored 64-bit words of a vector of this length."""
+        out = cls(np.empty(0, np.uint8))
+        out.words = words
+        counts = np.bitwise_count(words).astype(np.int32)
+        out.before = np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(np.int32)
+        out.zeros = length - int(counts.sum())
+        return out
+
     def rank(self, i: np.ndarray) -> np.ndarray:
         """Ones before position i."""
         word = i >> 6

@@ -2,7 +2,7 @@
 
 import corpus_pipeline
 
-from . import decontaminate, htmltext, langid, mixing, pii, quality, sharding, simhash, substring, warc
+from . import decontaminate, htmltext, langid, mixing, phrases, pii, quality, sharding, simhash, substring, warc
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
@@ -16,5 +16,12 @@ QUERIES = {
     "op8_substring": substring.query,
     "op9_quality": quality.query,
     "op10_warc": warc.query,
+    "op11_phrases": phrases.query,
+}
+ORACLES = {
+    "op1_mixing": mixing.ORACLE,
+    "op8_substring": substring.ORACLE,
+    "op9_quality": quality.ORACLE,
+    "op10_warc": warc.ORACLE,
+    "op11_phrases": phrases.ORACLE,
 }
-ORACLES = {"op1_mixing": mixing.ORACLE, "op8_substring": substring.ORACLE, "op9_quality": quality.ORACLE, "op10_warc": warc.ORACLE}
