@@ -2,7 +2,7 @@
 
 import corpus_pipeline
 
-from . import decontaminate, htmltext, langid, mixing, phrases, pii, quality, sharding, simhash, substring, warc
+from . import decontaminate, htmltext, langid, minhash, mixing, negatives, phrases, pii, quality, sharding, simhash, substring, warc
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
@@ -17,6 +17,8 @@ QUERIES = {
     "op9_quality": quality.query,
     "op10_warc": warc.query,
     "op11_phrases": phrases.query,
+    "op12_negatives": negatives.query,
+    "op13_minhash": minhash.query,
 }
 ORACLES = {
     "op1_mixing": mixing.ORACLE,
@@ -24,4 +26,6 @@ ORACLES = {
     "op9_quality": quality.ORACLE,
     "op10_warc": warc.ORACLE,
     "op11_phrases": phrases.ORACLE,
+    "op12_negatives": negatives.ORACLE,
+    "op13_minhash": minhash.ORACLE,
 }
