@@ -2,21 +2,22 @@
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import boxes, hashes
-from ..lineage import written
+from ..functions import boxes
+from ..lineage import discard, written
+from . import nearhash, ranges
 
 SOURCE_RANK = {"vlm": 0, "human": 1, "external": 2, "feed": 3}
 
 
 def exact_duplicates(samples: DataFrame) -> DataFrame:
     """Adds first_id: the earliest sample of the camera with the same content hash (itself without a hash)."""
-    w = Window.partitionBy("camera", "image_hash").orderBy("created_at", "id")
-    return samples.withColumn("first_id", F.when(F.col("image_hash").isNull(), F.col("id")).otherwise(F.first("id").over(w)))
+    known = samples.where("image_hash is not null").groupBy(F.col("camera").alias("_c"), F.col("image_hash").alias("_h"))
+    firsts = written(known.agg(F.min(F.struct("created_at", "id")).alias("_first")))
+    out = samples.join(firsts.hint("merge"), F.col("camera").eqNullSafe(F.col("_c")) & (F.col("image_hash") == F.col("_h")), "left")
+    return out.withColumn("first_id", F.when(F.col("_h").isNull(), F.col("id")).otherwise(F.col("_first.id"))).drop("_c", "_h", "_first")
 
 
 def hash_classes(frames: DataFrame, block: str = "camera") -> DataFrame:
@@ -26,70 +27,20 @@ def hash_classes(frames: DataFrame, block: str = "camera") -> DataFrame:
     return frames.where("hash is not null").groupBy(block, "hash").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
 
 
-def near_hashes(left: DataFrame, right: DataFrame, threshold: int = 10, block: str = "camera", bits: int = 64) -> DataFrame:
-    """(camera, a, b, distance) of all pairs of a hash on the left and one on the right within ``threshold`` bits.
-
-    Multi-index hashing: with a word for every three bits of the threshold, two hashes within it differ by at most
-    two bits in some word (pigeonhole), so one side is probed with every variant of a word within that radius and meets the
-    other in an equi-join on (camera, word number, word). Each pair is kept at the first word where it meets. Both sides
-    (block, hash) are made distinct first, so equal hashes never multiply.
-    """
-    words = max(1, min(8, (threshold + 1 + 2) // 3))
-    radius = threshold // words
-    edges = [round(bits * i / words) for i in range(words + 1)]
-    flips = {n: [sum(1 << b for b in c) for r in range(radius + 1) for c in combinations(range(n), r)] for n in {b - a for a, b in zip(edges, edges[1:])}}
-
-    def word(h: Column, i: int) -> Column:
-        wide = edges[i + 1] - edges[i]
-        return h if wide == 64 else F.shiftrightunsigned(h, edges[i]).bitwiseAND(F.lit((1 << wide) - 1).cast("long"))
-
-    def probes(h: Column, i: int) -> Column:
-        masks = F.array(*[F.lit(m - (m >> 63 << 64)).cast("long") for m in flips[edges[i + 1] - edges[i]]])
-        return F.transform(masks, lambda m: F.struct(F.lit(i).alias("w"), word(h, i).bitwiseXOR(m).alias("v")))
-
-    def spread(side: DataFrame, name: str, exact: bool) -> DataFrame:
-        h = F.col(name)
-        own = F.array(*[F.struct(F.lit(i).alias("w"), word(h, i).alias("v")) for i in range(words)]) if exact else F.flatten(F.array(*[probes(h, i) for i in range(words)]))
-        kinds = side.where("hash is not null").select(block, F.col("hash").alias(name)).distinct()
-        return kinds.select(block, name, F.explode(own).alias("x")).select(block, name, "x.w", "x.v")
-
-    met = spread(left, "a", True).join(spread(right, "b", False).hint("merge"), [block, "w", "v"])
-    met = met.withColumn("distance", hashes.hamming_long(F.col("a"), F.col("b"))).where(F.col("distance") <= threshold)
-    first = F.array_position(F.array(*[F.bit_count(word(F.col("a"), i).bitwiseXOR(word(F.col("b"), i))) <= radius for i in range(words)]), F.lit(True)) - 1
-    return met.where(F.col("w") == first).select(block, "a", "b", "distance")
-
-
-def near_pairs(classes: DataFrame, threshold: int = 10, block: str = "camera", bits: int = 64) -> DataFrame:
-    """(camera, a, b, distance): pairs of different hashes within ``threshold`` bits, a < b. Equal frames are one class, whose members need no pairs."""
-    return near_hashes(classes, classes, threshold, block, bits).where(F.col("a") < F.col("b"))
-
-
-def suppress_duplicates(frames: DataFrame, threshold: int = 10, block: str = "camera", bits: int = 64, store=written) -> DataFrame:
+def suppress_duplicates(frames: DataFrame, threshold: int = 10, block: str = "camera", bits: int = 64, **options) -> DataFrame:
     """Adds kept: going through a camera's frames in order, a frame stays if no kept earlier one lies within ``threshold`` bits.
 
     ``frames`` has id, hash, the block column, and order columns ts, event_id, frame_index. Only the first frame of a class of equal
-    hashes can stay: if another one drops it, that one drops its class. Classes are decided by rounds: one without undecided earlier
-    neighbours goes if one of them stays, else it stays. ``store`` cuts lineage after a round. Frames without a hash stay.
+    hashes can stay: if another one drops it, that one drops its class. The classes go through ``nearhash.kept_hashes``. Frames without
+    a hash stay.
     """
-    classes = store(hash_classes(frames, block))
-    pairs = near_pairs(classes, threshold, block, bits)
-    place = lambda n: classes.select(block, F.col("hash").alias(n), F.col("first").alias(f"p{n}")).hint("merge")
-    both = pairs.join(place("a"), [block, "a"]).join(place("b"), [block, "b"])
-    earlier = F.col("pa") < F.col("pb")
-    edges = store(both.select(block, F.when(earlier, F.col("b")).otherwise(F.col("a")).alias("later"), F.when(earlier, F.col("a")).otherwise(F.col("b")).alias("sooner")))
-    # classes that are never the later one of a pair are kept from the start
-    state = store(edges.select(block, F.col("later").alias("hash")).distinct().withColumn("kept", F.lit(None).cast("boolean")))
-    while state.where("kept is null").take(1):
-        known = state.select(block, F.col("hash").alias("sooner"), F.col("kept").alias("k"), F.lit(True).alias("in_state"))
-        seen = edges.join(known.hint("merge"), [block, "sooner"], "left")
-        fact = seen.withColumn("k", F.when(F.col("in_state").isNull(), F.lit(True)).otherwise(F.col("k"))).groupBy(block, F.col("later").alias("hash")).agg(
-            F.bool_or(F.coalesce("k", F.lit(False))).alias("hit"), F.bool_or(F.col("k").isNull()).alias("open")
-        )
-        decided = F.when(F.col("kept").isNotNull(), F.col("kept")).when(F.col("hit"), False).when(~F.col("open"), True)
-        state = store(state.join(fact.hint("merge"), [block, "hash"]).select(block, "hash", decided.alias("kept")))
-    firsts = classes.join(state.hint("merge"), [block, "hash"], "left").select(block, "hash", F.col("first.id").alias("_first"), F.coalesce("kept", F.lit(True)).alias("_kept"))
-    out = frames.join(firsts.hint("merge"), [block, "hash"], "left")
-    kept = F.col("hash").isNull() | (F.col("_kept") & (F.col("id") == F.col("_first")))
+    classes = written(hash_classes(frames, block))
+    stay = nearhash.kept_hashes(classes, threshold, block, bits, **options).select(F.col(block).alias("_b"), F.col("hash").alias("_h"))
+    firsts = classes.join(stay.hint("merge"), F.col(block).eqNullSafe(F.col("_b")) & (F.col("hash") == F.col("_h")))
+    firsts = written(firsts.select("_b", "_h", F.col("first.id").alias("_first")))
+    discard(classes)
+    out = frames.join(firsts.hint("merge"), F.col(block).eqNullSafe(F.col("_b")) & (F.col("hash") == F.col("_h")), "left")
+    kept = F.col("hash").isNull() | F.col("id").eqNullSafe(F.col("_first")) & F.col("_h").isNotNull()
     return out.withColumn("kept", F.coalesce(kept, F.lit(False))).select(*frames.columns, "kept")
 
 
@@ -124,13 +75,9 @@ def best_annotations(annotations: DataFrame, verified_only: bool) -> DataFrame:
 
 
 def cap_per_class(items: DataFrame, most: int) -> DataFrame:
-    """Adds within_cap: the first ``most`` boxes of each class in order of camera, time, sample and annotation. A hot class is
-    ranked in parts: ranks within (label, camera) plus the counts of the cameras before."""
-    counts = items.groupBy("label", "camera").agg(F.count(F.lit(1)).alias("_c"))
-    before = F.coalesce(F.sum("_c").over(Window.partitionBy("label").orderBy("camera").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    rank = F.row_number().over(Window.partitionBy("label", "camera").orderBy("ts", "sample_id", "id"))
-    ranked = items.withColumn("_r", rank).join(counts.withColumn("_b", before).drop("_c").hint("merge"), ["label", "camera"])
-    return ranked.withColumn("within_cap", F.col("_r") + F.col("_b") <= most).drop("_r", "_b")
+    """Adds within_cap: the first ``most`` boxes of each class in order of camera, time, sample and annotation, by equi-depth ranges."""
+    order = [F.col(c).asc() for c in ("camera", "ts", "sample_id", "id")]
+    return ranges.ranked(items, ["label"], order, "_r").withColumn("within_cap", F.col("_r") <= most).drop("_r")
 
 
 def best_per_prompt(detections: DataFrame) -> DataFrame:

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import boxes
-from ..lineage import written
+from ..lineage import discard, written
+from . import matching, ranges, skyline
 
 THRESHOLDS = tuple(round(0.5 + 0.05 * i, 2) for i in range(10))
 SMALL_AREA = 0.0025
@@ -18,10 +19,11 @@ def match(predictions: DataFrame, truths: DataFrame, thresholds=THRESHOLDS, keys
 
     Every pair of boxes is compared once: a prediction carries its truths above the lowest threshold, best first, and each
     threshold's fold takes the first of them that is free. ``scope`` keeps boxes of different images apart; "pooled" lets them
-    match across images, as small evaluations may want for parity, and must not be used on large tables. Returns keys, label,
-    threshold, prediction_id, confidence, truth_id.
+    match across images (``matching.pooled``). Returns keys, label, threshold, prediction_id, confidence, truth_id.
     """
-    group = [*keys, *([] if scope == "pooled" else [scope]), "label"]
+    if scope == "pooled":
+        return matching.pooled(predictions, truths, thresholds, keys)
+    group = [*keys, scope, "label"]
     p = F.struct((-F.col("confidence")).alias("o"), F.col("prediction_id").alias("id"), boxes.box("x1", "y1", "x2", "y2").alias("b"))
     t = F.struct(F.col("truth_id").alias("id"), boxes.box("x1", "y1", "x2", "y2").alias("b"))
     preds = predictions.groupBy(*group).agg(F.sort_array(F.collect_list(p)).alias("ps"))
@@ -54,15 +56,11 @@ def average_precision(matches: DataFrame, truths: DataFrame, keys=("candidate",)
     """
     group = [*keys, "label", "threshold"]
     hit = F.col("truth_id").isNotNull().cast("long")
-    # running counts in two steps: within bands of confidence, and over the at most 1001 bands before, so that a
-    # class with most of the predictions is not one task's work
-    banded = matches.select(*group, "confidence", "prediction_id", hit.alias("hit"), F.floor(F.col("confidence") * 1000).alias("band"))
-    sums = banded.groupBy(*group, "band").agg(F.sum("hit").alias("band_tp"), F.count(F.lit(1)).alias("band_n"))
-    before = Window.partitionBy(*group).orderBy(F.desc("band")).rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select(*group, "band", F.coalesce(F.sum("band_tp").over(before), F.lit(0)).alias("tp0"), F.coalesce(F.sum("band_n").over(before), F.lit(0)).alias("k0"), F.sum("band_tp").over(Window.partitionBy(*group)).alias("all"))
-    run = Window.partitionBy(*group, "band").orderBy(F.desc("confidence"), "prediction_id").rowsBetween(Window.unboundedPreceding, 0)
-    curve = banded.withColumns({"tp": F.sum("hit").over(run), "k": F.count(F.lit(1)).over(run)}).join(sums.hint("merge"), [*group, "band"])
-    curve = curve.withColumns({"tp": F.col("tp") + F.col("tp0"), "k": F.col("k") + F.col("k0")})
+    # running counts in two steps: within equi-depth ranges of (class, confidence), and over the class's ranges before
+    placed = ranges.cut(matches.select(*group, "confidence", "prediction_id", hit.alias("hit")), group, [F.desc("confidence"), F.asc("prediction_id")])
+    run = Window.partitionBy(*group, "_part").orderBy(F.desc("confidence"), "prediction_id").rowsBetween(Window.unboundedPreceding, 0)
+    curve = ranges.with_before(placed.withColumns({"tp": F.sum("hit").over(run), "k": F.count(F.lit(1)).over(run)}), group, tp0=F.col("hit"), k0=F.lit(1))
+    curve = curve.select(*group, (F.col("tp") + F.col("tp0")).alias("tp"), (F.col("k") + F.col("k0")).alias("k"), F.col("tp0_all").alias("all"))
     counts = truths.groupBy(*keys, "label").agg(F.count(F.lit(1)).alias("n_truths"))
     # the best precision of every number of true positives: recall levels are theirs
     tops = curve.where(F.col("all") > 0).groupBy(*group, "all", "tp").agg(F.max(F.col("tp") / F.col("k")).alias("p")).join(counts.hint("merge"), [*keys, "label"])
@@ -133,6 +131,18 @@ def benchmark(predictions: DataFrame, truths: DataFrame, timings: DataFrame, **o
     return evaluate(predictions, truths, **options).join(latency_summary(timings).hint("merge"), "candidate", "left")
 
 
+def pareto_frontier(candidates: DataFrame) -> DataFrame:
+    """Candidates that no other dominates on map50, recall and latency, by map50, then latency with null as 0.
+
+    Latency null or 0 counts as infinite; rows of the same name do not compare; null measures compare with nothing. See ``skyline``.
+    """
+    names = skyline.dominated(candidates.select("name", F.col("map50").alias("m"), F.col("recall").alias("r"), skyline.finite_or_last("latency_ms").alias("l")))
+    same = (F.col("map50") == names["m"]) & (F.col("recall") == names["r"]) & (skyline.finite_or_last("latency_ms") == names["l"])
+    out = candidates.join(names.hint("merge"), same, "left")
+    beaten = F.coalesce((F.col("low") != F.col("name")) | (F.col("high") != F.col("name")), F.lit(False))
+    return out.where(~beaten).select(*candidates.columns).orderBy(F.desc("map50"), F.coalesce("latency_ms", F.lit(0.0)), "name")
+
+
 def _measures(frame):
     """(names, map50, recall, latency) of a pandas frame; latency null or 0 counts as infinite."""
     import numpy as np
@@ -147,40 +157,6 @@ def _dominators(row, names, m, r, s):
     return (names != name) & (m >= m1) & (r >= r1) & (s <= s1) & ((m > m1) | (r > r1) | (s < s1))
 
 
-def _outer(batches):
-    """Rows that are dominated under fewer than two names. What a dropped row dominates, two names that stay dominate as well."""
-    import pandas as pd
-
-    held = None
-    for batch in batches:
-        held = batch if held is None else pd.concat([held, batch], ignore_index=True)
-        names, m, r, s = _measures(held)
-        held = held[[len(set(names[_dominators(row, names, m, r, s)])) < 2 for row in zip(names, m, r, s)]]
-    if held is not None:
-        yield held
-
-
-def _front(batches):
-    import pandas as pd
-
-    whole = [b for b in batches]
-    if whole:
-        frame = pd.concat(whole, ignore_index=True)
-        names, m, r, s = _measures(frame)
-        yield frame[[not _dominators(row, names, m, r, s).any() for row in zip(names, m, r, s)]]
-
-
-def pareto_frontier(candidates: DataFrame) -> DataFrame:
-    """Candidates that no other dominates on map50, recall and latency, by map50, then latency with null as 0.
-
-    Latency null or 0 counts as infinite; rows of the same name do not compare; null measures compare with nothing. Every partition
-    keeps its own outer rows, and one task compares those that are left: few, of any number of candidates, unless the measures agree
-    on no order.
-    """
-    outer = candidates.mapInPandas(_outer, candidates.schema).repartition(1).mapInPandas(_outer, candidates.schema)
-    return outer.mapInPandas(_front, candidates.schema).orderBy(F.desc("map50"), F.coalesce("latency_ms", F.lit(0.0)), "name")
-
-
 #: Frontier rows that a task compares its candidates with at once.
 FRONTIER_BLOCK = 100_000
 

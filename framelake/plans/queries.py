@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions import boxes, hashes, labels, times
-from ..operators import datasets, dedup, evaluate, ledger, pool, reconcile, scoring, sessions
+from ..operators import datasets, dedup, evaluate, ledger, nearhash, pool, reconcile, scoring, sessions
 from ..lineage import shared_folder, written
 from ..sources import feeds
 from ..streaming import incremental
@@ -298,16 +298,28 @@ def h01_difference_hash(t):
 @query(f"""WITH {DHASH}, k AS (SELECT camera, hash, count(*) AS n FROM g GROUP BY ALL)
 SELECT l.camera, l.hash AS a, r.hash AS b, bit_count(xor(l.hash, r.hash))::INT AS distance, l.n AS n_a, r.n AS n_b FROM k l JOIN k r ON l.camera = r.camera AND l.hash < r.hash WHERE bit_count(xor(l.hash, r.hash)) <= 10""")
 def j06_near_pairs(t):
-    classes = dedup.hash_classes(_frames(t))
-    pairs, of = dedup.near_pairs(classes, 10), lambda n: classes.select("camera", F.col("hash").alias(n), F.col("n").alias(f"n_{n}")).hint("merge")
-    return pairs.join(of("a"), ["camera", "a"]).join(of("b"), ["camera", "b"]).select("camera", "a", "b", "distance", "n_a", "n_b")
+    """The pairs that the star cover stands for."""
+    classes = written(dedup.hash_classes(_frames(t)))
+    of = lambda n: classes.select("camera", F.col("hash").alias(n), F.col("n").alias(f"n_{n}")).hint("merge")
+    return nearhash.near_pairs(nearhash.star_cover(classes, 10), 10).join(of("a"), ["camera", "a"]).join(of("b"), ["camera", "b"]).select("camera", "a", "b", "distance", "n_a", "n_b")
+
+
+@query(f"""WITH {DHASH}, k AS (SELECT camera, hash, min(vec_id) AS first, count(*) AS n FROM g GROUP BY ALL),
+o AS (SELECT camera, list(hash ORDER BY first) AS hs FROM k GROUP BY camera),
+r AS (SELECT camera, unnest(list_reduce(list_transform(hs, lambda h: [h]), lambda acc, x: CASE WHEN len(list_filter(acc, lambda q: bit_count(xor(q, x[1])) <= 10)) > 0 THEN acc ELSE list_concat(acc, x) END)) AS rep FROM o),
+x AS (SELECT k.camera, k.hash, k.n, r.rep, bit_count(xor(k.hash, r.rep))::INT AS distance, row_number() OVER (PARTITION BY k.camera, k.hash ORDER BY bit_count(xor(k.hash, r.rep)), r.rep) AS o FROM k JOIN r ON r.camera = k.camera),
+l AS (SELECT a.camera, a.hash, count(*) - 1 AS links FROM k a JOIN k b ON a.camera = b.camera AND bit_count(xor(a.hash, b.hash)) <= 10 GROUP BY ALL)
+SELECT x.camera, x.hash, x.n, x.rep, x.distance, l.links FROM x JOIN l ON l.camera = x.camera AND l.hash = x.hash WHERE o = 1""")
+def j06_star_cover(t):
+    """One row for each different hash of a camera: its representative and the number of its links."""
+    return nearhash.star_cover(dedup.hash_classes(_frames(t)), 10)
 
 
 @query(f"""WITH {DHASH} SELECT DISTINCT l.camera, l.hash AS a, r.hash AS b, bit_count(xor(l.hash, r.hash))::INT AS distance FROM g l JOIN g r ON l.camera = r.camera
 WHERE l.vec_id % 100 = 0 AND bit_count(xor(l.hash, r.hash)) <= 12""")
 def h03_near_lookup(t):
     frames = _frames(t)
-    return dedup.near_hashes(frames.where("cast(ts as long) % 100 = 0"), frames, 12)
+    return nearhash.near_hashes(frames.where("cast(ts as long) % 100 = 0"), frames, 12)
 
 
 @query(f"""WITH {DHASH}, k AS (SELECT camera, hash, min(vec_id) AS first FROM g GROUP BY ALL),
@@ -421,6 +433,19 @@ def e01_greedy_match(t):
     return _matches(t).select("candidate", "label", "threshold", "prediction_id", "truth_id")
 
 
+BATCH = "substr(image_id, greatest(1, length(image_id) - 1))"
+POOLED = MATCHED.replace("AND t.image_id = p.image_id", "AND t.batch = p.batch").replace("p.image_id", "p.batch AS image_id").replace("{predictions}", "pb").replace("{truths}", "tb")
+
+
+@query(f"""WITH pb AS (SELECT *, {BATCH} AS batch FROM {{predictions}}), tb AS (SELECT *, {BATCH} AS batch FROM {{truths}}), {POOLED}
+SELECT candidate, image_id AS batch, label, threshold, prediction_id, truth_id FROM m""")
+def e01_pooled_match(t):
+    """Batches of images are evaluated as one pool each: boxes match across the images of a batch."""
+    batch = F.expr(BATCH).alias("batch")
+    out = evaluate.match(t.predictions.select("*", batch), t.truths.select("*", batch), (0.5, 0.75), ("candidate", "batch"), scope="pooled")
+    return out.select("candidate", "batch", "label", "threshold", "prediction_id", "truth_id")
+
+
 AP = MATCHED + """, r AS (SELECT *, sum(CASE WHEN truth_id IS NULL THEN 0 ELSE 1 END) OVER w AS tp, count(*) OVER w AS k, sum(CASE WHEN truth_id IS NULL THEN 0 ELSE 1 END) OVER (PARTITION BY candidate, label, threshold) AS total FROM m
  WINDOW w AS (PARTITION BY candidate, label, threshold ORDER BY confidence DESC, prediction_id ROWS UNBOUNDED PRECEDING)),
 x AS (SELECT candidate, label, threshold, least(100, floor(tp * 100 / total::DOUBLE + 1e-9)) AS lvl, tp / k::DOUBLE AS prec FROM r WHERE total > 0),

@@ -2,7 +2,7 @@ import random
 
 import pytest
 from framelake.functions import boxes
-from framelake.operators import datasets, dedup, evaluate, ledger, pool, reconcile, scoring, sessions
+from framelake.operators import datasets, dedup, evaluate, ledger, matching, nearhash, pool, ranges, reconcile, scoring, sessions, skyline
 from pyspark.sql import functions as F
 
 SAMPLES = "id string, camera string, ts double, event_id string, frame_index int, image_path string, image_hash string, status string, quality string, verified int, feed_label string, created_at string"
@@ -109,7 +109,7 @@ def test_near_pairs_and_suppression_equal_greedy(spark):
     for threshold in (3, 10):
         near = lambda a, b: a[1] == b[1] and (a[2] ^ b[2]).bit_count() <= threshold  # noqa: B023, E731
         want = {(a[1], min(a[2], b[2]), max(a[2], b[2])) for a in frames for b in frames if a[2] != b[2] and near(a, b)}
-        got = [(r["camera"], r["a"], r["b"]) for r in dedup.near_pairs(dedup.hash_classes(df), threshold).collect()]
+        got = [(r["camera"], r["a"], r["b"]) for r in nearhash.near_pairs(nearhash.star_cover(dedup.hash_classes(df), threshold, tile=50), threshold, tile=50).collect()]
         assert len(got) == len(set(got)) and set(got) == want
     order = sorted(frames, key=lambda f: (f[3], f[4], f[5], f[0]))
     for parts in (2, 5):
@@ -123,9 +123,9 @@ FRAMES = "id string, camera string, hash long, ts double, event_id string, frame
 def test_equal_frames_are_one_class(spark):
     df = spark.createDataFrame([(f"f{i}", "c", 7, float(i), "e", 0) for i in range(2000)] + [("g", "c", 6, 5000.0, "e", 0), ("h", "c", None, 1.0, "e", 0)], FRAMES)
     classes = dedup.hash_classes(df)
-    assert sorted((r["hash"], r["n"]) for r in classes.collect()) == [(6, 1), (7, 2000)] and dedup.near_pairs(classes).count() == 1
+    assert sorted((r["hash"], r["n"]) for r in classes.collect()) == [(6, 1), (7, 2000)] and nearhash.near_pairs(nearhash.star_cover(classes)).count() == 1
     assert {r["id"] for r in dedup.suppress_duplicates(df).where("kept").collect()} == {"f0", "h"}
-    assert dedup.near_hashes(df.where("id = 'g'"), df, 0).count() == 1
+    assert nearhash.near_hashes(df.where("id = 'g'"), df, 0).count() == 1
 
 
 def test_chain_keeps_both_ends(spark):
@@ -386,3 +386,167 @@ def test_scoring_hook(spark):
     rows = {r["n"]: r for r in scoring.score_table(df, make, ["n"], "score double").collect()}
     assert {n: r["status"] for n, r in rows.items()} == {n: ("ok", "rejected", "transport")[n % 3] for n in range(9)}
     assert rows[6]["score"] == 12.0 and rows[1]["error"] == "bad row" and all(r["latency_ms"] >= 0 for r in rows.values())
+
+
+def jobs_of(spark, work):
+    """The number of Spark jobs that ``work`` starts, and its result."""
+    group = f"counted-{random.random()}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        out = work()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)), out
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_a_long_chain_needs_no_more_jobs_than_a_short_one(spark):
+    def chain(n):
+        h, rows, rng = 0, [], random.Random(1)
+        for i in range(n):
+            rows.append((f"f{i:05d}", "c", h - (1 << 64) if h >> 63 else h, float(i), "e", 0))
+            h ^= 1 << rng.randrange(64)
+        return spark.createDataFrame(rows, FRAMES), rows
+
+    small, _ = chain(50)
+    large, rows = chain(10_000)
+    few, _ = jobs_of(spark, lambda: dedup.suppress_duplicates(small, 3).where("kept").count())
+    many, n = jobs_of(spark, lambda: dedup.suppress_duplicates(large, 3).where("kept").count())
+    kept = []
+    for r in rows:
+        if not any(((r[2] ^ k) & (1 << 64) - 1).bit_count() <= 3 for k in kept):
+            kept.append(r[2])
+    assert n == len(kept) and many <= few + 2
+
+
+def test_passes_of_a_large_camera_equal_one_pass(spark):
+    rng = random.Random(9)
+    rows = [(f"f{i:04d}", rng.choice(["a", "a", "a", "b", None]), rng.getrandbits(20) - 5, float(rng.randint(0, 99)), f"e{i}", 0) for i in range(1500)] + [("n", "a", None, 0.0, "e", 0)]
+    df = spark.createDataFrame(rows, FRAMES)
+    near = lambda x, y: x[1] == y[1] and ((x[2] ^ y[2]) & (1 << 64) - 1).bit_count() <= 3
+    wanted = greedy(sorted([r for r in rows if r[2] is not None], key=lambda f: (f[3], f[4], f[5], f[0])), near) | {"n"}
+    for options in ({}, {"first_pass": 40, "lot": 16}):
+        out = dedup.suppress_duplicates(df, 3, **options)
+        assert {r["id"] for r in out.where("kept").collect()} == wanted and out.count() == len(rows)
+
+
+def test_star_cover_stands_for_all_pairs(spark):
+    """1,500 hashes within 8 bits of each other: as many rows, whatever the number of pairs."""
+    rng = random.Random(2)
+    hashes = {sum(1 << rng.randrange(64) for _ in range(4)) % (1 << 63) for _ in range(1500)}
+    classes = dedup.hash_classes(spark.createDataFrame([(f"f{i}", "c", h, float(i), "e", 0) for i, h in enumerate(hashes)], FRAMES))
+    cover = nearhash.star_cover(classes, 10, tile=400).cache()
+    rows = cover.collect()
+    reps = {r["rep"] for r in rows}
+    assert len(rows) == len(hashes) and all((a ^ b).bit_count() > 10 for a in reps for b in reps if a < b)
+    for r in rng.sample(rows, 60):
+        assert (r["hash"] ^ r["rep"]).bit_count() == r["distance"] == min((r["hash"] ^ x).bit_count() for x in reps) <= 10
+        assert r["links"] == sum((r["hash"] ^ h).bit_count() <= 10 for h in hashes) - 1
+    assert nearhash.near_pairs(cover, 10).count() * 2 == sum(r["links"] for r in rows)
+    assert nearhash.star_cover(classes.where("false")).count() == 0 == nearhash.near_pairs(nearhash.star_cover(classes.where("false"))).count()
+
+
+def test_kept_hashes_equal_a_plain_search():
+    import numpy as np
+
+    rng = np.random.default_rng(8)
+    for threshold in (0, 1, 7, 14, 30):
+        kept, plain = nearhash.KeptHashes(threshold), np.empty(0, np.uint64)
+        for n in (10, 5000, 3000, 6000):
+            base = rng.integers(0, 1 << 62, 300).astype(np.uint64)
+            new = base[rng.integers(300, size=n)] ^ (np.uint64(1) << rng.integers(0, 63, n).astype(np.uint64))
+            kept.add(new)
+            plain = np.concatenate([plain, new])
+            asked = np.concatenate([new[:40] ^ np.uint64(0b10110), rng.integers(0, 1 << 62, 40).astype(np.uint64)])
+            assert (kept.near(asked) == (np.bitwise_count(asked[:, None] ^ plain[None, :]) <= threshold).any(axis=1)).all()
+
+
+def plain_match(predictions, truths, threshold):
+    """Greedy over one pool: rows (id, confidence, box) and (id, box)."""
+    taken, out = set(), {}
+    for p, _, a in sorted(predictions, key=lambda x: (-x[1], x[0])):
+        def iou(b, a=a):
+            w, h = min(a[2], b[2]) - max(a[0], b[0]), min(a[3], b[3]) - max(a[1], b[1])
+            both = w * h if w > 0 and h > 0 else 0
+            return both / ((a[2] - a[0]) * (a[3] - a[1]) + (b[2] - b[0]) * (b[3] - b[1]) - both) if both else 0
+        found = sorted((-iou(b), t) for t, b in truths if t not in taken and iou(b) > threshold)
+        out[p] = found[0][1] if found else None
+        taken |= {out[p]} - {None}
+    return out
+
+
+@pytest.mark.parametrize("seed,equal", [(1, False), (2, True)])
+def test_pooled_matching_equals_a_plain_fold(spark, seed, equal):
+    rng = random.Random(seed)
+
+    def box():
+        w, h = (rng.choice([0.1, 0.2]), 0.2) if equal else (2 ** rng.uniform(-7, -1), 2 ** rng.uniform(-7, -1))
+        x, y = (rng.choice([0.1, 0.12, 0.5]), 0.3) if equal else (rng.uniform(0, 0.6), rng.uniform(0, 0.6))
+        return [x, y, x + w, y + h]
+
+    def shaken(b):
+        return b if equal else [b[0] + rng.uniform(-0.1, 0.1) * (b[2] - b[0]), b[1], b[2], b[3] + rng.uniform(-0.2, 0.2) * (b[3] - b[1])]
+
+    truths = [(rng.choice("AB"), rng.choice(["car", "dog"]), f"t{i:03d}", *box()) for i in range(150)] + [("A", "cat", "t999", 0.1, 0.1, 0.2, 0.2)]
+    predictions = [(*rng.choice(truths)[:2], f"p{i:03d}", round(rng.random(), 1), *shaken(rng.choice(truths)[3:])) for i in range(220)] + [("B", "cow", "p999", 0.5, 0.1, 0.1, 0.2, 0.2), ("A", "cat", "p998", 0.5, 0.2, 0.1, 0.2, 0.2)]
+    ps = spark.createDataFrame(predictions, "candidate string, label string, prediction_id string, confidence double, x1 double, y1 double, x2 double, y2 double")
+    ts = spark.createDataFrame(truths, "candidate string, label string, truth_id string, x1 double, y1 double, x2 double, y2 double")
+    got = evaluate.match(ps, ts, (0.3, 0.5, 0.9), scope="pooled").collect()
+    assert len(got) == 3 * len(predictions)
+    for c in "AB":
+        for label in ("car", "dog", "cat", "cow"):
+            for threshold in (0.3, 0.5, 0.9):
+                own = [(p[2], p[3], p[4:]) for p in predictions if p[:2] == (c, label)]
+                wanted = plain_match(own, [(t[2], t[3:]) for t in truths if t[:2] == (c, label)], threshold)
+                assert {r["prediction_id"]: r["truth_id"] for r in got if (r["candidate"], r["label"], r["threshold"]) == (c, label, threshold)} == wanted
+    assert evaluate.match(ps.where("false"), ts, scope="pooled").count() == 0
+    assert evaluate.match(ps, ts.where("false"), (0.5,), scope="pooled").where("truth_id is null").count() == len(predictions)
+
+
+CANDIDATES = "name string, map50 double, recall double, latency_ms double"
+
+
+def plain_front(rows):
+    inf = float("inf")
+    point = lambda x: (x[1], x[2], -(x[3] or inf))
+    better = lambda b, a: None not in (*b[1:3], *a[1:3]) and b[0] != a[0] and all(x >= y for x, y in zip(point(b), point(a))) and point(b) != point(a)
+    return sorted((a for a in rows if not any(better(b, a) for b in rows)), key=str)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_frontier_equals_all_comparisons(spark, seed):
+    """Ties in every measure, rows of one name, null measures and latencies."""
+    rng = random.Random(seed)
+    value = lambda n: rng.choice([None, *[i / n for i in range(n)]] if seed else [rng.random()])
+    rows = [(f"m{rng.randrange(3 if seed == 2 else 80)}", value(6), value(5), rng.choice([None, 0.0, 1.0, 2.0, 5.0, rng.random()])) for _ in range(300)]
+    df = spark.createDataFrame(rows, CANDIDATES).repartition(7)
+    assert sorted((tuple(r) for r in evaluate.pareto_frontier(df).collect()), key=str) == plain_front(rows)
+    assert evaluate.pareto_frontier(df.where("false")).count() == 0
+
+
+def test_frontier_of_many_rows_without_an_order(spark):
+    """200,000 candidates that hardly dominate each other."""
+    df = spark.range(200_000).select(F.concat(F.lit("m"), "id").alias("name"), F.rand(1).alias("a"), F.rand(2).alias("b"))
+    df = df.select("name", F.col("a").alias("map50"), F.col("b").alias("recall"), (1 + F.col("a") + F.col("b")).alias("latency_ms"))
+    assert evaluate.pareto_frontier(df).count() == 200_000
+
+
+def test_two_best_names_of_a_prefix():
+    import numpy as np
+
+    rng = random.Random(7)
+    points = [(rng.randrange(9) / 9, rng.randrange(20), rng.choice("abc")) for _ in range(150)]
+    best = skyline.BestNames(np.array([p[0] for p in points]))
+    for i, (r, latency, name) in enumerate(points):
+        names = {n for x, y, n in points[:i] if x >= r and y <= latency}
+        found = best.within(r, latency)
+        assert len(found) == min(2, len(names)) and set(found) <= names
+        best.add(r, latency, name)
+
+
+def test_ranks_of_a_hot_group_in_many_ranges(spark):
+    df = spark.range(20_000).select(F.when(F.col("id") % 10 < 9, "hot").when(F.col("id") % 10 < 9.5, None).otherwise("cold").alias("g"), (F.col("id") * 7919 % 20_011).alias("k"), "id")
+    out = ranges.ranked(df, ["g"], [F.asc("k")], "place").cache()
+    wrong = out.withColumn("_w", F.expr("row_number() over (partition by g order by k)")).where("_w <> place")
+    assert wrong.count() == 0 and out.count() == 20_000 and out.columns == [*df.columns, "place"]
+    cut = ranges.cut(df, ["g"], [F.asc("k")]).where("g = 'hot'").groupBy("_part").count().agg(F.max("count"), F.expr("median(count)")).first()
+    assert cut[0] <= 2 * cut[1]
