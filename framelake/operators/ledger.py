@@ -1,11 +1,15 @@
-"""Updates as functions from tables to tables; ``overwrite_changed`` writes only the partitions that changed."""
+"""Updates as functions from tables to tables, and on stored tables, where only the partitions that change are written."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..lineage import written
 from .pool import VERDICTS
+from .store import Store
+
+ANNOTATION = ("id", "sample_id", "event_id", "source", "label", "x1", "y1", "x2", "y2", "confidence", "verified", "created_at")
 
 
 def set_quality(samples: DataFrame, ids: DataFrame, verdict: str | None) -> tuple[DataFrame, DataFrame]:
@@ -82,6 +86,51 @@ def remove_overrides(overrides: DataFrame, ids: DataFrame) -> DataFrame:
     return overrides.join(ids.select("object_id"), "object_id", "left_anti")
 
 
-def overwrite_changed(df: DataFrame, path: str, partitions: list[str]) -> None:
-    """Replaces only the partitions that ``df`` has rows for."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
+# --- the same on stored tables: only the partitions with a changed row are written
+
+
+def set_quality_stored(samples: Store, ids: DataFrame, verdict: str | None) -> list[str]:
+    """``set_quality`` in place; returns the partitions written. Samples that have the verdict already are not written again."""
+    if verdict is not None and verdict not in VERDICTS:
+        raise ValueError(f"unknown verdict {verdict!r}")
+    wanted = written(ids.select("id").distinct())
+    stale = samples.read().where(~F.col("quality").eqNullSafe(F.lit(verdict))).select("id", samples.by)
+    return samples.rewrite(stale.join(wanted.hint("merge"), "id", "left_semi"), lambda rows: set_quality(rows, wanted, verdict)[0])
+
+
+def delete_events_stored(samples: Store, annotations: Store, events: DataFrame) -> tuple[list[str], list[str]]:
+    """``delete_events`` in place: (partitions of samples, partitions of annotations) that were written.
+
+    Samples go first: if a run ends between the two writes, its repetition finds the annotations and does the rest.
+    """
+    gone = written(events.select("event_id").where("event_id is not null").distinct())
+    rest = annotations.read().join(gone.hint("merge"), "event_id", "left_anti").select(F.col("sample_id").alias("id"))
+    owners = samples.read().join(gone.hint("merge"), "event_id", "left_semi").select("id", samples.by).join(rest.hint("merge"), "id", "left_anti")
+    owners = written(owners)
+    without = samples.rewrite(owners, lambda rows: rows.join(owners.select("id").hint("merge"), "id", "left_anti"))
+    theirs = annotations.read().join(gone.hint("merge"), "event_id", "left_semi").select(annotations.by)
+    return without, annotations.rewrite(theirs, lambda rows: rows.join(gone.hint("merge"), "event_id", "left_anti"))
+
+
+def store_verified_stored(samples: Store, annotations: Store, results: DataFrame, labels: list[str] | None = None, mode: str = "append", now: str = "1970-01-01T00:00:00", by=None) -> tuple[list[str], list[str]]:
+    """``store_verified`` in place: (partitions of samples, partitions of annotations) that were written. ``by`` gives a new annotation's partition from its columns;
+    a run that is repeated replaces its own annotations, which carry its time in their ids."""
+    results = written(results)
+    asked = results.select(F.col("sample_id").alias("id")).distinct()
+    stale = samples.read().where(~F.col("verified").eqNullSafe(F.lit(1))).select("id", samples.by)
+    done = samples.rewrite(stale.join(asked.hint("merge"), "id", "left_semi"), lambda rows: store_verified(rows, rows.limit(0).select(*[F.lit(None).cast("string").alias(c) for c in ANNOTATION]), results, labels, "append", now)[0])
+    names = [c for c in annotations.read().columns if c != annotations.by]
+    none = annotations.read().limit(0).select(*names)
+    fresh = written(store_verified(samples.read().limit(0), none, results, labels, "append", now)[1].withColumn(annotations.by, by))
+    old = annotations.read().where("source = 'vlm'").join(results.select("sample_id").distinct().hint("merge"), "sample_id", "left_semi")
+    gone = old if mode == "replace" else old.join(fresh.select("id").hint("merge"), "id", "left_semi")
+    gone = written(gone.select("id", annotations.by))
+    touched = fresh.select(annotations.by).union(gone.select(annotations.by))
+    return done, annotations.rewrite(touched, lambda rows: rows.join(gone.select("id").hint("merge"), "id", "left_anti").unionByName(fresh))
+
+
+def upsert_overrides_stored(overrides: Store, changes: DataFrame, by) -> tuple[list[str], DataFrame]:
+    """``upsert_overrides`` in place: (partitions written, rejected changes with reason). ``by`` gives an object's partition from its id."""
+    fresh = written(changes.withColumn(overrides.by, by))
+    accepted = upsert_overrides(fresh.limit(0), fresh)[0]
+    return overrides.rewrite(accepted, lambda rows: upsert_overrides(rows, fresh)[0]), upsert_overrides(fresh.limit(0), fresh)[1]

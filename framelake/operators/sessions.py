@@ -29,14 +29,22 @@ def motion_windows(motion: DataFrame, threshold: float, gap: float | None = 60.0
     return _islands(_islands(spans, ["camera", "_chunk"], gap).drop("_chunk"), ["camera"], gap)
 
 
-def mark_covered(windows: DataFrame, samples: DataFrame, bin_seconds: float = 3600.0) -> DataFrame:
-    """Adds covered: a sample of the camera lies in [start, end]. Both sides meet in time bins of a fixed length, so the
-    range join is an equi-join; a window is in as many bins as it is long."""
-    bins = F.sequence(F.floor(F.col("start") / bin_seconds), F.floor(F.col("end") / bin_seconds))
-    spread = windows.select("camera", "start", "end", F.explode(bins).alias("_bin"))
-    points = samples.where("ts is not null").select("camera", F.col("ts").alias("_ts"), F.floor(F.col("ts") / bin_seconds).alias("_bin")).distinct()
-    hit = spread.join(points.hint("merge"), ["camera", "_bin"]).where("_ts between start and end").select("camera", "start", F.lit(True).alias("covered")).distinct()
-    return windows.join(hit.hint("merge"), ["camera", "start"], "left").withColumn("covered", F.coalesce("covered", F.lit(False)))
+def mark_covered(windows: DataFrame, samples: DataFrame, chunk: float = 86400.0) -> DataFrame:
+    """Adds covered: a sample of the camera lies in [start, end].
+
+    A sweep: windows (at their start) and samples are one sequence per camera, and a window is covered if the next sample at or after its start comes
+    no later than its end. Sequences are cut into chunks of time; of every chunk the first sample is handed to those before. A window is one row, however long.
+    """
+    points = samples.where("ts is not null").select("camera", F.col("ts").cast("double").alias("_sample")).distinct()
+    own = windows.withColumns({"_sample": F.lit(None).cast("double"), "_at": F.col("start").cast("double")})
+    met = own.unionByName(points.withColumn("_at", F.col("_sample")), allowMissingColumns=True).withColumn("_chunk", F.floor(F.col("_at") / chunk))
+    later = Window.partitionBy("camera", "_chunk").orderBy("_at").rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    met = met.withColumn("_next", F.min("_sample").over(later))
+    edges = met.groupBy(F.col("camera").alias("_c"), F.col("_chunk").alias("_k")).agg(F.min("_sample").alias("_first"))
+    following = Window.partitionBy("_c").orderBy("_k").rowsBetween(1, Window.unboundedFollowing)
+    edges = edges.withColumn("_edge", F.min("_first").over(following))
+    out = met.where("_sample is null").join(edges.hint("merge"), (F.col("camera") == F.col("_c")) & (F.col("_chunk") == F.col("_k")), "left")
+    return out.select(*windows.columns, F.coalesce(F.coalesce("_next", "_edge") <= F.col("end"), F.lit(False)).alias("covered")).withColumn("covered", F.col("covered") & F.col("camera").isNotNull())
 
 
 def uncovered(windows: DataFrame) -> DataFrame:

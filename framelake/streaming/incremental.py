@@ -2,23 +2,64 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..lineage import discard, written
 from ..operators import reconcile, sessions
 
 
+#: Bits of a batch's filter for each of its ids, and bits that an id sets.
+FILTER_BITS, FILTER_PROBES = 16, 3
+
+
+def _bit(probe: int, size: Column) -> Column:
+    """The place of an id's ``probe``-th bit in a filter of ``size`` bits, a power of two."""
+    return F.xxhash64(F.lit(probe), "id").bitwiseAND(size - 1)
+
+
+def _filter_of(ids: DataFrame, number: int) -> DataFrame:
+    """(size, cell, bits, _batch): a Bloom filter over the ids of a batch, 64 bits a cell."""
+    n = ids.count()
+    size = F.lit(max(64, 1 << (FILTER_BITS * n - 1).bit_length())).cast("long")
+    at = ids.select(F.explode(F.array(*[_bit(k, size) for k in range(FILTER_PROBES)])).alias("at"))
+    cells = at.groupBy(F.shiftright("at", 6).alias("cell")).agg(F.expr("bit_or(shiftleft(1L, cast(at & 63 as int)))").alias("bits"))
+    return cells.select(size.alias("size"), "cell", "bits", F.lit(number).cast("long").alias("_batch"))
+
+
+def _maybe_known(ids: DataFrame, filters: DataFrame) -> DataFrame:
+    """(id, _batch) of all batches whose filter has all bits of an id: those that hold it, and few others."""
+    sizes = [r[0] for r in filters.select("size").distinct().collect()]  # powers of two
+    probes = [F.struct(F.lit(s).cast("long").alias("size"), F.lit(k).alias("k"), _bit(k, F.lit(s).cast("long")).alias("at")) for s in sizes for k in range(FILTER_PROBES)]
+    asked = ids.select("id", F.explode(F.array(*probes) if probes else F.expr("cast(array() as array<struct<size:bigint,k:int,at:bigint>>)")).alias("p"))
+    asked = asked.select("id", "p.size", "p.k", "p.at", F.shiftright("p.at", 6).alias("cell"))
+    hit = asked.join(filters.hint("merge"), ["size", "cell"]).where(F.expr("bits & shiftleft(1L, cast(at & 63 as int)) <> 0"))
+    return hit.groupBy("id", "_batch").agg(F.count_distinct("k").alias("n")).where(F.col("n") == FILTER_PROBES).select("id", "_batch")
+
+
 def collect_events(spark: SparkSession, stream: DataFrame, target: str, checkpoint: str, delay: str = "1 hour") -> StreamingQuery:
-    """Appends new events (id, ts timestamp, ...) to a Parquet table. Repeats within the watermark are dropped by state,
-    older ones by an anti-join with the table."""
+    """Appends new events (id, ts timestamp, ...) to a Parquet table with a partition for each batch. Repeats within the watermark are dropped by state.
+
+    Older repeats are looked up: every batch leaves a Bloom filter of its ids beside the table, a batch asks these filters first, and reads only the partitions
+    that may hold one of its ids, and of these only the ids. A batch that is run again replaces its own rows and filter.
+    """
     fresh = stream.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["id"])
 
+    def put(df: DataFrame, path: str) -> None:
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(path)
+
     def store(batch: DataFrame, number: int) -> None:
-        known = _table(spark, target, "id string")
-        new = batch.join(known, "id", "left_anti").select(*batch.columns).withColumn("_batch", F.lit(number))
-        # a batch that is run again replaces its own rows
-        new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(target)
+        batch = written(batch.withColumn("_batch", F.lit(number).cast("long")))
+        filters = _table(spark, f"{target}/_filters", "size long, cell long, bits long, _batch long").where(F.col("_batch") != number)
+        maybe = written(_maybe_known(batch.select("id"), filters))
+        numbers = [r[0] for r in maybe.select("_batch").distinct().collect()]
+        known = _table(spark, target, "id string, _batch long").where(F.col("_batch").isin(numbers) if numbers else F.lit(False))
+        known = known.join(maybe.hint("merge"), ["id", "_batch"], "left_semi").select("id")
+        new = written(batch.join(known.hint("merge"), "id", "left_anti").select(*batch.columns))
+        put(new, target)
+        put(_filter_of(new.select("id"), number), f"{target}/_filters")
+        discard(batch, maybe, new)
 
     return fresh.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -550,3 +550,18 @@ def test_ranks_of_a_hot_group_in_many_ranges(spark):
     assert wrong.count() == 0 and out.count() == 20_000 and out.columns == [*df.columns, "place"]
     cut = ranges.cut(df, ["g"], [F.asc("k")]).where("g = 'hot'").groupBy("_part").count().agg(F.max("count"), F.expr("median(count)")).first()
     assert cut[0] <= 2 * cut[1]
+
+
+def test_coverage_equals_all_comparisons(spark):
+    """Windows from an instant to years, with samples at their edges, nulls and strange columns."""
+    rng = random.Random(4)
+    windows = [(rng.choice(["a", "b", None]), s := float(rng.randrange(0, 10_000_000, 50_000)), rng.choice([s, s + 1, s + 90_000, s + 4e7, None]), i) for i in range(300)] + [("a", None, 5.0, 300)]
+    samples = [(rng.choice(["a", "b", "c", None]), rng.choice([None, float(rng.randrange(0, 12_000_000, 50_000)), float(rng.randrange(12_000_000))])) for _ in range(60)]
+    w = spark.createDataFrame(windows, "camera string, start double, end double, _first long")
+    out = sessions.mark_covered(w.withColumnRenamed("_first", "n"), spark.createDataFrame(samples, "camera string, ts double"))
+    got = {r["n"]: r["covered"] for r in out.collect()}
+    assert out.columns == ["camera", "start", "end", "n", "covered"] and len(got) == len(windows)
+    inside = lambda w, s: None not in (*w[:3], *s) and w[0] == s[0] and w[1] <= s[1] <= w[2]
+    assert got == {w[3]: any(inside(w, s) for s in samples) for w in windows}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan
