@@ -15,7 +15,7 @@ from .fmindex import Bits
 
 DEPTH = 4
 #: Rows under the intervals that are extended in one go.
-AT_ONCE = 1 << 19
+AT_ONCE = 1 << 18
 
 
 def _order(text: np.ndarray) -> np.ndarray:

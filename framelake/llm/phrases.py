@@ -146,53 +146,64 @@ def _opened(batches) -> Iterator[tuple[BiIndex, object, object, np.ndarray]]:
             yield BiIndex.from_bytes(batch["data"][i].as_py(), counts), langs, words, keys
 
 
-def _pair_keys(keys: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """40-bit keys of word pairs. They only filter: pairs of equal key are counted together, so none is lost."""
+def _keys(keys: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+    """40-bit keys of phrases. They only filter: phrases of equal key are counted together, so none is lost."""
+    out = keys[symbols[:, 0]]
     with np.errstate(over="ignore"):
-        return mix(keys[first] * _STEP + keys[second]) >> np.uint64(24)
+        for k in range(1, symbols.shape[1]):
+            out = mix(out * _STEP + keys[symbols[:, k]])
+    return out >> np.uint64(24)
+
+
+def _kept(found: Patterns, keys: np.ndarray, known: list[_Filter], front: bool) -> Patterns:
+    """Patterns whose first words (or last), as many as each filter is for, pass it."""
+    for n, one in enumerate(known, 2):
+        if n <= found.symbols.shape[1] and len(found.count):
+            part = found.symbols[:, :n] if front else found.symbols[:, -n:]
+            found = found.where(np.flatnonzero(one.has(_keys(keys, part))))
+    return found
+
+
+def _grown(index: BiIndex, keys: np.ndarray, known: list[_Filter], longest: int) -> Iterator[Patterns]:
+    """Phrases of each length from 2: pairs by extending words to the left, longer ones by turns to the left and to the right, as long as
+    the parts on that side pass the filters."""
+    for block in index.words().blocks():
+        wave = _kept(index.left(block), keys, known, True)
+        for length in range(2, longest + 1):
+            if len(wave.count):
+                yield wave
+            if length < longest:
+                parts = [_kept(index.left(p), keys, known, True) if length % 2 == 0 else _kept(index.right(p), keys, known, False) for p in wave.blocks()]
+                if not parts:
+                    break
+                wave = Patterns(*[np.concatenate(x) for x in zip(*parts)])
+
+
+def _hashed(known, length: int):
+    """(key, n) of all phrases of this length whose shorter parts pass the filters."""
 
+    def rows(batches) -> Iterator:
+        import pyarrow as pa
 
-def _pairs(batches) -> Iterator:
-    import pyarrow as pa
+        for index, _, _, keys in _opened(batches):
+            for found in _grown(index, keys, [x.value for x in known], length):
+                if found.symbols.shape[1] == length:
+                    yield pa.record_batch([pa.array(_keys(keys, found.symbols).view(np.int64)), pa.array(found.count)], ["key", "n"])
 
-    for index, _, _, keys in _opened(batches):
-        for block in index.words().blocks():
-            found = index.left(block)
-            key = _pair_keys(keys, found.symbols[:, 0], found.symbols[:, 1])
-            yield pa.record_batch([pa.array(key.view(np.int64)), pa.array(found.count)], ["key", "n"])
+    return rows
 
 
-def _extended(frequent, longest: int):
-    """(lang, phrase, n): pairs that pass the filter, and what they extend to by further such pairs, to the left first, then in turn."""
+def _named(known, longest: int):
+    """(lang, phrase, n) of the phrases whose parts pass the filters."""
 
     def rows(batches) -> Iterator:
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        known = frequent.value
-
-        def passing(found: Patterns, at: int) -> Patterns:
-            return found.where(np.flatnonzero(known.has(_pair_keys(keys, found.symbols[:, at], found.symbols[:, at + 1]))))
-
-        def named(found: Patterns):
-            langs, words = index_langs.take(pa.array(found.symbols[:, 0] - 1)), [index_words.take(pa.array(found.symbols[:, k] - 1)).cast(pa.string()) for k in range(found.symbols.shape[1])]
-            return pa.record_batch([langs, pc.binary_join_element_wise(*words, " "), pa.array(found.count)], ["lang", "phrase", "n"])
-
-        for index, index_langs, index_words, keys in _opened(batches):
-            for block in index.words().blocks():
-                wave = passing(index.left(block), 0)
-                if not len(wave.count):
-                    continue
-                yield named(wave)
-                todo = [wave]
-                for length in range(3, longest + 1):
-                    after = []
-                    for part in (p for w in todo for p in w.blocks()):
-                        found = passing(index.left(part), 0) if length % 2 else passing(index.right(part), length - 2)
-                        if len(found.count):
-                            yield named(found)
-                            after.append(found)
-                    todo = after
+        for index, langs, words, keys in _opened(batches):
+            for found in _grown(index, keys, [x.value for x in known], longest):
+                parts = [words.take(pa.array(found.symbols[:, k] - 1)).cast(pa.string()) for k in range(found.symbols.shape[1])]
+                yield pa.record_batch([langs.take(pa.array(found.symbols[:, 0] - 1)), pc.binary_join_element_wise(*parts, " "), pa.array(found.count)], ["lang", "phrase", "n"])
 
     return rows
 
@@ -202,9 +213,10 @@ def counted_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST,
 
     1. Words are counted in shards and summed. A filter of the frequent ones goes to all tasks.
     2. Every shard gets an FM-index over its frequent words, in both directions, which is stored.
-    3. All pairs are enumerated by extending words to the left, and summed by a hash; a filter of the frequent hashes goes out.
-    4. Pairs that pass are extended to the left and to the right in turn, as long as the new pair of words passes too. The phrases'
-       counts are summed by their text, so neither the hashes nor the filters can change a count.
+    3. All pairs are enumerated by extending words to the left, and summed by a hash; a filter of the frequent hashes goes out. The same
+       with three words, where both pairs pass.
+    4. Phrases whose parts pass are enumerated to the left and to the right in turn. Their counts are summed by their text, so neither
+       the hashes nor the filters can change a count.
     """
     if longest > LONGEST:
         raise ValueError(f"phrases have at most {LONGEST} words")
@@ -213,13 +225,16 @@ def counted_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST,
     words = stored(named.mapInArrow(_word_counts(shard_words), "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")), "phrases-words")
     known = spark.sparkContext.broadcast(_filter(words.where(F.col("n") >= least).select(F.xxhash64(F.concat("lang", F.lit("\0"), "word")).alias("key"))))
     shards = stored(named.mapInArrow(_indexes(shard_words, known), "langs array<string>, words array<binary>, counts binary, data binary"), "phrases-indexes")
-    pairs = shards.mapInArrow(_pairs, "key long, n long").repartition("key").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("key")
-    pairs = stored(pairs, "phrases-pairs")
-    linked = spark.sparkContext.broadcast(_filter(pairs))
-    found = shards.mapInArrow(_extended(linked, longest), "lang string, phrase string, n long").repartition("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    filters, made = [], [shards]
+    for length in range(2, min(longest, 3) + 1):
+        keys = shards.mapInArrow(_hashed(list(filters), length), "key long, n long").repartition("key").groupBy("key").agg(F.sum("n").alias("n"))
+        keys = stored(keys.where(F.col("n") >= least).select("key"), "phrases-keys")
+        filters.append(spark.sparkContext.broadcast(_filter(keys)))
+        made.append(keys)
+    found = shards.mapInArrow(_named(filters, longest), "lang string, phrase string, n long").repartition("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
     found = stored(found.where(F.col("n") >= least), "phrases-found")
-    discard(shards)
-    discard(pairs)
+    for done in made:
+        discard(done)
     return words, found
 
 
