@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..lineage import written
+from ..operators import ranges
 from .boxes import let
 
 #: Synonyms of the canonical labels.
@@ -79,7 +81,8 @@ def remap_classes(lines: DataFrame, names: DataFrame, classes: DataFrame) -> Dat
 def vocabulary_of(objects: DataFrame, label: str, order: str) -> DataFrame:
     """(label, class_id) in order of first appearance."""
     first = objects.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("label")).agg(F.min(order).alias("_first"))
-    return first.select("label", (F.row_number().over(Window.orderBy("_first", "label")) - 1).alias("class_id"))
+    placed = ranges.ranked(written(first), [], [F.asc("_first"), F.asc("label")], "_place")  # free text may have many labels
+    return placed.select("label", (F.col("_place") - 1).cast("int").alias("class_id"))
 
 
 def json_text(content: Column) -> Column:

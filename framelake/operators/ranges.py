@@ -35,4 +35,4 @@ def ranked(df: DataFrame, group: list[str], order: list[Column], name: str) -> D
     """``df`` with ``name``: the row's place within its group, from 1. ``order`` should be unique: ties go either way."""
     placed = cut(df, group, order)
     own = placed.withColumn("_place", F.row_number().over(Window.partitionBy(*group, "_part").orderBy(*order)))
-    return with_before(own, group, _b=F.lit(1)).withColumn(name, F.col("_place") + F.col("_b")).drop("_place", "_b", "_b_all", "_part")
+    return with_before(own, group, _b=F.lit(1)).select(*df.columns, (F.col("_place") + F.col("_b")).alias(name))

@@ -627,6 +627,15 @@ def j12_unresolved(t):
     return reconcile.unresolved(t.segments.select("object_id").withColumns(keys), cached).select("object_id")
 
 
+@query(f"""WITH {DECIDED} SELECT object_id FROM d WHERE NOT (status IN ('KEEP', 'DROP') AND coalesce(reason, '') <> 'sam_failure' AND regexp_matches(object_id, '[123]$'))""")
+def j12_stale_verdicts(t):
+    """As ``j12_unresolved``, with verdicts that lack both blind fields: those are asked for again, unless the segmenter failed."""
+    keys = {"sample_hash": F.md5("object_id"), "sam_key": F.lit("s"), "vlm_key": F.lit("v"), "pipeline_version": F.lit("1")}
+    ends = lambda n: F.col("object_id").endswith(n)
+    cached = _decisions(t).withColumns({**keys, "error_kind": F.lit("import"), "has_covers": ends("1"), "has_class_label": F.when(~ends("4"), ends("2")), "vlm_error": F.when(ends("3"), "sam")})
+    return reconcile.unresolved(t.segments.select("object_id").withColumns(keys), cached).select("object_id")
+
+
 # --- functions as table jobs
 
 
@@ -702,10 +711,12 @@ def t04_time_buckets(t):
 
 
 @query("""WITH c AS (SELECT *, end_time - start_time AS span, least(5, floor((end_time - start_time) / 10) + 1)::INT AS n FROM {event_feed} WHERE end_time IS NOT NULL),
-f AS (SELECT *, CASE WHEN span <= 0 OR n <= 1 THEN 1 ELSE n END AS k FROM c)
-SELECT id, unnest(range(0, k))::INT AS frame_index FROM f""")
+f AS (SELECT *, CASE WHEN span <= 0 OR n <= 1 THEN 1 ELSE n END AS k FROM c),
+g AS (SELECT *, unnest(range(0, k))::INT AS frame_index FROM f),
+h AS (SELECT *, CASE WHEN frame_index = 0 THEN start_time WHEN frame_index = k - 1 THEN end_time ELSE round(start_time + span * (frame_index / (k - 1)::DOUBLE), 3) END AS moment FROM g)
+SELECT id, frame_index, CASE WHEN moment <> start_time THEN round(moment * 1000)::BIGINT END AS frame_ms FROM h""")
 def p07_plan_frames(t):
-    return feeds.plan_frames(t.event_feed, 5, 10.0).select("id", "frame_index")
+    return feeds.plan_frames(t.event_feed, 5, 10.0).select("id", "frame_index", F.round(F.col("frame_ts") * 1000).cast("long").alias("frame_ms"))
 
 
 @query("""SELECT event_id FROM (SELECT unnest(detections) AS event_id FROM {reviews}) GROUP BY event_id""")
@@ -937,6 +948,14 @@ def f09_objects_to_audit(t):
     return reconcile.objects_to_audit(t.segments, ["person", "dog"], t.segments.where("k % 5 = 0"), 200).select("object_id")
 
 
+@query("""SELECT object_id, image_path FROM {segments} s JOIN {samples} m ON m.id = s.sample_id WHERE feed_label IN ('person', 'dog') AND k % 5 <> 0 AND image_path NOT LIKE '%3.jpg' AND image_path NOT LIKE '%4.jpg'""")
+def f09_decodable_objects(t):
+    """Objects whose image is listed (not those that end in 4) and can be decoded (not those that end in 3)."""
+    objects = t.segments.join(t.samples.select(F.col("id").alias("sample_id"), "image_path").hint("merge"), "sample_id")
+    images = t.samples.where("image_path not like '%4.jpg'").select("image_path", (~F.col("image_path").like("%3.jpg")).alias("decodable")).distinct()
+    return reconcile.objects_to_audit(objects, ["person", "dog"], t.segments.where("k % 5 = 0"), images=images).select("object_id", "image_path")
+
+
 @query(f"""WITH {DECIDED} SELECT count(*) AS n, count(*) FILTER (k.ok AND covers AND trim(vlm_label) <> '' AND vc <> '' AND vc = sc) AS training FROM k""")
 def x04_training_samples(t):
     j = t.segments.join(t.verdicts, "object_id")
@@ -1209,18 +1228,43 @@ def s16_provenance_keys(t):
 def s18_benchmark_file(t):
     from ..sources import files
 
-    return files.parse_benchmark(files.benchmark_text(t.candidates)).select("name", "version", "map50", "recall", "fp_rate", "latency_ms", "cpu_percent")
+    return files.parse_benchmark_lines(files.benchmark_lines(t.candidates).select("value")).select("name", "version", "map50", "recall", "fp_rate", "latency_ms", "cpu_percent")
 
 
 @query(f"""SELECT split, id AS sample_id, row_number() OVER (PARTITION BY split ORDER BY id) - 1 AS place FROM (SELECT id, {SPLIT} AS split FROM (SELECT id, {POINT.format("id")} AS p FROM {{samples}}))""")
 def s19_dataset_lists(t):
-    """Writes a dataset version and reads its split lists back in order of their files."""
+    """Ids of every split in order."""
     from ..sources import files
 
     lists = files.dataset_lists(datasets.split_lists(t.samples.select("id")).withColumnRenamed("id", "sample_id"))
     return lists.select("split", "sample_id", "place")
 
 
+@query(f"""WITH p AS (SELECT *, {SPLIT} AS split FROM (SELECT *, {POINT.format("id")} AS p FROM {{samples}}))
+SELECT split, id AS sample_id, camera, verified, true AS listed, (SELECT count(*) FROM {{samples}}) AS total FROM p UNION ALL SELECT 'classes', 'person', '0', NULL, NULL, NULL UNION ALL SELECT 'classes', 'car', '1', NULL, NULL, NULL UNION ALL SELECT 'classes', 'dog', '2', NULL, NULL, NULL""")
+def s19_dataset_version(t):
+    """Writes a dataset version (manifest, lists, classes, summary) and reads all of it back; a second write is refused."""
+    from pyspark.errors import AnalysisException
+
+    from ..sources import files
+
+    path, _ = _folders(t, "dataset")
+    own = t.samples.select(hashes.assign_split(F.col("id"), datasets.RATIOS, "1").alias("split"), F.col("id").alias("sample_id"), "camera", "verified")
+    summary = t.samples.agg(F.count(F.lit(1)).alias("total"))
+    files.write_dataset(own, summary, path, classes=_class_table(t))
+    try:
+        files.write_dataset(own, summary, path)
+        raise AssertionError("a version was written twice")
+    except AnalysisException:
+        pass
+    read = lambda kind, schema: t.spark.read.schema(schema).json(f"{path}/{kind}")
+    listed = t.spark.read.schema("value string, split string").text(f"{path}/lists").select("split", F.col("value").alias("sample_id"), F.lit(True).alias("listed"))
+    rows = read("manifest", "sample_id string, camera string, verified int, split string").join(listed.hint("merge"), ["split", "sample_id"], "full")
+    rows = rows.select("split", "sample_id", "camera", "verified", "listed").crossJoin(F.broadcast(read("build", "total long")))  # one row
+    names = read("classes", "class_id int, label string").select(F.lit("classes").alias("split"), F.col("label").alias("sample_id"), F.col("class_id").cast("string").alias("camera"), *[F.lit(None).cast(k).alias(c) for c, k in (("verified", "int"), ("listed", "boolean"), ("total", "long"))])
+    return rows.union(names)
+
+
 # --- summaries, indexes and ledgers
 
 

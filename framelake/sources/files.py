@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .. import schemas
 from ..functions import boxes
 from ..lineage import join_counted, written
+from ..operators import ranges
 
 
 def import_coco(files: DataFrame, classes: list[str], class_map: dict[str, str] | None = None, present: DataFrame | None = None, source: str = "external") -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -54,8 +56,8 @@ def parse_audit_manifest(raw: DataFrame, width: int = 1920, height: int = 1080)
     reason = F.when(F.col("o.id").isNull(), "missing_id").when(F.col("o.class_name").isNull(), "missing_class").when(F.col("o.image").isNull(), "missing_image").when(F.col("_copy") > 1, "duplicate_id").otherwise(F.col("bad"))
     out = out.withColumn("reason", reason)
     first = out.where("reason is null").groupBy(F.col("o.class_name").alias("name")).agg(F.min("manifest_index").alias("_f"))
-    order = first.select("name", (F.row_number().over(Window.orderBy("_f", "name")) - 1).alias("seen_id"))
-    good = out.where("reason is null").join(F.broadcast(order), F.col("o.class_name") == F.col("name"))  # one row per class
+    order = ranges.ranked(written(first), [], [F.asc("_f"), F.asc("name")], "_place").select("name", (F.col("_place") - 1).cast("int").alias("seen_id"))
+    good = join_counted(out.where("reason is null"), order, F.col("o.class_name") == F.col("name"))
     root = pick("image_root", "")
     image = F.when(F.length(root) > 0, F.concat_ws("/", root, "o.image")).otherwise(F.col("o.image"))
     objects = good.select(F.col("o.id").alias("object_id"), image.alias("image_path"), F.col("o.class_name").alias("class_name"), F.coalesce(F.element_at("class_map", F.col("o.class_name")), "seen_id").alias("class_id"), "box", "manifest_index", F.col("o.crop_origin").alias("crop_origin"))
@@ -86,9 +88,23 @@ def parse_labels(lines: DataFrame, classes: int) -> DataFrame:
     return out.withColumn("valid", F.coalesce(ok, F.lit(False))).drop("_n")
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line_no from 0, value) of text files, which are read in parts by many tasks, however large one is.
+
+    Lines are numbered within the part of the file where they were read; the parts' counts, added up by offset, do the rest. Lines end
+    with a line feed; the end of the file is no line.
+    """
+    raw = spark.read.option("lineSep", "\n").text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_at"), F.monotonically_increasing_id().alias("_row"))
+    lines = written(raw)
+    parts = lines.groupBy(F.col("file").alias("_f"), F.col("_at").alias("_a")).agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
+    earlier = Window.partitionBy("_f").orderBy("_a").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("_f", "_a", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    met = join_counted(lines, parts, (F.col("file") == F.col("_f")) & (F.col("_at") == F.col("_a")))
+    return met.select("file", (F.col("_before") + F.col("_row") - F.col("_first")).alias("line_no"), "value")
+
+
 def read_labels(spark: SparkSession, path: str, classes: int) -> DataFrame:
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", "\n")).alias("line_no", "value"))
-    return parse_labels(whole, classes)
+    return parse_labels(numbered_lines(spark, path), classes)
 
 
 def write_labels(bodies: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -111,12 +127,17 @@ def append_manifest(existing_rows: DataFrame, rows: DataFrame, allow_overwrite:
 
 def read_class_names(spark: SparkSession, path: str) -> DataFrame:
     """(class_id, label) from ``id: name`` lines of a dataset file, or from plain lines by number."""
-    return parse_class_names(spark.read.text(path, wholetext=True), path.endswith((".yaml", ".yml")))
+    return parse_class_lines(numbered_lines(spark, path).select(F.col("line_no").cast("int").alias("n"), "value"), path.endswith((".yaml", ".yml")))
 
 
 def parse_class_names(texts: DataFrame, keyed_lines: bool) -> DataFrame:
     """(class_id, label) from whole texts (value) with a class a line."""
-    lines = texts.select(F.posexplode(F.split(F.rtrim("value"), "\n")).alias("n", "value")).where("length(trim(value)) > 0")
+    return parse_class_lines(texts.select(F.posexplode(F.split(F.rtrim("value"), "\n")).alias("n", "value")), keyed_lines)
+
+
+def parse_class_lines(numbered: DataFrame, keyed_lines: bool) -> DataFrame:
+    """(class_id, label) from lines (n, value)."""
+    lines = numbered.where("length(trim(value)) > 0")
     keyed = lines.select(F.regexp_extract("value", r"^\s*(\d+):\s*['\"]?(.*?)['\"]?\s*$", 1).try_cast("int").alias("class_id"), F.regexp_extract("value", r"^\s*(\d+):\s*['\"]?(.*?)['\"]?\s*$", 2).alias("label")).where("class_id is not null")
     return keyed if keyed_lines else lines.select(F.col("n").alias("class_id"), F.trim("value").alias("label"))
 
@@ -140,7 +161,7 @@ def parse_decisions(texts: DataFrame) -> DataFrame:
 
 def read_provenance(spark: SparkSession, path: str) -> DataFrame:
     """One record per lookup key: sample_id, and source.sample_id where no record has that key itself; the first line wins."""
-    return parse_provenance(spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("line", "value")))
+    return parse_provenance(numbered_lines(spark, path).select(F.struct("file", "line_no").alias("line"), "value"))
 
 
 def parse_provenance(lines: DataFrame) -> DataFrame:
@@ -160,8 +181,9 @@ def read_curve(spark: SparkSession, path: str) -> DataFrame:
     return curve_cells(raw, raw.columns)
 
 
-def read_benchmark(spark: SparkSession, path: str) -> DataFrame:
-    return parse_benchmark(spark.read.text(path, wholetext=True))
+def read_benchmark(spark: SparkSession, path: str, lines: bool = True) -> DataFrame:
+    """Results of a benchmark file; ``lines`` if it has one result a line, as ``write_benchmark`` writes them, else it is taken as whole texts."""
+    return parse_benchmark_lines(spark.read.text(path)) if lines else parse_benchmark(spark.read.text(path, wholetext=True))
 
 
 def parse_benchmark(texts: DataFrame) -> DataFrame:
@@ -169,14 +191,23 @@ def parse_benchmark(texts: DataFrame) -> DataFrame:
     return texts.select(F.from_json("value", schemas.BENCHMARK)["results"].alias("r")).select(F.inline("r"))
 
 
-def benchmark_text(results: DataFrame) -> DataFrame:
-    """All results as one JSON text (value). A table of models: one result is a few hundred bytes."""
-    return results.agg(F.to_json(F.struct(F.collect_list(F.struct(*results.columns)).alias("results"))).alias("value"))
+def parse_benchmark_lines(lines: DataFrame) -> DataFrame:
+    """Results of lines (value) with one result each, in any order; the object's first and last line have none."""
+    kind = StructType.fromDDL(schemas.BENCHMARK)["results"].dataType.elementType
+    return lines.where("value like '{%}' or value like ',{%}'").select(F.from_json(F.ltrim("value", F.lit(",")), kind).alias("r")).select("r.*")
+
+
+def benchmark_lines(results: DataFrame) -> DataFrame:
+    """(place, value): the lines of one JSON object with all results, one a line, in order of their text; every line but the first result begins with the comma."""
+    each = ranges.ranked(results.select(F.to_json(F.struct(*results.columns)).alias("value")), [], [F.asc("value")], "place")
+    body = each.select("place", F.concat(F.when(F.col("place") > 1, ",").otherwise(""), "value").alias("value"))
+    ends = results.sparkSession.createDataFrame([(0, '{"results": ['), ((1 << 63) - 1, "]}")], "place long, value string")
+    return body.union(ends)
 
 
 def write_benchmark(results: DataFrame, path: str) -> None:
-    """All results as one object; every measure is kept, the processor load too."""
-    benchmark_text(results).coalesce(1).write.mode("overwrite").text(path)
+    """All results as one JSON object over the folder's files in order of their names; every measure is kept, the processor load too."""
+    benchmark_lines(results).repartitionByRange("place").sortWithinPartitions("place").select("value").write.mode("overwrite").text(path)
 
 
 def write_dataset(rows: DataFrame, summary: DataFrame, path: str, overwrite: bool = False, classes: DataFrame | None = None) -> None:

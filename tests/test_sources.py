@@ -132,3 +132,45 @@ def test_dataset_versions_and_exports(spark, tmp_path):
     bodies, lines = files.export_new(objects, objects.where("object_id = 'o3'"))
     assert [tuple(r) for r in bodies.collect()] == [("f1", "0 a\n0 b")] and lines.count() == 2
     assert files.export_new(objects, objects)[0].count() == 0
+
+
+def test_lines_of_a_file_read_in_parts(spark, tmp_path):
+    """One file over many tasks: the same numbers and records as line by line, blank and very long lines too."""
+    rows = [json.dumps({"sample_id": f"s{i % 700}", "source": {"sample_id": f"t{i % 50}"}, "n": i, "pad": "x" * (i % 300)}) for i in range(3000)]
+    rows[7] = rows[8] = ""
+    rows[20] = "{broken"
+    rows[1500] = json.dumps({"sample_id": "long", "n": 1500, "pad": "y" * 200_000})
+    (tmp_path / "a.jsonl").write_text("\n".join(rows) + "\n")
+    (tmp_path / "b.jsonl").write_text("one\n\ntwo")
+    (tmp_path / "c.jsonl").write_text("")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        assert spark.read.text(str(tmp_path / "a.jsonl")).rdd.getNumPartitions() > 20
+        lines = files.numbered_lines(spark, str(tmp_path)).collect()
+        got = {(r["file"][-7:], r["line_no"]): r["value"] for r in lines}
+        assert len(got) == len(lines) and got == {("a.jsonl", i): v for i, v in enumerate(rows)} | {("b.jsonl", i): v for i, v in enumerate(["one", "", "two"])}
+        kept = {r["key"]: json.loads(r["record"])["n"] for r in files.read_provenance(spark, str(tmp_path / "a.jsonl")).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    want = {}
+    for key in ("s", "t"):
+        for v in rows:
+            if v and v != "{broken":
+                r = json.loads(v)
+                name = r["sample_id"] if key == "s" else r.get("source", {}).get("sample_id")
+                if name:
+                    want.setdefault(name, r["n"])
+    assert kept == want
+
+
+def test_benchmark_lines_are_one_object(spark, tmp_path):
+    rows = [(f"m{i:03d}", "v1", i / 100, None) for i in range(150)] + [("m000", "v1", 0.0, None)]
+    for n in (151, 1, 0):
+        df = spark.createDataFrame(rows[:n], "name string, version string, map50 double, recall double").repartition(3)
+        files.write_benchmark(df, str(tmp_path / f"out{n}"))
+        whole = "".join(p.read_text() for p in sorted((tmp_path / f"out{n}").glob("part-*")))
+        assert sorted(r["name"] for r in json.loads(whole)["results"]) == sorted(r[0] for r in rows[:n])
+        assert sorted(r["name"] for r in files.read_benchmark(spark, str(tmp_path / f"out{n}")).collect()) == sorted(r[0] for r in rows[:n])
+        (tmp_path / f"whole{n}.json").write_text(whole)
+        assert files.read_benchmark(spark, str(tmp_path / f"whole{n}.json"), lines=False).count() == n
