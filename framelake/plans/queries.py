@@ -752,13 +752,14 @@ def _stored(t: Tables, name: str, by: str, column) -> store.Store:
     return out
 
 
-MONTH = F.substring("created_at", 1, 7)
+def _month():
+    return F.substring("created_at", 1, 7)
 
 
 @query("""SELECT id, camera, CASE WHEN image_path LIKE '%7.jpg' THEN 'bad' ELSE quality END AS quality, substr(created_at, 1, 7) AS month, 2 AS version FROM {samples}""")
 def m01_stored_quality(t):
     """Samples by month; a verdict is set for a batch, which rewrites the batch's months only."""
-    samples = _stored(t, "samples", "month", MONTH)
+    samples = _stored(t, "samples", "month", _month())
     ledger.set_quality_stored(samples, t.samples.where("image_path like '%7.jpg'"), "bad")
     ledger.set_quality_stored(samples, t.samples.where("image_path like '%7.jpg'"), "bad")  # nothing is left to write
     return samples.read().select("id", "camera", "quality", "month", F.lit(samples.version()).alias("version"))
@@ -770,11 +771,11 @@ UNION ALL SELECT concat(id, '-vlm-2030-01-01T00:00:00-', n), id, 'vlm', CASE n W
 UNION ALL SELECT id, NULL, status, camera, CASE WHEN camera IN ('cam3', 'cam4') THEN 1 ELSE verified END, substr(created_at, 1, 7) FROM {samples}""")
 def m02_stored_verified(t):
     """Verification results replace earlier ones of their samples; both tables are read back whole."""
-    samples, annotations = _stored(t, "samples", "month", MONTH), _stored(t, "annotations", "month", MONTH)
+    samples, annotations = _stored(t, "samples", "month", _month()), _stored(t, "annotations", "month", _month())
     box = [F.lit(v).alias(n) for n, v in (("x1", 0.1), ("y1", 0.1), ("x2", 0.2), ("y2", 0.2), ("confidence", 0.9))]
     results = t.samples.where("camera in ('cam3', 'cam4')").select(F.col("id").alias("sample_id"), F.array(*[F.struct(F.lit(x).alias("label"), *box) for x in ("car", "dog")]).alias("objects"))
     for _ in range(2):
-        ledger.store_verified_stored(samples, annotations, results, None, "replace", "2030-01-01T00:00:00", MONTH)
+        ledger.store_verified_stored(samples, annotations, results, None, "replace", "2030-01-01T00:00:00", _month())
     rows = annotations.read().select("id", "sample_id", "source", "label", "verified", "month")
     return rows.union(samples.read().select("id", F.lit(None).cast("string"), "status", "camera", "verified", "month"))
 
@@ -783,7 +784,7 @@ def m02_stored_verified(t):
 UNION ALL SELECT id, event_id, 'sample', camera, substr(created_at, 1, 7) FROM {samples} WHERE NOT event_id LIKE '%7'""")
 def m04_stored_delete(t):
     """Samples and annotations by month; events are deleted from both, and both are read back whole."""
-    samples, annotations = _stored(t, "samples", "month", MONTH), _stored(t, "annotations", "month", MONTH)
+    samples, annotations = _stored(t, "samples", "month", _month()), _stored(t, "annotations", "month", _month())
     ledger.delete_events_stored(samples, annotations, t.samples.where("event_id like '%7'"))
     left = annotations.read().select("id", "event_id", F.lit("annotation").alias("kind"), "label", "month")
     return left.union(samples.read().select("id", "event_id", F.lit("sample"), "camera", "month"))
@@ -948,7 +949,7 @@ def f09_objects_to_audit(t):
     return reconcile.objects_to_audit(t.segments, ["person", "dog"], t.segments.where("k % 5 = 0"), 200).select("object_id")
 
 
-@query("""SELECT object_id, image_path FROM {segments} s JOIN {samples} m ON m.id = s.sample_id WHERE feed_label IN ('person', 'dog') AND k % 5 <> 0 AND image_path NOT LIKE '%3.jpg' AND image_path NOT LIKE '%4.jpg'""")
+@query("""SELECT object_id, image_path FROM {segments} s JOIN {samples} m ON m.id = s.sample_id WHERE s.feed_label IN ('person', 'dog') AND k % 5 <> 0 AND image_path NOT LIKE '%3.jpg' AND image_path NOT LIKE '%4.jpg'""")
 def f09_decodable_objects(t):
     """Objects whose image is listed (not those that end in 4) and can be decoded (not those that end in 3)."""
     objects = t.segments.join(t.samples.select(F.col("id").alias("sample_id"), "image_path").hint("merge"), "sample_id")
