@@ -46,3 +46,11 @@ def join_counted(left: DataFrame, right: DataFrame, on, how: str = "inner") -> D
     """Joins a table that is small by nature but comes from data: it is written and counted, and broadcast only if it is small."""
     right = written(right)
     return left.join(right.hint("broadcast" if right.count() <= BROADCAST_ROWS else "merge"), on, how)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores, for work that is long for its bytes: a shuffle ahead of it where the input has fewer files than there are cores, else ``df`` itself."""
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 0 < len(df.inputFiles()) < cores else df

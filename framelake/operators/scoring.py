@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions import boxes, labels
+from ..lineage import spread
 
 NUMBER = r"(BIGINT|DOUBLE|DECIMAL\(\d+,\d+\)|INT|SMALLINT|TINYINT|FLOAT)"
 
@@ -22,7 +23,7 @@ def parse_detections(responses: DataFrame, content: str = "content", allowed: li
     is a transport failure. The messages, five at most, are (item, problem): keys_or_types, label, confidence, bbox.
     """
     # each step is a column of its own, so that a text is parsed once and an item taken apart once
-    out = responses.withColumn("_text", labels.json_text(F.col(content))).withColumn("_v", F.try_parse_json("_text"))
+    out = spread(responses).withColumn("_text", labels.json_text(F.col(content))).withColumn("_v", F.try_parse_json("_text"))
     out = out.withColumns({"_kind": F.schema_of_variant("_v"), "_keys": F.map_keys(F.try_variant_get("_v", "$", "map<string,variant>"))})
     listed = F.col("_kind").startswith("ARRAY")
     alone = F.coalesce((F.size("_keys") == 1) & F.array_contains("_keys", "objects"), F.lit(False))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import ranges
+
 
 def _islands(spans: DataFrame, keys: list[str], gap: float) -> DataFrame:
     """Merges spans (start, end, peak_motion, buckets) whose start lies within ``gap`` of the latest end before."""
@@ -67,10 +69,11 @@ def store_windows(stored: DataFrame, found: DataFrame) -> DataFrame:
 def until_failure_streak(responses: DataFrame, run: str, order: list[str], failed: str, streak: int, chunk: Column | None = None) -> DataFrame:
     """Rows of each run up to and with its ``streak``-th failure in a row; later ones are left untouched.
 
-    ``chunk`` is an expression that never falls along ``order`` (a part of the time, say). Streaks are counted within its values, so a
-    run with most of the rows is spread over its chunks; only the chunks' totals meet by run, with the streak that each one inherits.
+    ``chunk`` is an expression that never falls along ``order`` (a part of the time, say), by default equi-depth ranges of it. Streaks are counted
+    within its values, so a run with most of the rows is spread over its chunks; only the chunks' totals meet by run, with the streak that each one inherits.
     """
-    out = responses.withColumns({"_bad": F.coalesce(F.col(failed).cast("int"), F.lit(0)), "_chunk": F.lit(0) if chunk is None else chunk})
+    placed = ranges.cut(responses, [run], [F.asc(c) for c in order]) if chunk is None else responses
+    out = placed.withColumns({"_bad": F.coalesce(F.col(failed).cast("int"), F.lit(0)), "_chunk": F.col("_part") if chunk is None else chunk})
     own = Window.partitionBy(run, "_chunk").orderBy(*order)
     upto = own.rowsBetween(Window.unboundedPreceding, 0)
     out = out.withColumns({"_n": F.row_number().over(own), "_g": F.sum(1 - F.col("_bad")).over(upto)})

@@ -565,3 +565,20 @@ def test_coverage_equals_all_comparisons(spark):
     assert got == {w[3]: any(inside(w, s) for s in samples) for w in windows}
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "Generate" not in plan
+
+
+def test_one_run_with_all_rows_is_cut_into_ranges(spark):
+    rng = random.Random(12)
+    rows = [("r", i, rng.random() < 0.55) for i in range(4000)] + [("q", i, i % 3 > 0) for i in range(50)]
+    df = spark.createDataFrame(rows, "run string, n int, failed boolean").repartition(5)
+    for streak in (3, 12, 60):
+        want = []
+        for run in "rq":
+            bad = 0
+            for r in [x for x in rows if x[0] == run]:
+                want.append(r[:2])
+                bad = bad + 1 if r[2] else 0
+                if bad == streak:
+                    break
+        got = sessions.until_failure_streak(df, "run", ["n"], "failed", streak)
+        assert got.columns == df.columns and sorted((r["run"], r["n"]) for r in got.collect()) == sorted(want)
