@@ -55,6 +55,11 @@ def decide(objects: DataFrame, segments: DataFrame, verdicts: DataFrame, vocabul
     """
     fields = ["object_id", "seg_class", "seg_box", "seg_area", *([geometry] if geometry else [])]
     joined = objects.join(segments.select(*fields), "object_id", "left").join(verdicts.select("object_id", "covers", "vlm_label", "vlm_error"), "object_id", "left")
+    return decide_joined(joined, vocabulary, gates, geometry)
+
+
+def decide_joined(joined: DataFrame, vocabulary: list[str] | None = None, gates: Gates = Gates(), geometry: str | None = None) -> DataFrame:
+    """``decide`` where every object's segment and verdict stand in its row, null if missing."""
     valid = segment_is_valid(F.col("seg_class"), F.col("seg_box"), F.col("seg_area"))
     absent = F.col("covers").isNull() | F.col("vlm_label").isNull()
     a, b = labels.canonical_label(F.col("vlm_label"), vocabulary), labels.canonical_label(F.col("seg_class"), vocabulary)

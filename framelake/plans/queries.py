@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import boxes, hashes, labels, times
 from ..operators import datasets, dedup, evaluate, ledger, nearhash, pool, reconcile, scoring, sessions, store
-from ..lineage import shared_folder, written
+from ..lineage import discard, shared_folder, written
 from ..sources import feeds
-from ..streaming import incremental
+from ..streaming import audit, incremental
 from .views import duck_sql, spark_view
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -1403,3 +1403,27 @@ def r03_audit_objects(t):
         feed = _stream(t, "orders").select(F.concat(F.lit("a"), "o_orderkey", F.lit("-1")).alias("object_id"), *[F.lit(v).alias(k) for k, v in keys.items()])
         incremental.audit_objects(t.spark, feed, segments, t.verdicts, target, checkpoint, vocabulary=["person", "car", "dog", "cat"]).awaitTermination()
     return t.spark.read.schema("object_id string, status string, reason string").parquet(target).drop("_batch")
+
+
+@query(f"""WITH {DECIDED} SELECT a.id AS object_id, coalesce(d.status, 'DROP') AS status, CASE WHEN d.object_id IS NULL THEN 'sam_failure' ELSE reason END AS reason,
+ CASE WHEN d.object_id IS NULL OR (d.status = 'PENDING' AND a.id LIKE '%1') THEN 1 ELSE 0 END AS attempt, substr(a.created_at, 1, 7) AS day FROM {{annotations}} a LEFT JOIN d ON d.object_id = a.id""")
+def r03_audit_states(t):
+    """Objects, segments and verdicts as three streams, the verdicts in two parts with a restart between them. An object without a segment is decided by its timer in
+    the second run, in which those that are pending since the first are tried again. Objects are stored by month."""
+    target, checkpoint = _folders(t, "audit")
+    objects = written(t.annotations.select(F.col("id").alias("object_id"), F.col("label").alias("feed_label"), F.substring("created_at", 1, 7).alias("day")))
+    segments = written(t.segments.select("object_id", "seg_class", boxes.box("x1", "y1", "x2", "y2").alias("seg_box"), F.col("seg_area").cast("double").alias("seg_area")))
+    verdicts, folder = t.verdicts, _folders(t, "verdicts")[0]
+    keys = {k: F.lit("1") for k in ("sample_hash", "sam_key", "vlm_key", "pipeline_version")}
+    at = F.lit("2024-01-01 00:00:00").cast("timestamp")
+
+    def feed(df, path):
+        return t.spark.readStream.schema(df.schema).parquet(path).withColumn("at", at)
+
+    for first in (True, False):
+        part = F.col("object_id").like("%1")
+        verdicts.where(part if first else ~part).write.mode("append").parquet(folder)
+        streams = feed(objects, objects.written_path).withColumns(keys), feed(segments, segments.written_path), feed(verdicts, folder)
+        audit.audit_states(t.spark, *streams, target, checkpoint, "1 millisecond", ["person", "car", "dog", "cat"]).awaitTermination()
+    discard(objects, segments)
+    return store.Store(t.spark, target, "day").read().select("object_id", "status", "reason", "attempt", "day")

@@ -1,4 +1,5 @@
 import json
+import time
 
 from framelake.functions import boxes
 from framelake.operators import sessions
@@ -90,3 +91,42 @@ def test_filters_never_miss(spark):
     assert found.where("_batch = 4").count() == 3000 and found.where("_batch = 5").count() == 0 and 10 <= found.where("_batch = 6").count() < 400
     strangers = ids.select(F.concat(F.lit("x"), "id").alias("id"))
     assert incremental._maybe_known(strangers, filters.where("_batch = 4")).count() < 100
+
+
+def test_audit_states_keep_one_row_an_object(spark, tmp_path):
+    """Evidence in any order, restarts between the files, retries of a verdict that failed in transport, and a timer for what never comes."""
+    from framelake.operators.store import Store
+    from framelake.streaming import audit
+
+    fields = {"sample_hash": "h", "sam_key": "s", "vlm_key": "v", "pipeline_version": "1", "feed_label": "car"}
+    at = "2024-01-01T00:00:00Z"
+    target, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
+
+    def object_(i, **other):
+        return {"kind": "object", "object_id": i, "at": at, "day": f"2024-01-0{1 + (i == 'b')}", **fields, **other}
+
+    def segment(i, area=5):
+        return {"kind": "segment", "object_id": i, "at": at, "seg_class": "car", "seg_box": {"x1": 0.1, "y1": 0, "x2": 1, "y2": 1}, "seg_area": area}
+
+    def verdict(i, label="car", error=None, at=at):
+        return {"kind": "verdict", "object_id": i, "at": at, "covers": None if error else True, "vlm_label": None if error else label, "vlm_error": error}
+
+    def go(number, *rows):
+        put(tmp_path / "in", f"{number}.json", rows)
+        feed = spark.readStream.schema(f"kind string, object_id string, at timestamp, day string, {audit.OBJECT}, {audit.SEGMENT}, {audit.VERDICT}").json(str(tmp_path / "in"))
+        audit.audit_states(spark, *[feed.where(F.col("kind") == k) for k in audit.PARTS], target, checkpoint, "1 second").awaitTermination()
+        time.sleep(1.2)
+        return {r["object_id"]: (r["status"], r["reason"], r["attempt"]) for r in Store(spark, target, "day").read().collect()}
+
+    first = go(1, verdict("a"), object_("a"), segment("a"), object_("b"), segment("b"), verdict("b", error="transport"), segment("c"), object_("d"), object_("d"), segment("f", 0), object_("f"), object_(None))
+    assert first == {"a": ("KEEP", None, 0), "b": ("PENDING", "vlm_failure", 0), "f": ("DROP", "sam_failure", 0)}
+    files = Store(spark, target, "day").files()
+    second = go(2, object_("a"), verdict("a", "dog"), object_("c"), verdict("c", "dog"))
+    assert second == first | {"b": ("PENDING", "vlm_failure", 1), "c": ("DROP", "vlm_conditions", 0), "d": ("DROP", "sam_failure", 1)}
+    third = go(3, verdict("b", at="2024-01-02T00:00:00Z"), segment("d"), verdict("d"))
+    assert third == second | {"b": ("KEEP", None, 1)}
+    kept = {f for f in Store(spark, target, "day").files() if "day=2024-01-01" in f}
+    assert kept and not kept & files
+    fourth = go(4, object_("a", sample_hash="new", at="2024-01-03T00:00:00Z"), segment("a"), verdict("a", "dog"))
+    assert fourth == third | {"a": ("DROP", "vlm_conditions", 0)}
+    assert kept - {f for f in Store(spark, target, "day").files()} and len(Store(spark, target, "day").read().collect()) == len(fourth)
