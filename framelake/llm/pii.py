@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
@@ -61,6 +62,23 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
             at = text.find("@", at + 1)
 
 
+def _apart(added: list, found: list) -> list:
+    """The added spans that overlap no found one: of the found ones, joined where they meet, the last that starts before a span's end decides."""
+    starts, ends = [], []
+    for a, b in sorted((a, b) for _, a, b, _ in found):
+        if ends and a <= ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+
+    def free(span) -> bool:
+        k = bisect_left(starts, span[2])
+        return not k or ends[k - 1] <= span[1]
+
+    return [x for x in added if free(x)]
+
+
 def find_spans(text: str | None) -> list[tuple[str, int, int, float, bool]]:
     """(kind, start, end, score, checksum passed) in code points, by kind and start. Null text has none."""
     if not text:
@@ -82,9 +100,8 @@ def find_spans(text: str | None) -> list[tuple[str, int, int, float, bool]]:
     added += short
     if "-" in text or " " in text:
         added += [("local_phone", m.start(), m.end(), False) for m in LOCAL_PHONE.finditer(text)]
-    taken = [(a, b) for _, a, b, _ in found]
     out = []
-    for kind, a, b, ok in found + [x for x in added if not any(x[1] < e and s < x[2] for s, e in taken)]:
+    for kind, a, b, ok in found + _apart(added, found):
         words = set(_WORD.findall(text[max(0, a - CONTEXT) : b + CONTEXT].lower()))
         score = PRIOR[kind] + 0.2 * bool(words.intersection(NEAR[kind])) - 0.2 * bool(words.intersection(AGAINST)) + 0.1 * ok
         if kind in BASE or score >= THRESHOLD:

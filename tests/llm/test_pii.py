@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 from framelake.llm import pii
 from hypothesis import given, settings
@@ -52,6 +53,26 @@ def test_long_texts_take_linear_time():
     assert len(pii.find_spans("a" * 100_000 + "@b.c")) == 1
 
 
+def overlaps_by_pairs(added, found):
+    return [x for x in added if not any(x[1] < e and s < x[2] for _, s, e, _ in found)]
+
+
+SPAN = st.tuples(st.integers(0, 60), st.integers(1, 20)).map(lambda x: ("k", x[0], x[0] + x[1], False))
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(SPAN, max_size=12), st.lists(SPAN, max_size=12))
+def test_added_spans_stand_apart_from_found_ones(added, found):
+    assert pii._apart(added, found) == overlaps_by_pairs(added, found)
+
+
+def test_long_contact_lists_take_linear_time():
+    line = "write to someone@example.org or call (017) 555-5036 now\n"
+    started = time.perf_counter()
+    spans = pii.find_spans(line * (2_000_000 // len(line)))
+    assert len(spans) == 2 * (2_000_000 // len(line)) and time.perf_counter() - started < 10
+
+
 def test_query_rows(messy, strange, empty):
     from pyspark.sql import functions as F
 
