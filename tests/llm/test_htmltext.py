@@ -79,6 +79,56 @@ def test_text_without_spaces_is_judged_by_length_and_links():
     assert htmltext.main_text(f"<ul><li><a href=x>{russian}</a></li></ul><p>{russian}</p>") == russian
 
 
+TWO = f"<h1>Title</h1><p>{STORY} {STORY}</p><p>{STORY} {STORY}</p>"
+TEXT = f"Title\n{STORY} {STORY}\n{STORY} {STORY}"
+MENU = '<nav><a href=x>Home</a></nav><div class="menu">Menu</div>'
+
+
+@pytest.mark.parametrize("open_, close", [
+    ("<form action=x>", "</form>"), ('<form><div id="aspnet">', "</div></form>"), ('<div id="page" class="menu-closed">', "</div>"), ('<div class="sidebar-right">', "</div>"),
+    ('<div class="post comments-open">', "</div>"), ('<div class="post comments-open"><div class="sidebar-right"><form>', "</form></div></div>"),
+])
+def test_wrapped_pages_keep_their_text(open_, close):
+    inner = f'{MENU}%s<section id="comments"><p>{STORY} {STORY}</p></section><aside><p>{STORY} {STORY}</p></aside><footer>{STORY} {STORY}</footer>'
+    for body in (TWO, f"<article>{TWO}</article>"):
+        assert htmltext.main_text(f"<body>{open_}{inner % body}{close}</body>") == TEXT
+    # the mark counts where the page has its text elsewhere
+    for body in (f"<div>{TWO}</div>", f"<article>{TWO}</article>"):
+        assert htmltext.main_text(f'<body>{body}{open_}<p>{STORY} {STORY}</p>{close}</body>') == TEXT
+
+
+def test_deeply_wrapped_pages_take_linear_time():
+    assert htmltext.main_text('<div class="menu-x">' * 20_000 + TWO) == TEXT
+
+
+def test_adverts_and_unseen_parts_of_an_article():
+    for part in (
+        '<div class="google-ad">Buy it now</div>', '<div class="adsbygoogle">Buy it now</div>', '<div style="color:red; display:none">Not seen</div>', '<ol class="commentlist"><li>Nice one</li></ol>',
+        '<p><span class="advertisement">Buy <span>it</span> now</span></p>', '<p><span style="visibility: hidden">Not seen</span></p>', "<p><b hidden>Not seen</b></p>",
+    ):
+        assert htmltext.main_text(f"<article>{TWO}{part}<p>{STORY}</p></article>") == f"{TEXT}\n{STORY}"
+    assert htmltext.main_text(f'<article><p>{STORY} <span class="promo">Buy it<p>{STORY}</article>') == f"{STORY}\n{STORY}"
+    assert htmltext.main_text(f'<article><p>{STORY}</p><pre><span class="token comment"># kept</span> x</pre></article>') == f"{STORY}\n# kept x"
+
+
+def test_link_lists_in_an_article():
+    links = "".join(f"<li><a href=/{k}>Another story {k}</a></li>" for k in range(3))
+    assert htmltext.main_text(f"<article>{TWO}<h3>More stories</h3><ul>{links}</ul><p>{STORY}</p><h3>End</h3></article>") == f"{TEXT}\n{STORY}\nEnd"
+    names = "Alpha 1, Beta 2, Gamma 3, Delta 4, Epsilon 5, Zeta 6, Eta 7, Theta 8, Iota 9, Kappa 10"
+    # without stop words a block goes by its neighbours
+    assert htmltext.main_text(f"<article>{TWO}<ul>{links}</ul><p>{names}</p><ul>{links}</ul></article>") == TEXT
+    assert htmltext.main_text(f"<article>{TWO}<p>{names}</p><ul>{links}</ul></article>") == f"{TEXT}\n{names}"
+    assert htmltext.main_text(f"<article>{TWO}<p><a href=x>One source</a></p><p>Short.</p></article>") == f"{TEXT}\nOne source\nShort."
+    assert htmltext.main_text(f"<article><ul>{links}</ul></article>").count("\n") == 2
+
+
+def test_short_paragraphs_without_an_article():
+    said = [f"It was {k} in the hall, and he was not with her." for k in range(30)]
+    page = f"<body>{MENU}<ul><li>Red 1</li><li>Blue 2</li></ul><hr>{''.join(f'<p>{x}</p>' for x in said)}</body>"
+    assert set(said) <= set(htmltext.main_text(page).split("\n"))
+    assert htmltext.main_text("<ul>" + "".join(f"<li>Model {k} 4 GB black</li>" for k in range(30)) + "</ul>") == ""
+
+
 class Plain(HTMLParser):
     """The article's blocks by the standard library's parser, for pages that mark all their boilerplate by tag or class."""
 
