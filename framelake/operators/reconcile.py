@@ -138,9 +138,9 @@ def index_labels(decisions: DataFrame) -> DataFrame:
 
 def audit_index(decisions: DataFrame, status=None, label=None, limit: int = 100, offset: int = 0) -> DataFrame:
     """The decision index as one row: the page of matching decisions by object_id, their total, the statistics of all decisions, the
-    labels and the newest update. The page holds ``limit`` decisions; statistics have a row per label."""
+    labels and the newest update. The page holds ``limit`` decisions, 1 to 200; statistics have a row per label."""
     found = decision_index(decisions, status, label)
-    page = found.orderBy("object_id").offset(offset).limit(limit).agg(F.sort_array(F.collect_list(F.struct("object_id", "feed_label", "status", "reason"))).alias("page"))
+    page = found.orderBy("object_id").offset(max(0, offset)).limit(min(200, max(1, limit))).agg(F.sort_array(F.collect_list(F.struct("object_id", "feed_label", "status", "reason"))).alias("page"))
     statistics = audit_statistics(decisions)
     nested = statistics.agg(F.sort_array(F.collect_list(F.struct(*statistics.columns))).alias("statistics"))
     parts = [found.agg(F.count(F.lit(1)).alias("total")), nested, index_labels(decisions)]

@@ -460,11 +460,13 @@ def e02_average_precision(t):
     return ap.select("candidate", "label", "threshold", "n_truths", F.round(F.col("ap") * 1000000).cast("long").alias("ap_millionths"))
 
 
-@query(f"""WITH {AP}, c AS (SELECT candidate, label, count(truth_id) AS tp, count(*) AS np FROM m WHERE threshold = 0.5 GROUP BY ALL)
-SELECT coalesce(c.candidate, n.candidate) AS candidate, coalesce(c.label, n.label) AS label, CASE WHEN n_truths > 0 THEN coalesce(tp, 0) ELSE 0 END AS tp,
- CASE WHEN n_truths > 0 THEN coalesce(np - tp, 0) ELSE 0 END AS fp, coalesce(n_truths, 0) AS n_truths FROM c FULL JOIN n ON c.candidate = n.candidate AND c.label = n.label""")
+@query(f"""WITH {AP}, c AS (SELECT candidate, label, count(truth_id) AS tp, count(*) AS np FROM m WHERE threshold = 0.5 GROUP BY ALL),
+counted AS (SELECT coalesce(c.candidate, n.candidate) AS candidate, coalesce(c.label, n.label) AS label, CASE WHEN n_truths > 0 THEN coalesce(tp, 0) ELSE 0 END AS tp,
+ CASE WHEN n_truths > 0 THEN coalesce(np - tp, 0) ELSE 0 END AS fp, coalesce(n_truths, 0) AS n_truths FROM c FULL JOIN n ON c.candidate = n.candidate AND c.label = n.label),
+rated AS (SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END AS precision, CASE WHEN n_truths > 0 THEN tp / n_truths ELSE 0 END AS recall FROM counted)
+SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0 END AS f1 FROM rated""")
 def e03_class_metrics(t):
-    return evaluate.class_metrics(t.predictions, t.truths, _matches(t)).select("candidate", "label", "tp", "fp", "n_truths")
+    return evaluate.class_metrics(t.predictions, t.truths, _matches(t)).select("candidate", "label", "tp", "fp", "n_truths", "precision", "recall", "f1")
 
 
 @query(f"""WITH {AP}, c AS (SELECT m.candidate, count(m.truth_id) AS tp, count(*) AS np FROM m JOIN n ON n.candidate = m.candidate AND n.label = m.label WHERE threshold = 0.5 GROUP BY ALL),
@@ -477,11 +479,11 @@ def e04_evaluate(t):
     return out.select("candidate", "tp", "fp", "n_truths", "precision", "recall", F.round(F.col("map50") * 1000000).cast("long").alias("map50_millionths"))
 
 
-@query(f"""WITH {MATCHED} SELECT t1.candidate, count(*) AS small_truths, count(h.truth_id) AS small_found FROM {{truths}} t1
+@query(f"""WITH {MATCHED} SELECT t1.candidate, count(*) AS small_truths, count(h.truth_id) AS small_found, count(h.truth_id) / count(*) AS small_recall FROM {{truths}} t1
 LEFT JOIN (SELECT DISTINCT candidate, truth_id FROM m WHERE threshold = 0.5 AND truth_id IS NOT NULL) h ON h.candidate = t1.candidate AND h.truth_id = t1.truth_id
 WHERE (x2 - x1) * (y2 - y1) < 0.0025 GROUP BY t1.candidate""")
 def e05_small_recall(t):
-    return evaluate.small_recall(t.truths, _matches(t)).select("candidate", "small_truths", "small_found")
+    return evaluate.small_recall(t.truths, _matches(t)).select("candidate", "small_truths", "small_found", "small_recall")
 
 
 @query(f"""WITH {AP}, c AS (SELECT m.candidate, count(m.truth_id) AS tp, count(*) AS np FROM m JOIN n ON n.candidate = m.candidate AND n.label = m.label WHERE threshold = 0.5 GROUP BY ALL),
@@ -548,9 +550,11 @@ def w08_latest_deployment(t):
 
 
 @query("""WITH c AS (SELECT run, epoch, CASE WHEN isfinite(v) THEN v END AS v FROM (SELECT run, epoch, try_cast(nullif(map50, '') AS DOUBLE) AS v FROM {curves}))
-SELECT run, max(v) AS best_map50, count(DISTINCT epoch) AS epochs, regexp_extract(run, '^(.*)-([^-]*)$', 1) AS model, regexp_extract(run, '^(.*)-([^-]*)$', 2) AS tag FROM c GROUP BY run""")
+SELECT run, max(v) AS best_map50, count(DISTINCT epoch) AS epochs, regexp_extract(run, '^(.*)-([^-]*)$', 1) AS model, regexp_extract(run, '^(.*)-([^-]*)$', 2) AS tag,
+ first(v ORDER BY epoch DESC, v DESC) FILTER (v IS NOT NULL) AS latest_map50, first(epoch ORDER BY v DESC, epoch) FILTER (v IS NOT NULL) AS best_epoch, bool_or(epoch > 40) AS has_weights FROM c GROUP BY run""")
 def a09_training_index(t):
-    return pool.training_index(pool.curve_cells(t.curves, ["map50"])).select("run", "best_map50", "epochs", "model", "tag")
+    """Runs that reached their fortieth epoch have weights."""
+    return pool.training_index(pool.curve_cells(t.curves, ["map50"]), t.curves.where("epoch > 40").select("run"))
 
 
 # --- reconciliation
@@ -594,14 +598,16 @@ def _statistics(t: Tables) -> DataFrame:
     return reconcile.audit_statistics(reconcile.apply_overrides(_decisions(t), t.overrides))
 
 
-@query(f"""WITH {STATS} SELECT label, overall::INT AS overall, processed, accepted, dropped, pending, sam_ok, sam_fail, vlm_calls, vlm_fail FROM s""")
+@query(f"""WITH {STATS} SELECT label, overall::INT AS overall, processed, accepted, dropped, pending, sam_ok, sam_fail, vlm_calls, vlm_fail, pending AS vlm_transport,
+ round(accepted / processed, 4) AS acceptance_rate FROM s""")
 def x08_audit_statistics(t):
-    return _statistics(t).select("label", F.col("overall").cast("int").alias("overall"), "processed", "accepted", "dropped", "pending", "sam_ok", "sam_fail", "vlm_calls", "vlm_fail")
+    return _statistics(t).withColumn("overall", F.col("overall").cast("int"))
 
 
-@query(f"""WITH {STATS} SELECT unnest([0, 1, 2, 3]) AS step, unnest([processed, sam_ok, vlm_calls + vlm_fail, accepted]) AS n FROM s WHERE overall = 1""")
+@query(f"""WITH {STATS}, f AS (SELECT processed, unnest([0, 1, 2, 3]) AS step, unnest(['candidates', 'segment_ok', 'vlm_parsed', 'kept']) AS stage, unnest([processed, sam_ok, vlm_calls + vlm_fail, accepted]) AS n FROM s WHERE overall = 1)
+SELECT step, stage, n, 100 * n / processed AS percent FROM f""")
 def x15_funnel(t):
-    return reconcile.funnel(_statistics(t)).select("step", "n")
+    return reconcile.funnel(_statistics(t))
 
 
 @query(f"""WITH {STATS} SELECT label, processed, accepted / processed::DOUBLE AS accepted_share, dropped / processed::DOUBLE AS dropped_share, pending / processed::DOUBLE AS pending_share FROM s WHERE overall = 0""")
@@ -802,10 +808,10 @@ def m08_stored_overrides(t):
     return out.read().select("object_id", "status", "updated_at")
 
 
-@query("""SELECT (SELECT count(*) FROM {annotations} WHERE NOT event_id LIKE '%7') AS annotations, (SELECT count(*) FROM {samples} WHERE NOT event_id LIKE '%7') AS samples""")
+@query("""SELECT 'annotation' AS what, id FROM {annotations} WHERE NOT event_id LIKE '%7' UNION ALL SELECT 'sample', id FROM {samples} WHERE NOT event_id LIKE '%7'""")
 def m04_delete_events(t):
     s, a = ledger.delete_events(t.samples, t.annotations, t.samples.where("event_id like '%7'").union(t.samples.where("event_id like '%7'")))
-    return a.agg(F.count(F.lit(1)).alias("annotations")).crossJoin(s.agg(F.count(F.lit(1)).alias("samples")))
+    return a.select(F.lit("annotation").alias("what"), "id").union(s.select(F.lit("sample"), "id"))
 
 
 @query("""SELECT object_id, status FROM {overrides} WHERE status IN ('KEEP', 'DROP')""")
@@ -831,7 +837,7 @@ def a12_verify_summary(t):
 def _coco(t: Tables) -> DataFrame:
     """Orders as images and line items as objects, in the layout of COCO files."""
     o = t.orders.select(F.array(F.struct(F.col("o_orderkey").alias("id"), F.col("o_orderkey").cast("string").alias("file_name"), F.lit(100).alias("width"), F.lit(100).alias("height"))).alias("images"))
-    a = t.lineitem.select(F.array(F.struct(F.monotonically_increasing_id().alias("id"), F.col("l_orderkey").alias("image_id"), F.ascii("l_returnflag").cast("long").alias("category_id"), F.array(F.lit(1.0), F.lit(1.0), F.lit(9.0), F.lit(9.0)).alias("bbox"), F.lit(0.5).alias("score"))).alias("annotations"))
+    a = t.lineitem.select(F.array(F.struct(F.monotonically_increasing_id().alias("id"), F.col("l_orderkey").alias("image_id"), F.ascii("l_returnflag").cast("long").alias("category_id"), F.array(F.col("l_linenumber").cast("double"), F.lit(1.0), F.lit(9.0), F.lit(9.0)).alias("bbox"), F.lit(0.5).alias("score"))).alias("annotations"))
     c = t.spark.sql("SELECT array(struct(65L AS id, 'human' AS name), struct(78L AS id, 'car' AS name), struct(82L AS id, 'tree' AS name)) AS categories")
     return o.unionByName(a, allowMissingColumns=True).unionByName(c, allowMissingColumns=True)
 
@@ -857,12 +863,15 @@ def s03_motion_feed(t):
     return feeds.parse_motion(raw)
 
 
-@query("""SELECT count(*) AS written, sum(n)::BIGINT AS annotations FROM (SELECT l_orderkey, count(*) AS n FROM {lineitem} WHERE l_returnflag IN ('A', 'N') GROUP BY l_orderkey)""")
+@query("""SELECT concat('external-', l_orderkey::VARCHAR) AS sample_id, CASE l_returnflag WHEN 'A' THEN 'person' ELSE 'car' END AS label, l_linenumber / 100 AS x1, 0.01 AS y1,
+ (l_linenumber + 9) / 100 AS x2, 0.1 AS y2, 0.5 AS confidence, 1 AS verified FROM {lineitem} WHERE l_returnflag IN ('A', 'N')
+UNION ALL SELECT concat('external-', l_orderkey::VARCHAR), '(sample)', NULL, NULL, NULL, NULL, NULL, 0 FROM {lineitem} WHERE l_returnflag IN ('A', 'N') GROUP BY l_orderkey""")
 def s07_coco_import(t):
     from ..sources import files
 
     samples, annotations, _ = files.import_coco(_coco(t), ["person", "car"], {"human": "person"})
-    return samples.agg(F.count(F.lit(1)).alias("written")).crossJoin(annotations.agg(F.count(F.lit(1)).alias("annotations")))
+    nothing = [F.lit(None).cast("double").alias(c) for c in ("x1", "y1", "x2", "y2", "confidence")]
+    return annotations.select("sample_id", "label", "x1", "y1", "x2", "y2", "confidence", "verified").union(samples.select("id", F.lit("(sample)"), *nothing, "verified"))
 
 
 @query("""SELECT count(*) FILTER (ok) AS valid, count(*) FILTER (NOT ok) AS invalid FROM (SELECT l_partkey % 3 <> 0 AND l_linenumber <= 4 AND l_suppkey % 11 <> 0 AS ok FROM {lineitem})""")
@@ -874,13 +883,13 @@ def s11_label_lines(t):
     return parsed.agg(F.count_if("valid").alias("valid"), F.count_if(~F.col("valid")).alias("invalid"))
 
 
-@query("""SELECT reason, count(*) AS n FROM (SELECT CASE WHEN o_orderkey % 7 = 0 THEN 'duplicate_id' END AS reason FROM {orders}) GROUP BY reason""")
+@query("""SELECT o_orderkey::VARCHAR AS sample_id, CASE WHEN o_orderkey % 7 = 0 THEN 'duplicate_id' END AS reason FROM {orders}""")
 def s13_manifest_append(t):
     from ..sources import files
 
     rows = t.orders.select(F.col("o_orderkey").cast("string").alias("sample_id"))
     good, bad = files.append_manifest(rows.where("sample_id % 7 = 0"), rows)
-    return good.withColumn("reason", F.lit(None).cast("string")).union(bad).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    return good.withColumn("reason", F.lit(None).cast("string")).union(bad)
 
 
 @query(f"""WITH {DECIDED} SELECT sample_id AS frame_key, count(*) AS n FROM (SELECT sample_id FROM d JOIN {{segments}} USING (object_id) WHERE d.status = 'KEEP' AND object_id NOT LIKE '%-1') GROUP BY sample_id""")
@@ -965,16 +974,17 @@ def x04_training_samples(t):
     return j.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.coalesce(ok, F.lit(False))).alias("training"))
 
 
-@query(f"""WITH {DECIDED} SELECT object_id, feed_label AS source_class, status FROM d""")
+@query(f"""WITH {DECIDED} SELECT object_id, d.feed_label AS source_class, k.seg_class AS sam_class, k.seg_area::BIGINT AS mask_area, covers, vlm_label AS class_label, vlm_error AS error, status, reason FROM d JOIN k USING (object_id)""")
 def x07_provenance(t):
-    p = reconcile.provenance(_decisions(t))
-    return p.select("object_id", F.get_json_object("provenance_json", "$.source.class_name").alias("source_class"), F.get_json_object("provenance_json", "$.decision.status").alias("status"))
+    fields = {"source_class": "source.class_name", "sam_class": "sam.class_name", "class_label": "vlm.class_label", "error": "vlm.error", "status": "decision.status", "reason": "decision.reason"}
+    texts = [F.get_json_object("provenance_json", f"$.{path}").alias(name) for name, path in fields.items()]
+    numbers = [F.get_json_object("provenance_json", "$.sam.mask_area").cast("long").alias("mask_area"), F.get_json_object("provenance_json", "$.vlm.bbox_covers_object").cast("boolean").alias("covers")]
+    return reconcile.provenance(_decisions(t)).select("object_id", *texts, *numbers)
 
 
-@query("""SELECT count(*) FILTER (coalesce(seg_class, '') <> '') AS has_sam, count(*) FILTER (covers IS NOT NULL) AS has_vlm FROM {segments} JOIN {verdicts} USING (object_id)""")
+@query("""SELECT object_id, coalesce(seg_class, '') <> '' AS has_sam, covers IS NOT NULL AS has_vlm, nullif(vlm_error, 'sam') AS vlm_error FROM {segments} JOIN {verdicts} USING (object_id)""")
 def x14_decision_details(t):
-    d = reconcile.decision_details(_decisions(t))
-    return d.agg(F.count_if("has_sam").alias("has_sam"), F.count_if("has_vlm").alias("has_vlm"))
+    return reconcile.decision_details(_decisions(t)).select("object_id", "has_sam", "has_vlm", "vlm_error")
 
 
 @query("""SELECT id FROM {annotations} WHERE verified = 1""")
@@ -1001,27 +1011,29 @@ def b04_build_golden(t):
     return out.select("sample_id", F.col("boxes").cast("long").alias("boxes"))
 
 
-@query("""SELECT label, count(*) AS boxes FROM {annotations} WHERE sample_id NOT IN (SELECT sample_id FROM {annotations} WHERE y2 IS NULL) AND label <> 'dog' GROUP BY label
-UNION ALL SELECT 'class-16', count(*) FROM {annotations} WHERE sample_id NOT IN (SELECT sample_id FROM {annotations} WHERE y2 IS NULL) AND label = 'dog'""")
+@query("""SELECT CASE label WHEN 'dog' THEN 'class-16' ELSE label END AS label, count(*) AS boxes, (SELECT count(*) FROM {samples}) AS images
+FROM {annotations} WHERE sample_id NOT IN (SELECT sample_id FROM {annotations} WHERE y2 IS NULL) GROUP BY ALL""")
 def a06_golden_summary(t):
     lines = t.annotations.select(F.col("sample_id").alias("file"), labels.class_index(F.col("label")).alias("class_id"), F.col("y2").isNotNull().alias("valid"))
     names = labels.class_table(t.spark, ["person", "car"], "coco80")
-    return datasets.golden_summary(lines, names, t.samples).select("label", "boxes")
+    return datasets.golden_summary(lines, names, t.samples).select("label", "boxes", "images")
 
 
-@query("""SELECT 'annotations' AS what, (SELECT count(*) FROM {annotations} WHERE NOT (source = 'vlm' AND sample_id LIKE '%3')) + (SELECT count(*) FROM {samples} WHERE id LIKE '%3') AS n
-UNION ALL SELECT 'verified', count(*) FROM {samples} WHERE verified = 1 OR id LIKE '%3'""")
+@query("""SELECT 'annotation' AS what, id, sample_id, label, x2, verified FROM {annotations} WHERE NOT (source = 'vlm' AND sample_id LIKE '%3')
+UNION ALL SELECT 'annotation', concat(id, '-vlm-1970-01-01T00:00:00-0'), id, 'car', 0.5, 1 FROM {samples} WHERE id LIKE '%3'
+UNION ALL SELECT 'sample', id, id, NULL, NULL, CASE WHEN id LIKE '%3' THEN 1 ELSE verified END FROM {samples}""")
 def m02_store_verified(t):
     item = F.struct(F.lit("car").alias("label"), F.lit(0.9).alias("confidence"), *[F.lit(v).alias(k) for k, v in (("x1", 0.1), ("y1", 0.1), ("x2", 0.5), ("y2", 0.5))])
     results = t.samples.where("id like '%3'").select(F.col("id").alias("sample_id"), F.array(item).alias("objects"))
     s, a = ledger.store_verified(t.samples, t.annotations, results, ["car"], mode="replace")
-    return a.agg(F.lit("annotations").alias("what"), F.count(F.lit(1)).alias("n")).union(s.agg(F.lit("verified").alias("what"), F.count_if(F.col("verified") == 1).alias("n")))
+    own = s.select(F.lit("sample"), "id", "id", F.lit(None).cast("string"), F.lit(None).cast("double"), "verified")
+    return a.select(F.lit("annotation").alias("what"), "id", "sample_id", "label", "x2", "verified").union(own)
 
 
-@query("""SELECT count(*) AS bad FROM {samples} WHERE quality = 'bad' OR id LIKE '%4'""")
+@query("""SELECT id, CASE WHEN id LIKE '%4' THEN 'bad' ELSE quality END AS quality FROM {samples}""")
 def m03_drop_rejected(t):
     results = t.samples.select(F.col("id").alias("sample_id"), F.when(F.col("id").endswith("4"), "rejected").otherwise("transport").alias("status"))
-    return ledger.drop_rejected(t.samples, results).agg(F.count_if(F.col("quality") == "bad").alias("bad"))
+    return ledger.drop_rejected(t.samples, results).select("id", "quality")
 
 
 @query("""SELECT name AS model_name, CASE WHEN (latency_ms IS NULL OR latency_ms <= 20) AND (cpu_percent IS NULL OR cpu_percent <= 80) THEN 'PASS' ELSE 'FAIL' END AS verdict FROM {candidates}""")
