@@ -159,11 +159,10 @@ def f07_usable_boxes(t):
     return pool.usable_boxes(t.annotations, _class_table(t)).select("id", "label", "class_id")
 
 
-@query("""SELECT status, reason, count(*) AS n FROM (SELECT 'done' AS status, CASE WHEN end_time IS NULL THEN 'failed'
- WHEN NOT (box[1] >= 0 AND box[2] >= 0 AND box[1] + box[3] <= 1 AND box[2] + box[4] <= 1 AND box[3] > 0 AND box[4] > 0 AND box[1] < box[1] + box[3] AND box[2] < box[2] + box[4]) THEN 'skipped' ELSE 'ok' END AS reason FROM {event_feed}) GROUP BY ALL""")
+@query("""SELECT id, CASE WHEN end_time IS NULL THEN 'failed'
+ WHEN NOT (box[1] >= 0 AND box[2] >= 0 AND box[1] + box[3] <= 1 AND box[2] + box[4] <= 1 AND box[3] > 0 AND box[4] > 0 AND box[1] < box[1] + box[3] AND box[2] < box[2] + box[4]) THEN 'skipped' ELSE 'ok' END AS outcome FROM {event_feed}""")
 def f10_refused_events(t):
-    e = feeds.refused_events(t.event_feed.withColumn("box", boxes.from_xywh(F.col("box"))), crops=True)
-    return e.groupBy(F.lit("done").alias("status"), F.col("outcome").alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+    return feeds.refused_events(t.event_feed.withColumn("box", boxes.from_xywh(F.col("box"))), crops=True).select("id", "outcome")
 
 
 @query("SELECT name, latency_ms, map50 FROM {candidates} WHERE latency_ms IS NOT NULL AND map50 IS NOT NULL")
@@ -176,11 +175,12 @@ def j01_annotated_samples(t):
     return pool.annotated_samples(t.annotations, t.samples).select("id", "label", "camera", "ts")
 
 
-@query("""SELECT skip_reason, count(*) AS n FROM (SELECT CASE WHEN x1 IS NULL OR y1 IS NULL OR x2 IS NULL OR y2 IS NULL THEN 'missing_box'
- WHEN x2 <= x1 OR y2 <= y1 THEN 'degenerate_box' WHEN least(x2 * 1920, 1920) <= x1 * 1920 OR least(y2 * 1080, 1080) <= y1 * 1080 THEN 'outside_image' END AS skip_reason
-FROM {annotations} a JOIN {samples} s ON s.id = a.sample_id WHERE a.source = 'feed' AND trim(label) <> '' AND image_path IS NOT NULL) GROUP BY skip_reason""")
+@query("""WITH p AS (SELECT a.id, label, least(greatest(x1 * 1920, 0), 1920) AS px1, least(greatest(y1 * 1080, 0), 1080) AS py1, least(greatest(x2 * 1920, 0), 1920) AS px2, least(greatest(y2 * 1080, 0), 1080) AS py2,
+ CASE WHEN x1 IS NULL OR y1 IS NULL OR x2 IS NULL OR y2 IS NULL THEN 'missing_box' WHEN x2 <= x1 OR y2 <= y1 THEN 'degenerate_box' WHEN px2 <= px1 OR py2 <= py1 THEN 'outside_image' END AS skip_reason
+FROM {annotations} a JOIN {samples} s ON s.id = a.sample_id WHERE a.source = 'feed' AND trim(label) <> '' AND image_path IS NOT NULL)
+SELECT id, label, skip_reason, CASE WHEN skip_reason IS NULL THEN px1 END AS x1, CASE WHEN skip_reason IS NULL THEN py1 END AS y1, CASE WHEN skip_reason IS NULL THEN px2 END AS x2, CASE WHEN skip_reason IS NULL THEN py2 END AS y2 FROM p""")
 def s09_pool_objects(t):
-    return pool.pool_objects(t.annotations, t.samples, "feed", 1920, 1080).groupBy("skip_reason").agg(F.count(F.lit(1)).alias("n"))
+    return pool.pool_objects(t.annotations, t.samples, "feed", 1920, 1080).select("id", "label", "skip_reason", "box.*")
 
 
 @query("SELECT id FROM {samples} WHERE id IN (SELECT sample_id FROM {annotations} WHERE label = 'dog')")
@@ -271,11 +271,11 @@ def j05_exact_duplicates(t):
     return dedup.exact_duplicates(t.samples).select("id", "first_id")
 
 
-@query("""SELECT event_id, count(*) AS n FROM (SELECT DISTINCT s.first_id AS sample_id, concat(s.event_id, 'x') AS event_id FROM
- (SELECT *, first_value(id) OVER (PARTITION BY camera, image_hash ORDER BY created_at, id) AS first_id FROM {samples} WHERE image_hash IS NOT NULL) s WHERE s.first_id <> s.id) GROUP BY event_id""")
+@query("""SELECT DISTINCT s.first_id AS sample_id, concat(s.event_id, 'x') AS event_id FROM
+ (SELECT *, first_value(id) OVER (PARTITION BY camera, image_hash ORDER BY created_at, id) AS first_id FROM {samples} WHERE image_hash IS NOT NULL) s WHERE s.first_id <> s.id""")
 def j07_merge_events(t):
     later = dedup.exact_duplicates(t.samples).where("image_hash is not null and first_id <> id").select(F.col("first_id").alias("sample_id"), F.concat("event_id", F.lit("x")).alias("event_id"))
-    return dedup.merge_events(t.annotations, later).groupBy("event_id").agg(F.count(F.lit(1)).alias("n"))
+    return dedup.merge_events(t.annotations, later).select("sample_id", "event_id")
 
 
 def _frames(t: Tables) -> DataFrame:
@@ -696,11 +696,18 @@ def l06_vocabulary(t):
     return labels.vocabulary_of(t.annotations.where("label <> ''"), "label", "id")
 
 
-@query("""WITH e AS (SELECT id, content, CASE WHEN content IS NULL THEN 'transport' WHEN content NOT LIKE '%{{%' THEN 'rejected' WHEN content LIKE '%"name"%' OR content LIKE '%"confidence": 7%' THEN 'rejected'
- WHEN regexp_extract(content, '0\\.2, ([0-9.]+)', 1)::DOUBLE <= regexp_extract(content, 'bbox": \\[([0-9.]+)', 1)::DOUBLE THEN 'rejected' ELSE 'ok' END AS status FROM {responses})
-SELECT id, status, CASE WHEN status = 'ok' THEN regexp_extract(content, '"label": "(\\w+)"', 1) END AS label FROM e""")
+X1 = """try_cast(regexp_extract(content, 'bbox": \\[([0-9.]+)', 1) AS DOUBLE)"""
+X2 = """try_cast(regexp_extract(content, '0\\.2, ([0-9.]+)', 1) AS DOUBLE)"""
+
+
+@query(f"""WITH e AS (SELECT id, content, {X1} AS x1, {X2} AS x2, CASE WHEN content IS NULL THEN 'transport' WHEN content NOT LIKE '%{{{{%' THEN 'rejected' WHEN content LIKE '%"name"%' OR content LIKE '%"confidence": 7%' THEN 'rejected'
+ WHEN x2 <= x1 THEN 'rejected' ELSE 'ok' END AS status FROM {{responses}})
+SELECT id, status, CASE WHEN status = 'ok' THEN regexp_extract(content, '"label": "(\\w+)"', 1) END AS label, CASE WHEN status = 'ok' THEN try_cast(regexp_extract(content, 'confidence": ([0-9.]+)', 1) AS DOUBLE) END AS confidence,
+ CASE WHEN status = 'ok' THEN x1 END AS x1, CASE WHEN status = 'ok' THEN 0.2 END AS y1, CASE WHEN status = 'ok' THEN x2 END AS x2, CASE WHEN status = 'ok' THEN 0.9 END AS y2, CASE WHEN status = 'ok' THEN 1 END AS n FROM e""")
 def p05_parse_model_output(t):
-    return scoring.parse_detections(t.responses).select("id", "status", F.get("objects", F.lit(0))["label"].alias("label"))
+    """A response here holds one object; it is returned whole, with their number."""
+    found = scoring.parse_detections(t.responses)
+    return found.select("id", "status", F.get("objects", F.lit(0)).alias("o"), F.size("objects").alias("n")).select("id", "status", "o.*", F.when(F.col("status") == "ok", F.col("n")).alias("n"))
 
 
 @query("""SELECT id, strftime(to_timestamp(ts) AT TIME ZONE 'UTC', '%Y%m%d') AS day, ts AS seconds FROM {samples}""")
@@ -892,13 +899,14 @@ def s13_manifest_append(t):
     return good.withColumn("reason", F.lit(None).cast("string")).union(bad)
 
 
-@query(f"""WITH {DECIDED} SELECT sample_id AS frame_key, count(*) AS n FROM (SELECT sample_id FROM d JOIN {{segments}} USING (object_id) WHERE d.status = 'KEEP' AND object_id NOT LIKE '%-1') GROUP BY sample_id""")
+@query(f"""WITH {DECIDED} SELECT sample_id AS frame_key, concat(repeat(concat('0 0.5 0.5 0.1 0.1', chr(10)), count(*) - 1), '0 0.5 0.5 0.1 0.1') AS body
+FROM (SELECT sample_id FROM d JOIN {{segments}} USING (object_id) WHERE d.status = 'KEEP' AND object_id NOT LIKE '%-1') GROUP BY sample_id""")
 def s20_export_new(t):
     from ..sources import files
 
     kept = _decisions(t).where("status = 'KEEP'").select("object_id", F.lit("0 0.5 0.5 0.1 0.1").alias("label_line")).join(t.segments.select("object_id", F.col("sample_id").alias("frame_key")), "object_id")
     bodies, _ = files.export_new(kept, kept.where("object_id like '%-1'"))
-    return bodies.select("frame_key", F.size(F.split("body", "\n")).cast("long").alias("n"))
+    return bodies.select("frame_key", "body")
 
 
 @query("""SELECT id, bit_count(xor(a, b))::INT AS distance FROM (SELECT o_orderkey AS id, o_custkey * 7919 AS a, o_orderkey * 104729 AS b FROM {orders})""")
@@ -992,14 +1000,15 @@ def b01_best_annotations(t):
     return dedup.best_annotations(t.annotations, True).select("id")
 
 
-@query(f"""SELECT split, count(*) AS n FROM (SELECT {SPLIT} AS split FROM (SELECT {POINT.format("id")} AS p FROM {{samples}} WHERE id IN (SELECT sample_id FROM {{annotations}} WHERE label = 'car')))
-GROUP BY split UNION ALL SELECT 'negative', count(*) FROM {{samples}} WHERE status = 'imported'""")
+@query(f"""SELECT id AS sample_id, {SPLIT} AS split, n AS lines, camera, ts AS timestamp FROM (SELECT s.id, camera, ts, n, {POINT.format("s.id")} AS p FROM {{samples}} s
+ JOIN (SELECT sample_id, count(*) AS n FROM {{annotations}} WHERE label = 'car' GROUP BY sample_id) a ON a.sample_id = s.id)
+UNION ALL SELECT concat(id, 'n'), 'train', 0, NULL, NULL FROM {{samples}} WHERE status = 'imported'""")
 def b03_build_from_audit(t):
     lines = t.annotations.where("label = 'car'").select("sample_id", F.col("id").alias("line_no"), F.lit("2 0.5 0.5 0.1 0.1").alias("line"))
     records = t.samples.select(F.col("id").alias("sample_id"), "camera", F.col("ts").alias("timestamp"))
     own = records.select("sample_id")
     out = datasets.build_from_audit(own, t.samples.where("status = 'imported'").select(F.concat("id", F.lit("n")).alias("sample_id")), lines, records)
-    return out.groupBy(F.when(F.col("body") == "", "negative").otherwise(F.col("split")).alias("split")).agg(F.count(F.lit(1)).alias("n"))
+    return out.select("sample_id", "split", F.regexp_count("body", F.lit("2 0.5 0.5 0.1 0.1(\n|$)")).cast("long").alias("lines"), "camera", "timestamp")
 
 
 @query(f"""SELECT sample_id, n AS boxes FROM (SELECT sample_id, count(*) AS n, bool_and(label IN ('person', 'car') AND y2 IS NOT NULL) AS ok, {POINT.format("sample_id")} AS p FROM {{annotations}} GROUP BY sample_id)
@@ -1163,12 +1172,22 @@ def l11_tolerant_json(t):
     return d.select("event_id", F.try_variant_get("p", "$.k", "long").alias("k"), F.col("v").isNotNull().alias("parsed"))
 
 
-@query("""WITH r AS (SELECT id, content FROM {responses})
-SELECT id, CASE WHEN content LIKE '%"name"%' THEN 'keys_or_types' WHEN content LIKE '%"confidence": 7%' THEN
- CASE WHEN regexp_extract(content, '0\\.2, ([0-9.]+)', 1)::DOUBLE <= regexp_extract(content, 'bbox": \\[([0-9.]+)', 1)::DOUBLE THEN 'confidence,bbox' ELSE 'confidence' END
- WHEN regexp_extract(content, '0\\.2, ([0-9.]+)', 1)::DOUBLE <= regexp_extract(content, 'bbox": \\[([0-9.]+)', 1)::DOUBLE THEN 'bbox' ELSE '' END AS messages FROM r WHERE content LIKE '%{{%'""")
+@query(f"""SELECT id, CASE WHEN content IS NULL OR content NOT LIKE '%{{{{%' THEN '' WHEN content LIKE '%"name"%' THEN 'keys_or_types' WHEN content LIKE '%"confidence": 7%' THEN
+ CASE WHEN {X2} <= {X1} THEN 'confidence,bbox' ELSE 'confidence' END WHEN {X2} <= {X1} THEN 'bbox' ELSE '' END AS messages,
+ CASE WHEN content IS NULL THEN 'transport' WHEN content NOT LIKE '%{{{{%' THEN 'no_objects' WHEN content LIKE '%"name"%' OR content LIKE '%"confidence": 7%' OR {X2} <= {X1} THEN 'bad_object' END AS reason FROM {{responses}}""")
 def l08_rejection_messages(t):
-    return scoring.parse_detections(t.responses.where(F.col("content").contains("{"))).select("id", F.array_join("messages.problem", ",").alias("messages"))
+    return scoring.parse_detections(t.responses).select("id", F.array_join("messages.problem", ",").alias("messages"), "reason")
+
+
+@query("""WITH b AS (SELECT id, least(greatest(x1 * 1.5 - 0.25, 0), 1) AS x1, least(greatest(y1 * 1.5 - 0.25, 0), 1) AS y1,
+ least(greatest(CASE WHEN id LIKE '%2' THEN x1 * 1.5 - 0.24995 ELSE x2 * 1.5 - 0.25 END, 0), 1) AS x2, least(greatest(y2 * 1.5 - 0.25, 0), 1) AS y2 FROM {annotations} WHERE y2 IS NOT NULL)
+SELECT id, CASE WHEN ok THEN x1 END AS x1, CASE WHEN ok THEN y1 END AS y1, CASE WHEN ok THEN CASE WHEN x2 - x1 < 1e-4 THEN x1 + 1e-4 ELSE x2 END END AS x2, CASE WHEN ok THEN y2 END AS y2 FROM (SELECT *, x2 > x1 AND y2 > y1 AS ok FROM b)""")
+def g17_clamped_boxes(t):
+    """Boxes that leave the unit square, and slivers."""
+    own = t.annotations.where("y2 is not null")
+    sliver = F.when(F.col("id").like("%2"), F.col("x1") * 1.5 - 0.24995).otherwise(F.col("x2") * 1.5 - 0.25)
+    b = boxes.clamped_model_box(boxes.box(F.col("x1") * 1.5 - 0.25, F.col("y1") * 1.5 - 0.25, sliver, F.col("y2") * 1.5 - 0.25))
+    return own.select("id", b.alias("b")).select("id", *[F.col("b")[k].alias(k) for k in ("x1", "y1", "x2", "y2")])
 
 
 # --- file formats over derived texts
