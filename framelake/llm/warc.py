@@ -113,6 +113,33 @@ def read_warc(spark, path: str, most_bytes: int = MOST_BYTES) -> DataFrame:
     return files.where(F.col("length") <= most_bytes).select("content").mapInArrow(rows, schema).union(large)
 
 
+#: What stands between two records; what follows it is the version's last digit.
+BETWEEN = "\r\n\r\nWARC/1."
+FIELDS = {"record_id": "WARC-Record-ID", "type": "WARC-Type", "date": "WARC-Date", "url": "WARC-Target-URI", "content_type": "Content-Type", "digest": "WARC-Block-Digest"}
+
+
+def read_records(spark, path) -> DataFrame:
+    """Records of any writer: record_id, type, date, url, content_type, digest, block (binary), error, file.
+
+    Plain files are split at ``BETWEEN``, so a file of any size is read by many tasks; compressed ones (.gz, a member a record or not) are streamed by
+    a task each. A task holds a record at a time. Missing fields are null, the same record twice is two rows, a file without a byte gives none. A piece that
+    is no record is a row with error bad_header and the piece as its block; a block shorter than its stated length has error cut: the file ends there, or the
+    block holds the separator itself, and then its rest is a bad_header row or a record of its own.
+    """
+    pieces = spark.read.option("lineSep", BETWEEN).option("recursiveFileLookup", "true").text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    # only a file's first piece still has its start
+    first = F.when(F.col("value").startswith("WARC/1."), F.lit(7)).otherwise(F.lit(0))
+    head = F.substring_index("value", CRLF + CRLF, 1)
+    own = pieces.where(F.octet_length("value") > 0).select("file", F.col("value").cast("binary").alias("raw"), head.alias("head"), first.alias("first"))
+    found = {name: F.nullif(F.regexp_extract("head", rf"(?im)^{field}[ \t]*:[ \t]*(.*?)[ \t\r]*$", 1), F.lit("")) for name, field in FIELDS.items()}
+    size = F.regexp_extract("head", r"(?im)^Content-Length[ \t]*:[ \t]*(\d{1,9})[ \t\r]*$", 1).try_cast("int")
+    begin = F.octet_length("head") + len(CRLF + CRLF)
+    known = F.substring("head", F.col("first") + 1, 3).rlike(r"\A[0-9]\r\n") & (begin <= F.octet_length("raw")) & size.isNotNull()
+    own = own.withColumns(found).withColumn("block", F.when(known, F.substring("raw", begin + 1, size)).otherwise(F.col("raw")))
+    error = F.when(~F.coalesce(known, F.lit(False)), "bad_header").when(F.octet_length("block") < size, "cut")
+    return own.select(*[F.when(known, F.col(name)).alias(name) for name in FIELDS], "block", error.alias("error"), "file")
+
+
 def fixity_index(pages: DataFrame, depth: int) -> DataFrame:
     """The stored index of a replica: file_id, node, page_id, url, digest, n_bytes (with the closing lines), copies, cell, record_no, offset.
 

@@ -1,3 +1,4 @@
+import gzip
 import hashlib
 
 import pytest
@@ -95,6 +96,47 @@ def test_broken_files_give_rejects(spark, pages, tmp_path):
     assert [r["page_id"] for r in out if not r["error"]] == [0, 1]
 
 
+def foreign(k, body, kind="response", version="1.0"):
+    head = f"WARC/{version}\r\nWARC-Type: {kind}\r\nwarc-record-id: <urn:uuid:{k:032x}>\r\nWARC-Target-URI: http://h/{k}\r\nContent-Type: application/http\r\nContent-Length: {len(body)}\r\n\r\n"
+    return head.encode() + body + b"\r\n\r\n"
+
+
+def test_records_of_other_writers(spark, pages, tmp_path):
+    bodies = [b"HTTP/1.1 200 OK\r\n\r\n" + bytes(range(256)) * (k % 5) + b"\r\n\r\n" * (k % 3) for k in range(300)]
+    kinds = ["response", "request", "metadata"]
+    records = [foreign(k, b, kinds[k % 3], f"1.{k % 2}") for k, b in enumerate(bodies)]
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "a.warc").write_bytes(b"".join(records[:100]))
+    (tmp_path / "sub" / "b.warc.gz").write_bytes(b"".join(gzip.compress(r) for r in records[100:200]))
+    (tmp_path / "c.warc.gz").write_bytes(gzip.compress(b"".join(records[200:])))
+    (tmp_path / "none.warc").write_bytes(b"")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        out = warc.read_records(spark, str(tmp_path))
+        assert out.rdd.getNumPartitions() > 10
+        rows = {r["record_id"]: r for r in out.collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(rows) == 300 and out.count() == 300 and not any(r["error"] for r in rows.values())
+    for k, body in enumerate(bodies):
+        r = rows[f"<urn:uuid:{k:032x}>"]
+        assert bytes(r["block"]) == body and (r["type"], r["url"], r["digest"]) == (kinds[k % 3], f"http://h/{k}", None)
+
+
+def test_broken_records_of_other_writers(spark, tmp_path):
+    (tmp_path / "cut.warc").write_bytes(foreign(1, b"whole") + foreign(2, b"x" * 50)[:-30])
+    (tmp_path / "junk.warc").write_bytes(b"no WARC file\r\n\r\n")
+    (tmp_path / "quoted.warc").write_bytes(foreign(3, b"before\r\n\r\nWARC/1.quoted") + foreign(4, b"after"))
+    out = warc.read_records(spark, str(tmp_path)).collect()
+    assert sorted((str(r["error"]), bytes(r["block"])[:5]) for r in out) == [("None", b"after"), ("None", b"whole"), ("bad_header", b"no WA"), ("bad_header", b"quote"), ("cut", b"befor"), ("cut", b"xxxxx")]
+
+
+def test_written_files_are_read_as_records(spark, pages, tmp_path):
+    warc.write_warc(pages, str(tmp_path / "w"), 3)
+    out = warc.read_records(spark, str(tmp_path / "w")).where("type = 'resource' and error is null")
+    assert sorted(bytes(r["block"]).decode() for r in out.collect()) == sorted(r["html"] or "" for r in pages.collect())
+
+
 def test_tree_root_changes_with_any_record(pages):
     def root(df):
         return [r["hash"] for r in warc.merkle_levels(warc.fixity_index(df, 2), 2)[0].collect()]
