@@ -1403,12 +1403,12 @@ def _folders(t: Tables, name: str) -> tuple[str, str]:
 
 @query("""SELECT DISTINCT concat('e', o_custkey) AS id FROM {orders}""")
 def r01_collect_events(t):
-    """New events of a feed with repeats, collected twice. The second stream starts anew and sees every event again: all of them are late for state, and
+    """New events of a feed with repeats, collected twice. The second stream starts anew and sees every event again: all of them
     are found in the table."""
     target, _ = _folders(t, "events")
     for _ in range(2):
         feed = _stream(t, "orders").select(F.concat(F.lit("e"), "o_custkey").alias("id"), F.col("o_orderdate").cast("timestamp").alias("ts"))
-        incremental.collect_events(t.spark, feed, target, _folders(t, "events")[1], "1 hour").awaitTermination()
+        incremental.collect_events(t.spark, feed, target, _folders(t, "events")[1]).awaitTermination()
     return t.spark.read.schema("id string").parquet(target).select("id")
 
 

@@ -38,19 +38,17 @@ def _maybe_known(ids: DataFrame, filters: DataFrame) -> DataFrame:
     return hit.groupBy("id", "_batch").agg(F.count_distinct("k").alias("n")).where(F.col("n") == FILTER_PROBES).select("id", "_batch")
 
 
-def collect_events(spark: SparkSession, stream: DataFrame, target: str, checkpoint: str, delay: str = "1 hour") -> StreamingQuery:
-    """Appends new events (id, ts timestamp, ...) to a Parquet table with a partition for each batch. Repeats within the watermark are dropped by state.
+def collect_events(spark: SparkSession, stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
+    """Appends new events (id, ...) to a Parquet table with a partition for each batch. There is no watermark: an event of any age is kept, once.
 
-    Older repeats are looked up: every batch leaves a Bloom filter of its ids beside the table, a batch asks these filters first, and reads only the partitions
+    Repeats of earlier batches are looked up: every batch leaves a Bloom filter of its ids beside the table, a batch asks these filters first, and reads only the partitions
     that may hold one of its ids, and of these only the ids. A batch that is run again replaces its own rows and filter.
     """
-    fresh = stream.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["id"])
-
     def put(df: DataFrame, path: str) -> None:
         df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(path)
 
     def store(batch: DataFrame, number: int) -> None:
-        batch = written(batch.withColumn("_batch", F.lit(number).cast("long")))
+        batch = written(batch.dropDuplicates(["id"]).withColumn("_batch", F.lit(number).cast("long")))
         filters = _table(spark, f"{target}/_filters", "size long, cell long, bits long, _batch long").where(F.col("_batch") != number)
         maybe = written(_maybe_known(batch.select("id"), filters))
         numbers = [r[0] for r in maybe.select("_batch").distinct().collect()]
@@ -61,7 +59,7 @@ def collect_events(spark: SparkSession, stream: DataFrame, target: str, checkpoi
         put(_filter_of(new.select("id"), number), f"{target}/_filters")
         discard(batch, maybe, new)
 
-    return fresh.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def motion_windows(stream: DataFrame, threshold: float, gap: int = 60, delay: str = "10 minutes") -> DataFrame:
