@@ -1,71 +1,161 @@
-"""Greedy matching of boxes across images: a grid join for the candidates, rounds that settle what is locally first, and a sorted stream for the rest."""
+"""Greedy matching of boxes across images: each pool is one sorted stream past an index of its truths that are still free; pairs are never stored."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import boxes
-from ..lineage import discard, written
-
-#: Sides below 2^FINEST share one level of the grid.
-FINEST = -40
-#: Rounds go on while each settles at least one in this many of the open predictions.
-SHARE = 8
-
-
-def near_boxes(predictions: DataFrame, truths: DataFrame, keys: list[str], least: float) -> DataFrame:
-    """(keys, prediction_id, o, truth_id, v): pairs with IoU = -v above ``least``, where o is the negative confidence.
-
-    A truth lies in one cell of a grid whose cells are as large as its sides, to the power of two. With an IoU above t no side is
-    longer than 1/t times the other's, and the centres are at most 1 - t of the longer side apart: a prediction looks into those
-    cells only. Boxes without an area match nothing.
-    """
-    side = lambda n: F.col(f"{n}2") - F.col(f"{n}1")
-    level = lambda w: F.greatest(F.lit(FINEST), F.floor(F.log2(w))).cast("int")
-    centre = lambda n: (F.col(f"{n}1") + F.col(f"{n}2")) / 2
-    cell = lambda at, lv: F.floor(at / F.pow(F.lit(2.0), lv)).cast("long")
-
-    def cells(n: str) -> Column:
-        w = side(n)
-        levels = F.sequence(level(w * least * 0.999), level(w / least * 1.001))
-
-        def at(lv: Column) -> Column:
-            reach = (1 - least) * F.greatest(w, F.least(w / least, F.pow(F.lit(2.0), lv + 1))) + 1e-9
-            return F.transform(F.sequence(cell(centre(n) - reach, lv), cell(centre(n) + reach, lv)), lambda c: F.struct(lv.alias("lv"), c.alias("c")))
-
-        return F.flatten(F.transform(levels, at))
-
-    proper = (side("x") > 0) & (side("y") > 0)
-    own = predictions.where(proper).select(*keys, "prediction_id", (-F.col("confidence")).alias("o"), boxes.box("x1", "y1", "x2", "y2").alias("pb"), F.explode(cells("x")).alias("cx"), cells("y").alias("ys"))
-    own = own.select(*keys, "prediction_id", "o", "pb", "cx", F.explode("ys").alias("cy"))
-    place = lambda n: F.struct(level(side(n)).alias("lv"), cell(centre(n), level(side(n))).alias("c"))
-    held = truths.where(proper).select(*keys, "truth_id", boxes.box("x1", "y1", "x2", "y2").alias("tb"), place("x").alias("cx"), place("y").alias("cy"))
-    met = own.join(held.hint("merge"), [*keys, "cx", "cy"]).withColumn("v", -boxes.iou(F.col("pb"), F.col("tb")))
-    return met.where(F.col("v") < -least).select(*keys, "prediction_id", "o", "truth_id", "v")
-
-
-def _streamed(group: list[str]):
-    """For pairs sorted by group, prediction order and v: every prediction takes the first of its truths that is free."""
+#: Predictions that look at the index together, and the most pairs that they may look at (one prediction may pass it).
+BLOCK, PAIRS = 512, 1 << 20
+
+
+def _index_class():
+    """The class is made in a function, so that it travels to the tasks by value."""
+    import numpy as np
+
+    class Index:
+        """The free truths of a pool at one threshold. Truths of equal boxes are one entry, whose smallest free id is given out first.
+
+        With an IoU above t the intervals of both axes have an overlap above t of their union, so a truth's left edge lies within w(1/t - 1) before and
+        w(1 - t) after the prediction's, and its top edge likewise: entries lie in strips by their top edge, sorted by their left edge in a strip.
+        """
+
+        def __init__(self, boxes, threshold):
+            self.t = threshold
+            self.boxes, entry = np.unique(boxes, axis=0, return_inverse=True)
+            self.ranks = np.argsort(entry.ravel(), kind="stable")
+            ends = np.cumsum(np.bincount(entry.ravel(), minlength=len(self.boxes)))
+            self.next, self.end = [0, *ends[:-1].tolist()], ends.tolist()
+            self.areas = (self.boxes[:, 2] - self.boxes[:, 0]) * (self.boxes[:, 3] - self.boxes[:, 1])
+            self.live = np.ones(len(self.boxes), bool)
+            self.left = len(self.boxes)
+            self.build()
+
+        def build(self):
+            own = np.flatnonzero(self.live)
+            x, y = self.boxes[own, 0], self.boxes[own, 1]
+            self.indexed = len(own)
+            strips = max(1, min(256, int((len(own) / 16) ** 0.5)))
+            self.edges = np.sort(y)[[len(own) * s // strips for s in range(1, strips)]] if strips > 1 else np.empty(0)
+            strip = np.searchsorted(self.edges, y, "right")
+            self.xs = np.unique(x)
+            place = strip * (len(self.xs) + 1) + np.searchsorted(self.xs, x)
+            order = np.argsort(place, kind="stable")
+            self.place, self.own = place[order], own[order]
+            self.columns = [np.ascontiguousarray(self.boxes[self.own, c]) for c in range(4)]
+
+        def spans(self, p):
+            """(prediction, from, to): the ranges of entries that the predictions look at."""
+            before, after = 1 / self.t - 1, 1 - self.t
+            w, h = p[:, 2] - p[:, 0], p[:, 3] - p[:, 1]
+            slack = 1e-9 * (1 + np.abs(p).max(axis=1))
+            first = np.searchsorted(self.edges, p[:, 1] - h * before - slack, "left")
+            last = np.searchsorted(self.edges, p[:, 1] + h * after + slack, "right")
+            x0 = np.searchsorted(self.xs, p[:, 0] - w * before - slack, "left")
+            x1 = np.searchsorted(self.xs, p[:, 0] + w * after + slack, "right")
+            n = last - first + 1
+            who = np.repeat(np.arange(len(p)), n)
+            row = (np.arange(len(who)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)) * (len(self.xs) + 1)
+            return who, np.searchsorted(self.place, row + x0[who]), np.searchsorted(self.place, row + x1[who])
+
+        def hits(self, p, who, start, n):
+            """(prediction, IoU, entry) above the threshold, best first."""
+            at = np.repeat(who, n)
+            e = np.arange(len(at)) + np.repeat(start - (np.cumsum(n) - n), n)
+            # one axis first: most entries of a range fail on it
+            a0, a2, b0, b2 = p[at, 0], p[at, 2], self.columns[0][e], self.columns[2][e]
+            over = np.minimum(a2, b2) - np.maximum(a0, b0)
+            near = (over > self.t * (1 - 1e-9) * (np.maximum(a2, b2) - np.minimum(a0, b0))) & self.live[self.own[e]]
+            at, e, over = at[near], e[near], over[near]
+            tall = np.minimum(p[at, 3], self.columns[3][e]) - np.maximum(p[at, 1], self.columns[1][e])
+            both = np.maximum(over, 0.0) * np.maximum(tall, 0.0)
+            e = self.own[e]
+            union = ((p[:, 2] - p[:, 0]) * (p[:, 3] - p[:, 1]))[at] + self.areas[e] - both
+            v = np.divide(both, union, out=np.zeros(len(both)), where=union > 0)
+            good = v > self.t
+            at, v, e = at[good], v[good], e[good]
+            order = np.lexsort((-v, at))
+            return at[order].tolist(), v[order].tolist(), e[order].tolist()
+
+        def match(self, p):
+            """Ranks of the truths that the boxes take in turn, -1 for none."""
+            out = np.full(len(p), -1)
+            done = 0
+            while done < len(p) and self.left:
+                if self.left * 2 < self.indexed:
+                    self.build()
+                block = p[done : done + BLOCK]
+                who, start, stop = self.spans(block)
+                n = np.maximum(stop - start, 0)
+                seen = np.cumsum(np.bincount(who, weights=n, minlength=len(block)))
+                take = max(1, int(np.searchsorted(seen, PAIRS, "right")))
+                block, mine = block[:take], who < take
+                self.take(out, done, *self.hits(block, who[mine], start[mine], n[mine]))
+                done += take
+            return out
+
+        def take(self, out, done, at, v, e):
+            i, size = 0, len(at)
+            while i < size:
+                a, best, value = at[i], None, None
+                while i < size and at[i] == a and (best is None or v[i] == value):
+                    c = e[i]
+                    if self.next[c] < self.end[c] and (best is None or self.ranks[self.next[c]] < self.ranks[self.next[best]]):
+                        best, value = c, v[i]
+                    i += 1
+                while i < size and at[i] == a:
+                    i += 1
+                if best is None:
+                    continue
+                out[done + a] = self.ranks[self.next[best]]
+                self.next[best] += 1
+                if self.next[best] == self.end[best]:
+                    self.live[best] = False
+                    self.left -= 1
+
+    return Index
+
+
+def _streamed(group: list[str], thresholds: list[float]):
+    """For rows sorted by group, truths by id before predictions by order: the predictions with the truths that they take at each threshold."""
+    corners = ["x1", "y1", "x2", "y2"]
 
     def rows(batches) -> Iterator:
+        import numpy as np
         import pandas as pd
 
-        now, taken, asked, done = None, set(), None, False
+        Index, key, ids, held, indexes = _index_class(), None, [], [], None
         for batch in batches:
-            out = []
-            for *key, prediction, truth in batch[[*group, "prediction_id", "truth_id"]].itertuples(index=False, name=None):
-                if key != now:
-                    now, taken, asked = key, set(), None
-                if prediction != asked:
-                    asked, done = prediction, False
-                if not done and truth not in taken:
-                    taken.add(truth)
-                    done = True
-                    out.append((*key, prediction, truth))
-            yield pd.DataFrame(out, columns=[*group, "prediction_id", "truth_id"])
+            if not len(batch):
+                continue
+            keys = batch[group]
+            starts = np.flatnonzero((keys != keys.shift()).any(axis=1).to_numpy() | (np.arange(len(batch)) == 0))
+            kinds, box = batch["kind"].to_numpy(), batch[corners].to_numpy(float)
+            truth = [np.full(len(batch), None, object) for _ in thresholds]
+            for i, j in zip(starts, [*starts[1:], len(batch)]):
+                now = tuple(keys.iloc[i])
+                if now != key or any(pd.isna(k) for k in now):  # null keys match nothing
+                    key, ids, held, indexes = now, [], [], None
+                m = i + int(np.searchsorted(kinds[i:j], 1))
+                if m > i:
+                    ids.extend(batch["truth_id"].iloc[i:m])
+                    held.append(box[i:m])
+                if m < j and ids:
+                    if indexes is None:
+                        every = np.concatenate(held)
+                        indexes, held = [Index(every, t) for t in thresholds], []
+                    # boxes without an area or a corner match nothing
+                    proper = np.flatnonzero(np.isfinite(box[m:j]).all(axis=1) & (box[m:j, 2] > box[m:j, 0]) & (box[m:j, 3] > box[m:j, 1]))
+                    for n, index in enumerate(indexes):
+                        found = index.match(box[m:j][proper])
+                        for at, rank in zip((m + proper[found >= 0]).tolist(), found[found >= 0].tolist()):
+                            truth[n][at] = ids[rank]
+            own = kinds == 1
+            out = batch.loc[own, [*group, "prediction_id", "confidence"]]
+            for n, t in enumerate(thresholds):
+                yield out.assign(threshold=t, truth_id=truth[n][own])[[*group, "threshold", "prediction_id", "confidence", "truth_id"]]
 
     return rows
 
@@ -74,41 +164,21 @@ def pooled(predictions: DataFrame, truths: DataFrame, thresholds, keys=("candida
     """Greedy matching per class and threshold over all images of a key: predictions by confidence and id, each takes the free truth with the highest IoU
     strictly above the threshold; ties go to the smaller truth_id. Returns keys, label, threshold, prediction_id, confidence, truth_id.
 
-    A prediction is settled if no open one before it has a pair with its best free truth: it takes that truth. Each round settles all of these at once. When
-    rounds settle few (many equal boxes compete for the same truths), the open pairs go through one sorted stream for each class and threshold, which holds the
-    taken truths only. Keys and labels are not null; ids are unique within a key.
+    One shuffle brings a pool (key and class) together, its truths first; its predictions stream past an index of the free truths, so a task holds the truths
+    of one pool and no table of pairs is made, whose size is the product of a pool's predictions and truths. A taken truth leaves the index. A pool is one
+    task. Keys and labels are not null; ids are unique within a key; thresholds are positive.
     """
-    own = [*keys, "label"]
-    group = [*own, "threshold"]
-    pairs = written(near_boxes(predictions, truths, own, float(min(thresholds))))
-    levels = F.array(*[F.lit(float(x)) for x in thresholds])
-    open_ = written(pairs.withColumn("threshold", F.explode(F.filter(levels, lambda x: F.col("v") < -x))))
-    discard(pairs)
-    found: list[DataFrame] = []
-    left = open_.select(*group, "prediction_id").distinct().count()
-    while left:
-        best = open_.groupBy(*group, "prediction_id").agg(F.min(F.struct("v", "truth_id")).alias("b")).select(*group, "prediction_id", F.col("b.truth_id").alias("truth_id"))
-        first = open_.groupBy(*group, "truth_id").agg(F.min(F.struct("o", "prediction_id")).alias("f")).select(*group, "truth_id", F.col("f.prediction_id").alias("prediction_id"))
-        settled = written(best.join(first.hint("merge"), [*group, "prediction_id", "truth_id"]).select(*group, "prediction_id", "truth_id"))
-        found.append(settled)
-        rest = open_.join(settled.select(*group, "prediction_id").hint("merge"), [*group, "prediction_id"], "left_anti")
-        rest = written(rest.join(settled.select(*group, "truth_id").hint("merge"), [*group, "truth_id"], "left_anti").select(*open_.columns))
-        discard(open_)
-        open_, before = rest, left
-        left = open_.select(*group, "prediction_id").distinct().count()
-        if left and (before - left) * SHARE < before:
-            kinds = {f.name: f.dataType.simpleString() for f in open_.schema.fields}
-            sorted_ = open_.repartition(*group).sortWithinPartitions(*group, "o", "prediction_id", "v", "truth_id")
-            found.append(written(sorted_.mapInPandas(_streamed(group), ", ".join(f"`{c}` {kinds[c]}" for c in [*group, "prediction_id", "truth_id"]))))
-            left = 0
-    discard(open_)
-    every = predictions.select(*own, "prediction_id", "confidence").withColumn("threshold", F.explode(levels))
-    # classes without a truth have rows as well
-    if not found:
-        return every.select(*group, "prediction_id", "confidence", F.lit(None).cast(truths.schema["truth_id"].dataType).alias("truth_id"))
-    taken = found[0]
-    for other in found[1:]:
-        taken = taken.union(other)
-    taken = written(taken)
-    discard(*found)
-    return every.join(taken.hint("merge"), [*group, "prediction_id"], "left").select(*group, "prediction_id", "confidence", "truth_id")
+    group = [*keys, "label"]
+    kinds = {f.name: f.dataType.simpleString() for f in predictions.schema.fields} | {"truth_id": truths.schema["truth_id"].dataType.simpleString(), "threshold": "double"}
+    corners = [F.col(c).cast("double").alias(c) for c in ("x1", "y1", "x2", "y2")]
+    absent = lambda n: F.lit(None).cast(kinds[n]).alias(n)
+    proper = (F.col("x2") > F.col("x1")) & (F.col("y2") > F.col("y1"))
+    for c in ("x1", "y1", "x2", "y2"):
+        proper &= F.abs(F.col(c)) < F.lit(float("inf"))
+    held = truths.where(proper).select(*group, F.lit(0).alias("kind"), absent("prediction_id"), absent("confidence"), "truth_id", *corners)
+    asked = predictions.select(*group, F.lit(1).alias("kind"), "prediction_id", "confidence", absent("truth_id"), *corners)
+    # a number is given, or Spark would join the few bytes of many pools in one task
+    parts = int(predictions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = held.union(asked).repartition(parts, *group).sortWithinPartitions(*group, "kind", -F.col("confidence"), "prediction_id", "truth_id")
+    names = [*group, "threshold", "prediction_id", "confidence", "truth_id"]
+    return rows.mapInPandas(_streamed(group, [float(x) for x in thresholds]), ", ".join(f"`{c}` {kinds[c]}" for c in names))
