@@ -584,15 +584,15 @@ def test_one_run_with_all_rows_is_cut_into_ranges(spark):
         assert got.columns == df.columns and sorted((r["run"], r["n"]) for r in got.collect()) == sorted(want)
 
 
-def test_pooled_matching_writes_no_pairs(spark, tmp_path):
+def test_pooled_matching_writes_no_pairs(spark, monkeypatch):
     """Every prediction meets every truth: the pairs are 160,000, the matches 400."""
+    from framelake import lineage
+
+    def refused(_):
+        raise AssertionError("a table was written")
+
     ps = spark.range(400).selectExpr("'A' candidate", "'car' label", "concat('p', id) prediction_id", "id / 400D confidence", "0D x1", "0D y1", "1D + id / 1e6 x2", "1D y2")
     ts = spark.range(400).selectExpr("'A' candidate", "'car' label", "concat('t', id) truth_id", "0D x1", "0D y1", "1D + id / 1e6 x2", "1D y2")
-    before = spark.conf.get("spark.checkpoint.dir")
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        got = evaluate.match(ps, ts, (0.5,), scope="pooled").collect()
-    finally:
-        spark.conf.set("spark.checkpoint.dir", before)
+    monkeypatch.setattr(lineage, "shared_folder", refused)
+    got = evaluate.match(ps, ts, (0.5,), scope="pooled").collect()
     assert {r["prediction_id"][1:] for r in got} == {r["truth_id"][1:] for r in got} and len(got) == 400
-    assert not [p for p in tmp_path.rglob("*.parquet")]
