@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import lru_cache, reduce
 
+from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -180,23 +181,73 @@ def clamped_model_box(b: Column) -> Column:
     return let(let(b, lambda x: clip(x, 1, 1)), widened)
 
 
+@lru_cache(maxsize=1)
+def _mask_udfs(context):
+    """(area, pixels in a box, tight box) of masks, over Arrow arrays of many masks at once; made once per context, so that one plan computes each only once."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    def column(values: pa.Array, absent: float) -> np.ndarray:
+        return values.cast(pa.float64()).fill_null(absent).to_numpy(zero_copy_only=False)
+
+    def runs_of(masks: pa.Array):
+        """(mask of every run, y, x0, x1); a run's missing fields are NaN."""
+        flat = masks.flatten()
+        fields = dict(zip([f.name for f in flat.type], flat.flatten()))
+        return pc.list_parent_indices(masks).to_numpy(), *[column(fields[n], np.nan) for n in ("y", "x0", "x1")]
+
+    def summed(masks: pa.Array, of: np.ndarray, wide: np.ndarray) -> pa.Array:
+        wide = np.where(wide > 0, wide, 0)  # NaN as well
+        return pa.array(np.bincount(of, weights=wide, minlength=len(masks)).astype(np.int64), mask=masks.is_null().to_numpy(zero_copy_only=False))
+
+    def area_(masks):
+        of, _, x0, x1 = runs_of(masks)
+        return summed(masks, of, x1 - x0)
+
+    def pixels(masks, bx1, by1, bx2, by2):
+        of, y, x0, x1 = runs_of(masks)
+        inside = (y >= column(by1, np.nan)[of]) & (y < column(by2, np.nan)[of])
+        of, x0, x1 = of[inside], x0[inside], x1[inside]
+        return summed(masks, of, np.fmin(x1, column(bx2, np.nan)[of]) - np.fmax(x0, column(bx1, np.nan)[of]))
+
+    def tight(masks):
+        of, y, x0, x1 = runs_of(masks)
+        live = x1 > x0
+        of, y, x0, x1 = of[live], y[live], x0[live], x1[live]
+        starts = np.flatnonzero(np.diff(of, prepend=-1))
+        own = of[starts]
+        out = np.full((4, len(masks)), np.nan)
+        if len(own):
+            for n, (f, v) in enumerate(((np.fmin, x0), (np.fmin, y), (np.fmax, x1), (np.fmax, y + 1))):
+                out[n, own] = f.reduceat(v, starts)
+        empty = np.ones(len(masks), bool)
+        empty[own] = False
+        return pa.StructArray.from_arrays([pa.array(v, mask=np.isnan(v)) for v in out], ["x1", "y1", "x2", "y2"], mask=pa.array(empty))
+
+    def in_parts(f):
+        """A batch by 512 masks, whose arrays stay in the caches."""
+        return lambda masks, *others: pa.concat_arrays([f(masks[i : i + 512], *[o[i : i + 512] for o in others]) for i in range(0, max(1, len(masks)), 512)])
+
+    return [F.arrow_udf(in_parts(f), t) for f, t in ((area_, "long"), (pixels, "long"), (tight, "x1 double, y1 double, x2 double, y2 double"))]
+
+
+def _masks(n: int):
+    return _mask_udfs(SparkContext._active_spark_context)[n]
+
+
 def mask_area(runs: Column) -> Column:
-    return F.aggregate(runs, F.lit(0).cast("long"), lambda acc, r: acc + F.greatest(r["x1"] - r["x0"], F.lit(0)).cast("long"))
+    return _masks(0)(runs)
 
 
 def tight_box(runs: Column) -> Column:
     """Smallest box around a mask, right and bottom exclusive; null if the mask is empty."""
-    live = F.filter(runs, lambda r: r["x1"] > r["x0"])
-    low = lambda f: F.array_min(F.transform(live, f))
-    high = lambda f: F.array_max(F.transform(live, f))
-    return F.when(F.size(live) > 0, box(low(lambda r: r["x0"]), low(lambda r: r["y"]), high(lambda r: r["x1"]), high(lambda r: r["y"]) + 1))
+    return _masks(2)(runs)
 
 
 def mask_pixels_in(runs: Column, b: Column) -> Column:
     """Pixels with x1 <= x < x2 and y1 <= y < y2."""
-    x1, x2, y1, y2 = F.ceil(b["x1"]), F.ceil(b["x2"]), F.ceil(b["y1"]), F.ceil(b["y2"])
-    own = F.filter(runs, lambda r: (r["y"] >= y1) & (r["y"] < y2))
-    return F.aggregate(own, F.lit(0).cast("long"), lambda acc, r: acc + F.greatest(F.least(r["x1"], x2) - F.greatest(r["x0"], x1), F.lit(0)).cast("long"))
+    return _masks(1)(runs, *[F.ceil(b[k]) for k in ("x1", "y1", "x2", "y2")])
 
 
 def mask_box_ratio(runs: Column, b: Column) -> Column:

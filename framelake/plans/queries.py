@@ -676,9 +676,14 @@ def p01_normalize_boxes(t):
     return d.select("id", "reason", *[F.round(F.col("box")[k] * 1000).cast("long").alias(k) for k in ("x1", "y1", "x2", "y2")])
 
 
+def _mask(x0, x1):
+    """A mask of 100 runs that k shifts. k is bound once for a mask: Spark moves the text of its view into the function, which every run would compute again."""
+    return boxes.let(F.col("k") % 7, lambda shift: F.transform(F.sequence(F.lit(0), F.lit(99)), lambda y: F.struct(y.alias("y"), x0(shift).cast("int").alias("x0"), x1(shift).cast("int").alias("x1"))))
+
+
 @query("""SELECT object_id, (100 * (30 + k % 7))::BIGINT AS mask_area, x1 * 100 AS fx, 10.0::DOUBLE AS tx1, (40 + k % 7)::DOUBLE AS tx2 FROM (SELECT object_id, k, x1 FROM {segments})""")
 def p03_object_geometry(t):
-    runs = F.transform(F.sequence(F.lit(0), F.lit(99)), lambda y: F.struct(y.alias("y"), F.lit(10).alias("x0"), (F.lit(40) + (F.col("k") % 7)).cast("int").alias("x1")))
+    runs = _mask(lambda shift: F.lit(10), lambda shift: 40 + shift)
     d = t.segments.withColumn("runs", runs)
     box = boxes.tight_box(F.col("runs"))
     return d.select("object_id", boxes.mask_area(F.col("runs")).alias("mask_area"), (F.col("x1") * 100).alias("fx"), box["x1"].alias("tx1"), box["x2"].alias("tx2"))
@@ -1076,7 +1081,7 @@ MASKS = "SELECT *, 10 + k % 7 AS ma, 40 + k % 7 AS mb FROM {segments}"
 
 def _masked(t: Tables) -> DataFrame:
     """Segments with their feed box and segment box in a 100 x 100 image, and a mask of runs."""
-    runs = F.transform(F.sequence(F.lit(0), F.lit(99)), lambda y: F.struct(y.alias("y"), (F.lit(10) + F.col("k") % 7).cast("int").alias("x0"), (F.lit(40) + F.col("k") % 7).cast("int").alias("x1")))
+    runs = _mask(lambda shift: 10 + shift, lambda shift: 40 + shift)
     feed = boxes.box(F.col("x1") * 100, F.col("y1") * 100, F.col("x2") * 100, F.col("y2") * 100)
     seg = boxes.box(F.lit(10) + F.col("k") % 7, F.lit(0), F.lit(40) + F.col("k") % 7, F.lit(100))
     return t.segments.select("object_id", "k", feed.alias("feed"), seg.alias("seg"), runs.alias("runs"))

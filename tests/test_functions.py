@@ -134,3 +134,20 @@ def test_splits_equal_python(spark):
     assert 0.79 < sum(r["x"] == "train" for r in got) / 20_000 < 0.81
     with pytest.raises(ValueError):
         hashes.assign_split(F.col("id"), {"train": 0}, "s")
+
+
+def test_masks_are_measured_by_arrays(spark):
+    """Many masks at once, also null, empty, dead and partly null ones, and no box; a plan has one step for all measures."""
+    schema = "n int, runs array<struct<y:int,x0:int,x1:int>>, b struct<x1:double,y1:double,x2:double,y2:double>"
+    unit = (0.0, 0.0, 10.0, 10.0)
+    data = [(0, None, unit), (1, [], unit), (2, [(1, 5, 5), (2, 7, 3)], unit), (3, [(1, 2, 5), (4, 8, 14), (20, 0, 1)], unit), (4, [(1, 2, 5)], None), (5, [(1, None, 5), (2, 3, 4)], unit)]
+    data += [(6 + i, [(y, i % 3, i % 3 + 2) for y in range(i % 5)], unit) for i in range(2000)]
+    df = spark.createDataFrame(data, schema).coalesce(1)
+    out = df.select("n", boxes.mask_area(F.col("runs")).alias("a"), boxes.mask_pixels_in(F.col("runs"), F.col("b")).alias("p"), boxes.tight_box(F.col("runs")).alias("t"))
+    got = {r["n"]: (r["a"], r["p"], r["t"] and tuple(r["t"])) for r in out.collect()}
+    assert [got[i] for i in range(5)] == [(None, None, None), (0, 0, None), (0, 0, None), (10, 5, (0, 1, 14, 21)), (3, 0, (2, 1, 5, 2))] and got[5][2] == (3, 2, 4, 3)
+    for i in range(2000):
+        rows, x = i % 5, i % 3
+        assert got[6 + i] == (2 * rows, 2 * rows, (x, 0, x + 2, rows) if rows else None)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "aggregate(" not in plan
