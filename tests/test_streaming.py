@@ -3,7 +3,7 @@ import time
 
 from framelake.functions import boxes
 from framelake.operators import sessions
-from framelake.streaming import incremental
+from framelake.streaming import audit, incremental
 from pyspark.sql import functions as F
 
 
@@ -142,3 +142,40 @@ def test_late_events_are_kept(spark, tmp_path):
         stream = spark.readStream.schema("id string, ts timestamp").json(str(tmp_path / "in"))
         incremental.collect_events(spark, stream, target, str(tmp_path / "cp")).awaitTermination()
     assert sorted(r["id"] for r in spark.read.parquet(target).collect()) == ["e2", "e5", "e9", "eNone"]
+
+
+def test_one_step_of_the_state_settles_many_objects():
+    """Two are decided, one waits and comes by its own time, whether or not its bucket has news by then."""
+    import pandas as pd
+
+    class State:
+        exists, hasTimedOut, now, due, held = False, False, 1000, None, None
+
+        @property
+        def get(self):
+            return self.held
+
+        def getCurrentProcessingTimeMs(self):
+            return self.now
+
+        def update(self, held):
+            self.held, self.exists, self.due = held, True, None
+
+        def setTimeoutDuration(self, ms):
+            self.due = self.now + ms
+
+    def news(*rows):
+        return iter([pd.DataFrame(rows, columns=["object_id", "kind", "text", "at", "mark"])])
+
+    def run(state, frames):
+        return sorted((r[0], r[3], r[5]) for out in settle((7,), frames, state) for r in out.itertuples(index=False, name=None))
+
+    settle, state = audit._settle(500), State()
+    first = [(o, "object", "{}", 1, "d") for o in "abc"] + [("a", "segment", "s", 1, None), ("b", "segment", "s", 1, "valid"), ("b", "verdict", "v", 1, None)]
+    assert run(state, news(*first)) == [("a", None, 0), ("b", "v", 0)] and state.due == 1500
+    state.now = 1400
+    assert run(state, news(("d", "object", "{}", 1, "d"))) == [] and state.due == 1500  # c still waits since 1000
+    state.now = 1501
+    assert run(state, news(("e", "segment", "s", 1, None))) == [("c", None, 1)] and state.due == 1900
+    state.now, state.hasTimedOut = 1901, True
+    assert run(state, iter([])) == [("d", None, 1)] and state.due is None
