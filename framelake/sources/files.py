@@ -55,13 +55,16 @@ def parse_audit_manifest(raw: DataFrame, width: int = 1920, height: int = 1080)
     out = o.withColumns({"box": box, "bad": bad, "_copy": F.row_number().over(Window.partitionBy("o.id", F.when(F.col("o.id").isNull(), F.col("manifest_index"))).orderBy("manifest_index"))})
     reason = F.when(F.col("o.id").isNull(), "missing_id").when(F.col("o.class_name").isNull(), "missing_class").when(F.col("o.image").isNull(), "missing_image").when(F.col("_copy") > 1, "duplicate_id").otherwise(F.col("bad"))
     out = out.withColumn("reason", reason)
-    first = out.where("reason is null").groupBy(F.col("o.class_name").alias("name")).agg(F.min("manifest_index").alias("_f"))
-    order = ranges.ranked(written(first), [], [F.asc("_f"), F.asc("name")], "_place").select("name", (F.col("_place") - 1).cast("int").alias("seen_id"))
-    good = join_counted(out.where("reason is null"), order, F.col("o.class_name") == F.col("name"))
     root = pick("image_root", "")
     image = F.when(F.length(root) > 0, F.concat_ws("/", root, "o.image")).otherwise(F.col("o.image"))
-    objects = good.select(F.col("o.id").alias("object_id"), image.alias("image_path"), F.col("o.class_name").alias("class_name"), F.coalesce(F.element_at("class_map", F.col("o.class_name")), "seen_id").alias("class_id"), "box", "manifest_index", F.col("o.crop_origin").alias("crop_origin"))
-    return objects, out.where("reason is not null").select(F.col("o.id").alias("object_id"), "manifest_index", "reason")
+    mapped = F.when(F.col("reason").isNull(), F.element_at("class_map", F.col("o.class_name")))
+    # read three times below: the manifests are taken apart once
+    out = written(out.select(F.col("o.id").alias("object_id"), image.alias("image_path"), F.col("o.class_name").alias("class_name"), mapped.alias("mapped"), "box", "manifest_index", F.col("o.crop_origin").alias("crop_origin"), "reason"))
+    first = out.where("reason is null").groupBy(F.col("class_name").alias("name")).agg(F.min("manifest_index").alias("_f"))
+    order = ranges.ranked(written(first), [], [F.asc("_f"), F.asc("name")], "_place").select("name", (F.col("_place") - 1).cast("int").alias("seen_id"))
+    good = join_counted(out.where("reason is null"), order, F.col("class_name") == F.col("name"))
+    objects = good.select("object_id", "image_path", "class_name", F.coalesce("mapped", "seen_id").alias("class_id"), "box", "manifest_index", "crop_origin")
+    return objects, out.where("reason is not null").select("object_id", "manifest_index", "reason")
 
 
 def list_images(spark: SparkSession, path: str) -> DataFrame:

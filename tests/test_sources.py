@@ -174,3 +174,16 @@ def test_benchmark_lines_are_one_object(spark, tmp_path):
         assert sorted(r["name"] for r in files.read_benchmark(spark, str(tmp_path / f"out{n}")).collect()) == sorted(r[0] for r in rows[:n])
         (tmp_path / f"whole{n}.json").write_text(whole)
         assert files.read_benchmark(spark, str(tmp_path / f"whole{n}.json"), lines=False).count() == n
+
+
+def test_manifests_are_taken_apart_once(spark):
+    """Good objects and rejects read one written table: no part of the result explodes the manifests again."""
+    from framelake import schemas
+
+    text = '{"image_root": "/r", "bbox_format": "xyxy", "class_map": {"car": 7}, "objects": [{"id": "a", "image": "i", "class_name": "car", "bbox": [1, 1, 5, 5]}, {"id": "b", "image": "i", "class_name": "dog", "bbox": [1, 1, 5, 5]}, {"id": "c", "image": "i"}]}'
+    raw = spark.createDataFrame([(text,)], "j string").select(F.from_json("j", schemas.AUDIT_MANIFEST).alias("m")).select("m.*")
+    good, bad = files.parse_audit_manifest(raw, 200, 100)
+    assert {(r["object_id"], r["image_path"], r["class_id"]) for r in good.collect()} == {("a", "/r/i", 7), ("b", "/r/i", 1)}
+    assert [tuple(r) for r in bad.collect()] == [("c", 2, "missing_class")]
+    for part in (good, bad):
+        assert "Generate" not in part._jdf.queryExecution().executedPlan().toString()
