@@ -110,8 +110,8 @@ def validate_golden(rows: DataFrame, images: DataFrame, labels: DataFrame) -> Da
     parts = [
         rows.where("sample_id is null").select("sample_id", F.lit("missing_id").alias("problem")),
         own.groupBy("sample_id").count().where("count > 1").select("sample_id", F.lit("duplicate_id").alias("problem")),
-        own.join(images.select("image"), "image", "left_anti").select("sample_id", F.lit("missing_image").alias("problem")),
-        own.join(labels.select("sample_id"), "sample_id", "left_anti").select("sample_id", F.lit("missing_label").alias("problem")),
+        own.join(images.select("image").distinct().hint("merge"), "image", "left_anti").select("sample_id", F.lit("missing_image").alias("problem")),
+        own.join(labels.select("sample_id").hint("merge"), "sample_id", "left_anti").select("sample_id", F.lit("missing_label").alias("problem")),
     ]
     return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
 

@@ -596,3 +596,12 @@ def test_pooled_matching_writes_no_pairs(spark, monkeypatch):
     monkeypatch.setattr(lineage, "shared_folder", refused)
     got = evaluate.match(ps, ts, (0.5,), scope="pooled").collect()
     assert {r["prediction_id"][1:] for r in got} == {r["truth_id"][1:] for r in got} and len(got) == 400
+
+
+def test_golden_validation_sends_no_table_to_all_tasks(spark):
+    rows = spark.createDataFrame([("a", "i.jpg"), ("b", "j.jpg"), ("b", "i.jpg"), (None, "i.jpg")], "sample_id string, image string")
+    images = spark.createDataFrame([("i.jpg",)] * 5, "image string")
+    out = datasets.validate_golden(rows, images, spark.createDataFrame([("a",)] * 3, "sample_id string").limit(3))
+    assert sorted(map(tuple, out.collect()), key=str) == [("b", "duplicate_id"), ("b", "missing_image"), ("b", "missing_label"), ("b", "missing_label"), (None, "missing_id")]
+    joins = [line for line in out._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in line]
+    assert joins and not [line for line in joins if "Broadcast" in line]
