@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -14,10 +15,12 @@ from . import ranges
 
 #: Hashes of a block decided in its first pass; every later pass takes four times as many as all before.
 FIRST_PASS = 1 << 16
-#: Hashes that a task holds at once to compare others with.
-TILE = 1 << 16
-#: Hashes compared with a tile in one go.
-_ROWS = 64
+#: Hashes of a block that look in one group for those that stay.
+LOT = 1 << 16
+#: Hashes that a task holds at once to compare others with, and others that pass one such set in one group.
+TILE, ASKED = 1 << 18, 1 << 15
+#: Hashes compared with a tile in one go, and the pairs that are looked at in one go.
+_ROWS, _PAIRS = 64, 1 << 21
 
 
 class KeptHashes:
@@ -109,7 +112,7 @@ def _unseen(block: str, threshold: int, bits: int):
     return rows
 
 
-def kept_hashes(classes: DataFrame, threshold: int, block: str = "camera", bits: int = 64, first_pass: int = FIRST_PASS, lot: int = TILE) -> DataFrame:
+def kept_hashes(classes: DataFrame, threshold: int, block: str = "camera", bits: int = 64, first_pass: int = FIRST_PASS, lot: int = LOT) -> DataFrame:
     """(block, hash), written: going through a block's hashes in order of ``first``, one stays if no earlier one that stays lies within ``threshold`` bits.
 
     ``classes`` has different hashes of a block. A block goes through one sorted pass, which holds only what stays. A large block is cut
@@ -143,40 +146,115 @@ def kept_hashes(classes: DataFrame, threshold: int, block: str = "camera", bits:
     return out
 
 
+class HashTile:
+    """A set of hashes that gives all pairs within ``threshold`` bits of one of them.
+
+    Multi-index hashing as in ``KeptHashes``, with tables of offsets: of words of w bits, one must differ by at most threshold / words bits, the last ones
+    by one less. The number of words is the cheapest for the size of the set; where none is cheaper than comparing with all of it, all are compared.
+    """
+
+    def __init__(self, hashes: np.ndarray, threshold: int, bits: int = 64):
+        self.hashes, self.threshold, self.words = hashes, threshold, []
+        least = len(hashes) / 4  # a look at a bucket costs some four plain comparisons
+        for words in range(max(1, bits // 20), min(bits, threshold + 1, 16) + 1):
+            most, edges = threshold // words, [round(bits * i / words) for i in range(words + 1)]
+            plan = [(a, b - a, most if i <= threshold - most * words else most - 1) for i, (a, b) in enumerate(zip(edges, edges[1:]))]
+            looks = [sum(comb(wide, r) for r in range(radius + 1)) for _, wide, radius in plan]
+            cost = sum(n * (1 + len(hashes) / 2**wide) for n, (_, wide, _) in zip(looks, plan))
+            if max(wide for _, wide, _ in plan) <= 22 and max(looks) <= 4096 and cost < least:
+                least, self.words = cost, plan
+        self.tables = []
+        for at, wide, radius in self.words:
+            word = self._word(hashes, at, wide)
+            order = np.argsort(word, kind="stable")
+            flips = np.array([sum(1 << k for k in c) for r in range(radius + 1) for c in combinations(range(wide), r)], np.int64)
+            self.tables.append((np.searchsorted(word[order], np.arange((1 << wide) + 1)), order, hashes[order], flips))
+
+    @staticmethod
+    def _word(hashes: np.ndarray, at: int, wide: int) -> np.ndarray:
+        return ((hashes >> np.uint64(at)) & np.uint64((1 << wide) - 1)).astype(np.int64)
+
+    def near(self, asked: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(place in ``asked``, place in the set, distance), every pair once, in parts of bounded size."""
+        if not self.words:
+            rows = max(1, min(_ROWS, _PAIRS // max(1, len(self.hashes))))
+            for at in range(0, len(asked), rows):
+                apart = np.bitwise_count(asked[at : at + rows, None] ^ self.hashes[None, :])
+                i, j = np.nonzero(apart <= self.threshold)
+                yield i + at, j, apart[i, j].astype(np.int32)
+            return
+        for number, ((at, wide, _), (offsets, order, hashes, flips)) in enumerate(zip(self.words, self.tables)):
+            rows = max(1, _PAIRS // 8 // len(flips))
+            for first in range(0, len(asked), rows):
+                own = asked[first : first + rows]
+                looks = (self._word(own, at, wide)[:, None] ^ flips[None, :]).ravel()
+                start = offsets[looks]
+                found = offsets[looks + 1] - start
+                some = np.flatnonzero(found)
+                start, found, who = start[some], found[some], some // len(flips)
+                ends = np.cumsum(found)
+                done = 0
+                while done < len(found):
+                    before = ends[done - 1] if done else 0
+                    to = max(done + 1, int(np.searchsorted(ends, before + _PAIRS, "right")))
+                    n = found[done:to]
+                    place = np.arange(ends[to - 1] - before) + np.repeat(start[done:to] - (ends[done:to] - n - before), n)
+                    i = np.repeat(who[done:to], n)
+                    differ = own[i] ^ hashes[place]
+                    apart = np.bitwise_count(differ)
+                    good = apart <= self.threshold
+                    for a, w, radius in self.words[:number]:  # pairs that an earlier word gave
+                        good[good] = np.bitwise_count(self._word(differ[good], a, w)) > radius
+                    yield i[good] + first, order[place[good]], apart[good].astype(np.int32)
+                    done = to
+
+
 def _compared(block: str, threshold: int, answer: str):
-    """For rows sorted by block, tile and kind: those of kind 1 (b) are compared with the tile's of kind 0 (a)."""
+    """For rows sorted by block, tile, part and kind: those of kind 1 (b) are compared with the tile's of kind 0 (a)."""
 
     def rows(batches) -> Iterator:
         import pandas as pd
 
-        now, held, tile = object(), [], np.empty(0, np.uint64)
-        for key, part in _grouped(batches, [block, "tile"]):
+        now, held, tile = object(), [], None
+        for key, part in _grouped(batches, [block, "tile", "part"]):
             if key != now:
-                now, held, tile = key, [], np.empty(0, np.uint64)
+                now, held, tile = key, [], None
             held.append(part.loc[part["kind"] == 0, "hash"].to_numpy().view(np.uint64))
-            asked = part.loc[part["kind"] == 1, "hash"].to_numpy().view(np.uint64)
-            if len(asked) and held:
-                tile, held = np.concatenate([tile, *held]), []
-            for at in range(0, len(asked) if len(tile) else 0, _ROWS):
-                own = asked[at : at + _ROWS]
-                apart = np.bitwise_count(own[:, None] ^ tile[None, :])
+            own = part.loc[part["kind"] == 1, "hash"].to_numpy().view(np.uint64)
+            if not len(own):
+                continue
+            if tile is None:
+                tile, held = HashTile(np.concatenate(held), threshold), []
+            links = np.zeros(len(own), np.int64)
+            for i, j, apart in tile.near(own):
                 if answer == "links":
-                    out = {"hash": own.view(np.int64), "links": (apart <= threshold).sum(axis=1)}
-                else:
-                    i, j = np.nonzero(apart <= threshold)
-                    out = {"hash": own[i].view(np.int64), "other": tile[j].view(np.int64), "distance": apart[i, j].astype(np.int32)}
-                yield pd.DataFrame({block: [key[0]] * len(out["hash"]), **out})
+                    links += np.bincount(i, minlength=len(own))
+                    continue
+                a, b = own[i].view(np.int64), tile.hashes[j].view(np.int64)
+                if answer == "pairs":
+                    a, b, apart = a[a < b], b[a < b], apart[a < b]
+                if len(a):
+                    yield pd.DataFrame({block: [key[0]] * len(a), "hash": a, "other": b, "distance": apart})
+            if answer == "links":
+                yield pd.DataFrame({block: [key[0]] * len(own), "hash": own.view(np.int64), "links": links})
 
     return rows
 
 
 def _met(asked: DataFrame, held: DataFrame, threshold: int, block: str, answer: str, tile: int) -> DataFrame:
-    """(block, hash, other, distance), or (block, hash, links), of all hashes ``asked`` and ``held`` within ``threshold`` bits, tile by tile of ``held``."""
-    sizes = held.groupBy(F.col(block).alias("_b")).agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("tiles")).hint("merge")
+    """(block, hash, other, distance), or (block, hash, links), of all hashes ``asked`` and ``held`` within ``threshold`` bits: parts of ``asked`` pass tiles of ``held``.
+    "pairs" gives those with hash < other only."""
+    count = lambda df, n, size: df.groupBy(F.col(block).alias(f"_{n}")).agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias(n))
+    tiles, parts = count(held, "tiles", tile), count(asked, "parts", ASKED)
+    sizes = tiles.join(parts.hint("merge"), F.col("_tiles").eqNullSafe(F.col("_parts"))).select(F.col("_tiles").alias("_b"), "tiles", "parts").hint("merge")
     same = F.col(block).eqNullSafe(F.col("_b"))
-    own = held.join(sizes, same).select(block, F.pmod(F.xxhash64("hash"), "tiles").cast("int").alias("tile"), F.lit(0).alias("kind"), "hash")
-    sent = asked.join(sizes, same).select(block, F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"), F.lit(1).alias("kind"), "hash")
-    met = own.union(sent).repartition(block, "tile").sortWithinPartitions(block, "tile", "kind")
+    dealt = lambda n: F.pmod(F.xxhash64("hash"), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = held.join(sizes, same).select(block, dealt("tiles").alias("tile"), every("parts").alias("part"), F.lit(0).alias("kind"), "hash")
+    sent = asked.join(sizes, same).select(block, every("tiles").alias("tile"), dealt("parts").alias("part"), F.lit(1).alias("kind"), "hash")
+    # a number is given, or Spark would join the few bytes of many groups in one task
+    number = int(held.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = own.union(sent).repartition(number, block, "tile", "part").sortWithinPartitions(block, "tile", "part", "kind")
     kind = held.schema[block].dataType.simpleString()
     schema = f"`{block}` {kind}, hash long, " + ("links long" if answer == "links" else "other long, distance int")
     return met.mapInPandas(_compared(block, threshold, answer), schema)
@@ -210,13 +288,8 @@ def star_cover(classes: DataFrame, threshold: int = 10, block: str = "camera", b
     return out
 
 
-def near_pairs(cover: DataFrame, threshold: int = 10, block: str = "camera", tile: int = TILE) -> DataFrame:
-    """(block, a, b, distance), a < b: the pairs that a star cover stands for. Two hashes within ``threshold`` bits have representatives within three times that, so
-    only the members of such stars are compared."""
-    reps = kinds(cover.select(block, F.col("rep").alias("hash")), block)
-    stars = near_hashes(reps, reps, 3 * threshold, block, tile).select(F.col(block).alias("_b"), F.col("a").alias("ra"), F.col("b").alias("rb"))
-    member = lambda rep, name, b: cover.select(F.col(block).alias(b), F.col("rep").alias(rep), F.col("hash").alias(name)).hint("merge")
-    one = stars.join(member("ra2", "a", "_b1"), F.col("_b").eqNullSafe(F.col("_b1")) & (F.col("ra") == F.col("ra2"))).select("_b", "rb", "a")
-    both = one.join(member("rb2", "b", "_b2"), F.col("_b").eqNullSafe(F.col("_b2")) & (F.col("rb") == F.col("rb2")) & (F.col("a") < F.col("b")))
-    distance = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
-    return both.select(F.col("_b").alias(block), "a", "b", distance.alias("distance")).where(F.col("distance") <= threshold)
+def near_pairs(classes: DataFrame, threshold: int = 10, block: str = "camera", tile: int = TILE) -> DataFrame:
+    """(block, a, b, distance), a < b: the pairs that a star cover stands for, of its hashes or of any others. Only what is near comes out of the tasks; no
+    table of pairs that lie further apart is made."""
+    own = kinds(classes, block)
+    return _met(own, own, threshold, block, "pairs", tile).toDF(block, "a", "b", "distance")

@@ -301,7 +301,7 @@ def j06_near_pairs(t):
     """The pairs that the star cover stands for."""
     classes = written(dedup.hash_classes(_frames(t)))
     of = lambda n: classes.select("camera", F.col("hash").alias(n), F.col("n").alias(f"n_{n}")).hint("merge")
-    return nearhash.near_pairs(nearhash.star_cover(classes, 10), 10).join(of("a"), ["camera", "a"]).join(of("b"), ["camera", "b"]).select("camera", "a", "b", "distance", "n_a", "n_b")
+    return nearhash.near_pairs(classes, 10).join(of("a"), ["camera", "a"]).join(of("b"), ["camera", "b"]).select("camera", "a", "b", "distance", "n_a", "n_b")
 
 
 @query(f"""WITH {DHASH}, k AS (SELECT camera, hash, min(vec_id) AS first, count(*) AS n FROM g GROUP BY ALL),

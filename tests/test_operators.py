@@ -429,6 +429,32 @@ def test_passes_of_a_large_camera_equal_one_pass(spark):
         assert {r["id"] for r in out.where("kept").collect()} == wanted and out.count() == len(rows)
 
 
+def test_near_pairs_make_no_pairs_that_lie_further_apart(spark):
+    """4,000 hashes at random, 30 bits apart or less in a third of their pairs, with a near copy of one in ten."""
+    rng = random.Random(8)
+    hashes = [rng.getrandbits(64) - (1 << 63) for _ in range(4000)]
+    near = [(min(h, h ^ 1 << 40 ^ 5), max(h, h ^ 1 << 40 ^ 5)) for h in hashes[:400]]
+    df = spark.createDataFrame([(f"f{i}", "c", h, float(i), "e", 0) for i, h in enumerate({*hashes, *[x for p in near for x in p]})], FRAMES)
+    pairs = nearhash.near_pairs(dedup.hash_classes(df), 10)
+    assert sorted((r["a"], r["b"], r["distance"]) for r in pairs.collect()) == sorted((a, b, 3) for a, b in near)
+    assert "SortMergeJoin" not in pairs._jdf.queryExecution().optimizedPlan().toString() and "bit_count" not in pairs._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_hash_tile_equals_comparing_all():
+    import numpy as np
+
+    draw = np.random.default_rng(4)
+    base = draw.integers(0, 2**64, 600, dtype=np.uint64)
+    hashes = np.unique(np.concatenate([base ^ np.bitwise_or.reduce([np.uint64(1) << draw.integers(0, 64, 600).astype(np.uint64) for _ in range(k)]) for k in range(1, 16)]))
+    asked = draw.choice(hashes, 150)
+    apart = np.bitwise_count(asked[:, None] ^ hashes[None, :])
+    for threshold in (0, 1, 3, 10, 12, 20, 64):
+        tile = nearhash.HashTile(hashes, threshold)
+        assert tile.words or threshold not in (3, 10, 12)
+        got = [(int(i), int(j), int(d)) for part in tile.near(asked) for i, j, d in zip(*part)]
+        assert sorted(got) == sorted((int(i), int(j), int(apart[i, j])) for i, j in zip(*np.nonzero(apart <= threshold)))
+
+
 def test_star_cover_stands_for_all_pairs(spark):
     """1,500 hashes within 8 bits of each other: as many rows, whatever the number of pairs."""
     rng = random.Random(2)
