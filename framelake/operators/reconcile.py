@@ -187,19 +187,28 @@ def hard_negatives(decisions: DataFrame) -> DataFrame:
 
 
 def background_boxes(objects: DataFrame, per_object: int, size: float = 0.2, tries: int = 16, most_iou: float = 0.2) -> DataFrame:
-    """Per object and number the first of ``tries`` seeded square draws that hardly overlaps the object: object_id, n, box."""
+    """Per object and number the first of ``tries`` seeded square draws that hardly overlaps the object: object_id, n, box.
+
+    A draw is made only if those before it are taken: the first is nearly always free and is a plain expression; the others are steps of a fold, which are
+    interpreted.
+    """
     top = float(2**53)
+    own = boxes.box("x1", "y1", "x2", "y2")
 
-    def draw(n: Column, attempt: Column, axis: int) -> Column:
-        h = F.xxhash64(F.col("object_id"), n, attempt, F.lit(axis))
-        return F.shiftrightunsigned(h, 11).cast("double") / top * (1 - size)
+    def drawn(attempt: Column) -> Column:
+        x, y = (F.shiftrightunsigned(F.xxhash64(F.col("object_id"), F.col("n"), attempt, F.lit(axis)), 11).cast("double") / top * (1 - size) for axis in (0, 1))
+        return boxes.box(x, y, x + size, y + size)
 
-    numbered = objects.withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(per_object - 1))))
-    corners = F.transform(F.sequence(F.lit(0), F.lit(tries - 1)), lambda a: F.struct(draw(F.col("n"), a, 0).alias("x"), draw(F.col("n"), a, 1).alias("y")))
-    drawn = F.transform(corners, lambda c: boxes.box(c["x"], c["y"], c["x"] + size, c["y"] + size))
-    own = boxes.box("x1", "y1", "x2", "y2")
-    free = F.filter(drawn, lambda b: boxes.iou(b, own) <= most_iou)
-    return numbered.withColumn("box", F.get(free, F.lit(0))).where("box is not null")
+    def free(b: Column) -> Column:
+        return boxes.iou(b, own) <= most_iou
+
+    # the draw is a column of its own, or each use of an edge would be another draw
+    numbered = objects.withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(per_object - 1)))).withColumn("_first", drawn(F.lit(0)))
+    none = F.lit(None).cast("struct<x1:double,y1:double,x2:double,y2:double>")
+    step = lambda found, a: F.coalesce(found, boxes.let(drawn(a), lambda b: F.when(free(b), b).otherwise(none)))
+    others = F.aggregate(F.sequence(F.lit(1), F.lit(tries - 1)), none, step) if tries > 1 else none
+    box = F.when(free(F.col("_first")), F.col("_first")).otherwise(others)
+    return numbered.withColumn("box", box).where("box is not null").drop("_first")
 
 
 def frame_export(decisions: DataFrame) -> DataFrame:

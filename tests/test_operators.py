@@ -310,6 +310,21 @@ def test_background_boxes(spark):
     assert len(out) >= 140 and all(r["v"] <= 0.2 and r["ok"] for r in out) and len({r["x"] for r in out}) > 100
 
 
+def test_background_boxes_draw_only_until_one_is_free(spark):
+    """The same boxes as from all draws: objects of a draw's size take some, null edges take none or all as before."""
+    rows = [(f"o{i}", x, y, x + 0.5, y + 0.5) for i in range(60) for x, y in [((i % 6) / 10, (i % 5) / 10)]] + [("p", None, 0.1, 0.2, 0.2)]
+    o = spark.createDataFrame(rows, "object_id string, x1 double, y1 double, x2 double, y2 double")
+    own = boxes.box("x1", "y1", "x2", "y2")
+    for most, tries in ((0.2, 16), (0.05, 4), (0.05, 1)):
+        out = reconcile.background_boxes(o, 3, 0.5, tries, most)
+        draw = lambda a, axis: F.shiftrightunsigned(F.xxhash64("object_id", "n", a, F.lit(axis)), 11).cast("double") / float(2**53) * 0.5
+        every = F.transform(F.sequence(F.lit(0), F.lit(tries - 1)), lambda a: boxes.box(draw(a, 0), draw(a, 1), draw(a, 0) + 0.5, draw(a, 1) + 0.5))  # noqa: B023
+        plain = o.withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(2)))).withColumn("box", F.get(F.filter(every, lambda b: boxes.iou(b, own) <= most), F.lit(0))).where("box is not null")  # noqa: B023
+        assert out.columns == plain.columns and sorted(map(str, out.collect())) == sorted(map(str, plain.collect()))
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "filter(" not in plan and plan.count("_first") > 0
+
+
 def test_build(spark, samples, annotations):
     classes = spark.createDataFrame([("person", 0), ("car", 1)], "label string, class_id int")
     out = {r["sample_id"]: r for r in datasets.build_outcomes(samples, annotations, classes, max_per_class=1).collect()}
