@@ -17,35 +17,10 @@ def match(predictions: DataFrame, truths: DataFrame, thresholds=THRESHOLDS, keys
     """Greedy matching per class and threshold: predictions by confidence, each takes the free truth with the highest IoU
     strictly above the threshold; ties go to the smaller truth_id.
 
-    Every pair of boxes is compared once: a prediction carries its truths above the lowest threshold, best first, and each
-    threshold's fold takes the first of them that is free. ``scope`` keeps boxes of different images apart; "pooled" lets them
-    match across images (``matching.pooled``). Returns keys, label, threshold, prediction_id, confidence, truth_id.
+    ``scope`` keeps boxes of different images apart (``matching.within``); "pooled" lets them match across images (``matching.pooled``). Returns keys, scope
+    unless pooled, label, threshold, prediction_id, confidence, truth_id.
     """
-    if scope == "pooled":
-        return matching.pooled(predictions, truths, thresholds, keys)
-    group = [*keys, scope, "label"]
-    p = F.struct((-F.col("confidence")).alias("o"), F.col("prediction_id").alias("id"), boxes.box("x1", "y1", "x2", "y2").alias("b"))
-    t = F.struct(F.col("truth_id").alias("id"), boxes.box("x1", "y1", "x2", "y2").alias("b"))
-    preds = predictions.groupBy(*group).agg(F.sort_array(F.collect_list(p)).alias("ps"))
-    gts = truths.groupBy(*group).agg(F.collect_list(t).alias("ts"))
-    least = float(min(thresholds))
-
-    def best_first(x: Column) -> Column:
-        near = F.filter(F.transform("ts", lambda y: F.struct((-boxes.iou(x["b"], y["b"])).alias("v"), y["id"].alias("id"))), lambda c: c["v"] < -least)
-        return F.struct(x["id"].alias("prediction_id"), (-x["o"]).alias("confidence"), F.sort_array(near).alias("near"))
-
-    pairs = preds.join(gts.hint("merge"), group, "left").withColumn("ts", F.coalesce("ts", F.array().cast(gts.schema["ts"].dataType)))
-    pairs = pairs.select(*group, F.transform("ps", best_first).alias("ps"))
-    pairs = pairs.withColumn("threshold", F.explode(F.array(*[F.lit(float(x)) for x in thresholds])))
-
-    def step(acc: Column, x: Column) -> Column:
-        free = F.get(F.filter(x["near"], lambda c: (c["v"] < -F.col("threshold")) & ~F.array_contains(acc["taken"], c["id"])), F.lit(0))["id"]
-        row = F.struct(x["prediction_id"].alias("prediction_id"), x["confidence"].alias("confidence"), free.alias("truth_id"))
-        return F.struct(F.concat(acc["taken"], F.array_compact(F.array(free))).alias("taken"), F.concat(acc["out"], F.array(row)).alias("out"))
-
-    start = F.struct(F.array().cast("array<string>").alias("taken"), F.array().cast("array<struct<prediction_id:string,confidence:double,truth_id:string>>").alias("out"))
-    folded = F.aggregate("ps", start, step, lambda acc: acc["out"])
-    return pairs.select(*group, "threshold", F.inline(folded))
+    return matching.pooled(predictions, truths, thresholds, keys) if scope == "pooled" else matching.within(predictions, truths, thresholds, keys, scope)
 
 
 def average_precision(matches: DataFrame, truths: DataFrame, keys=("candidate",), recall_base: str = "matched", thresholds=None) -> DataFrame:

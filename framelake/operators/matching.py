@@ -1,12 +1,16 @@
-"""Greedy matching of boxes across images: each pool is one sorted stream past an index of its truths that are still free; pairs are never stored."""
+"""Greedy matching of boxes. Within images, many small groups of a sorted stream are compared at once over Arrow columns. Across images, each pool is one
+sorted stream past an index of its truths that are still free. Pairs are never stored."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import ranges
+
 #: Predictions that look at the index together, and the most pairs that they may look at (one prediction may pass it).
 BLOCK, PAIRS = 512, 1 << 20
 
@@ -160,15 +164,95 @@ def _streamed(group: list[str], thresholds: list[float]):
     return rows
 
 
-def pooled(predictions: DataFrame, truths: DataFrame, thresholds, keys=("candidate",)) -> DataFrame:
-    """Greedy matching per class and threshold over all images of a key: predictions by confidence and id, each takes the free truth with the highest IoU
-    strictly above the threshold; ties go to the smaller truth_id. Returns keys, label, threshold, prediction_id, confidence, truth_id.
+def _within(group: list[str], thresholds: list[float]):
+    """For rows sorted by group, truths by id before predictions by order: the predictions with the truths that they take at each threshold. A group is held whole, its
+    pairs are compared in parts."""
 
-    One shuffle brings a pool (key and class) together, its truths first; its predictions stream past an index of the free truths, so a task holds the truths
-    of one pool and no table of pairs is made, whose size is the product of a pool's predictions and truths. A taken truth leaves the index. A pool is one
-    task. Keys and labels are not null; ids are unique within a key; thresholds are positive.
+    def matched(batches) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        table = pa.Table.from_batches(batches).combine_chunks()
+        kind = table.column("kind").to_numpy()
+        asked, held = np.flatnonzero(kind == 1), np.flatnonzero(kind == 0)
+        number = np.cumsum(ranges.changed(table, group)) - 1
+        # truths with one id are one
+        slots = np.cumsum(ranges.changed(table.select([*group, "truth_id"]), [*group, "truth_id"]))
+        box = np.stack([table.column(c).to_numpy() for c in ("x1", "y1", "x2", "y2")], axis=1).astype(float)
+        proper = np.isfinite(box).all(axis=1) & (box[:, 2] > box[:, 0]) & (box[:, 3] > box[:, 1])
+        area = (box[:, 2] - box[:, 0]) * (box[:, 3] - box[:, 1])
+        sizes = np.bincount(number[held], minlength=number[-1] + 1)
+        first = np.searchsorted(number[held], np.arange(len(sizes)))
+        n = np.where(proper[asked], sizes[number[asked]], 0)
+        ends = np.cumsum(n)
+        taken = [bytearray(int(slots[-1]) + 1) for _ in thresholds]
+        found = [np.full(len(asked), -1) for _ in thresholds]
+        done = 0
+        while done < len(asked):
+            start = ends[done - 1] if done else 0
+            to = max(done + 1, int(np.searchsorted(ends, start + PAIRS, "right")))
+            own = np.repeat(np.arange(done, to), n[done:to])
+            place = np.arange(len(own)) - np.repeat(ends[done:to] - n[done:to] - start, n[done:to])
+            t, p = held[first[number[asked[own]]] + place], asked[own]
+            wide = np.minimum(box[p, 2], box[t, 2]) - np.maximum(box[p, 0], box[t, 0])
+            tall = np.minimum(box[p, 3], box[t, 3]) - np.maximum(box[p, 1], box[t, 1])
+            both = np.maximum(wide, 0.0) * np.maximum(tall, 0.0)
+            union = area[p] + area[t] - both
+            v = np.divide(both, union, out=np.zeros(len(both)), where=union > 0)
+            good = v > min(thresholds)
+            own, t, v = own[good], t[good], v[good]
+            order = np.lexsort((-v, own))
+            own, t, v = own[order], t[order], v[order]
+            for k, threshold in enumerate(thresholds):
+                enough = v > threshold
+                full, out, last = taken[k], found[k], -1
+                for i, j, slot in zip(own[enough].tolist(), t[enough].tolist(), slots[t[enough]].tolist()):
+                    if i != last and not full[slot]:
+                        full[slot], out[i], last = 1, j, i
+            done = to
+        rows = table.take(pa.array(asked))
+        ids = table.column("truth_id")
+        for threshold, out in zip(thresholds, found):
+            columns = {c: rows.column(c) for c in group} | {"threshold": pa.array(np.full(len(asked), threshold))}
+            columns |= {"prediction_id": rows.column("prediction_id"), "confidence": rows.column("confidence"), "truth_id": ids.take(pa.array(out, mask=out < 0))}
+            yield from pa.table(columns).combine_chunks().to_batches()
+
+    def rows(batches) -> Iterator:
+        import numpy as np
+
+        held, last = [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            starts = np.flatnonzero(ranges.changed(batch, group, last))
+            if len(starts):  # the last group may go on
+                if starts[-1]:
+                    held.append(batch.slice(0, starts[-1]))
+                if held:
+                    yield from matched(held)
+                held = []
+            held.append(batch.slice(starts[-1] if len(starts) else 0))
+            last = [batch.column(c)[-1].as_py() for c in group]
+        if held:
+            yield from matched(held)
+
+    return rows
+
+
+def within(predictions: DataFrame, truths: DataFrame, thresholds, keys=("candidate",), scope: str = "image_id") -> DataFrame:
+    """Greedy matching per class and threshold within the images of a key: predictions by confidence and id, each takes the free truth with the highest IoU
+    strictly above the threshold; ties go to the smaller truth_id. Returns keys, scope, label, threshold, prediction_id, confidence, truth_id.
+
+    One shuffle brings the boxes of an image and class together; a task holds those of one such group and what came in a batch with them. Boxes without an area
+    or a corner and null keys match nothing. Thresholds are positive.
     """
-    group = [*keys, "label"]
+    group = [*keys, scope, "label"]
+    rows, schema = _met(predictions, truths.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in group])), group, [scope, "label", *keys])
+    return rows.mapInArrow(_within(group, [float(x) for x in thresholds]), schema)
+
+
+def _met(predictions: DataFrame, truths: DataFrame, group: list[str], order: list[str]) -> tuple[DataFrame, str]:
+    """(truths and predictions by group, truths by id before predictions by confidence and id, the schema of matches). Truths without an area or a corner are left out."""
     kinds = {f.name: f.dataType.simpleString() for f in predictions.schema.fields} | {"truth_id": truths.schema["truth_id"].dataType.simpleString(), "threshold": "double"}
     corners = [F.col(c).cast("double").alias(c) for c in ("x1", "y1", "x2", "y2")]
     absent = lambda n: F.lit(None).cast(kinds[n]).alias(n)
@@ -179,6 +263,19 @@ def pooled(predictions: DataFrame, truths: DataFrame, thresholds, keys=("candida
     asked = predictions.select(*group, F.lit(1).alias("kind"), "prediction_id", "confidence", absent("truth_id"), *corners)
     # a number is given, or Spark would join the few bytes of many pools in one task
     parts = int(predictions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = held.union(asked).repartition(parts, *group).sortWithinPartitions(*group, "kind", -F.col("confidence"), "prediction_id", "truth_id")
+    rows = held.union(asked).repartition(parts, *group).sortWithinPartitions(*order, "kind", -F.col("confidence"), "prediction_id", "truth_id")
     names = [*group, "threshold", "prediction_id", "confidence", "truth_id"]
-    return rows.mapInPandas(_streamed(group, [float(x) for x in thresholds]), ", ".join(f"`{c}` {kinds[c]}" for c in names))
+    return rows, ", ".join(f"`{c}` {kinds[c]}" for c in names)
+
+
+def pooled(predictions: DataFrame, truths: DataFrame, thresholds, keys=("candidate",)) -> DataFrame:
+    """Greedy matching per class and threshold over all images of a key: predictions by confidence and id, each takes the free truth with the highest IoU
+    strictly above the threshold; ties go to the smaller truth_id. Returns keys, label, threshold, prediction_id, confidence, truth_id.
+
+    One shuffle brings a pool (key and class) together, its truths first; its predictions stream past an index of the free truths, so a task holds the truths
+    of one pool and no table of pairs is made, whose size is the product of a pool's predictions and truths. A taken truth leaves the index. A pool is one
+    task. Keys and labels are not null; ids are unique within a key; thresholds are positive.
+    """
+    group = [*keys, "label"]
+    rows, schema = _met(predictions, truths, group, group)
+    return rows.mapInPandas(_streamed(group, [float(x) for x in thresholds]), schema)

@@ -36,3 +36,18 @@ def ranked(df: DataFrame, group: list[str], order: list[Column], name: str) -> D
     placed = cut(df, group, order)
     own = placed.withColumn("_place", F.row_number().over(Window.partitionBy(*group, "_part").orderBy(*order)))
     return with_before(own, group, _b=F.lit(1)).select(*df.columns, (F.col("_place") + F.col("_b")).alias(name))
+
+
+def changed(table, names: list[str], before: list | None = None):
+    """Whether each row of an Arrow table or batch that is not empty differs from the row before it in these columns, the first one from the values ``before``; nulls are equal."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    out = np.zeros(table.num_rows, bool)
+    out[0] = before is None or before != [table.column(c)[0].as_py() for c in names]
+    for c in names:
+        column = table.column(c)
+        here, above = column.slice(1), column.slice(0, len(column) - 1)
+        same = pc.or_(pc.fill_null(pc.equal(here, above), False), pc.and_(pc.is_null(here), pc.is_null(above)))
+        out[1:] |= ~np.asarray(same)
+    return out

@@ -515,6 +515,38 @@ def plain_match(predictions, truths, threshold):
     return out
 
 
+@pytest.mark.parametrize("batch", [5, 10000])
+def test_matching_within_images_equals_a_plain_fold(spark, batch):
+    """Small groups, one of a thousand boxes and groups cut by batches; odd boxes and null keys match nothing. No list of boxes is folded by an interpreted function."""
+    rng = random.Random(batch)
+
+    def box():
+        x, y = rng.choice([0.1, 0.12, 0.5]), rng.choice([0.3, 0.33])
+        return [x, y, x + rng.choice([0.1, 0.12, 0.2]), y + 0.2]
+
+    keys = [(c, f"i{i}", label) for c in "AB" for i in range(12) for label in ("car", "dog")]
+    truths = [(*rng.choice(keys), f"t{i:03d}", *box()) for i in range(150)] + [("A", "big", "car", f"u{i:03d}", *box()) for i in range(300)]
+    predictions = [(*rng.choice(keys), f"p{i:03d}", round(rng.random(), 1), *box()) for i in range(300)] + [("A", "big", "car", f"q{i:03d}", round(rng.random(), 1), *box()) for i in range(700)]
+    odd = [("A", "i1", None, "p900", 0.5, 0.1, 0.3, 0.2, 0.5), ("A", "i1", "car", "p901", 0.5, 0.1, 0.3, None, 0.5), ("A", "i1", "car", "p902", None, 0.2, 0.3, 0.1, 0.5), ("C", "i1", "car", "p903", 0.5, 0.1, 0.3, 0.2, 0.5)]
+    ps = spark.createDataFrame(predictions + odd, "candidate string, image_id string, label string, prediction_id string, confidence double, x1 double, y1 double, x2 double, y2 double")
+    ts = spark.createDataFrame(truths + [("A", "i1", None, "t900", 0.1, 0.3, 0.2, 0.5), ("A", "i2", "car", "t901", 0.1, 0.3, 0.1, 0.5)], "candidate string, image_id string, label string, truth_id string, x1 double, y1 double, x2 double, y2 double")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        out = evaluate.match(ps, ts, (0.3, 0.5, 0.9))
+        got = out.collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert out.columns == ["candidate", "image_id", "label", "threshold", "prediction_id", "confidence", "truth_id"]
+    assert len(got) == 3 * (len(predictions) + len(odd)) and all(r["truth_id"] is None for r in got if r["prediction_id"] > "p9" and r["prediction_id"] < "q")
+    for key in [*keys, ("A", "big", "car")]:
+        for threshold in (0.3, 0.5, 0.9):
+            own = [(p[3], p[4], p[5:]) for p in predictions if p[:3] == key]
+            wanted = plain_match(own, [(t[3], t[4:]) for t in truths if t[:3] == key], threshold)
+            assert {r["prediction_id"]: r["truth_id"] for r in got if (r["candidate"], r["image_id"], r["label"], r["threshold"]) == (*key, threshold) and not "p9" < r["prediction_id"] < "q"} == wanted
+    assert evaluate.match(ps.where("false"), ts).count() == 0
+    assert "aggregate(" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 @pytest.mark.parametrize("seed,equal", [(1, False), (2, True)])
 def test_pooled_matching_equals_a_plain_fold(spark, seed, equal):
     rng = random.Random(seed)
