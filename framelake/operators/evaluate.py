@@ -31,14 +31,18 @@ def average_precision(matches: DataFrame, truths: DataFrame, keys=("candidate",)
     """
     group = [*keys, "label", "threshold"]
     hit = F.col("truth_id").isNotNull().cast("long")
-    # running counts in two steps: within equi-depth ranges of (class, confidence), and over the class's ranges before
-    placed = ranges.cut(matches.select(*group, "confidence", "prediction_id", hit.alias("hit")), group, [F.desc("confidence"), F.asc("prediction_id")])
-    run = Window.partitionBy(*group, "_part").orderBy(F.desc("confidence"), "prediction_id").rowsBetween(Window.unboundedPreceding, 0)
-    curve = ranges.with_before(placed.withColumns({"tp": F.sum("hit").over(run), "k": F.count(F.lit(1)).over(run)}), group, tp0=F.col("hit"), k0=F.lit(1))
-    curve = curve.select(*group, (F.col("tp") + F.col("tp0")).alias("tp"), (F.col("k") + F.col("k0")).alias("k"), F.col("tp0_all").alias("all"))
+    # running counts in two steps: within equi-depth ranges of (class, confidence), and over the class's ranges before. Precision at a number of true
+    # positives is best at the hit that reaches it, so only hits go on
+    order = [F.desc("confidence"), F.asc("prediction_id")]
+    own = matches.select(*group, "confidence", "prediction_id", hit.alias("hit")).repartitionByRange(*[F.col(c).asc() for c in group], *order)
+    own = own.sortWithinPartitions(*group, *order).select(*group, "hit", F.spark_partition_id().alias("_part"))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.drop("hit").schema.fields) + ", tp long, k long, hits long, n long"
+    placed = written(own.mapInArrow(_running(group), schema))
+    curve = ranges.with_before(placed, group, tp0=F.col("hits"), k0=F.col("n")).where("tp is not null")
     counts = truths.groupBy(*keys, "label").agg(F.count(F.lit(1)).alias("n_truths"))
-    # the best precision of every number of true positives: recall levels are theirs
-    tops = curve.where(F.col("all") > 0).groupBy(*group, "all", "tp").agg(F.max(F.col("tp") / F.col("k")).alias("p")).join(counts.hint("merge"), [*keys, "label"])
+    tops = curve.select(*group, (F.col("tp") + F.col("tp0")).alias("tp"), F.col("tp0_all").alias("all"), ((F.col("tp") + F.col("tp0")) / (F.col("k") + F.col("k0"))).alias("p"))
+    if recall_base != "matched":
+        tops = tops.join(counts.hint("merge"), [*keys, "label"])
     base = F.col("all") if recall_base == "matched" else F.col("n_truths")
     levels = tops.withColumn("last", F.least(F.lit(100), F.floor(F.col("tp") * 100 / base + 1e-9)).cast("int")).groupBy(*group, "last").agg(F.max("p").alias("p"))
     # the best precision at or after each level: a running maximum over at most 101 rows
@@ -51,6 +55,38 @@ def average_precision(matches: DataFrame, truths: DataFrame, keys=("candidate",)
     return every.join(ap.hint("merge"), group, "left").select(*group, "n_truths", F.coalesce("ap", F.lit(0.0)).alias("ap"))
 
 
+def _running(group: list[str]):
+    """For rows sorted by group and order: one row for each hit with its running numbers of hits (tp) and rows (k) in this part of the group, and rows
+    without these with the part's totals (hits, n), which add up."""
+
+    def rows(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        last, tp, k = None, 0, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            hit, size = batch.column("hit").to_numpy(), batch.num_rows
+            new = ranges.changed(batch, group, last)
+            starts, own = np.flatnonzero(new), np.cumsum(new)
+            tps, ks = np.cumsum(hit), np.arange(1, size + 1)
+            tps = tps - np.concatenate([[-tp], (tps - hit)[starts]])[own]
+            ks = ks - np.concatenate([[-k], starts])[own]
+            hits, firsts = np.flatnonzero(hit), np.flatnonzero(new | (np.arange(size) == 0))
+            totals = np.add.reduceat(hit, firsts), np.diff([*firsts, size])
+            at = np.concatenate([hits, firsts])
+            known = np.concatenate([np.zeros(len(hits), bool), np.ones(len(firsts), bool)])
+            none = np.zeros(len(firsts), np.int64)
+            columns = [batch.column(c).take(pa.array(at)) for c in (*group, "_part")]
+            columns += [pa.array(np.concatenate([x[hits], none]), mask=known) for x in (tps, ks)]
+            columns += [pa.array(np.concatenate([np.zeros(len(hits), np.int64), x]).astype(np.int64)) for x in totals]
+            yield pa.RecordBatch.from_arrays(columns, names=[*group, "_part", "tp", "k", "hits", "n"])
+            last, tp, k = [batch.column(c)[-1].as_py() for c in group], int(tps[-1]), int(ks[-1])
+
+    return rows
+
+
 def class_metrics(predictions: DataFrame, truths: DataFrame, matches: DataFrame, keys=("candidate",), ap50: DataFrame | None = None) -> DataFrame:
     """Per key and class at IoU 0.5: tp, fp, n_truths, precision, recall, f1 (and ap50). Classes without truths get zeros, their
     predictions count as no false positives."""

@@ -515,6 +515,30 @@ def plain_match(predictions, truths, threshold):
     return out
 
 
+def test_average_precision_goes_on_with_hits_only(spark, monkeypatch):
+    """Equal to a plain curve where classes are cut by batches and parts and all confidences of a class are equal; one row a hit and a few totals are written."""
+    rng = random.Random(6)
+    rows = [(c, label, t, f"p{i:04d}", 0.5 if label == "dog" else rng.randint(0, 5) / 5, f"t{i}" if rng.random() < 0.2 else None) for c in "AB" for label in ("car", "dog", "cat") for t in (0.5, 0.75) for i in range(90)]
+    rows = [(*r[:5], None) if r[:2] == ("B", "cat") else r for r in rows]
+    matches = spark.createDataFrame(rows, "candidate string, label string, threshold double, prediction_id string, confidence double, truth_id string")
+    truths = spark.createDataFrame([(c, label, f"t{i}") for c in "AB" for label in ("car", "dog", "cat", "cow") for i in range(100)], "candidate string, label string, truth_id string")
+    tables, real = [], evaluate.written
+    monkeypatch.setattr(evaluate, "written", lambda df: tables.append(real(df)) or tables[-1])
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        for base in ("matched", "truths"):
+            got = {(r["candidate"], r["label"], r["threshold"]): r["ap"] for r in evaluate.average_precision(matches, truths, recall_base=base).collect()}
+            assert len(got) == 16
+            for key, ap in got.items():
+                hits = [r[5] is not None for r in sorted((r for r in rows if r[:3] == key), key=lambda r: (-r[4], r[3]))]
+                curve = [(sum(hits[: k + 1]) / (sum(hits) if base == "matched" else 100), sum(hits[: k + 1]) / (k + 1)) for k in range(len(hits)) if sum(hits)]
+                wanted = sum(max((p for recall, p in curve if recall + 1e-9 >= level / 100), default=0.0) for level in range(101)) / 101
+                assert abs(ap - wanted) < 1e-9, key
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(tables) == 2 and all(x.where("tp is not null").count() == sum(r[5] is not None for r in rows) and x.agg(F.sum("n")).first()[0] == len(rows) for x in tables)
+
+
 @pytest.mark.parametrize("batch", [5, 10000])
 def test_matching_within_images_equals_a_plain_fold(spark, batch):
     """Small groups, one of a thousand boxes and groups cut by batches; odd boxes and null keys match nothing. No list of boxes is folded by an interpreted function."""
