@@ -44,3 +44,8 @@ def test_entry_module(spark):
     import __spark_entry__ as entry
 
     assert set(entry.oracle_sql()) <= set(entry.queries()) and entry.entry(spark).count() == 1
+
+
+def test_provenance_is_parsed_once(spark):
+    plan = registry.QUERIES["x07_provenance"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "get_json_object" not in plan and plan.count("from_json(") == 1
