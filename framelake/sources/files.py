@@ -152,7 +152,8 @@ def read_decisions(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_decisions(texts: DataFrame) -> DataFrame:
     """Decisions of texts (file, value)."""
-    raw = texts.select("file", F.try_parse_json("value").alias("v")).where("v is not null and schema_of_variant(v) like 'OBJECT%'")
+    # a generator, through which the condition is not pushed: so a text is made and parsed once, not again for the condition
+    raw = texts.select("file", F.explode(F.array(F.try_parse_json("value"))).alias("v")).where("v is not null and schema_of_variant(v) like 'OBJECT%'")
     get = lambda p, t="string": F.try_variant_get("v", p, t)
     fixed = ["sample_id", "class_name", "class_id", "image_path", "bbox"]
     extra = F.map_filter(get("$.provenance.source", "map<string,string>"), lambda k, _: ~k.isin(fixed))

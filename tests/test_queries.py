@@ -49,3 +49,8 @@ def test_entry_module(spark):
 def test_provenance_is_parsed_once(spark):
     plan = registry.QUERIES["x07_provenance"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert "get_json_object" not in plan and plan.count("from_json(") == 1
+
+
+def test_decisions_are_parsed_once(spark):
+    plan = registry.QUERIES["s15_decision_files"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson(") == 1 and plan.count("StructsToJsonEvaluator(") == 1
