@@ -85,23 +85,30 @@ def vocabulary_of(objects: DataFrame, label: str, order: str) -> DataFrame:
     return placed.select("label", (F.col("_place") - 1).cast("int").alias("class_id"))
 
 
-def json_text(content: Column) -> Column:
-    """The JSON part of a response: the last fenced block or all, from the first brace (else bracket) to the last."""
+def json_body(content: Column) -> Column:
+    """The last fenced block of a response that is not blank, or all of it."""
     fence = F.regexp_extract_all(content, F.lit(r"(?s)```(?:json)?\s*(.*?)```"), F.lit(1))
-    body = F.coalesce(F.try_element_at(F.filter(fence, lambda x: F.length(F.trim(x)) > 0), F.lit(-1)), content)
+    last = F.try_element_at(F.filter(fence, lambda x: F.length(F.trim(x)) > 0), F.lit(-1))
+    return F.coalesce(F.when(F.contains(content, F.lit("```")), last), content)
+
+
+def json_part(text: Column) -> Column:
+    """From the first brace (else bracket) to the last."""
 
-    def cut(text: Column, opening: str, closing: str) -> Column:
+    def cut(opening: str, closing: str) -> Column:
         start = F.instr(text, opening)
-        end = F.length(text) - F.instr(F.reverse(text), closing) + 1
-        return F.when((start > 0) & (F.instr(text, closing) > 0) & (end > start), F.substring(text, start, end - start + 1))
+        end = F.length(text) - F.length(F.substring_index(text, closing, -1))
+        return F.when((start > 0) & F.contains(text, F.lit(closing)) & (end > start), F.substring(text, start, end - start + 1))
 
-    def part(text: Column) -> Column:
-        brace, bracket = F.instr(text, "{"), F.instr(text, "[")
-        listed = (bracket > 0) & ((brace == 0) | (bracket < brace))
-        objects, lists = cut(text, "{", "}"), cut(text, "[", "]")
-        return F.when(listed, F.coalesce(lists, objects)).otherwise(F.coalesce(objects, lists))
+    brace, bracket = F.instr(text, "{"), F.instr(text, "[")
+    listed = (bracket > 0) & ((brace == 0) | (bracket < brace))
+    objects, lists = cut("{", "}"), cut("[", "]")
+    return F.when(listed, F.coalesce(lists, objects)).otherwise(F.coalesce(objects, lists))
 
-    return let(body, part)
+
+def json_text(content: Column) -> Column:
+    """The JSON part of a response: the last fenced block or all, from the first brace (else bracket) to the last."""
+    return let(json_body(content), json_part)
 
 
 def tolerant_json(text: Column) -> Column:

@@ -23,11 +23,10 @@ def parse_detections(responses: DataFrame, content: str = "content", allowed: li
     is a transport failure. The messages, five at most, are (item, problem): keys_or_types, label, confidence, bbox.
     """
     # each step is a column of its own, so that a text is parsed once and an item taken apart once
-    out = spread(responses).withColumn("_text", labels.json_text(F.col(content))).withColumn("_v", F.try_parse_json("_text"))
-    out = out.withColumns({"_kind": F.schema_of_variant("_v"), "_keys": F.map_keys(F.try_variant_get("_v", "$", "map<string,variant>"))})
-    listed = F.col("_kind").startswith("ARRAY")
+    out = spread(responses).withColumn("_body", labels.json_body(F.col(content))).withColumn("_v", F.try_parse_json(labels.json_part(F.col("_body"))))
+    out = out.withColumn("_keys", F.map_keys(F.try_variant_get("_v", "$", "map<string,variant>")))
     alone = F.coalesce((F.size("_keys") == 1) & F.array_contains("_keys", "objects"), F.lit(False))
-    items = F.when(listed, F.try_variant_get("_v", "$", "array<variant>")).when(alone, F.try_variant_get("_v", "$.objects", "array<variant>"))
+    items = F.coalesce(F.try_variant_get("_v", "$", "array<variant>"), F.when(alone, F.try_variant_get("_v", "$.objects", "array<variant>")))
 
     def taken_apart(x: Column) -> Column:
         return F.struct(
@@ -53,7 +52,7 @@ def parse_detections(responses: DataFrame, content: str = "content", allowed: li
     out = out.withColumns({"reason": reason, "messages": F.coalesce("messages", F.array().cast("array<struct<item:int,problem:string>>"))})
     status = F.when(F.col("reason").isNull(), "ok").when(F.col("reason") == "transport", "transport").otherwise("rejected")
     kept = F.transform("_items", lambda x: F.struct(x["label"].alias("label"), x["confidence"].alias("confidence"), *[x["box"][k].alias(k) for k in ("x1", "y1", "x2", "y2")]))
-    return out.withColumns({"status": status, "objects": F.when(F.col("reason").isNull(), kept)}).drop("_text", "_v", "_kind", "_keys", "_items")
+    return out.withColumns({"status": status, "objects": F.when(F.col("reason").isNull(), kept)}).drop("_body", "_v", "_keys", "_items")
 
 
 def parse_verdicts(responses: DataFrame, content: str = "content") -> DataFrame:

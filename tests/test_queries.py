@@ -54,3 +54,8 @@ def test_provenance_is_parsed_once(spark):
 def test_decisions_are_parsed_once(spark):
     plan = registry.QUERIES["s15_decision_files"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("parseJson(") == 1 and plan.count("StructsToJsonEvaluator(") == 1
+
+
+def test_responses_are_searched_and_described_once(spark):
+    plan = registry.QUERIES["l08_rejection_messages"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("SchemaOfVariant") == 1 and plan.count("Contains(content") == 1  # of items only; fenced blocks are sought only where there are fences
