@@ -56,10 +56,13 @@ def verify_summary(results: DataFrame) -> DataFrame:
 
 def delete_events(samples: DataFrame, annotations: DataFrame, events: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Removes the events' annotations, and the samples that they own and that have none left."""
-    gone = events.select("event_id").distinct()
+    # hash joins: a task holds its share of the events (below, of the samples they own) and sorts nothing
+    gone = events.select("event_id").distinct().hint("shuffle_hash")
     rest = annotations.join(gone, "event_id", "left_anti").select(*annotations.columns)
-    owners = samples.join(gone, "event_id", "left_semi").join(rest.select(F.col("sample_id").alias("id")), "id", "left_anti").select("id")
-    return samples.join(owners, "id", "left_anti").select(*samples.columns), rest
+    owned = samples.join(gone, "event_id", "left_semi").select("id")
+    alive = rest.select(F.col("sample_id").alias("id")).join(owned.hint("shuffle_hash"), "id", "left_semi")
+    owners = owned.join(alive.hint("shuffle_hash"), "id", "left_anti")
+    return samples.join(owners.hint("shuffle_hash"), "id", "left_anti").select(*samples.columns), rest
 
 
 def deployment_rows(gated: DataFrame, version: str, now: str) -> DataFrame:

@@ -59,3 +59,8 @@ def test_decisions_are_parsed_once(spark):
 def test_responses_are_searched_and_described_once(spark):
     plan = registry.QUERIES["l08_rejection_messages"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("SchemaOfVariant") == 1 and plan.count("Contains(content") == 1  # of items only; fenced blocks are sought only where there are fences
+
+
+def test_deletion_of_events_sorts_and_broadcasts_nothing(spark):
+    plan = registry.QUERIES["m04_delete_events"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ShuffledHashJoin") >= 5 and "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan
