@@ -91,6 +91,23 @@ def remove_overrides(overrides: DataFrame, ids: DataFrame) -> DataFrame:
 
 # --- the same on stored tables: only the partitions with a changed row are written
 
+#: Cells of 64 bits in a filter of keys at most (some 20 MB where it is broadcast); a fuller filter lets more rows through to the join and changes no result.
+FILTER_CELLS = 1 << 19
+
+
+def _without(rows: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """``rows`` whose key is not in the written table ``gone``. Rows that a filter of these keys rules out are not shuffled, only the others meet ``gone``."""
+    cells = min(FILTER_CELLS, max(64, 1 << (gone.count() // 4).bit_length()))
+    h = F.xxhash64(key)
+    cell = h.bitwiseAND(F.lit(cells - 1).cast("long")).alias("_cell")
+    one = lambda shift: F.expr(f"shiftleft(1L, cast(shiftrightunsigned(xxhash64({key}), {shift}) & 63 as int))")
+    mask = one(40).bitwiseOR(one(46))
+    known = written(gone.select(cell, mask.alias("_mask")).groupBy("_cell").agg(F.bit_or("_mask").alias("_bits")))
+    met = rows.withColumn("_cell", cell).join(F.broadcast(known), "_cell", "left")
+    maybe = F.coalesce(F.col("_bits").bitwiseAND(mask) == mask, F.lit(False))
+    left = met.where(maybe).select(*rows.columns).join(gone.select(key).hint("merge"), key, "left_anti")
+    return met.where(~maybe).select(*rows.columns).union(left.select(*rows.columns))
+
 
 def set_quality_stored(samples: Store, ids: DataFrame, verdict: str | None) -> list[str]:
     """``set_quality`` in place; returns the partitions written. Samples that have the verdict already are not written again."""
@@ -110,9 +127,9 @@ def delete_events_stored(samples: Store, annotations: Store, events: DataFrame)
     rest = annotations.read().join(gone.hint("merge"), "event_id", "left_anti").select(F.col("sample_id").alias("id"))
     owners = samples.read().join(gone.hint("merge"), "event_id", "left_semi").select("id", samples.by).join(rest.hint("merge"), "id", "left_anti")
     owners = written(owners)
-    without = samples.rewrite(owners, lambda rows: rows.join(owners.select("id").hint("merge"), "id", "left_anti"))
+    without = samples.rewrite(owners, lambda rows: _without(rows, owners, "id"))
     theirs = annotations.read().join(gone.hint("merge"), "event_id", "left_semi").select(annotations.by)
-    return without, annotations.rewrite(theirs, lambda rows: rows.join(gone.hint("merge"), "event_id", "left_anti"))
+    return without, annotations.rewrite(theirs, lambda rows: _without(rows, gone, "event_id"))
 
 
 def store_verified_stored(samples: Store, annotations: Store, results: DataFrame, labels: list[str] | None = None, mode: str = "append", now: str = "1970-01-01T00:00:00", by=None) -> tuple[list[str], list[str]]:
@@ -129,7 +146,7 @@ def store_verified_stored(samples: Store, annotations: Store, results: DataFrame
     gone = old if mode == "replace" else old.join(fresh.select("id").hint("merge"), "id", "left_semi")
     gone = written(gone.select("id", annotations.by))
     touched = fresh.select(annotations.by).union(gone.select(annotations.by))
-    return done, annotations.rewrite(touched, lambda rows: rows.join(gone.select("id").hint("merge"), "id", "left_anti").unionByName(fresh))
+    return done, annotations.rewrite(touched, lambda rows: _without(rows, gone, "id").unionByName(fresh))
 
 
 def upsert_overrides_stored(overrides: Store, changes: DataFrame, by) -> tuple[list[str], DataFrame]:
