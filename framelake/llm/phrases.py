@@ -23,6 +23,8 @@ COVERED = 80
 SHARD_WORDS = 2_000_000
 #: Bits of a filter of frequent words or pairs at most (16 MB); a fuller filter lets more through and changes no result.
 FILTER_BITS = 1 << 27
+#: Phrases by text that a task holds at most while it sums those of its shards.
+HELD_PHRASES = 1 << 19
 #: The final ranks of a language are made from the best of this many parts of it.
 RANK_PARTS = 16
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -193,10 +195,35 @@ def _hashed(known, length: int):
     return rows
 
 
+def _summed(batches: Iterator, most: int) -> Iterator:
+    """Batches of (lang, phrase, n) in which a phrase's counts are summed as far as ``most`` held rows allow."""
+    import pyarrow as pa
+
+    held, size = [], 0
+    for batch in batches:
+        held.append(pa.Table.from_batches([batch]))
+        size += batch.num_rows
+        if size >= 2 * most:
+            held = [_sums(held)]
+            size = held[0].num_rows
+            if size >= most:
+                yield from held[0].to_batches(1 << 16)
+                held, size = [], 0
+    if held:
+        yield from _sums(held).to_batches(1 << 16)
+
+
+def _sums(tables: list):
+    import pyarrow as pa
+
+    found = pa.concat_tables(tables).group_by(["lang", "phrase"], use_threads=False).aggregate([("n", "sum")])
+    return found.select(["lang", "phrase", "n_sum"]).rename_columns(["lang", "phrase", "n"]).combine_chunks()
+
+
 def _named(known, longest: int):
-    """(lang, phrase, n) of the phrases whose parts pass the filters."""
+    """(lang, phrase, n) of the phrases whose parts pass the filters, summed over a task's shards."""
 
-    def rows(batches) -> Iterator:
+    def found(batches) -> Iterator:
         import pyarrow as pa
         import pyarrow.compute as pc
 
@@ -205,6 +232,9 @@ def _named(known, longest: int):
                 parts = [words.take(pa.array(found.symbols[:, k] - 1)).cast(pa.string()) for k in range(found.symbols.shape[1])]
                 yield pa.record_batch([langs.take(pa.array(found.symbols[:, 0] - 1)), pc.binary_join_element_wise(*parts, " "), pa.array(found.count)], ["lang", "phrase", "n"])
 
+    def rows(batches) -> Iterator:
+        return _summed(found(batches), HELD_PHRASES)
+
     return rows
 
 
@@ -215,7 +245,7 @@ def counted_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST,
     2. Every shard gets an FM-index over its frequent words, in both directions, which is stored.
     3. All pairs are enumerated by extending words to the left, and summed by a hash; a filter of the frequent hashes goes out. The same
        with three words, where both pairs pass.
-    4. Phrases whose parts pass are enumerated to the left and to the right in turn. Their counts are summed by their text, so neither
+    4. Phrases whose parts pass are enumerated to the left and to the right in turn. Their counts are summed by their text (in a task first), so neither
        the hashes nor the filters can change a count.
     """
     if longest > LONGEST:

@@ -97,3 +97,32 @@ def test_intervals_of_both_sides(spark):
         assert found == {p: c for p, c in plain.items() if 0 not in p}
         right = one.left(one.right(one.right(one.words())))
         assert sorted(map(tuple, right.symbols.tolist())) == sorted(map(tuple, waves[3].symbols.tolist()))
+
+
+def test_a_task_names_a_phrase_once_for_all_its_shards():
+    import pyarrow as pa
+    from framelake.llm import phrases
+
+    class All:
+        value = None
+
+        @staticmethod
+        def has(keys):
+            return keys == keys
+
+    All.value = All
+    texts = ["a b c d", "b c d e", "a b c d", "x y"] * 20
+    batch = pa.record_batch([pa.array(["en", "de"] * 40), pa.array(texts)], ["lang", "text"])
+    indexes = list(phrases._indexes(8, All)(iter([batch])))
+    assert len(indexes) > 10
+    want = {}
+    for lang, text in zip(["en", "de"] * 40, texts):
+        words = text.split()
+        for m in (2, 3, 4):
+            for i in range(len(words) - m + 1):
+                want[lang, " ".join(words[i : i + m])] = want.get((lang, " ".join(words[i : i + m])), 0) + 1
+    made = [tuple(r.values()) for b in phrases._named([], 4)(iter(indexes)) for r in b.to_pylist()]
+    assert {r[:2]: r[2] for r in made} == want and len(made) == len(want)
+    parts = [b.slice(i, 3) for b in phrases._named([], 4)(iter(indexes)) for i in range(0, b.num_rows, 3)] * 4
+    few = [tuple(r.values()) for b in phrases._summed(iter(parts), 4) for r in b.to_pylist()]  # with little room sums are partial
+    assert sum(r[2] for r in few) == 4 * sum(want.values()) and {r[:2] for r in few} == set(want)
