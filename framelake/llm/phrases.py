@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import count as counter
 
 import numpy as np
 import xxhash
@@ -23,6 +22,8 @@ COVERED = 80
 SHARD_WORDS = 2_000_000
 #: Bits of a filter of frequent words or pairs at most (16 MB); a fuller filter lets more through and changes no result.
 FILTER_BITS = 1 << 27
+#: Frequent words that get a number at most (8 bytes each go to all tasks); with more, phrases are counted by their text.
+NUMBERED_WORDS = 1 << 24
 #: Phrases by text that a task holds at most while it sums those of its shards.
 HELD_PHRASES = 1 << 19
 #: The final ranks of a language are made from the best of this many parts of it.
@@ -33,9 +34,9 @@ _PIECE = b".,;:!?\n\x0b\x0c\r"
 _PLAIN = bytes(10 if c in _PIECE else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
-def _tokens(text: str | None) -> list[bytes]:
-    """Lower-cased words, and a line feed wherever a piece ends."""
-    return encoded(text).translate(_PLAIN).replace(b"\n", b" \n ").split(b" ")
+def _plain(text: str | None) -> bytes:
+    """Lower-cased, words parted by spaces, and a line feed as a word wherever a piece ends."""
+    return encoded(text).translate(_PLAIN).replace(b"\n", b" \n ")
 
 
 class _Filter:
@@ -52,6 +53,36 @@ class _Filter:
         return out
 
 
+class _Numbers:
+    """Numbers of words, from 1: the places of their keys, which are all different, in order; 0 for others."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = np.sort(keys)
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(self.keys, keys)
+        known = at < len(self.keys)
+        known[known] = self.keys[at[known]] == keys[known]
+        return np.where(known, at + 1, 0)
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        return self.of(keys) > 0
+
+
+def _numbers(words: DataFrame, least: int) -> _Numbers | None:
+    """Numbers of the frequent words of (lang, word, n); none if they are too many, or if one shares its key with another word."""
+    if words.where(F.col("n") >= least).count() > NUMBERED_WORDS:
+        return None
+    keys = words.select(_key().alias("key"), "n").groupBy("key").agg(F.count(F.lit(1)).alias("words"), F.max("n").alias("n"))
+    found = keys.where(F.col("n") >= least).select("key", "words").toArrow()
+    return None if (found["words"].to_numpy() > 1).any() else _Numbers(found["key"].to_numpy().view(np.uint64))
+
+
+def _key():
+    """Column of the words' keys, as ``_word_key``."""
+    return F.xxhash64(F.concat("lang", F.lit("\0"), "word"))
+
+
 def _filter(keys: DataFrame) -> _Filter:
     """Filter of the ``key`` column of a stored table: built by the executors, at most FILTER_BITS bits reach the driver."""
     bits = min(FILTER_BITS, max(1 << 16, 1 << (16 * keys.count()).bit_length()))
@@ -63,45 +94,44 @@ def _filter(keys: DataFrame) -> _Filter:
     return _Filter(words.view(np.uint64))
 
 
-def _shards(batches, size: int) -> Iterator[tuple[dict, list]]:
-    """Texts of a task in shards of about ``size`` words: numbers of (language, word), and the numbers of all words, 0 where a piece ends."""
-    vocabulary: dict[str, defaultdict] = {}
-    number, flow = counter(1), []
-
-    def words_of(lang: str) -> defaultdict:
-        if lang not in vocabulary:
-            vocabulary[lang] = defaultdict(number.__next__, {b"\n": 0, b"": -1})
-        return vocabulary[lang]
-
-    held = 0
+def _shards(batches, size: int) -> Iterator[list[tuple]]:
+    """Texts of a task in shards of about ``size`` words: for each language its name, its different words, and all words by their
+    numbers from 1 on, 0 where a piece ends, -1 for nothing between two spaces."""
+    texts, held = defaultdict(list), 0
     for batch in batches:
         for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist()):
-            tokens = _tokens(text)
-            flow.append(np.fromiter(map(words_of(lang).__getitem__, tokens), np.int64, len(tokens)))
-            flow.append(np.zeros(1, np.int64))
-            held += len(tokens)
+            texts[lang].append(plain := _plain(text))
+            held += plain.count(b" ") + 1
             if held >= size:
-                yield vocabulary, flow
-                vocabulary, flow, number, held = {}, [], counter(1), 0
-    if flow:
-        yield vocabulary, flow
+                yield [(one, *_flow(texts.pop(one))) for one in list(texts)]
+                held = 0
+    if texts:
+        yield [(one, *_flow(texts.pop(one))) for one in list(texts)]
 
 
-def _entries(vocabulary: dict) -> tuple[list, list]:
-    """Languages and words by number, from 1."""
-    found = sorted((n, lang, word) for lang, words in vocabulary.items() for word, n in words.items() if n > 0)
-    return [x[1] for x in found], [x[2] for x in found]
+def _flow(texts: list[bytes]) -> tuple:
+    """Different words, and the number of every word."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    found = pc.split_pattern(pa.array([b" \n ".join(texts)], pa.large_binary()), b" ").values.dictionary_encode()
+    end, nothing = (found.dictionary.index(pa.scalar(x, pa.large_binary())).as_py() for x in (b"\n", b""))
+    word = np.ones(len(found.dictionary), bool)
+    word[[x for x in (end, nothing) if x >= 0]] = False
+    number = np.where(word, np.cumsum(word), -1)
+    if end >= 0:
+        number[end] = 0
+    return found.dictionary.filter(pa.array(word)).cast(pa.binary()), number[found.indices.to_numpy()]
 
 
 def _word_counts(size: int):
     def rows(batches) -> Iterator:
         import pyarrow as pa
 
-        for vocabulary, flow in _shards(batches, size):
-            langs, words = _entries(vocabulary)
-            flow = np.concatenate(flow)
-            n = np.bincount(flow[flow > 0], minlength=len(words) + 1)[1:]
-            yield pa.record_batch([pa.array(langs, pa.string()), pa.array(words, pa.binary()).cast(pa.string()), pa.array(n)], ["lang", "word", "n"])
+        for shard in _shards(batches, size):
+            for lang, words, flow in shard:
+                n = np.bincount(flow[flow > 0], minlength=len(words) + 1)[1:]
+                yield pa.record_batch([pa.array([lang] * len(words), pa.string()), words.cast(pa.string()), pa.array(n)], ["lang", "word", "n"])
 
     return rows
 
@@ -112,38 +142,44 @@ def _word_key(lang: str, word: bytes) -> int:
 
 
 def _indexes(size: int, frequent):
-    """A row for each shard: languages and words by symbol, their counts, and the index over frequent words; other words end a piece."""
+    """A row for each shard: languages, words and their keys by symbol, their counts, and the index over frequent words; other words end a piece."""
 
     def rows(batches) -> Iterator:
         import pyarrow as pa
 
         known = frequent.value
-        for vocabulary, flow in _shards(batches, size):
-            langs, words = _entries(vocabulary)
-            flow = np.concatenate([np.zeros(1, np.int64), *flow])
-            flow = flow[flow >= 0]
-            kept = known.has(np.array([_word_key(a, b) for a, b in zip(langs, words)], np.uint64))
-            symbol = np.concatenate([[0], np.where(kept, np.cumsum(kept), 0)])
-            text = symbol[flow]
+        for shard in _shards(batches, size):
+            langs, words, keys, flows = [], [], [], [np.zeros(1, np.int64)]
+            for lang, found, flow in shard:
+                key = np.array([_word_key(lang, x) for x in found.to_pylist()], np.uint64)
+                kept = np.flatnonzero(known.has(key))
+                symbol = np.zeros(len(key) + 2, np.int64)
+                symbol[kept + 1] = len(langs) + np.arange(1, len(kept) + 1)
+                flows += [symbol[flow[flow >= 0]], np.zeros(1, np.int64)]
+                langs += [lang] * len(kept)
+                words.append(found.take(pa.array(kept)))
+                keys.append(key[kept])
+            text = np.concatenate(flows)
             text = text[np.concatenate([[True], (text[1:] != 0) | (text[:-1] != 0)])]  # one separator between pieces
             if len(text) < 3:
                 continue
-            at = np.flatnonzero(kept)
-            index = BiIndex.of(text, len(at) + 1)
+            index = BiIndex.of(text, len(langs) + 1)
             yield pa.record_batch(
-                [pa.array([[langs[i] for i in at]], pa.list_(pa.string())), pa.array([[words[i] for i in at]], pa.list_(pa.binary())), pa.array([index.counts.tobytes()], pa.binary()), pa.array([index.to_bytes()], pa.binary())],
-                ["langs", "words", "counts", "data"],
+                [pa.array([langs], pa.list_(pa.string())), pa.ListArray.from_arrays(pa.array([0, len(langs)], pa.int32()), pa.concat_arrays(words))]
+                + [pa.array([x], pa.binary()) for x in (np.concatenate(keys).tobytes(), index.counts.tobytes(), index.to_bytes())],
+                ["langs", "words", "keys", "counts", "data"],
             )
 
     return rows
 
 
 def _opened(batches) -> Iterator[tuple[BiIndex, object, object, np.ndarray]]:
-    """Stored indexes with the languages and words of their symbols and the words' keys."""
+    """Stored indexes with the languages and words of their symbols (if they are among the columns) and the words' keys."""
     for batch in batches:
+        named = "words" in batch.schema.names
         for i in range(batch.num_rows):
-            langs, words = batch["langs"][i].values, batch["words"][i].values
-            keys = np.array([0, *[_word_key(a, b) for a, b in zip(langs.to_pylist(), words.to_pylist())]], np.uint64)
+            langs, words = (batch[x][i].values for x in ("langs", "words")) if named else (None, None)
+            keys = np.concatenate([np.zeros(1, np.uint64), np.frombuffer(batch["keys"][i].as_py(), np.uint64)])
             counts = np.frombuffer(batch["counts"][i].as_py(), np.int64)
             yield BiIndex.from_bytes(batch["data"][i].as_py(), counts), langs, words, keys
 
@@ -195,6 +231,52 @@ def _hashed(known, length: int):
     return rows
 
 
+def _numbered(numbers, known, longest: int):
+    """(first, n) of pairs, or (first, second, n) of longer phrases whose pairs pass the filter: the numbers of their words, two in a long, 0 after
+    the last."""
+
+    def rows(batches) -> Iterator:
+        import pyarrow as pa
+
+        for index, _, _, keys in _opened(batches):
+            number = numbers.value.of(keys)
+            for found in _grown(index, keys, [x.value for x in known], longest):
+                if found.symbols.shape[1] > 2 or longest == 2:
+                    at = number[found.symbols]
+                    longs = [(at[:, 0] << 32) | at[:, 1]]
+                    if longest > 2:
+                        longs.append((at[:, 2] << 32) | at[:, 3] if at.shape[1] > 3 else at[:, 2] << 32)
+                    yield pa.record_batch([*map(pa.array, longs), pa.array(found.count)], [*["first", "second"][: len(longs)], "n"])
+
+    return rows
+
+
+def _pair_keys(numbers):
+    """(key) of pairs of numbers, for a filter."""
+
+    def rows(batches) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            first = batch["first"].to_numpy()
+            yield pa.record_batch([pa.array(_keys(numbers.value.keys, np.column_stack([first >> 32, first & 0xFFFFFFFF]) - 1).view(np.int64))], ["key"])
+
+    return rows
+
+
+def _words_by_number(numbers):
+    """(number, lang, word) of (key, lang, word)."""
+
+    def rows(batches) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            number = numbers.value.of(batch["key"].to_numpy().view(np.uint64))
+            yield pa.record_batch([pa.array(number), batch["lang"], batch["word"]], ["number", "lang", "word"])
+
+    return rows
+
+
 def _summed(batches: Iterator, most: int) -> Iterator:
     """Batches of (lang, phrase, n) in which a phrase's counts are summed as far as ``most`` held rows allow."""
     import pyarrow as pa
@@ -241,31 +323,68 @@ def _named(known, longest: int):
 def counted_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, shard_words: int = SHARD_WORDS) -> tuple[DataFrame, DataFrame]:
     """(lang, word, n) of all words, and (lang, phrase, n) of the phrases of 2 to ``longest`` words with n >= ``least``; both stored.
 
-    1. Words are counted in shards and summed. A filter of the frequent ones goes to all tasks.
+    1. Words are counted in shards and summed. The frequent ones are numbered by their 64-bit keys, which go to all tasks, after a look
+       that no other word has such a key; so numbers stand for texts without error.
     2. Every shard gets an FM-index over its frequent words, in both directions, which is stored.
-    3. All pairs are enumerated by extending words to the left, and summed by a hash; a filter of the frequent hashes goes out. The same
-       with three words, where both pairs pass.
-    4. Phrases whose parts pass are enumerated to the left and to the right in turn. Their counts are summed by their text (in a task first), so neither
-       the hashes nor the filters can change a count.
+    3. All pairs are enumerated by extending words to the left, and summed by their numbers; a filter of the frequent ones goes out.
+    4. Longer phrases whose pairs pass are enumerated to the left and to the right in turn, and summed in the same way.
+    5. Frequent phrases get the texts of their words.
+
+    Where keys of words clash or frequent words are too many, phrases are summed by text instead (``_by_text``).
     """
     if longest > LONGEST:
         raise ValueError(f"phrases have at most {LONGEST} words")
-    spark = docs.sparkSession
+    context = docs.sparkSession.sparkContext
     named = docs.select(F.coalesce(docs["lang"], F.lit("und")).alias("lang"), F.coalesce(docs["text"], F.lit("")).alias("text"))
     words = stored(named.mapInArrow(_word_counts(shard_words), "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n")), "phrases-words")
-    known = spark.sparkContext.broadcast(_filter(words.where(F.col("n") >= least).select(F.xxhash64(F.concat("lang", F.lit("\0"), "word")).alias("key"))))
-    shards = stored(named.mapInArrow(_indexes(shard_words, known), "langs array<string>, words array<binary>, counts binary, data binary"), "phrases-indexes")
-    filters, made = [], [shards]
+    numbers = _numbers(words, least)
+    known = context.broadcast(_filter(words.where(F.col("n") >= least).select(_key().alias("key"))) if numbers is None else numbers)
+    shards = named.mapInArrow(_indexes(shard_words, known), "langs array<string>, words array<binary>, keys binary, counts binary, data binary")
+    shards = stored(shards if numbers is None else shards.drop("langs", "words"), "phrases-indexes")
+    found = _by_text(shards, least, longest) if numbers is None else _by_number(shards, words, known, least, longest)
+    discard(shards)
+    return words, found
+
+
+def _by_number(shards: DataFrame, words: DataFrame, numbers, least: int, longest: int) -> DataFrame:
+    """(lang, phrase, n) of the frequent phrases, summed by the numbers of their words; stored."""
+
+    def frequent(known: list, longest: int, *by: str) -> DataFrame:
+        rows = shards.mapInArrow(_numbered(numbers, known, longest), "".join(f"{x} long, " for x in by) + "n long")
+        rows = rows.repartition(*by).groupBy(*by).agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+        return stored(rows, "phrases-numbers")
+
+    made = [frequent([], 2, "first")]
+    every = made[0].select("first", F.lit(0).cast("long").alias("second"), "n")
+    if longest > 2:
+        pairs = shards.sparkSession.sparkContext.broadcast(_filter(keys := stored(made[0].select("first").mapInArrow(_pair_keys(numbers), "key long"), "phrases-keys")))
+        made += [keys, frequent([pairs], longest, "first", "second")]
+        every = every.union(made[-1])
+    texts = stored(words.where(F.col("n") >= least).select(_key().alias("key"), "lang", "word").mapInArrow(_words_by_number(numbers), "number long, lang string, word string"), "phrases-texts")
+    low = F.lit(0xFFFFFFFF).cast("long")
+    parts = F.array(F.shiftright("first", 32), F.col("first").bitwiseAND(low), F.shiftright("second", 32), F.col("second").bitwiseAND(low))
+    parts = every.select("first", "second", "n", F.posexplode(parts).alias("at", "number")).where(F.col("number") > 0).join(texts.hint("merge"), "number")
+    phrase = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "word"))), lambda x: x["word"]), " ")
+    found = stored(parts.groupBy("first", "second", "n").agg(F.first("lang").alias("lang"), phrase.alias("phrase")).select("lang", "phrase", "n"), "phrases-found")
+    for done in (*made, texts):
+        discard(done)
+    return found
+
+
+def _by_text(shards: DataFrame, least: int, longest: int) -> DataFrame:
+    """(lang, phrase, n) of the frequent phrases, summed by their text (in a task first); stored. Pairs and triples are summed by a hash
+    before, and a filter of the frequent hashes goes out, so only phrases whose parts pass get a text; neither can change a count."""
+    filters, made = [], []
     for length in range(2, min(longest, 3) + 1):
         keys = shards.mapInArrow(_hashed(list(filters), length), "key long, n long").repartition("key").groupBy("key").agg(F.sum("n").alias("n"))
         keys = stored(keys.where(F.col("n") >= least).select("key"), "phrases-keys")
-        filters.append(spark.sparkContext.broadcast(_filter(keys)))
+        filters.append(shards.sparkSession.sparkContext.broadcast(_filter(keys)))
         made.append(keys)
     found = shards.mapInArrow(_named(filters, longest), "lang string, phrase string, n long").repartition("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
     found = stored(found.where(F.col("n") >= least), "phrases-found")
     for done in made:
         discard(done)
-    return words, found
+    return found
 
 
 def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, covered: int = COVERED, top: int = TOP, shard_words: int = SHARD_WORDS) -> DataFrame:

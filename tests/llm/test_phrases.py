@@ -126,3 +126,48 @@ def test_a_task_names_a_phrase_once_for_all_its_shards():
     parts = [b.slice(i, 3) for b in phrases._named([], 4)(iter(indexes)) for i in range(0, b.num_rows, 3)] * 4
     few = [tuple(r.values()) for b in phrases._summed(iter(parts), 4) for r in b.to_pylist()]  # with little room sums are partial
     assert sum(r[2] for r in few) == 4 * sum(want.values()) and {r[:2] for r in few} == set(want)
+
+
+def copies(n):
+    """``n`` times the same texts of the same shards, with many phrases that are frequent in all of them."""
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(40)}" for _ in range(60)) for _ in range(20)]
+    return [("en" if i % 2 else "fr", t) for i, t in enumerate(texts * n)]
+
+
+def test_numbers_and_texts_give_the_same_counts(spark, messy, monkeypatch):
+    rows = [(r["lang"], r["text"]) for r in messy.collect()]
+    assert result(messy, least=8, shard_words=500) == (wanted := brute(rows, 8))
+    monkeypatch.setattr(phrases, "NUMBERED_WORDS", 1)  # too many frequent words to be numbered
+    assert result(messy, least=8, shard_words=500) == wanted
+
+
+def test_clashing_keys_of_words_are_not_numbered(spark, monkeypatch):
+    words = spark.createDataFrame([("en", "a", 9), ("en", "b", 8), ("en", "c", 1)], "lang string, word string, n long")
+    found = phrases._numbers(words, 8)
+    keys = np.array([phrases._word_key("en", x) for x in (b"a", b"b", b"c")], np.uint64)
+    assert sorted(found.of(keys).tolist()) == [0, 1, 2] and found.has(keys).tolist() == [True, True, False]
+    assert phrases._Numbers(np.empty(0, np.uint64)).of(keys).tolist() == [0, 0, 0]
+    clash = words.union(spark.createDataFrame([("en\0a", "b", 1), ("en", "a\0b", 9)], words.schema))  # one key for both
+    assert phrases._numbers(clash, 8) is None
+
+
+def test_a_frequent_phrase_is_named_once_for_all_shards(spark, monkeypatch):
+    """Phrases by text came from every shard that has them: their number was that of shards times that of phrases."""
+    named = spark.sparkContext.accumulator(0)
+    plain = phrases._named
+
+    def counted(*args):
+        def rows(batches):
+            for batch in plain(*args)(batches):
+                named.add(batch.num_rows)
+                yield batch
+
+        return rows
+
+    monkeypatch.setattr(phrases, "_named", counted)
+    for n in (2, 8):
+        df = spark.createDataFrame(copies(n), "lang string, text string").repartition(n)
+        words, found = phrases.counted_phrases(df, least=n, shard_words=200)
+        assert found.count() == found.select("lang", "phrase").distinct().count() > 1000
+        assert named.value == 0
