@@ -18,14 +18,24 @@ DEPTH = 4
 AT_ONCE = 1 << 18
 
 
+def _by_pair(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows in the order of two numbers (below 2**32), and the pair of each in that order. Rows are sorted within one number with the pair where 64 bits
+    are enough, which takes half the time."""
+    width, room = int(max(first.max(), second.max())).bit_length(), np.uint64(len(first).bit_length())
+    pair = (first.astype(np.uint64) << np.uint64(width)) | second.astype(np.uint64)
+    if 2 * width + int(room) > 64:
+        order = np.argsort(pair, kind="stable")
+        return order, pair[order]
+    pair = np.sort((pair << room) | np.arange(len(pair), dtype=np.uint64))
+    return (pair & ((np.uint64(1) << room) - np.uint64(1))).astype(np.int64), pair >> room
+
+
 def _order(text: np.ndarray) -> np.ndarray:
     """Rows of the circular text in the order of their first four symbols."""
-    pair = (text << 32) | np.roll(text, -1)
-    order = np.argsort(pair)
+    order, found = _by_pair(text, np.roll(text, -1))
     rank = np.empty(len(text), np.int64)
-    found = pair[order]
     rank[order] = np.concatenate([[0], np.cumsum(found[1:] != found[:-1])])
-    return np.argsort((rank << 32) | np.roll(rank, -2))
+    return _by_pair(rank, np.roll(rank, -2))[0]
 
 
 class Side:
@@ -45,9 +55,9 @@ class Side:
         now = text[_order(text) - 1].astype(np.uint32)
         levels = []
         for level in range(max(1, int(len(counts) - 1).bit_length()) - 1, -1, -1):
-            bits = ((now >> np.uint32(level)) & np.uint32(1)).astype(bool)
+            bits = (now & np.uint32(1 << level)) != 0
             levels.append(Bits(bits.view(np.uint8)))
-            now = np.concatenate([now[~bits], now[bits]])
+            now = np.concatenate([now.take(np.flatnonzero(~bits)), now.take(np.flatnonzero(bits))])
         return cls(levels, counts)
 
     def children(self, lo: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, ...]:

@@ -74,8 +74,8 @@ def _numbers(words: DataFrame, least: int) -> _Numbers | None:
     if words.where(F.col("n") >= least).count() > NUMBERED_WORDS:
         return None
     keys = words.select(_key().alias("key"), "n").groupBy("key").agg(F.count(F.lit(1)).alias("words"), F.max("n").alias("n"))
-    found = keys.where(F.col("n") >= least).select("key", "words").toArrow()
-    return None if (found["words"].to_numpy() > 1).any() else _Numbers(found["key"].to_numpy().view(np.uint64))
+    found = keys.where(F.col("n") >= least).select(F.when(F.col("words") == 1, F.col("key")).alias("key")).toArrow()["key"]
+    return None if found.null_count else _Numbers(found.to_numpy().view(np.uint64))
 
 
 def _key():
@@ -138,7 +138,12 @@ def _word_counts(size: int):
 
 def _word_key(lang: str, word: bytes) -> int:
     """As Spark's xxhash64 of the language, a NUL and the word."""
-    return xxhash.xxh64_intdigest(lang.encode() + b"\0" + word, 42)
+    return int(_word_keys(lang, [word])[0])
+
+
+def _word_keys(lang: str, words: list[bytes]) -> np.ndarray:
+    front, key = lang.encode() + b"\0", xxhash.xxh64_intdigest
+    return np.array([key(front + x, 42) for x in words], np.uint64)
 
 
 def _indexes(size: int, frequent):
@@ -151,7 +156,7 @@ def _indexes(size: int, frequent):
         for shard in _shards(batches, size):
             langs, words, keys, flows = [], [], [], [np.zeros(1, np.int64)]
             for lang, found, flow in shard:
-                key = np.array([_word_key(lang, x) for x in found.to_pylist()], np.uint64)
+                key = _word_keys(lang, found.to_pylist())
                 kept = np.flatnonzero(known.has(key))
                 symbol = np.zeros(len(key) + 2, np.int64)
                 symbol[kept + 1] = len(langs) + np.arange(1, len(kept) + 1)

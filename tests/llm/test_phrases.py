@@ -171,3 +171,13 @@ def test_a_frequent_phrase_is_named_once_for_all_shards(spark, monkeypatch):
         words, found = phrases.counted_phrases(df, least=n, shard_words=200)
         assert found.count() == found.select("lang", "phrase").distinct().count() > 1000
         assert named.value == 0
+
+
+def test_rows_are_in_order_however_wide_the_numbers():
+    from framelake.llm.biindex import _by_pair
+
+    rng = np.random.default_rng(2)
+    for most in (3, 1 << 20, (1 << 32) - 1):
+        first, second = rng.integers(0, most, 500), rng.integers(0, 4, 500)
+        order, pairs = _by_pair(first, second)
+        assert order.tolist() == sorted(range(500), key=lambda i: (first[i], second[i], i)) and (np.diff(pairs.astype(object)) >= 0).all()
