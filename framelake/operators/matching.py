@@ -3,6 +3,7 @@ sorted stream past an index of its truths that are still free. Pairs are never s
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Iterator
 from functools import reduce
 
@@ -11,112 +12,238 @@ from pyspark.sql import functions as F
 
 from . import ranges
 
-#: Predictions that look at the index together, and the most pairs that they may look at (one prediction may pass it).
-BLOCK, PAIRS = 512, 1 << 20
+#: Predictions that look at the index together, the most entries or cells that they look at together (one prediction may pass it), and the most pairs within images.
+BLOCK, LOOKED, PAIRS = 512, 1 << 17, 1 << 20
+#: Levels of IoU at which a prediction's truth is sought: each is STEP times as far from 1 as the one below it, the highest about FINEST. Predictions of a size begin near
+#: BEGIN and go up a level when they see more than MANY entries each; a level with fewer than SPARE free truths does not do. FEW entries or less are sought at the threshold.
+STEP, FINEST, BEGIN, SPARE, MANY, FEW = 0.7, 0.001, 0.05, 2, 8, 2048
 
 
 def _index_class():
     """The class is made in a function, so that it travels to the tasks by value."""
     import numpy as np
 
+    # memory that is used again: fresh arrays cost more than the work on them
+    count, ints, floats = np.empty(0, int), [], []
+
+    def buffers(size):
+        """Four arrays of integers and five of floats with ``size`` places, and one of floats with as many places as there are."""
+        nonlocal count, ints, floats
+        if not len(count) or size > len(count):
+            count = np.arange(max(size, LOOKED))
+            ints, floats = [np.empty(len(count), int) for _ in range(4)], [np.empty(len(count)) for _ in range(6)]
+        return [x[:size] for x in ints], [x[:size] for x in floats[:5]], floats[5]
+
+    def gather(values, places, out):
+        return values.take(places, out=out, mode="clip")
+
+    def numbered(ends, out):
+        """The number of its group for each place; no group is empty."""
+        out[:] = 0
+        out[ends[:-1]] = 1
+        out.cumsum(out=out)
+
     class Index:
         """The free truths of a pool at one threshold. Truths of equal boxes are one entry, whose smallest free id is given out first.
 
-        With an IoU above t the intervals of both axes have an overlap above t of their union, so a truth's left edge lies within w(1/t - 1) before and
-        w(1 - t) after the prediction's, and its top edge likewise: entries lie in strips by their top edge, sorted by their left edge in a strip.
+        With an IoU above v the intervals of both axes have an overlap above v of their union, so a truth's left edge lies within w(1/v - 1) before and
+        w(1 - v) after the prediction's, its width between wv and w/v, and its top edge and height likewise: entries lie in cells by height, width, top and
+        left edge. The best truth is sought among those above a high IoU first, then above lower ones, down to the threshold.
         """
 
         def __init__(self, boxes, threshold):
-            self.t = threshold
-            self.boxes, entry = np.unique(boxes, axis=0, return_inverse=True)
-            self.ranks = np.argsort(entry.ravel(), kind="stable")
-            ends = np.cumsum(np.bincount(entry.ravel(), minlength=len(self.boxes)))
-            self.next, self.end = [0, *ends[:-1].tolist()], ends.tolist()
+            order = np.lexsort(boxes.T[::-1])  # stable: ids of equal boxes stay in their order
+            new = np.ones(len(boxes), bool)
+            new[1:] = (boxes[order[1:]] != boxes[order[:-1]]).any(axis=1)
+            starts = np.flatnonzero(new)
+            self.boxes, self.ranks = boxes[order[starts]], order.tolist()
             self.areas = (self.boxes[:, 2] - self.boxes[:, 0]) * (self.boxes[:, 3] - self.boxes[:, 1])
-            self.live = np.ones(len(self.boxes), bool)
-            self.left = len(self.boxes)
+            self.begin(starts, np.diff(np.append(starts, len(boxes))), threshold)
+
+        def begin(self, starts, sizes, threshold):
+            # levels above which entries are sought, the threshold last
+            steps = range(1 + max(0, int(np.log(FINEST / (1 - threshold)) / np.log(STEP)))) if threshold < 1 else range(1)
+            self.levels = [threshold if not n else 1 - (1 - threshold) * STEP**n for n in reversed(steps)]
+            # the level to begin with, by the size of a prediction
+            self.first = np.full(64, min(sum(v > 1 - BEGIN for v in self.levels), len(self.levels) - 1))
+            self.starts, self.next, self.free, self.left = starts, starts.tolist(), sizes, len(sizes)
             self.build()
 
+        def at(self, threshold):
+            """An index of the same truths, all free, at another threshold."""
+            other = copy.copy(self)
+            other.begin(self.starts, np.diff(np.append(self.starts, len(self.ranks))), threshold)
+            return other
+
         def build(self):
-            own = np.flatnonzero(self.live)
-            x, y = self.boxes[own, 0], self.boxes[own, 1]
+            own = np.flatnonzero(self.free)
             self.indexed = len(own)
-            strips = max(1, min(256, int((len(own) / 16) ** 0.5)))
-            self.edges = np.sort(y)[[len(own) * s // strips for s in range(1, strips)]] if strips > 1 else np.empty(0)
-            strip = np.searchsorted(self.edges, y, "right")
-            self.xs = np.unique(x)
-            place = strip * (len(self.xs) + 1) + np.searchsorted(self.xs, x)
+            box = self.boxes[own]
+            x, y, w, h = box[:, 0], box[:, 1], box[:, 2] - box[:, 0], box[:, 3] - box[:, 1]
+
+            def cells(values, most):
+                if most < 2:
+                    return np.empty(0)
+                ordered = np.sort(values)
+                return np.unique(ordered[len(own) * np.arange(1, most) // most])
+
+            side = min(16, int(len(own) ** 0.25))
+            self.h, self.w, self.y = (cells(v, side) for v in (h, w, y))
+            rows = (len(self.h) + 1) * (len(self.w) + 1) * (len(self.y) + 1)
+            self.x = cells(x, min(1024, 1 + 2 * len(own) // rows))
+            place = np.searchsorted(self.h, h, "right")
+            for edges, values in ((self.w, w), (self.y, y), (self.x, x)):
+                place = place * (len(edges) + 1) + np.searchsorted(edges, values, "right")
+            self.ends = np.append(0, np.cumsum(np.bincount(place, minlength=rows * (len(self.x) + 1))))
             order = np.argsort(place, kind="stable")
-            self.place, self.own = place[order], own[order]
-            self.columns = [np.ascontiguousarray(self.boxes[self.own, c]) for c in range(4)]
+            self.own = own[order]
+            self.columns = [np.ascontiguousarray(box[order, c]) for c in range(4)]
 
-        def spans(self, p):
-            """(prediction, from, to): the ranges of entries that the predictions look at."""
-            before, after = 1 / self.t - 1, 1 - self.t
+        def cells(self, p, v):
+            """For each prediction the first and last cell of every side in which truths with an IoU above v lie."""
+            before, after = 1 / v - 1, 1 - v
             w, h = p[:, 2] - p[:, 0], p[:, 3] - p[:, 1]
             slack = 1e-9 * (1 + np.abs(p).max(axis=1))
-            first = np.searchsorted(self.edges, p[:, 1] - h * before - slack, "left")
-            last = np.searchsorted(self.edges, p[:, 1] + h * after + slack, "right")
-            x0 = np.searchsorted(self.xs, p[:, 0] - w * before - slack, "left")
-            x1 = np.searchsorted(self.xs, p[:, 0] + w * after + slack, "right")
-            n = last - first + 1
-            who = np.repeat(np.arange(len(p)), n)
-            row = (np.arange(len(who)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)) * (len(self.xs) + 1)
-            return who, np.searchsorted(self.place, row + x0[who]), np.searchsorted(self.place, row + x1[who])
-
-        def hits(self, p, who, start, n):
-            """(prediction, IoU, entry) above the threshold, best first."""
-            at = np.repeat(who, n)
-            e = np.arange(len(at)) + np.repeat(start - (np.cumsum(n) - n), n)
-            # one axis first: most entries of a range fail on it
-            a0, a2, b0, b2 = p[at, 0], p[at, 2], self.columns[0][e], self.columns[2][e]
-            over = np.minimum(a2, b2) - np.maximum(a0, b0)
-            near = (over > self.t * (1 - 1e-9) * (np.maximum(a2, b2) - np.minimum(a0, b0))) & self.live[self.own[e]]
-            at, e, over = at[near], e[near], over[near]
-            tall = np.minimum(p[at, 3], self.columns[3][e]) - np.maximum(p[at, 1], self.columns[1][e])
-            both = np.maximum(over, 0.0) * np.maximum(tall, 0.0)
-            e = self.own[e]
-            union = ((p[:, 2] - p[:, 0]) * (p[:, 3] - p[:, 1]))[at] + self.areas[e] - both
-            v = np.divide(both, union, out=np.zeros(len(both)), where=union > 0)
-            good = v > self.t
-            at, v, e = at[good], v[good], e[good]
+            bounds = (self.h, h * v, h / v), (self.w, w * v, w / v), (self.y, p[:, 1] - h * before, p[:, 1] + h * after), (self.x, p[:, 0] - w * before, p[:, 0] + w * after)
+            return [(edges.searchsorted(low - slack, "right"), edges.searchsorted(high + slack, "right")) for edges, low, high in bounds]
+
+        def spans(self, cells, n):
+            """(prediction, from, number): the ranges of entries in the cells, without empty ones."""
+            (h, _), (w0, w1), (y0, y1), (x0, x1) = cells
+            ends = n.cumsum()
+            (who, rest, other, place), _, _ = buffers(ends[-1])
+            numbered(ends, who)
+            y, w, x = len(self.y) + 1, len(self.w) + 1, len(self.x) + 1
+            np.subtract(count[: len(who)], gather(ends - n, who, rest), out=rest)
+            np.divmod(rest, gather(y1 - y0 + 1, who, other), out=(rest, place))  # the cell's number by top edge, then by width, then by height
+            np.divmod(rest, gather(w1 - w0 + 1, who, other), out=(rest, other))
+            rest *= w
+            rest += other
+            rest *= y
+            rest += place
+            rest *= x
+            rest += gather(((h * w + w0) * y + y0) * x, who, other)
+            start = gather(self.ends, np.add(rest, gather(x0, who, other), out=place), other)
+            rest += gather(x1 + 1, who, place)
+            size = np.subtract(gather(self.ends, rest, place), start, out=place)
+            some = size.nonzero()[0]
+            return who[some], start[some], size[some]
+
+        def hits(self, p, who, start, n, level):
+            """(prediction, IoU, entry) of the free entries above a level."""
+            if not len(n):
+                return who, np.empty(0), who
+            ends = n.cumsum()
+            (span, at, e, _), (a, b, c, d, v), more = buffers(ends[-1])
+            numbered(ends, span)
+            gather(who, span, at)
+            gather(start - (ends - n), span, e)
+            e += count[: len(e)]
+            x1, y1, x2, y2 = np.ascontiguousarray(p.T)
+
+            def axis(side, low, high, at, e):
+                """Length of what the intervals share, and of what they span."""
+                a0, a2, b0, b2, over = (x[: len(at)] for x in (a, b, c, d, v))
+                gather(low, at, a0), gather(high, at, a2), gather(self.columns[side], e, b0), gather(self.columns[side + 2], e, b2)
+                np.minimum(a2, b2, out=over)
+                over -= np.maximum(a0, b0, out=more[: len(at)])
+                np.maximum(a2, b2, out=a2)
+                a2 -= np.minimum(a0, b0, out=a0)
+                return over, a2
+
+            # an axis at a time: most entries of a range fail on the first
+            over, whole = axis(0, x1, x2, at, e)
+            whole *= level * (1 - 1e-6)
+            near = (over > whole).nonzero()[0]
+            at, e, wide = at[near], e[near], over[near]
+            tall, whole = axis(1, y1, y2, at, e)
+            whole *= level * (1 - 1e-6)
+            near = (tall > whole).nonzero()[0]
+            at, e, wide, tall = at[near], self.own[e[near]], wide[near], tall[near]
+            both = np.maximum(wide, 0.0) * np.maximum(tall, 0.0)
+            union = ((x2 - x1) * (y2 - y1))[at] + self.areas[e] - both
+            iou = np.divide(both, union, out=np.zeros(len(both)), where=union > 0)
+            good = ((iou > level) & (self.free[e] > 0)).nonzero()[0]
+            return at[good], iou[good], e[good]
+
+        def near(self, p, first, enough):
+            """(prediction, IoU, entry) of the free entries above each prediction's own level, best first, and that level's number: from its ``first`` the first with ``enough`` free truths."""
+            found, own, rows, begins = [], np.full(len(p), len(self.levels) - 1), np.empty(0, int), np.bincount(first, minlength=len(self.levels))
+            for number, level in enumerate(self.levels):
+                if begins[number]:
+                    rows = np.append(rows, np.flatnonzero(first == number))
+                if not len(rows):
+                    continue
+                done, short = 0, []
+                cells = self.cells(p[rows], level)
+                n = reduce(lambda a, b: a * b, [to - start + 1 for start, to in cells[:3]])
+                ends = n.cumsum()
+                while done < len(rows):
+                    to = max(done + 1, int(np.searchsorted(ends, (ends[done - 1] if done else 0) + LOOKED, "right")))
+                    mine = rows[done:to]
+                    who, start, size = self.spans([(a[done:to], b[done:to]) for a, b in cells], n[done:to])
+                    seen = np.cumsum(np.bincount(who, weights=size, minlength=len(mine)))
+                    take = max(1, int(np.searchsorted(seen, LOOKED, "right")))
+                    if take < len(mine):
+                        last = np.searchsorted(who, take)
+                        who, start, size, mine = who[:last], start[:last], size[:last], mine[:take]
+                    at, v, e = self.hits(p[mine], who, start, size, level)
+                    if number < len(self.levels) - 1:
+                        full = np.bincount(at, weights=self.free[e], minlength=len(mine)) >= enough
+                        own[mine[full]] = number
+                        short.append(mine[~full])
+                        kept = full[at]
+                        at, v, e = at[kept], v[kept], e[kept]
+                    found.append((mine[at], v, e))
+                    done += len(mine)
+                rows = np.concatenate(short) if short else rows[:0]
+            at, v, e = (np.concatenate(x) for x in zip(*found))
             order = np.lexsort((-v, at))
-            return at[order].tolist(), v[order].tolist(), e[order].tolist()
+            return at[order], v[order], e[order], own
 
         def match(self, p):
             """Ranks of the truths that the boxes take in turn, -1 for none."""
             out = np.full(len(p), -1)
-            done = 0
-            while done < len(p) and self.left:
+            for done in range(0, len(p), BLOCK):
+                if not self.left:
+                    break
                 if self.left * 2 < self.indexed:
                     self.build()
                 block = p[done : done + BLOCK]
-                who, start, stop = self.spans(block)
-                n = np.maximum(stop - start, 0)
-                seen = np.cumsum(np.bincount(who, weights=n, minlength=len(block)))
-                take = max(1, int(np.searchsorted(seen, PAIRS, "right")))
-                block, mine = block[:take], who < take
-                self.take(out, done, *self.hits(block, who[mine], start[mine], n[mine]))
-                done += take
+                size = np.frexp((block[:, 2] - block[:, 0]) * (block[:, 3] - block[:, 1]))[1] % 64
+                first = self.first[size] if self.left > FEW else np.full(len(block), len(self.levels) - 1)
+                at, v, e, own = self.near(block, first, SPARE)
+                self.take(out[done : done + BLOCK], block, at.tolist(), v.tolist(), e.tolist(), own.tolist())
+                if self.left <= FEW:
+                    continue
+                # the first level should neither list many entries nor find too few
+                asked, listed, short = (np.bincount(size, weights=x, minlength=64) for x in (None, np.bincount(at, minlength=len(block)), own > first))
+                self.first += (2 * short > asked).astype(int) - ((listed > MANY * asked) & (2 * short <= asked) & (self.first > 0))
             return out
 
-        def take(self, out, done, at, v, e):
-            i, size = 0, len(at)
-            while i < size:
-                a, best, value = at[i], None, None
-                while i < size and at[i] == a and (best is None or v[i] == value):
+        def take(self, out, block, at, v, e, own):
+            ranks, following, free = self.ranks, self.next, self.free
+            i, size, last = 0, len(at), len(self.levels) - 1
+            for a, level in enumerate(own):
+                best, value = None, None
+                while i < size and at[i] == a:
+                    if best is not None and v[i] != value:
+                        i += 1
+                        continue
                     c = e[i]
-                    if self.next[c] < self.end[c] and (best is None or self.ranks[self.next[c]] < self.ranks[self.next[best]]):
+                    if free[c] and (best is None or ranks[following[c]] < ranks[following[best]]):
                         best, value = c, v[i]
                     i += 1
-                while i < size and at[i] == a:
-                    i += 1
+                if best is None and level < last:  # those before it have taken all that it was shown
+                    _, values, entries, _ = self.near(block[a : a + 1], np.array([last]), 1)
+                    if len(entries):
+                        best = min(entries[values == values[0]].tolist(), key=lambda c: ranks[following[c]])
                 if best is None:
                     continue
-                out[done + a] = self.ranks[self.next[best]]
-                self.next[best] += 1
-                if self.next[best] == self.end[best]:
-                    self.live[best] = False
+                out[a] = ranks[following[best]]
+                following[best] += 1
+                free[best] -= 1
+                if not free[best]:
                     self.left -= 1
 
     return Index
@@ -124,42 +251,57 @@ def _index_class():
 
 def _streamed(group: list[str], thresholds: list[float]):
     """For rows sorted by group, truths by id before predictions by order: the predictions with the truths that they take at each threshold."""
-    corners = ["x1", "y1", "x2", "y2"]
 
     def rows(batches) -> Iterator:
         import numpy as np
-        import pandas as pd
+        import pyarrow as pa
 
-        Index, key, ids, held, indexes = _index_class(), None, [], [], None
+        Index, last, ids, held, indexes = _index_class(), None, [], [], None
         for batch in batches:
-            if not len(batch):
+            if not batch.num_rows:
                 continue
-            keys = batch[group]
-            starts = np.flatnonzero((keys != keys.shift()).any(axis=1).to_numpy() | (np.arange(len(batch)) == 0))
-            kinds, box = batch["kind"].to_numpy(), batch[corners].to_numpy(float)
-            truth = [np.full(len(batch), None, object) for _ in thresholds]
-            for i, j in zip(starts, [*starts[1:], len(batch)]):
-                now = tuple(keys.iloc[i])
-                if now != key or any(pd.isna(k) for k in now):  # null keys match nothing
-                    key, ids, held, indexes = now, [], [], None
+            new = ranges.changed(batch, group, last)
+            last = [batch.column(c)[-1].as_py() for c in group]
+            starts = np.flatnonzero(new | (np.arange(len(new)) == 0)).tolist()
+            kinds = batch.column("kind").to_numpy()
+            box = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("x1", "y1", "x2", "y2")], axis=1).astype(float)
+            null = np.zeros(len(new), bool)  # null keys match nothing
+            for c in group:
+                null |= batch.column(c).is_null().to_numpy(zero_copy_only=False)
+            # boxes without an area or a corner match nothing
+            proper = np.isfinite(box).all(axis=1) & (box[:, 2] > box[:, 0]) & (box[:, 3] > box[:, 1])
+            kind = batch.schema.field("truth_id").type
+            wide = pa.large_string() if pa.types.is_string(kind) else kind  # ids of a pool may pass the size of a small array
+            truths = [[] for _ in thresholds]
+            for i, j in zip(starts, [*starts[1:], len(new)]):
+                if new[i]:
+                    ids, held, indexes = [], [], None
                 m = i + int(np.searchsorted(kinds[i:j], 1))
-                if m > i:
-                    ids.extend(batch["truth_id"].iloc[i:m])
+                if m > i and not null[i]:
+                    ids.append(batch.column("truth_id").slice(i, m - i).cast(wide))
                     held.append(box[i:m])
-                if m < j and ids:
-                    if indexes is None:
-                        every = np.concatenate(held)
-                        indexes, held = [Index(every, t) for t in thresholds], []
-                    # boxes without an area or a corner match nothing
-                    proper = np.flatnonzero(np.isfinite(box[m:j]).all(axis=1) & (box[m:j, 2] > box[m:j, 0]) & (box[m:j, 3] > box[m:j, 1]))
-                    for n, index in enumerate(indexes):
-                        found = index.match(box[m:j][proper])
-                        for at, rank in zip((m + proper[found >= 0]).tolist(), found[found >= 0].tolist()):
-                            truth[n][at] = ids[rank]
-            own = kinds == 1
-            out = batch.loc[own, [*group, "prediction_id", "confidence"]]
-            for n, t in enumerate(thresholds):
-                yield out.assign(threshold=t, truth_id=truth[n][own])[[*group, "threshold", "prediction_id", "confidence", "truth_id"]]
+                if m == j:
+                    continue
+                if not ids:
+                    for out in truths:
+                        out.append(pa.nulls(j - m, wide))
+                    continue
+                if indexes is None:
+                    every = np.concatenate(held)
+                    index = Index(every, thresholds[0])
+                    indexes, ids, held = [index, *(index.at(t) for t in thresholds[1:])], [pa.concat_arrays(ids)], []
+                asked = np.flatnonzero(proper[m:j])
+                for index, out in zip(indexes, truths):
+                    found = np.full(j - m, -1)
+                    found[asked] = index.match(box[m:j][asked])
+                    out.append(ids[0].take(pa.array(found, mask=found < 0)))
+            own = pa.array(np.flatnonzero(kinds == 1))
+            if not len(own):
+                continue
+            columns = {c: batch.column(c).take(own) for c in [*group, "prediction_id", "confidence"]}
+            for t, out in zip(thresholds, truths):
+                columns |= {"threshold": pa.array(np.full(len(own), t)), "truth_id": pa.concat_arrays(out).cast(kind)}
+                yield pa.RecordBatch.from_pydict({c: columns[c] for c in [*group, "threshold", "prediction_id", "confidence", "truth_id"]})
 
     return rows
 
@@ -278,4 +420,4 @@ def pooled(predictions: DataFrame, truths: DataFrame, thresholds, keys=("candida
     """
     group = [*keys, "label"]
     rows, schema = _met(predictions, truths, group, group)
-    return rows.mapInPandas(_streamed(group, [float(x) for x in thresholds]), schema)
+    return rows.mapInArrow(_streamed(group, [float(x) for x in thresholds]), schema)

@@ -695,6 +695,54 @@ def test_pooled_matching_writes_no_pairs(spark, monkeypatch):
     assert {r["prediction_id"][1:] for r in got} == {r["truth_id"][1:] for r in got} and len(got) == 400
 
 
+
+@pytest.mark.parametrize("kind", ["spread", "crowded", "equal"])
+@pytest.mark.parametrize("threshold", [0.3, 0.5, 0.9])
+def test_pooled_matching_by_levels_equals_a_plain_fold(monkeypatch, kind, threshold):
+    """Truths are sought above high levels first, though those before in a block may have taken what a level shows."""
+    import numpy as np
+
+    rng = random.Random(5)
+
+    def box():
+        if kind == "equal":
+            x, w = rng.choice([0.1, 0.12, 0.5]), rng.choice([0.1, 0.2])
+            return [x, 0.3, x + w, 0.5]
+        x, y, w, h = (rng.uniform(0, 0.01) if kind == "crowded" else rng.uniform(0, 0.4) for _ in range(4))
+        return [x, y, x + 0.05 + w, y + 0.05 + h]
+
+    monkeypatch.setattr(matching, "FEW", 0)
+    monkeypatch.setattr(matching, "LOOKED", 300)
+    truths, asked = [box() for _ in range(250)], [box() for _ in range(600)]
+    first = matching._index_class()(np.array(truths), 0.6)
+    first.match(np.array(asked[:300]))
+    index = first.at(threshold)
+    got = np.concatenate([index.match(np.array(asked[i:j])) for i, j in ((0, 7), (7, 550), (550, 600))]).tolist()
+    wanted = plain_match([(i, -i, b) for i, b in enumerate(asked)], list(enumerate(truths)), threshold)
+    assert {i: None if rank < 0 else rank for i, rank in enumerate(got)} == wanted
+
+
+def test_pooled_matching_looks_at_few_truths_of_a_large_pool():
+    """20,000 different truths, of which a prediction overlaps some hundreds by half."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+
+    def some(n):
+        x, y, w, h = rng.random((4, n)) * [[0.5], [0.5], [0.4], [0.3]]
+        return np.stack([x, y, x + 0.01 + w, y + 0.05 + h], axis=1)
+
+    index, looked = matching._index_class()(some(20_000), 0.5), []
+    hits = index.hits
+
+    def counted(p, who, start, n, *rest):
+        looked.append(int(n.sum()))
+        return hits(p, who, start, n, *rest)
+
+    index.hits = counted
+    assert (index.match(some(4000)) >= 0).mean() > 0.9 and sum(looked) < 400 * 4000
+
+
 def test_golden_validation_sends_no_table_to_all_tasks(spark):
     rows = spark.createDataFrame([("a", "i.jpg"), ("b", "j.jpg"), ("b", "i.jpg"), (None, "i.jpg")], "sample_id string, image string")
     images = spark.createDataFrame([("i.jpg",)] * 5, "image string")
